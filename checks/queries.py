@@ -217,7 +217,10 @@ def anomalies_per_day(spark, d):
 
 
 def rca_quality_trend(spark, d):
-    return baselines.rca_quality_trend(_diagnosed(spark, d))
+    stored = cut_lineage(
+        _diagnosed(spark, d).select("rca_generated_at", "rca_response_time_seconds", "rca_confidence"), "diagnosed"
+    )
+    return baselines.rca_quality_trend(stored)
 
 
 def seven_day_trend(spark, d):

@@ -146,8 +146,8 @@ def rca_distribution(diagnosed: DataFrame) -> DataFrame:
         .groupBy("rca_severity", "rca_category")
         .agg(F.count("*").alias("failures"), F.avg("rca_confidence").alias("avg_confidence"))
     )
-    total = counts.agg(F.sum("failures")).scalar()
-    return counts.withColumn("share", F.col("failures") / total)
+    # one row per severity and category: a handful, so one task may add them up
+    return counts.withColumn("share", F.col("failures") / F.sum("failures").over(Window.partitionBy()))
 
 
 def top_failing(runs: DataFrame, limit: int = 20) -> DataFrame:

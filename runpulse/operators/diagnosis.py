@@ -162,16 +162,18 @@ def anomaly_prompts(anomalies: DataFrame, runs: DataFrame, last: int = 5) -> Dat
     return anomalies.join(lists, "pipeline_id", "left").withColumn("prompt", prompt).drop("recent_runs")
 
 
+_END = "end-of-answer-7c41"
+
+
 def _strict_object(text: Column) -> Column:
-    """Variant of a text that is exactly one JSON object, else null.
+    """Variant `[object, end mark]` of a text that is exactly one JSON object, else null.
 
-    The parser stops after the first value and would accept trailing words. Wrapped in brackets, such a
-    text is no longer valid; wrapped as a member, a list of several values is not valid either.
+    The parser stops after the first value and would accept trailing words. Put into a list before an end
+    mark, such a text is not valid or the mark is not the second entry. One parse decides and gives the values.
     """
-    alone = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    member = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    is_object = F.schema_of_variant(member).startswith("OBJECT<v: OBJECT<")
-    return F.when(alone.isNotNull() & is_object, F.try_parse_json(text))
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
+    whole = text.rlike(r"^\s*\{") & (F.try_variant_get(listed, "$[1]", "string") == _END)
+    return F.when(whole, listed)
 
 
 def parsed_diagnoses(responses: DataFrame) -> DataFrame:
@@ -198,7 +200,7 @@ def parsed_diagnoses(responses: DataFrame) -> DataFrame:
         *kept,
         status.alias("status"),
         *[
-            F.try_variant_get(value, f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
+            F.try_variant_get(value, f"$[0].{f.name}", f.dataType.simpleString()).alias(f.name)
             for f in schemas.DIAGNOSIS.fields
         ],
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -15,11 +16,17 @@ def fingerprint(df: DataFrame) -> Column:
     return F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))
 
 
-def copy_tables(spark: SparkSession, source_dir: str, target_dir: str, names: list[str]) -> DataFrame:
-    """Copy Parquet tables and report, per table, the rows on both sides and whether the content is equal."""
+def copy_tables(
+    spark: SparkSession, source_dir: str, target_dir: str, names: list[str], at_once: int = 4
+) -> DataFrame:
+    """Copy Parquet tables and report, per table, the rows on both sides and whether the content is equal.
+
+    A few copies run at the same time, so that small tables do not leave the cluster idle.
+    """
+    with ThreadPool(at_once) as pool:
+        copies = pool.map(lambda n: copy_table(spark, f"{source_dir}/{n}.parquet", f"{target_dir}/{n}"), names)
     reports = []
-    for name in names:
-        copy = copy_table(spark, f"{source_dir}/{name}.parquet", f"{target_dir}/{name}")
+    for name, copy in zip(names, copies):
         source = spark.read.parquet(f"{source_dir}/{name}.parquet")
         sides = [
             df.agg(F.count("*").alias("n"), fingerprint(df).alias("mark")).select(

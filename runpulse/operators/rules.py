@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from runpulse.functions.measures import deviation_pct, or_zero
@@ -9,17 +11,26 @@ from runpulse.operators import baselines as base
 from runpulse.operators.baselines import MIN_RUNS, SIGMAS, WINDOW_DAYS, is_state
 from runpulse.operators.percentiles import exact_percentiles
 from runpulse.operators.slices import DAY_US, add_slices, micros, previous_rows, running_totals, trailing_moments
+from runpulse.schemas import FINISHED
 
 
-def judged_runs(runs: DataFrame, as_of: str, **options) -> DataFrame:
+def judged_runs(
+    runs: DataFrame,
+    as_of: str,
+    days: int = WINDOW_DAYS,
+    min_runs: int = MIN_RUNS,
+    states: Sequence[str] = FINISHED,
+    task_id: str | None = None,
+) -> DataFrame:
     """Each pipeline's latest finished run beside its baseline, with the flag `is_anomaly`.
 
-    A pipeline that has a baseline has its latest run inside the window, unless the baseline is
-    restricted to other states than the finished ones; the join is right in both cases.
+    A pipeline with a finished run in the window has its latest one there too, so the latest runs are
+    looked for in the window only and older days are not read.
     """
-    latest = base.latest_runs(runs).withColumnRenamed("duration_seconds", "current_duration")
+    recent = base.runs_in_window(runs, as_of, days) if set(states) <= set(FINISHED) else runs
+    latest = base.latest_runs(recent).withColumnRenamed("duration_seconds", "current_duration")
     return (
-        base.duration_baselines(runs, as_of, **options)
+        base.duration_baselines(runs, as_of, days, min_runs, states, task_id)
         .join(latest, "pipeline_id")
         .withColumn("deviation_pct", F.round(deviation_pct("current_duration", "avg_duration"), 1))
         .withColumn(
@@ -84,7 +95,7 @@ def drift_anomalies(runs: DataFrame, as_of: str, share: float = 0.2) -> DataFram
 
 def median_ratio_anomalies(runs: DataFrame, as_of: str, ratio: float = 1.8) -> DataFrame:
     """Latest runs longer than `ratio` times the median."""
-    latest = base.latest_runs(runs)
+    latest = base.latest_runs(base.runs_in_window(runs, as_of))
     return (
         base.robust_baselines(runs, as_of)
         .join(latest, "pipeline_id")
@@ -304,7 +315,9 @@ def throughput_anomalies(runs: DataFrame, as_of: str, days: int = WINDOW_DAYS, m
         .agg(F.count("*").alias("runs"), F.avg("rate").alias("mean"), F.stddev_samp("rate").alias("sigma"))
         .filter(F.col("runs") >= min_runs)
     )
-    latest = base.recent_runs(rated, 1).select("pipeline_id", "run_id", "execution_date", "rate")
+    latest = base.recent_runs(base.runs_in_window(rated, as_of, days), 1).select(
+        "pipeline_id", "run_id", "execution_date", "rate"
+    )
     outside = F.abs(F.col("rate") - F.col("mean")) > SIGMAS * F.col("sigma")
     return normal.join(latest, "pipeline_id").filter(outside).select(
         *_hit("throughput", "rate", "mean", F.round(deviation_pct("rate", "mean"), 1))
