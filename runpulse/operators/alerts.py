@@ -8,7 +8,7 @@ from runpulse.functions.measures import or_zero
 from runpulse.functions.text import cut, fixed, lookup, signature, title, yes_no
 from runpulse.operators.baselines import is_state
 from runpulse.operators.diagnosis import ANOMALY_FALLBACK
-from runpulse.operators.slices import add_slices, micros, previous_rows, running_totals
+from runpulse.operators.slices import add_slices, micros, previous_row, running_totals
 
 # Marks and colours by severity.
 EMOJI = {
@@ -167,8 +167,8 @@ def sessions(events: DataFrame, keys: list[str], gap_us: int = GAP_US) -> DataFr
     repeatable projection of one.
     """
     sliced = add_slices(events.withColumn("_at", micros("execution_date")), "_at", "id")
-    linked = previous_rows(sliced, keys, "_at", "id", ["_at"], 1, "_prev")
-    before = F.get("_prev", F.lit(0))["_at"]
+    linked = previous_row(sliced, keys, "_at", "id", ["_at"], "_prev")
+    before = F.col("_prev._at")
     begins = F.when(before.isNull() | (F.col("_at") - before > gap_us), 1).otherwise(0)
     marked = linked.withColumn("_begins", begins).drop("_prev")
     return running_totals(marked, keys, "_at", "id", {"session": F.col("_begins")}).drop(

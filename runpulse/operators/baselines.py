@@ -50,7 +50,7 @@ def runs_in_window(
     return kept.filter(F.col("execution_date") <= moment(as_of)) if until_as_of else kept
 
 
-def _baseline_columns() -> list[Column]:
+def baseline_columns() -> list[Column]:
     mean, sigma = F.avg("duration_seconds"), F.stddev_samp("duration_seconds")
     return [
         F.count("*").alias("total_runs"),
@@ -74,7 +74,7 @@ def duration_baselines(
 ) -> DataFrame:
     """Mean, sample deviation and two-sigma bounds per pipeline with at least `min_runs` runs."""
     window = runs_in_window(finished_runs(runs, states, task_id), as_of, days)
-    return window.groupBy("pipeline_id").agg(*_baseline_columns()).filter(F.col("total_runs") >= min_runs)
+    return window.groupBy("pipeline_id").agg(*baseline_columns()).filter(F.col("total_runs") >= min_runs)
 
 
 def newest_first() -> list[Column]:

@@ -11,7 +11,7 @@ from runpulse import schemas
 from runpulse.functions.measures import or_zero
 from runpulse.functions.text import cut, error_class, fixed, signature
 from runpulse.operators.baselines import WINDOW_DAYS, is_state, recent_run_lists
-from runpulse.operators.slices import DAY_US, add_slices, micros, previous_rows, running_totals, trailing_moments
+from runpulse.operators.slices import DAY_US, add_slices, micros, previous_row, previous_rows, running_totals, trailing_moments
 
 # Classification rules, first match wins (pattern, category, severity).
 ERROR_RULES = (
@@ -311,10 +311,10 @@ def similar_incidents(runs: DataFrame) -> DataFrame:
     counted = running_totals(
         sliced, ["fingerprint"], "_at", "id", {"earlier": F.lit(1)}, include_current=False
     )
-    return previous_rows(counted, ["fingerprint"], "_at", "id", ["execution_date"], 1, "_prev").select(
+    return previous_row(counted, ["fingerprint"], "_at", "id", ["execution_date"], "_prev").select(
         "id", "pipeline_id", "execution_date", "fingerprint",
         F.col("earlier").cast("bigint").alias("earlier"),
-        F.get("_prev", F.lit(0))["execution_date"].alias("last_seen"),
+        F.col("_prev.execution_date").alias("last_seen"),
     )
 
 

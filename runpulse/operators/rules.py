@@ -10,7 +10,7 @@ from runpulse.functions.measures import deviation_pct, or_zero
 from runpulse.operators import baselines as base
 from runpulse.operators.baselines import MIN_RUNS, SIGMAS, WINDOW_DAYS, is_state
 from runpulse.operators.percentiles import exact_percentiles
-from runpulse.operators.slices import DAY_US, add_slices, micros, previous_rows, running_totals, trailing_moments
+from runpulse.operators.slices import DAY_US, add_slices, micros, previous_row, running_totals, trailing_moments
 from runpulse.schemas import FINISHED
 
 
@@ -24,19 +24,28 @@ def judged_runs(
 ) -> DataFrame:
     """Each pipeline's latest finished run beside its baseline, with the flag `is_anomaly`.
 
-    A pipeline with a finished run in the window has its latest one there too, so the latest runs are
-    looked for in the window only and older days are not read.
+    A pipeline with a finished run in the window has its latest one there too, so older days are not read
+    and one aggregation finds both. With other states or a single task the baseline covers other rows than
+    the latest run does, and the two are joined.
     """
-    recent = base.runs_in_window(runs, as_of, days) if set(states) <= set(FINISHED) else runs
-    latest = base.latest_runs(recent).withColumnRenamed("duration_seconds", "current_duration")
-    return (
-        base.duration_baselines(runs, as_of, days, min_runs, states, task_id)
-        .join(latest, "pipeline_id")
-        .withColumn("deviation_pct", F.round(deviation_pct("current_duration", "avg_duration"), 1))
-        .withColumn(
-            "is_anomaly",
-            (F.col("current_duration") > F.col("upper_threshold")) & (F.col("upper_threshold") > 0),
+    if tuple(states) == FINISHED and task_id is None:
+        latest = F.struct("run_id", "execution_date", "state", or_zero("duration_seconds").alias("current_duration"))
+        judged = (
+            base.runs_in_window(base.finished_runs(runs), as_of, days)
+            .groupBy("pipeline_id")
+            .agg(*base.baseline_columns(), F.max_by(latest, F.struct("execution_date", "id")).alias("_latest"))
+            .filter(F.col("total_runs") >= min_runs)
+            .select("*", "_latest.*")
+            .drop("_latest")
         )
+    else:
+        latest = base.latest_runs(runs).withColumnRenamed("duration_seconds", "current_duration")
+        judged = base.duration_baselines(runs, as_of, days, min_runs, states, task_id).join(latest, "pipeline_id")
+    return judged.withColumn(
+        "deviation_pct", F.round(deviation_pct("current_duration", "avg_duration"), 1)
+    ).withColumn(
+        "is_anomaly",
+        (F.col("current_duration") > F.col("upper_threshold")) & (F.col("upper_threshold") > 0),
     )
 
 
@@ -187,14 +196,14 @@ def failure_streaks(runs: DataFrame, min_length: int = 3) -> DataFrame:
 
 
 def _with_previous(runs: DataFrame, cols: list[str]) -> DataFrame:
-    """Finished runs with array `prev` of at most one struct: `cols` of the run before."""
+    """Finished runs with struct `prev`: `cols` of the run before."""
     done = _timed(base.finished_runs(runs)).select("pipeline_id", "id", "run_id", "execution_date", "state", "duration_seconds", "_at")
-    return previous_rows(add_slices(done, "_at", "id"), ["pipeline_id"], "_at", "id", cols, 1, "prev")
+    return previous_row(add_slices(done, "_at", "id"), ["pipeline_id"], "_at", "id", cols, "prev")
 
 
 def flaky_pipelines(runs: DataFrame, min_runs: int = MIN_RUNS, flip_share: float = 0.3) -> DataFrame:
     """How often a pipeline changes between success and failure, and whether that is often."""
-    flip = F.get("prev", F.lit(0))["state"] != F.col("state")
+    flip = F.col("prev.state") != F.col("state")
     return (
         _with_previous(runs, ["state"])
         .groupBy("pipeline_id")
@@ -207,7 +216,7 @@ def flaky_pipelines(runs: DataFrame, min_runs: int = MIN_RUNS, flip_share: float
 
 def run_over_run_change(runs: DataFrame) -> DataFrame:
     """Every finished run beside the duration of the run before it and the change in percent."""
-    before = F.get("prev", F.lit(0))["duration_seconds"]
+    before = F.col("prev.duration_seconds")
     return _with_previous(runs, ["duration_seconds"]).select(
         "pipeline_id", "id", "run_id", "execution_date", "duration_seconds",
         before.alias("previous_duration"),

@@ -48,7 +48,7 @@ def add_slices(
     """
     like = df if like is None else like
     k = slices or slice_count(df.sparkSession)
-    accuracy = max(10_000, 20 * k)
+    accuracy = 20 * k  # a slice is at most a tenth larger than its share
     shares = [i / k for i in range(1, k)]
     cuts = like.agg(F.percentile_approx(order, shares, accuracy).alias("cuts")).first().cuts or []
     repeats = {v: n for v, n in Counter(cuts).items() if n > 1}
@@ -88,6 +88,23 @@ def _tie_cuts(like, order, tie, repeats, accuracy):
         yield row.value, sorted(picks)
 
 
+def previous_row(
+    sliced: DataFrame, keys: list[str], order: str, tie: str, cols: list[str], name: str
+) -> DataFrame:
+    """Add struct column `name`: the `cols` of the row before of the same key, null for the first row."""
+    group = [*keys, SLICE]
+    item = F.struct(*cols)
+    last = sliced.groupBy(*group).agg(F.max_by(item, F.struct(order, tie)).alias("_last"))
+    before = Window.partitionBy(*keys).orderBy(SLICE)
+    carry = last.select(*group, F.lag("_last").over(before).alias("_carry"))
+    inside = Window.partitionBy(*group).orderBy(order, tie)
+    return (
+        sliced.join(carry, group, "left")
+        .withColumn(name, F.coalesce(F.lag(item).over(inside), "_carry"))
+        .drop("_carry")
+    )
+
+
 def previous_rows(
     sliced: DataFrame, keys: list[str], order: str, tie: str, cols: list[str], n: int, name: str
 ) -> DataFrame:

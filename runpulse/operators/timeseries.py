@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from runpulse.operators.slices import add_slices, micros, previous_rows
+from runpulse.operators.slices import add_slices, micros, previous_row
 
 
 @dataclass(frozen=True)
@@ -95,8 +95,8 @@ def counter_rate(points: DataFrame, by: list[str], grid: Grid, window: int) -> D
     with fewer than two samples in the window have no row.
     """
     inside = _seen(points, grid, window)
-    linked = previous_rows(add_slices(inside, "at", "value"), by, "at", "value", ["value"], 1, "prev")
-    before = F.get("prev", F.lit(0))["value"]
+    linked = previous_row(add_slices(inside, "at", "value"), by, "at", "value", ["value"], "prev")
+    before = F.col("prev.value")
     gained = F.when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before)
     panes = (
         linked.withColumn("gained", F.coalesce(gained, F.lit(0.0)))
