@@ -74,16 +74,16 @@ def add_slices(
 
 def _tie_cuts(like, order, tie, repeats, accuracy):
     """For each over-full value of `order`: points along `tie` that divide its rows evenly."""
-    most = max(repeats.values())
+    most = max(repeats.values()) + 1  # a value between n cuts fills n + 1 slices at most
     shares = [i / most for i in range(1, most)]
     found = (
-        df.filter(F.col(order).isin(list(repeats)))
+        like.filter(F.col(order).isin(list(repeats)))
         .groupBy(F.col(order).alias("value"))
         .agg(F.percentile_approx(tie, shares, accuracy).alias("ids"))
         .collect()
     )
     for row in found:
-        wanted = repeats[row.value]
+        wanted = repeats[row.value] + 1
         picks = {row.ids[min(len(shares) - 1, j * most // wanted - 1)] for j in range(1, wanted)}
         yield row.value, sorted(picks)
 
