@@ -56,34 +56,34 @@ def series(samples: DataFrame, metric: str, by: list[str], where: dict[str, str]
     kept = samples.filter((F.col("metric") == metric) & F.col("value").isNotNull())
     for name, wanted in (where or {}).items():
         kept = kept.filter(F.col("labels")[name] == wanted)
-    return kept.select(micros("ts").alias("at"), "ts", *[F.col("labels")[name].alias(name) for name in by], "value")
+    return kept.select(micros("ts").alias("_at"), "ts", *[F.col("labels")[name].alias(name) for name in by], "value")
 
 
 def _seen(points: DataFrame, grid: Grid, span: int) -> DataFrame:
     """Points some step can see, with their pane."""
     reach = grid.panes(span)
-    pane = grid.pane(F.col("at"))
-    return points.withColumn("pane", pane).filter(
-        (F.col("pane") > -reach) & (F.col("pane") <= grid.last_index())
+    pane = grid.pane(F.col("_at"))
+    return points.withColumn("_pane", pane).filter(
+        (F.col("_pane") > -reach) & (F.col("_pane") <= grid.last_index())
     )
 
 
 def _to_steps(panes: DataFrame, grid: Grid, span: int) -> DataFrame:
     """Copy each pane to the steps that see it."""
-    first = F.greatest(F.col("pane"), F.lit(0))
-    last = F.least(F.col("pane") + grid.panes(span) - 1, grid.last_index())
-    return panes.withColumn("i", F.explode(F.sequence(first, last))).drop("pane")
+    first = F.greatest(F.col("_pane"), F.lit(0))
+    last = F.least(F.col("_pane") + grid.panes(span) - 1, grid.last_index())
+    return panes.withColumn("_i", F.explode(F.sequence(first, last))).drop("_pane")
 
 
 def instant_values(points: DataFrame, by: list[str], grid: Grid, lookback: int) -> DataFrame:
     """Last value of every series at every step, if it is not older than `lookback` seconds."""
-    latest = F.max(F.struct("at", "value")).alias("last")
-    panes = _seen(points, grid, lookback).groupBy(*by, "pane").agg(latest)
+    latest = F.max(F.struct("_at", "value")).alias("_last")
+    panes = _seen(points, grid, lookback).groupBy(*by, "_pane").agg(latest)
     return (
         _to_steps(panes, grid, lookback)
-        .groupBy(*by, "i")
-        .agg(F.max("last").alias("last"))
-        .select(grid.time(F.col("i")).alias("step"), *by, F.col("last.value").alias("value"))
+        .groupBy(*by, "_i")
+        .agg(F.max("_last").alias("_last"))
+        .select(grid.time(F.col("_i")).alias("step"), *by, F.col("_last.value").alias("value"))
     )
 
 
@@ -95,27 +95,27 @@ def counter_rate(points: DataFrame, by: list[str], grid: Grid, window: int) -> D
     with fewer than two samples in the window have no row.
     """
     inside = _seen(points, grid, window)
-    linked = previous_row(add_slices(inside, "at", "value"), by, "at", "value", ["value"], "prev")
-    before = F.col("prev.value")
+    linked = previous_row(add_slices(inside, "_at", "value"), by, "_at", "value", ["value"], "_prev")
+    before = F.col("_prev.value")
     gained = F.when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before)
     panes = (
-        linked.withColumn("gained", F.coalesce(gained, F.lit(0.0)))
-        .groupBy(*by, "pane")
+        linked.withColumn("_gained", F.coalesce(gained, F.lit(0.0)))
+        .groupBy(*by, "_pane")
         .agg(
-            F.count("*").alias("n"),
-            F.sum("gained").alias("gained"),
-            F.min(F.struct("at", "value", "gained")).alias("first"),
-            F.max("at").alias("last_at"),
+            F.count("*").alias("_n"),
+            F.sum("_gained").alias("_gained"),
+            F.min(F.struct("_at", "value", "_gained")).alias("_first"),
+            F.max("_at").alias("_last_at"),
         )
     )
-    n, first, last = F.sum("n"), F.min("first"), F.max("last_at")
-    seconds = (last - first["at"]) / F.lit(1_000_000.0)
+    n, first, last = F.sum("_n"), F.min("_first"), F.max("_last_at")
+    seconds = (last - first["_at"]) / F.lit(1_000_000.0)
     return (
         _to_steps(panes, grid, window)
-        .groupBy(*by, "i")
-        .agg(n.alias("n"), ((F.sum("gained") - first["gained"]) / F.nullif(seconds, F.lit(0.0))).alias("rate"))
-        .filter((F.col("n") >= 2) & F.col("rate").isNotNull())
-        .select(grid.time(F.col("i")).alias("step"), *by, "rate")
+        .groupBy(*by, "_i")
+        .agg(n.alias("_n"), ((F.sum("_gained") - first["_gained"]) / F.nullif(seconds, F.lit(0.0))).alias("rate"))
+        .filter((F.col("_n") >= 2) & F.col("rate").isNotNull())
+        .select(grid.time(F.col("_i")).alias("step"), *by, "rate")
     )
 
 
@@ -128,9 +128,9 @@ def cpu_utilization(samples: DataFrame, grid: Grid, window: int, metric: str = "
 
 def gauge_difference(samples: DataFrame, left: str, right: str, by: list[str], grid: Grid, lookback: int) -> DataFrame:
     """`left - right` for series with equal labels at the same step."""
-    a = instant_values(series(samples, left, by), by, grid, lookback).withColumnRenamed("value", "a")
-    b = instant_values(series(samples, right, by), by, grid, lookback).withColumnRenamed("value", "b")
-    return a.join(b, ["step", *by]).select("step", *by, (F.col("a") - F.col("b")).alias("value"))
+    a = instant_values(series(samples, left, by), by, grid, lookback).withColumnRenamed("value", "_a")
+    b = instant_values(series(samples, right, by), by, grid, lookback).withColumnRenamed("value", "_b")
+    return a.join(b, ["step", *by]).select("step", *by, (F.col("_a") - F.col("_b")).alias("value"))
 
 
 def _or_zero_at_steps(found: DataFrame, grid: Grid, column: str) -> DataFrame:
@@ -178,14 +178,14 @@ def series_range(points: DataFrame, by: list[str], start: str, end: str) -> Data
 
 def last_values(points: DataFrame, by: list[str]) -> DataFrame:
     """Newest value of every series."""
-    last = F.max(F.struct("ts", "value")).alias("last")
-    return points.groupBy(*by).agg(last).select(*by, "last.ts", "last.value")
+    last = F.max(F.struct("ts", "value")).alias("_last")
+    return points.groupBy(*by).agg(last).select(*by, "_last.ts", "_last.value")
 
 
 def resampled_series(points: DataFrame, by: list[str], grid: Grid, staleness: int) -> DataFrame:
     """Every series at every step: its last value, or null once that is older than `staleness` seconds."""
     index = F.explode(F.sequence(F.lit(0).cast("bigint"), grid.last_index().cast("bigint")))
-    spine = points.select(*by).distinct().select(*by, index.alias("i")).select(*by, grid.time(F.col("i")).alias("step"))
+    spine = points.select(*by).distinct().select(*by, index.alias("_i")).select(*by, grid.time(F.col("_i")).alias("step"))
     return spine.join(instant_values(points, by, grid, staleness), [*by, "step"], "left").select("step", *by, "value")
 
 
