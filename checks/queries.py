@@ -37,7 +37,7 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 
 def _events(spark, d):
-    return derived.event_table(spark, d, "events")
+    return derived.source_table(spark, d, "events")
 
 
 def _runs(spark, d):
@@ -45,7 +45,7 @@ def _runs(spark, d):
 
 
 def _ties(spark, d):
-    return derived.runs_from_orders(derived.event_table(spark, d, "orders"))
+    return derived.runs_from_orders(derived.source_table(spark, d, "orders"))
 
 
 def _responses(spark, d):
@@ -70,7 +70,7 @@ def _samples(spark, d):
 
 def _registry(spark, d):
     """Known pipelines: one per customer."""
-    customers = derived.event_table(spark, d, "customer")
+    customers = derived.source_table(spark, d, "customer")
     return customers.select(F.concat(F.lit("dag_"), F.col("c_custkey").cast("string")).alias("pipeline_id"))
 
 
@@ -298,7 +298,7 @@ def last_diagnoses(spark, d):
 
 
 def log_tail(spark, d):
-    return text.log_tail(tables.document_lines(derived.event_table(spark, d, "documents")))
+    return text.log_tail(tables.document_lines(derived.source_table(spark, d, "documents")))
 
 
 # --- rules ------------------------------------------------------------------------------------------
@@ -438,6 +438,10 @@ def similar_incidents(spark, d):
     return diagnosis.similar_incidents(_runs(spark, d))
 
 
+def near_incidents(spark, d):
+    return diagnosis.near_incidents(_runs(spark, d))
+
+
 def grouped_alerts(spark, d):
     runs = _runs(spark, d)
     events = cut_lineage(alerts.alert_events(runs, rules.rolling_anomalies(runs)), "alert-events")
@@ -512,11 +516,11 @@ def incident_sessions(spark, d):
 
 
 def word_count(spark, d):
-    return text.word_count(derived.event_table(spark, d, "documents"))
+    return text.word_count(derived.source_table(spark, d, "documents"))
 
 
 def incomplete_jobs(spark, d):
-    return quality.incomplete_jobs(derived.job_status_from_orders(derived.event_table(spark, d, "orders")))
+    return quality.incomplete_jobs(derived.job_status_from_orders(derived.source_table(spark, d, "orders")))
 
 
 def row_count_validation(spark, d):
@@ -541,7 +545,7 @@ ALL: list[Query] = [
     row_count_deviation, throughput_anomalies, sla_status, health_grade, all_rule_hits, newly_failing, still_failing,
     alert_feed, alert_routes, rca_prompts, anomaly_prompts, parsed_diagnoses, diagnosis_violations,
     diagnoses_with_fallback, diagnosed_failures, failure_alerts, anomaly_alerts, classified_errors, similar_incidents,
-    grouped_alerts, recommended_actions, counter_rate, cpu_utilization, gauge_difference, success_ratio,
+    near_incidents, grouped_alerts, recommended_actions, counter_rate, cpu_utilization, gauge_difference, success_ratio,
     active_failures, avg_task_duration, matching_series_count, series_range, last_values, resampled_series,
     tumbling_health, sliding_stats, incident_sessions, word_count, incomplete_jobs, row_count_validation,
     partition_gaps,

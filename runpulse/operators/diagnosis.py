@@ -6,11 +6,13 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from runpulse import schemas
 from runpulse.functions.measures import or_zero
 from runpulse.functions.text import cut, error_class, fixed, signature
 from runpulse.operators.baselines import WINDOW_DAYS, is_state, recent_run_lists
+from runpulse.operators.joins import salted_join
 from runpulse.operators.slices import DAY_US, add_slices, micros, previous_row, previous_rows, running_totals, trailing_moments
 
 # Classification rules, first match wins (pattern, category, severity).
@@ -176,8 +178,8 @@ def _strict_object(text: Column) -> Column:
     return F.when(whole, listed)
 
 
-def parsed_diagnoses(responses: DataFrame) -> DataFrame:
-    """Raw answers as diagnosis columns and a `status`.
+def parsed_diagnoses(responses: DataFrame, schema: T.StructType = schemas.DIAGNOSIS) -> DataFrame:
+    """Raw answers as the columns of `schema` and a `status`.
 
     ok: the whole text is an object. extracted: the part from the first `{` to the last `}` is one.
     parse_error: neither, or no text. A `status` column in the input (timeout, unreachable, job_error)
@@ -201,7 +203,7 @@ def parsed_diagnoses(responses: DataFrame) -> DataFrame:
         status.alias("status"),
         *[
             F.try_variant_get(value, f"$[0].{f.name}", f.dataType.simpleString()).alias(f.name)
-            for f in schemas.DIAGNOSIS.fields
+            for f in schema.fields
         ],
     )
 
@@ -243,6 +245,15 @@ def with_fallback(parsed: DataFrame) -> DataFrame:
     )
 
 
+def with_anomaly_fallback(parsed: DataFrame) -> DataFrame:
+    """Fill the anomaly explanations without an answer from the fixed record."""
+    lost = ~F.col("status").isin("ok", "extracted")
+    fixed_values = {**ANOMALY_FALLBACK, "anomaly_explanation": "No explanation available"}
+    return parsed.withColumns(
+        {c: F.when(lost, F.lit(v)).otherwise(F.col(c)) for c, v in fixed_values.items()}
+    )
+
+
 def as_diagnosis_columns(diagnoses: DataFrame) -> DataFrame:
     """Diagnoses under the column names of the run table."""
     return diagnoses.select(
@@ -318,6 +329,44 @@ def similar_incidents(runs: DataFrame) -> DataFrame:
     )
 
 
+def signature_families(failed: DataFrame, bands: int = 8, least: float = 0.6) -> DataFrame:
+    """Fingerprint and family of every failure signature; near-equal signatures share a family.
+
+    Works on the distinct signatures. Signatures that share a minimal word hash in a band are each compared
+    with one of them, the smallest fingerprint, never with each other; a family is the smallest fingerprint
+    whose words overlap by `least` or more (Jaccard).
+    """
+    words = F.array_distinct(F.split("signature", " "))
+    known = (
+        failed.select(signature("error_message").alias("signature"))
+        .filter(F.col("signature").isNotNull())
+        .distinct()
+        .select(F.md5("signature").alias("fingerprint"), words.alias("words"))
+    )
+    hashes = F.array(*[F.array_min(F.transform("words", lambda w, b=b: F.xxhash64(w, F.lit(b)))) for b in range(bands)])
+    banded = known.select("fingerprint", "words", F.posexplode(hashes).alias("band", "hash"))
+    first = banded.groupBy("band", "hash").agg(F.min(F.struct("fingerprint", "words")).alias("first"))
+    overlap = F.size(F.array_intersect("words", "first.words")) / F.size(F.array_union("words", "first.words"))
+    return (
+        salted_join(banded, first, ["band", "hash"], "fingerprint")
+        .filter(overlap >= least)
+        .groupBy("fingerprint")
+        .agg(F.min("first.fingerprint").alias("family"))
+    )
+
+
+def near_incidents(runs: DataFrame) -> DataFrame:
+    """Failed runs with the number of earlier failures of the same family of signatures."""
+    failed = runs.filter(is_state("failed"))
+    rows = failed.select(
+        "id", "pipeline_id", F.md5(signature("error_message")).alias("fingerprint"), micros("execution_date").alias("_at")
+    )
+    named = salted_join(rows, signature_families(failed), ["fingerprint"], "id")
+    return running_totals(
+        add_slices(named, "_at", "id", like=rows), ["family"], "_at", "id", {"earlier": F.lit(1)}, include_current=False
+    ).select("id", "pipeline_id", "fingerprint", "family", F.col("earlier").cast("bigint").alias("earlier"))
+
+
 def recommended_actions(diagnosed: DataFrame, runbook: DataFrame) -> DataFrame:
     """Known action for each diagnosed failure, whether it is safe, and what to do. Nothing is executed."""
     known = diagnosed.filter(is_state("failed") & F.col("rca_category").isNotNull()).join(

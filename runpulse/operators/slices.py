@@ -195,7 +195,9 @@ def trailing_moments(
     if span is not None:
         last = like.agg(F.max(moment)).first()[0]
         gone = moment + span <= F.lit(last).cast("bigint")
-        leaving = (moment + span).alias("_at"), F.lit(-(2**63)).alias("_tie")
+        # below every id and spread out, so that rows leaving at one moment can be divided too
+        low = F.lit(-(2**62)) + F.pmod(F.xxhash64(tie), F.lit(2**40))
+        leaving = (moment + span).alias("_at"), low.alias("_tie")
         entries = entries.unionByName(
             df.filter(gone).select(*keys, *leaving, F.col(value).alias("_x"), F.lit(-1).alias("_sign")),
             allowMissingColumns=True,

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
+from runpulse import schemas
 from runpulse.operators import alerts, diagnosis, rules
+from runpulse.operators.diagnosis import Generator
 
 
 def anomaly_check(runs: DataFrame, as_of: str, explanations: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -17,6 +21,15 @@ def anomaly_check(runs: DataFrame, as_of: str, explanations: DataFrame | None =
     }
 
 
+def explanations(prompts: DataFrame, make_generator: Callable[[], Generator]) -> DataFrame:
+    """Explanation of each prompted anomaly by a plug-in generator, the fixed one where it gives none."""
+    keyed = prompts.select("pipeline_id", F.xxhash64("pipeline_id").alias("id"), "prompt")
+    answers = diagnosis.generated_answers(keyed, make_generator)
+    parsed = diagnosis.parsed_diagnoses(answers, schemas.ANOMALY_DIAGNOSIS)
+    names = keyed.select("pipeline_id", "id")
+    return names.join(diagnosis.with_anomaly_fallback(parsed), "id").drop("id")
+
+
 def explained_anomalies(anomalies: DataFrame, explanations: DataFrame) -> DataFrame:
     """Anomaly and its explanation as two nested records; `explanation` is null where none was given."""
     record = F.struct(*[c for c in anomalies.columns if c != "pipeline_id"])

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from runpulse import schemas
 from runpulse.functions.measures import or_zero
 from runpulse.operators.baselines import MIN_RUNS, SIGMAS, finished_runs, is_state
+from runpulse.operators.joins import salted_join
 from runpulse.operators.slices import micros, trailing_moments
 
 LATE = "10 minutes"
@@ -64,9 +65,9 @@ def incident_sessions(stream: DataFrame, gap: str = "30 minutes") -> DataFrame:
 def judged_stream(stream: DataFrame, baselines: DataFrame) -> DataFrame:
     """Finished runs above the upper bound of published baselines, as they arrive."""
     now = or_zero("duration_seconds")
+    published = baselines.select("pipeline_id", "avg_duration", "upper_threshold")
     return (
-        finished_runs(stream)
-        .join(baselines.select("pipeline_id", "avg_duration", "upper_threshold"), "pipeline_id")
+        salted_join(finished_runs(stream), published, ["pipeline_id"], "id")
         .filter((now > F.col("upper_threshold")) & (F.col("upper_threshold") > 0))
     )
 
@@ -103,7 +104,7 @@ def running_detector(path: str, min_runs: int = MIN_RUNS) -> Callable[[DataFrame
                 "mean2": or_zero("prior_avg"),
                 "m22": or_zero("prior_stddev") * or_zero("prior_stddev") * F.greatest(F.col("prior_rows") - 1, F.lit(0)),
             }
-            seen = _merge_moments(inside.withColumns(here).join(known, "pipeline_id", "left"))
+            seen = _merge_moments(salted_join(inside.withColumns(here), known, ["pipeline_id"], "id", "left"))
             value = or_zero("duration_seconds")
             upper = F.col("mean") + SIGMAS * F.sqrt(F.col("m2") / F.nullif(F.col("n") - 1, F.lit(0)))
             hits = (

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from runpulse.operators import alerts, diagnosis, lineage, text
 from runpulse.operators import timeseries as ts
+from runpulse.plans.anomaly_check import explained_anomalies, explanations
 from runpulse.plans.failure_diagnosis import diagnose_failures, diagnosed_runs
 from runpulse.sources import derived, sinks
 from runpulse.sources.derived import AS_OF, ERROR_TEXTS
@@ -53,7 +54,7 @@ def test_all_sample_errors_are_classified(spark):
 
 @pytest.fixture(scope="module")
 def runs(spark, sf_dir):
-    return derived.runs_from_events(derived.event_table(spark, sf_dir, "events"))
+    return derived.runs_from_events(derived.source_table(spark, sf_dir, "events"))
 
 
 def test_merge_is_repeatable_and_sets_nulls(spark, runs):
@@ -113,3 +114,41 @@ def test_tails(spark):
     assert [r[0] for r in text.log_tail(lines).agg(F.min("line_no"), ).collect()] == [150]
     frame = spark.createDataFrame([("a\nb\nc",), ("z",)], "t string")
     assert [r[0] for r in frame.select(text.text_tail("t", 2)).collect()] == ["b\nc", "z"]
+
+
+def test_near_signatures_share_a_family(spark):
+    texts = [
+        "ConnectionError: could not reach host 10.0.0.1 on port 80 after 3 retries",
+        "ConnectionError: could not reach host 10.9.8.7 on port 443 after 5 retries now",
+        "FileNotFoundError: /a/b.csv: No such file or directory",
+    ]
+    frame = spark.createDataFrame([(t,) for t in texts], "error_message string")
+    rows = diagnosis.signature_families(frame).collect()
+    families = [r.family for r in rows]
+    assert len(rows) == 3 and len(set(families)) == 2
+    assert all(r.family <= r.fingerprint for r in rows)
+
+
+def test_near_incidents_count_earlier_members_of_the_family(spark, runs):
+    rows = diagnosis.near_incidents(runs).collect()
+    at = {r.id: r.execution_date for r in runs.select("id", "execution_date").collect()}
+    seen = {}
+    for row in sorted(rows, key=lambda r: (at[r.id], r.id)):
+        assert row.earlier == seen.get(row.family, 0)
+        seen[row.family] = row.earlier + 1
+    assert len(rows) == runs.filter("state = 'failed'").count()
+
+
+def test_anomalies_are_explained_or_get_the_fixed_record(spark):
+    prompts = spark.createDataFrame([("a", "p"), ("b", "q")], "pipeline_id string, prompt string")
+
+    def make():
+        text = '{"anomaly_explanation": "more rows", "likely_cause": "data_volume_spike", "severity": "high", "escalate_to_oncall": true}'
+        return lambda batch: batch["prompt"].map(lambda p: text if p == "p" else "none")
+
+    given = explanations(prompts, make)
+    rows = {r.pipeline_id: r for r in given.collect()}
+    assert rows["a"].severity == "high" and rows["a"].escalate_to_oncall is True
+    assert rows["b"].likely_cause == "unknown" and rows["b"].confidence == 0.5
+    nested = explained_anomalies(prompts, given).filter("pipeline_id = 'a'").first()
+    assert nested.anomaly.prompt == "p" and nested.explanation.likely_cause == "data_volume_spike"

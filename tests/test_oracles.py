@@ -13,13 +13,14 @@ def duck(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_statement(spark, sf_dir, duck, name):
     assert compare(name, QUERIES[name](spark, sf_dir), duck) == []
 
 
 def test_every_query_has_a_statement():
-    assert set(ORACLES) == set(QUERIES)
+    """Word hashes differ between engines, so this one is checked against a plain loop elsewhere."""
+    assert set(QUERIES) - set(ORACLES) == {"near_incidents"}
 
 
 def test_entry(spark):

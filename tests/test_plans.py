@@ -16,7 +16,7 @@ def plan(frame):
 
 @pytest.fixture(scope="module")
 def runs(spark, sf_dir):
-    return derived.runs_from_events(derived.event_table(spark, sf_dir, "events"))
+    return derived.runs_from_events(derived.source_table(spark, sf_dir, "events"))
 
 
 def test_anomalies_need_one_shuffle(runs):
@@ -56,6 +56,6 @@ def test_no_window_over_rows_is_keyed_by_pipeline_alone(runs, rule):
 
 
 def test_lines_of_documents(spark, sf_dir):
-    docs = derived.event_table(spark, sf_dir, "documents")
+    docs = derived.source_table(spark, sf_dir, "documents")
     lines = tables.document_lines(docs)
     assert lines.count() == docs.select(F.sum(F.size(F.split("text", "\n")))).first()[0]

@@ -14,7 +14,7 @@ SENTINEL = "2024-03-01 00:00:00"
 
 @pytest.fixture(scope="module")
 def runs(spark, sf_dir):
-    return derived.runs_from_events(derived.event_table(spark, sf_dir, "events")).select(*schemas.RUN_FACTS.fieldNames()).cache()
+    return derived.runs_from_events(derived.source_table(spark, sf_dir, "events")).select(*schemas.RUN_FACTS.fieldNames()).cache()
 
 
 @pytest.fixture(scope="module")
