@@ -166,7 +166,7 @@ def sessions(events: DataFrame, keys: list[str], gap_us: int = GAP_US) -> DataFr
     `events` has `id` and `execution_date` and is read several times, so it must be a stored table or a
     repeatable projection of one.
     """
-    sliced = add_slices(events.withColumn("_at", micros("execution_date")), "_at", "id")
+    sliced = add_slices(events.withColumn("_at", micros("execution_date")), keys, "_at", "id")
     linked = previous_row(sliced, keys, "_at", "id", ["_at"], "_prev")
     before = F.col("_prev._at")
     begins = F.when(before.isNull() | (F.col("_at") - before > gap_us), 1).otherwise(0)

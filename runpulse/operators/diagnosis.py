@@ -93,7 +93,7 @@ def failures_with_history(runs: DataFrame, days: int = WINDOW_DAYS, last: int =
     """
     timed = runs.withColumn("_at", micros("execution_date"))
     seen = previous_rows(
-        add_slices(timed, "_at", "id"), ["pipeline_id"], "_at", "id", ["_at", "state"], last, "_before"
+        add_slices(timed, ["pipeline_id"], "_at", "id"), ["pipeline_id"], "_at", "id", ["_at", "state"], last, "_before"
     ).drop("_cut", "_slice")
     known = trailing_moments(
         seen, ["pipeline_id"], "_at", "id", "duration_seconds", days * DAY_US, with_ties=True, like=timed
@@ -318,7 +318,7 @@ def similar_incidents(runs: DataFrame) -> DataFrame:
         "id", "pipeline_id", "execution_date",
         F.md5(signature("error_message")).alias("fingerprint"), micros("execution_date").alias("_at"),
     )
-    sliced = add_slices(failed, "_at", "id")
+    sliced = add_slices(failed, ["fingerprint"], "_at", "id")
     counted = running_totals(
         sliced, ["fingerprint"], "_at", "id", {"earlier": F.lit(1)}, include_current=False
     )
@@ -363,7 +363,7 @@ def near_incidents(runs: DataFrame) -> DataFrame:
     )
     named = salted_join(rows, signature_families(failed), ["fingerprint"], "id")
     return running_totals(
-        add_slices(named, "_at", "id", like=rows), ["family"], "_at", "id", {"earlier": F.lit(1)}, include_current=False
+        add_slices(named, ["family"], "_at", "id"), ["family"], "_at", "id", {"earlier": F.lit(1)}, include_current=False
     ).select("id", "pipeline_id", "fingerprint", "family", F.col("earlier").cast("bigint").alias("earlier"))
 
 

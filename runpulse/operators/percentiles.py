@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from runpulse.operators.slices import SLICE, add_slices
+from runpulse.operators.slices import SLICE, add_slices, in_hot_key
 
 
 def exact_percentiles(
@@ -12,10 +12,17 @@ def exact_percentiles(
 ) -> DataFrame:
     """One row per key with the linearly interpolated percentile for each entry of `shares`.
 
-    `percentile` keeps every distinct value of a key in one buffer. Here the value axis is cut into
-    slices, a count per (key, slice) shows which slices hold the wanted ranks, and only those are ordered.
+    `percentile` keeps every distinct value of a key in one buffer, which is right for all but hot keys.
+    For those the value axis is cut into slices, a count per (key, slice) shows which slices hold the
+    wanted ranks, and only those are ordered.
     """
-    values = add_slices(df.filter(F.col(value).isNotNull()).select(key, value), value, slices=slices)
+    sliced = add_slices(df.filter(F.col(value).isNotNull()).select(key, value), [key], value, slices=slices)
+    plain = (
+        sliced.filter(~in_hot_key())
+        .groupBy(key)
+        .agg(*[F.percentile(value, share).alias(name) for name, share in shares.items()])
+    )
+    values = sliced.filter(in_hot_key())
     upto = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     counts = (
         values.groupBy(key, SLICE)
@@ -47,7 +54,7 @@ def exact_percentiles(
             for side, rank in (("low", low), ("high", high))
         ]
     )
-    return found.select(
+    hot = found.select(
         key,
         *[
             (
@@ -57,3 +64,4 @@ def exact_percentiles(
             for name, (position, low, _) in ranks.items()
         ],
     )
+    return plain.unionByName(hot)

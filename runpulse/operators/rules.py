@@ -179,7 +179,10 @@ def failure_streaks(runs: DataFrame, min_length: int = 3) -> DataFrame:
     The failures of one series have the same number of non-failures before them, so that running count
     names the series.
     """
-    done = add_slices(_timed(base.finished_runs(runs)).select("pipeline_id", "id", "execution_date", "state", "_at"), "_at", "id")
+    done = add_slices(
+        _timed(base.finished_runs(runs)).select("pipeline_id", "id", "execution_date", "state", "_at"),
+        ["pipeline_id"], "_at", "id",
+    )
     passed = F.when(is_state("failed"), 0).otherwise(1)
     return (
         running_totals(done, ["pipeline_id"], "_at", "id", {"passed": passed})
@@ -198,7 +201,7 @@ def failure_streaks(runs: DataFrame, min_length: int = 3) -> DataFrame:
 def _with_previous(runs: DataFrame, cols: list[str]) -> DataFrame:
     """Finished runs with struct `prev`: `cols` of the run before."""
     done = _timed(base.finished_runs(runs)).select("pipeline_id", "id", "run_id", "execution_date", "state", "duration_seconds", "_at")
-    return previous_row(add_slices(done, "_at", "id"), ["pipeline_id"], "_at", "id", cols, "prev")
+    return previous_row(add_slices(done, ["pipeline_id"], "_at", "id"), ["pipeline_id"], "_at", "id", cols, "prev")
 
 
 def flaky_pipelines(runs: DataFrame, min_runs: int = MIN_RUNS, flip_share: float = 0.3) -> DataFrame:
@@ -253,7 +256,7 @@ def anomaly_rank(judged: DataFrame) -> DataFrame:
     )
     tied = scored.groupBy("_down").agg(F.count("*").alias("_n"))
     places = running_totals(
-        add_slices(tied, "_down"), [], "_down", "_down", {"_dense": F.lit(1), "_upto": F.col("_n")}
+        add_slices(tied, [], "_down"), [], "_down", "_down", {"_dense": F.lit(1), "_upto": F.col("_n")}
     )
     total = scored.agg(F.count("*")).scalar()
     return scored.join(places, "_down").select(

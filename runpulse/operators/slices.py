@@ -1,12 +1,13 @@
 """Ordered calculations per key that stay spread out when one key is hot.
 
 `lag`, running sums and trailing frames over `Window.partitionBy(key)` put all rows of a key into one
-task. Here the time axis is first cut at quantiles of the whole table. A group (key, slice) then holds
-at most about one slice's share of all rows, whatever the key. Each calculation runs inside the slices,
-and a carry of one row per (key, slice) brings in what the earlier slices contribute. The results are
-the same as those of the plain window.
+task. That is right for most keys. A key with more than its share of the rows is cut into slices at
+quantiles of its time axis, so no group (key, slice) holds more than about one slice's share of the table.
+Each calculation runs inside the groups, and for hot keys a carry of one row per slice brings in what the
+earlier slices contribute. The results are the same as those of the plain window. Without a hot key the
+carry is empty and the plan is the plain window.
 
-The cut points are collected (a fixed number, see `slice_count`); rows never are.
+Collected are the hot keys and the cut points, both bounded by `slice_count`; rows never are.
 """
 
 from __future__ import annotations
@@ -32,29 +33,47 @@ def slice_count(spark: SparkSession) -> int:
     return max(16, min(8_192, 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
+def _hot_keys(like: DataFrame, keys: list[str], k: int) -> list:
+    """Keys with more than one k-th of all rows, with their row counts: fewer than k."""
+    total = like.agg(F.count("*")).scalar()
+    return like.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") * k > total).collect()
+
+
 def add_slices(
     df: DataFrame,
+    keys: list[str],
     order: str,
     tie: str | None = None,
     slices: int | None = None,
     like: DataFrame | None = None,
 ) -> DataFrame:
-    """Add `_cut` and `_slice`, both ascending along the numeric column `order`.
+    """Add `_cut` and `_slice`: both ascending along the numeric column `order` for hot keys, -1 for others.
 
     A value of `order` that fills more than one slice on its own gets a cut to itself. Its rows are
-    divided further along the numeric column `tie`, so `_slice` ascends along (order, tie).
-    `like` is a cheaper table with the same `order` and `tie` values to take the cut points from, for
-    when `df` itself costs a join.
+    divided further along the numeric column `tie`, so `_slice` ascends along (order, tie). `like` is a
+    cheaper table with the same keys, `order` and `tie` to look at, for when `df` itself costs a join.
+    Without `keys` the whole table is one hot key.
     """
     like = df if like is None else like
     k = slices or slice_count(df.sparkSession)
+    if keys:
+        hot = _hot_keys(like, keys, k)
+        if not hot:
+            return df.withColumns({CUT: F.lit(-1), SLICE: F.lit(-1)})
+        names = df.sparkSession.createDataFrame([tuple(r)[:-1] for r in hot], like.select(*keys).schema)
+        marks = F.broadcast(names.withColumn("_hot", F.lit(True)))  # fewer than k rows
+        like, df, n = like.join(marks, keys), df.join(marks, keys, "left"), sum(r["_rows"] for r in hot)
+    else:
+        df, n = df.withColumn("_hot", F.lit(True)), like.count()
+    # a sample is enough to place the cuts; it decides where rows go, not which rows count
+    seen = like if n <= 1000 * k else like.sample(1000 * k / n, seed=1)
     accuracy = 20 * k  # a slice is at most a tenth larger than its share
     shares = [i / k for i in range(1, k)]
-    cuts = like.agg(F.percentile_approx(order, shares, accuracy).alias("cuts")).first().cuts or []
+    cuts = seen.agg(F.percentile_approx(order, shares, accuracy).alias("cuts")).first().cuts or []
     repeats = {v: n for v, n in Counter(cuts).items() if n > 1}
     points = {float(v) for v in cuts} | {math.nextafter(float(v), math.inf) for v in repeats}
     if not points:
-        return df.withColumn(CUT, F.lit(0)).withColumn(SLICE, F.lit(0))
+        return df.withColumns({CUT: F.lit(-1), SLICE: F.lit(-1)}).drop("_hot")
     bucketizer = Bucketizer(
         splits=[-math.inf, *sorted(points), math.inf],
         inputCol="_order",
@@ -62,14 +81,18 @@ def add_slices(
         handleInvalid="keep",
     )
     cut = bucketizer.transform(df.withColumn("_order", F.col(order).cast("double")))
-    cut = cut.drop("_order").withColumn(CUT, F.col(CUT).cast("int"))
+    cut = cut.withColumn(CUT, F.when(F.col("_hot"), F.col(CUT).cast("int")).otherwise(-1)).drop("_order", "_hot")
     if not (tie and repeats):
         return cut.withColumn(SLICE, F.col(CUT))
     part = F.lit(0)
-    for value, ids in _tie_cuts(like, order, tie, repeats, accuracy):
+    for value, ids in _tie_cuts(seen, order, tie, repeats, accuracy):
         step = sum(((F.col(tie) >= F.lit(i)).cast("int") for i in ids), F.lit(0))
         part = F.when(F.col(order) == F.lit(value), step).otherwise(part)
-    return cut.withColumn(SLICE, F.col(CUT) * F.lit(k + 1) + part)
+    return cut.withColumn(SLICE, F.when(F.col(CUT) < 0, -1).otherwise(F.col(CUT) * F.lit(k + 1) + part))
+
+
+def in_hot_key() -> Column:
+    return F.col(SLICE) >= 0
 
 
 def _tie_cuts(like, order, tie, repeats, accuracy):
@@ -94,7 +117,7 @@ def previous_row(
     """Add struct column `name`: the `cols` of the row before of the same key, null for the first row."""
     group = [*keys, SLICE]
     item = F.struct(*cols)
-    last = sliced.groupBy(*group).agg(F.max_by(item, F.struct(order, tie)).alias("_last"))
+    last = sliced.filter(in_hot_key()).groupBy(*group).agg(F.max_by(item, F.struct(order, tie)).alias("_last"))
     before = Window.partitionBy(*keys).orderBy(SLICE)
     carry = last.select(*group, F.lag("_last").over(before).alias("_carry"))
     inside = Window.partitionBy(*group).orderBy(order, tie)
@@ -113,7 +136,8 @@ def previous_rows(
     item = F.struct(*cols)
     newest = Window.partitionBy(*group).orderBy(F.desc(order), F.desc(tie))
     tails = (
-        sliced.select(*group, order, tie, item.alias("_item"))
+        sliced.filter(in_hot_key())
+        .select(*group, order, tie, item.alias("_item"))
         .withColumn("_n", F.row_number().over(newest))
         .filter(F.col("_n") <= n)
         .groupBy(*group)
@@ -151,7 +175,8 @@ def running_totals(
         .rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
     )
     carry = (
-        sliced.groupBy(*group)
+        sliced.filter(in_hot_key())
+        .groupBy(*group)
         .agg(*[F.sum(expr).alias(f"_c_{name}") for name, expr in sums.items()])
         .select(*group, *[F.sum(f"_c_{name}").over(before).alias(f"_c_{name}") for name in sums])
     )
@@ -182,7 +207,7 @@ def trailing_moments(
 
     Each row enters the running sums at its own moment and leaves them `span` later, as a second, narrow
     entry. One running sum over both kinds is then the trailing frame; no row is compared with another.
-    The sums for the variance are centred on the mean of the key, which keeps them small.
+    The sums for the variance are centred, which keeps them small.
     """
     like = df if like is None else like
     payload = [c for c in df.columns if c not in keys]
@@ -191,7 +216,7 @@ def trailing_moments(
         *keys, moment.alias("_at"), rank.alias("_tie"), F.col(value).alias("_x"),
         F.lit(1).alias("_sign"), F.struct(*payload).alias("_row"),
     )
-    spread = like.select(moment.alias("_at"), rank.alias("_tie"))
+    spread = like.select(*keys, moment.alias("_at"), rank.alias("_tie"))
     if span is not None:
         last = like.agg(F.max(moment)).first()[0]
         gone = moment + span <= F.lit(last).cast("bigint")
@@ -202,11 +227,11 @@ def trailing_moments(
             df.filter(gone).select(*keys, *leaving, F.col(value).alias("_x"), F.lit(-1).alias("_sign")),
             allowMissingColumns=True,
         )
-        spread = spread.union(like.filter(gone).select(*leaving))
-    entries = add_slices(entries, "_at", "_tie", slices, like=spread)
+        spread = spread.union(like.filter(gone).select(*keys, *leaving))
+    entries = add_slices(entries, keys, "_at", "_tie", slices, like=spread)
     group = [*keys, SLICE]
     enters, leaves = F.col("_sign") == 1, F.col("_sign") == -1
-    totals = entries.groupBy(*group, CUT).agg(
+    totals = entries.filter(in_hot_key()).groupBy(*group, CUT).agg(
         F.sum("_sign").alias("_rows"),
         *[
             agg(F.when(side, F.col("_x"))).alias(f"_{label}{mark}")
@@ -244,10 +269,13 @@ def trailing_moments(
     carry = parts.select(
         *group, "_c", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_k{c}") for c in names]
     )
+    ranked = Window.partitionBy(*group).orderBy(*(["_at", "_sign", "_tie"] if with_ties else ["_at"]))
     if with_ties:
-        inside = Window.partitionBy(*group).orderBy("_at", "_sign", "_tie").rowsBetween(Window.unboundedPreceding, -1)
+        inside = ranked.rowsBetween(Window.unboundedPreceding, -1)
     else:
-        inside = Window.partitionBy(*group).orderBy("_at").rangeBetween(Window.unboundedPreceding, -1)
+        inside = ranked.rangeBetween(Window.unboundedPreceding, -1)
+    # any constant per key will do as centre: the mean of a hot key, the first value of another
+    centre = F.coalesce("_c", F.first("_x", ignorenulls=True).over(ranked.rowsBetween(Window.unboundedPreceding, 0)))
     off = F.col("_x") - F.col("_c")
     local = {
         "_rows": F.col("_sign"),
@@ -256,8 +284,13 @@ def trailing_moments(
         "_s1": F.col("_sign") * off,
         "_s2": F.col("_sign") * off * off,
     }
-    summed = entries.join(carry, group).withColumns(
-        {c: F.col(f"_k{c}") + F.coalesce(F.sum(expr).over(inside), F.lit(0)) for c, expr in local.items()}
+    zero = F.lit(0)
+    summed = (
+        entries.join(carry, group, "left")
+        .withColumn("_c", centre)
+        .withColumns(
+            {c: F.coalesce(f"_k{c}", zero) + F.coalesce(F.sum(expr).over(inside), zero) for c, expr in local.items()}
+        )
     )
     n, s1, s2 = F.col("_n"), F.col("_s1"), F.col("_s2")
     some = F.nullif(n, F.lit(0))

@@ -95,7 +95,7 @@ def counter_rate(points: DataFrame, by: list[str], grid: Grid, window: int) -> D
     with fewer than two samples in the window have no row.
     """
     inside = _seen(points, grid, window)
-    linked = previous_row(add_slices(inside, "_at", "value"), by, "_at", "value", ["value"], "_prev")
+    linked = previous_row(add_slices(inside, by, "_at", "value"), by, "_at", "value", ["value"], "_prev")
     before = F.col("_prev.value")
     gained = F.when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before)
     panes = (

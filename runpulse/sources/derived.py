@@ -164,7 +164,7 @@ def samples_from_events(events: DataFrame, with_counter: bool = True) -> DataFra
         "event_id", "ts", "node", "mode", micros("ts").alias("at"), F.floor(F.col("value") * 1000).alias("millis")
     )
     counted = running_totals(
-        add_slices(moved, "at", "event_id"), ["node", "mode"], "at", "event_id", {"counted": F.col("millis")}
+        add_slices(moved, ["node", "mode"], "at", "event_id"), ["node", "mode"], "at", "event_id", {"counted": F.col("millis")}
     )
     wrapped = (F.col("counted") % 5_000_000) / F.lit(1000.0)
     return out.unionByName(sample(counted, COUNTER, ["node", "mode"], wrapped))

@@ -31,16 +31,19 @@ def rounded(frame, cols):
 
 
 def test_no_group_exceeds_its_share(rows):
-    sliced = add_slices(rows, "at", "id", slices=16)
+    sliced = add_slices(rows, ["key"], "at", "id", slices=16)
     biggest = sliced.groupBy("key", SLICE).count().agg(F.max("count")).first()[0]
     assert biggest <= 1.5 * 3000 / 16
+    hot = sliced.filter("key = 'hot'")
     order = Window.orderBy("at", "id")
-    assert sliced.withColumn("p", F.lag(SLICE).over(order)).filter(F.col(SLICE) < F.col("p")).count() == 0
+    assert hot.withColumn("p", F.lag(SLICE).over(order)).filter(F.col(SLICE) < F.col("p")).count() == 0
+    assert hot.select(SLICE).distinct().count() > 8
+    assert sliced.filter(F.col("key") != "hot").select(SLICE).distinct().collect() == [(-1,)]
 
 
 @pytest.mark.parametrize("slices", [2, 7, 64])
 def test_previous_rows(rows, slices):
-    sliced = add_slices(rows, "at", "id", slices=slices)
+    sliced = add_slices(rows, ["key"], "at", "id", slices=slices)
     w = Window.partitionBy("key").orderBy("at", "id")
     expected = rows.select("id", *[F.lag("id", i).over(w).alias(f"p{i}") for i in (1, 2, 3)])
     found = previous_rows(sliced, ["key"], "at", "id", ["id"], 3, "prev")
@@ -55,7 +58,7 @@ def test_previous_rows(rows, slices):
 def test_running_totals(rows, slices, current):
     w = Window.partitionBy("key").orderBy("at", "id").rowsBetween(Window.unboundedPreceding, 0 if current else -1)
     expected = rows.withColumn("n", F.coalesce(F.sum(F.lit(1)).over(w), F.lit(0)))
-    found = running_totals(add_slices(rows, "at", "id", slices), ["key"], "at", "id", {"n": F.lit(1)}, current)
+    found = running_totals(add_slices(rows, ["key"], "at", "id", slices), ["key"], "at", "id", {"n": F.lit(1)}, current)
     assert rounded(found, ["n"]) == rounded(expected, ["n"])
 
 
@@ -105,10 +108,10 @@ def test_percentiles(rows, slices):
 
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "id bigint, key string, at bigint, x double")
-    assert previous_row(add_slices(empty, "at", "id"), ["key"], "at", "id", ["x"], "p").count() == 0
+    assert previous_row(add_slices(empty, ["key"], "at", "id"), ["key"], "at", "id", ["x"], "p").count() == 0
     assert trailing_moments(empty, ["key"], "at", "id", "x", HOUR).count() == 0
     assert exact_percentiles(empty, "key", "x", {"mid": 0.5}).count() == 0
-    assert CUT in add_slices(empty, "at").columns
+    assert CUT in add_slices(empty, [], "at").columns
 
 
 def test_partition_count_does_not_matter(spark, rows):
