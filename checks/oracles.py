@@ -136,7 +136,7 @@ def _answer(confidence: str, severity: str, prevention: bool = True) -> str:
     || ', "severity": "' || {severity} || '", "affected_downstream": "reports", "similar_past_incidents": "none"}}'"""
 
 
-_PLAIN = _answer("'0.' || (50 + id % 50)", "sev")
+_PLAIN = _answer("'0.' || (50 + id % 50) || '137'", "sev")
 
 CTE["responses"] = f"""
 SELECT *, CASE id % 5 WHEN 0 THEN {_PLAIN}

@@ -112,7 +112,7 @@ def responses_from_runs(runs: DataFrame) -> DataFrame:
         ]
         return F.concat(*parts)
 
-    confidence = F.concat(F.lit("0."), (50 + F.col("id") % 50).cast("string"))
+    confidence = F.concat(F.lit("0."), (50 + F.col("id") % 50).cast("string"), F.lit("137"))
     plain = answer(confidence, severity)
     form = F.col("id") % 5
     return runs.filter(F.col("state") == "failed").select(
