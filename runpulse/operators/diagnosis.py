@@ -14,6 +14,7 @@ from runpulse.functions.text import cut, error_class, fixed, signature
 from runpulse.operators.baselines import WINDOW_DAYS, is_state, recent_run_lists
 from runpulse.operators.joins import salted_join
 from runpulse.operators.slices import DAY_US, add_slices, micros, previous_row, previous_rows, running_totals, trailing_moments
+from runpulse.session import cut_lineage
 
 # Classification rules, first match wins (pattern, category, severity).
 ERROR_RULES = (
@@ -361,7 +362,8 @@ def near_incidents(runs: DataFrame) -> DataFrame:
     rows = failed.select(
         "id", "pipeline_id", F.md5(signature("error_message")).alias("fingerprint"), micros("execution_date").alias("_at")
     )
-    named = salted_join(rows, signature_families(failed), ["fingerprint"], "id")
+    families = cut_lineage(signature_families(failed), "families")  # one row per signature, read several times
+    named = salted_join(rows, families, ["fingerprint"], "id")
     return running_totals(
         add_slices(named, ["family"], "_at", "id"), ["family"], "_at", "id", {"earlier": F.lit(1)}, include_current=False
     ).select("id", "pipeline_id", "fingerprint", "family", F.col("earlier").cast("bigint").alias("earlier"))
