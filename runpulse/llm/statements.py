@@ -114,9 +114,9 @@ places AS (
     SELECT template, base, label, len(string_split(phrase, ' ')) - 1 AS size, k AS place, string_split(phrase, ' ')[k + 1] AS a,
         string_split(phrase, ' ')[k + 2] AS b
     FROM t, unnest(range(0, len(string_split(phrase, ' ')) - 1)) AS r(k)),
-pairs AS (SELECT doc_id, i AS at, w[i + 1] AS a, w[i + 2] AS b FROM words, unnest(range(0, len(w) - 1)) AS r(i)),
+pairs AS (SELECT doc_id, i AS spot, w[i + 1] AS a, w[i + 2] AS b FROM words, unnest(range(0, len(w) - 1)) AS r(i)),
 votes AS (
-    SELECT doc_id, template, base, label, size, at - place AS diagonal, count(DISTINCT place) AS votes
+    SELECT doc_id, template, base, label, size, spot - place AS diagonal, count(DISTINCT place) AS votes
     FROM pairs JOIN places USING (a, b) GROUP BY ALL),
 whole AS (SELECT doc_id, label, diagonal FROM votes WHERE base AND votes = size),
 marked AS (
@@ -125,7 +125,7 @@ marked AS (
 spans AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM marked),
 merged AS (
     SELECT s.doc_id, s.template, s.label, s.size, s.span, count(DISTINCT place) / s.size AS score
-    FROM spans s JOIN (SELECT doc_id, template, at - place AS diagonal, place FROM pairs JOIN places USING (a, b)) q
+    FROM spans s JOIN (SELECT doc_id, template, spot - place AS diagonal, place FROM pairs JOIN places USING (a, b)) q
         ON q.doc_id = s.doc_id AND q.template = s.template AND q.diagonal = s.diagonal
     GROUP BY ALL HAVING count(DISTINCT place) / s.size >= 0.85),
 named AS (SELECT doc_id, label, true AS base, 1.0 AS score FROM whole UNION ALL SELECT doc_id, label, false, score FROM merged),
