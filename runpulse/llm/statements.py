@@ -127,7 +127,7 @@ merged AS (
     SELECT s.doc_id, s.template, s.label, s.size, s.span, count(DISTINCT place) / s.size AS score
     FROM spans s JOIN (SELECT doc_id, template, spot - place AS diagonal, place FROM pairs JOIN places USING (a, b)) q
         ON q.doc_id = s.doc_id AND q.template = s.template AND q.diagonal = s.diagonal
-    GROUP BY ALL HAVING count(DISTINCT place) / s.size >= 0.85),
+    GROUP BY s.doc_id, s.template, s.label, s.size, s.span HAVING count(DISTINCT place) / s.size >= 0.85),
 named AS (SELECT doc_id, label, true AS base, 1.0 AS score FROM whole UNION ALL SELECT doc_id, label, false, score FROM merged),
 per_doc AS (
     SELECT doc_id, array_to_string(list_sort(list(DISTINCT label)), ',') AS labels,
