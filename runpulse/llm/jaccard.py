@@ -1,14 +1,14 @@
 """Documents whose word shingles have a Jaccard similarity of 0.75 or more, by a token-group matrix.
 
 1. Documents with the same shingle set form a class; everything below works on one document per class.
-2. Classes that share a MinHash value are compared with the smallest class that has it; the links found this way
+2. Classes that share a MinHash value are compared with the most central class that has it; the links found this way
    partition similar documents into groups. However large a family of near copies is, this takes one comparison
    per class and value.
 3. The token-group matrix holds, for each shingle of the documents' prefixes, the groups whose union has it. A prefix is the
    first part of a set under one order for all, common shingles last; two linked documents share at least a known
    number of prefix shingles. A document that shares fewer with all others is dropped, and one that shares
    fewer with a group's union cannot be linked with any of its members.
-4. Groups that qualify are opened: the document is compared with their smallest member first, and with all
+4. Groups that qualify are opened: the document is compared with their most central member first, and with all
    members where that left the two groups apart. Comparisons are exact, on whole sets.
 """
 
@@ -38,13 +38,23 @@ COUNT_BYTES, COUNT_DOCS = 1 << 24, 3
 def _prefix(n: np.ndarray) -> np.ndarray:
     """Length of the prefix of a set of n shingles: its first part under the common order.
 
-    A linked partner lacks at most n/4 of the shingles, so it shares at least 1 + n/32 with the prefix.
+    A linked partner lacks at most n/4 of the shingles, so it shares at least 1 + n/8 with the prefix.
     """
-    return np.minimum(n, n // 4 + 1 + n // 32)
+    return np.minimum(n, n // 4 + 1 + n // 8)
 
 
 #: Least number of prefix shingles shared with any linked partner, whose set has 3/4 of the size at least.
-NEEDED = "1L + ((3L * n + 3L) div 4L) div 32L"
+NEEDED = "1L + ((3L * n + 3L) div 4L) div 8L"
+#: Sizes fall into bands of this ratio; a linked partner is at most REACH bands away.
+RATIO, REACH = 1.05, 6
+
+
+def _needed_in(n: str, band: str):
+    """The same for partners whose size is in a band: the least overlap of two linked sets is 3/7 of both sizes."""
+    low, high = F.pow(F.lit(RATIO), F.col(band)), F.pow(F.lit(RATIO), F.col(band) + 1)
+    own = F.expr(f"least({n}, {n} div 4 + 1 + {n} div 8)") - F.col(n) + (F.col(n) + low) * (3 / 7)
+    other = F.col(n) * (3 / 7) + high * (3 / 8 - 1 + 3 / 7) - 0.75
+    return F.greatest(F.lit(1), F.ceil(F.least(own, other) - 1e-6))
 
 
 def _common_shingles(texts: DataFrame, size: int) -> np.ndarray:
@@ -73,8 +83,8 @@ def _common_shingles(texts: DataFrame, size: int) -> np.ndarray:
     return np.sort(np.array([r.h for r in top], dtype=np.int64).view(np.uint64))
 
 
-def _members(texts: DataFrame, size: int) -> DataFrame:
-    """`_id`, `_key`, size `n`, class `cid` (a hash of the set) and the MinHash `values` of each document."""
+def _members(texts: DataFrame, size: int, common) -> DataFrame:
+    """`_id`, `_key`, size `n`, class `cid` (a hash of the set), MinHash `values` and number of common shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -90,6 +100,8 @@ def _members(texts: DataFrame, size: int) -> DataFrame:
                 cid = mix(whole_set + mix(n.astype(np.uint64)))
                 empty = n == 0
                 values = np.stack(least, axis=1)
+                row = np.repeat(np.arange(len(n)), n)
+                weight = np.bincount(row, np.isin(hashes, common.value), minlength=len(n)).astype(np.int64)
                 yield pa.record_batch(
                     {
                         "_id": batch.column("_id"),
@@ -99,11 +111,12 @@ def _members(texts: DataFrame, size: int) -> DataFrame:
                         "values": pa.FixedSizeListArray.from_arrays(pa.array(signed(values.ravel())), VALUES).cast(
                             pa.list_(pa.int64())
                         ),
+                        "weight": pa.array(weight),
                     }
                 )
 
     kind = texts.schema["_id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"_id {kind}, _key bigint, n bigint, cid bigint, values array<bigint>")
+    return texts.mapInArrow(run, f"_id {kind}, _key bigint, n bigint, cid bigint, values array<bigint>, weight bigint")
 
 
 def _set_id(hashes: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -228,33 +241,43 @@ def jaccard_components(
     """
     texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     texts = texts.withColumn("_key", F.xxhash64(F.coalesce("_text", F.lit("")))).select("_id", "_key", "_text")
-    members = cut_lineage(_members(texts, size), "members")
     spark = docs.sparkSession
+    common = spark.sparkContext.broadcast(_common_shingles(texts, size))  # COMMON hashes at most
+    members = cut_lineage(_members(texts, size, common), "members")
     classes = cut_lineage(
         members.filter("cid IS NOT NULL")
         .groupBy("cid")
-        .agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_key")).alias("least"), F.min("n").alias("n"), F.min("values").alias("values"))
-        .select("cid", "least._id", "least._key", "n", "values"),
+        .agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_key")).alias("least"), F.min("n").alias("n"), F.min("values").alias("values"), F.min("weight").alias("weight"))
+        .select("cid", "least._id", "least._key", "n", "values", "weight"),
         "classes",
     )
-    keyed = classes.select("cid", F.explode("values").alias("value"))
-    leader = keyed.groupBy("value").agg(F.min("cid").alias("v"), F.count("*").alias("many")).filter("many > 1")
+    # the class with most common shingles leads: in a family of copies that were changed here and there, the one nearest to all
+    central = F.max(F.struct("weight", "cid")).getField("cid").alias("v")
+    keyed = classes.select("cid", "weight", F.explode("values").alias("value"))
+    leader = keyed.groupBy("value").agg(central, F.count("*").alias("many")).filter("many > 1")
     stars = keyed.join(leader, "value").select(F.col("cid").alias("u"), "v")
     links = cut_lineage(_linked(stars, texts, classes, size), "links")
     groups = _groups(classes, links)
 
-    common = spark.sparkContext.broadcast(_common_shingles(texts, size))
     tokens = cut_lineage(_shared(_prefix_rows(texts, size, common), "cid"), "tokens")
     enough = tokens.groupBy("cid").agg(F.count("*").alias("k")).join(groups, "cid").filter(f"k >= {NEEDED}")
     across = _shared(tokens.join(enough.select("cid", "grp", "n"), "cid").select("token", "grp", "cid", "n"), "grp")
-    across = cut_lineage(across.distinct(), "matrix")
-    enough = across.groupBy("cid", "n").agg(F.count("*").alias("k")).filter(f"k >= {NEEDED}").select("cid")
-    across = across.join(enough, "cid", "left_semi")
-    matrix = across.select("token", F.col("grp").alias("other")).distinct()
-    overlap = across.join(matrix, "token").filter("grp <> other").groupBy("cid", "n", "other").agg(F.count("*").alias("k"))
-    opened = cut_lineage(overlap.filter(f"k >= {NEEDED}").select("cid", "other"), "opened")
+    across = cut_lineage(across.distinct().withColumn("band", F.floor(F.log(RATIO, "n")).cast("int")), "matrix")
+    # per band of partner sizes: how many prefix shingles stand in another group at all
+    present = across.groupBy("token", F.col("band").alias("to")).agg(F.min("grp").alias("g1"), F.max("grp").alias("g2"))
+    enough = across.groupBy("cid").agg(F.count("*").alias("k"), F.min("n").alias("n")).filter(f"k >= {NEEDED}")
+    asked = across.join(enough.select("cid"), "cid", "left_semi")
+    asked = asked.withColumn("to", F.explode(F.sequence(F.col("band") - REACH, F.col("band") + REACH)))
+    seen = asked.join(present, ["token", "to"]).filter("g1 <> grp OR g2 <> grp").groupBy("cid", "n", "to").agg(F.count("*").alias("k"))
+    live = cut_lineage(seen.filter(F.col("k") >= _needed_in("n", "to")).select("cid", "to"), "live")
+    query = cut_lineage(asked.join(live, ["cid", "to"], "left_semi"), "query")
+    matrix = query.select("token", F.col("band").alias("to"), F.col("to").alias("band"), F.col("grp").alias("other")).distinct()
+    overlap = query.join(matrix, ["token", "to", "band"]).filter("grp <> other")
+    overlap = overlap.groupBy("cid", "n", "to", "other").agg(F.count("*").alias("k")).filter(F.col("k") >= _needed_in("n", "to"))
+    opened = cut_lineage(overlap.select("cid", "other").distinct(), "opened")
     if not opened.isEmpty():
-        first = opened.select(F.col("cid").alias("u"), F.col("other").alias("v"))  # a group is named by its smallest class
+        leads = groups.join(classes.select("cid", "weight"), "cid").groupBy(F.col("grp").alias("other")).agg(central)
+        first = opened.join(leads, "other").select(F.col("cid").alias("u"), "v")
         links = cut_lineage(links.unionByName(_linked(first, texts, classes, size)), "links")
         now = _groups(classes, links).select("cid", F.col("grp").alias("now"))
         apart = (

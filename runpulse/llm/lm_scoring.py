@@ -42,20 +42,26 @@ def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def term_counts(texts: DataFrame) -> DataFrame:
-    """Rows (`term`, `rest`, `c`): how often each token stands in the texts."""
+    """Rows (`term`, `rest`, `c`, `times`): how often each token stands in training texts, and in all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in pieces_of(whole, "_text", 1 << 24):
-                terms, kinds, _ = _tokens(batch.column("_text"))
-                unique, first, counts = np.unique(terms, return_index=True, return_counts=True)
+                terms, kinds, n = _tokens(batch.column("_text"))
+                unique, first, at, times = np.unique(terms, return_index=True, return_inverse=True, return_counts=True)
+                own = np.repeat(~batch.column("held_out").to_numpy(zero_copy_only=False), n)
                 rows = pa.record_batch(
-                    {"term": pa.array(signed(unique)), "rest": pa.array(kinds[first], pa.int32()), "c": pa.array(counts, pa.int64())}
+                    {
+                        "term": pa.array(signed(unique)),
+                        "rest": pa.array(kinds[first], pa.int32()),
+                        "c": pa.array(np.bincount(at, own, minlength=len(unique)).astype(np.int64)),
+                        "times": pa.array(times, pa.int64()),
+                    }
                 )
                 yield from (rows.slice(a, 50_000) for a in range(0, rows.num_rows, 50_000))
 
-    made = texts.select("_text").mapInArrow(run, "term bigint, rest int, c bigint")
-    return made.groupBy("term", "rest").agg(F.sum("c").alias("c"))
+    made = texts.select("held_out", "_text").mapInArrow(run, "term bigint, rest int, c bigint, times bigint")
+    return made.groupBy("term", "rest").agg(F.sum("c").alias("c"), F.sum("times").alias("times"))
 
 
 class _Ids:
@@ -124,7 +130,8 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.col(doc_id).alias("_id"), F.col(text).alias("_text"), in_fold(F.col(doc_id), remainder, folds).alias("held_out")
     )
     training = texts.filter(~F.col("held_out"))
-    counts = cut_lineage(term_counts(training), "counts")
+    whole_counts = cut_lineage(term_counts(texts), "counts")
+    counts = whole_counts.filter("c > 0")
     end = int(signed(END)[0])
     top = counts.filter(F.col("term") != end).orderBy(F.desc("c"), "term").limit(WORDS - 1).collect()
     ends = counts.filter(F.col("term") == end).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
@@ -143,9 +150,9 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     model = docs.sparkSession.sparkContext.broadcast((vocabulary, network.p, extra))  # WORDS and REST bound its size
 
     rows = term_postings(texts, "_text", lambda: _Scored(model.value), step=1 << 24)
-    values = counts.select("term", "c").join(F.broadcast(listed.withColumn("own", F.lit(1))), "term", "left")
-    values = values.select("term", F.log10(F.col("c") + 0.5).alias("share"), F.lit(1.0).alias("known"), F.col("own").isNull().alias("is_rest"))
-    joined = rows.join(salted(values), ["term", "salt"], "left")
+    values = whole_counts.select("term", "c", "times").join(F.broadcast(listed.withColumn("own", F.lit(1))), "term", "left")
+    values = values.select("term", F.log10(F.col("c") + 0.5).alias("share"), (F.col("c") > 0).cast("double").alias("known"), "times", F.col("own").isNull().alias("is_rest"))
+    joined = rows.join(salted(values, "times"), ["term", "salt"], "left")
     share = F.coalesce("share", F.log10(F.lit(0.5)))
     joined = joined.select(
         "block", "post", "head", share.alias("base"), F.coalesce("known", F.lit(0.0)).alias("known"),

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from runpulse.llm.words import column_bytes, per_row, pieces_of, span_hashes, word_spans
+from runpulse.llm.words import _LOWER, column_bytes, per_row, pieces_of, span_hashes, word_spans
 from runpulse.session import cut_lineage
 
 #: Words whose ids a task keeps at once.
@@ -20,10 +20,37 @@ KNOWN_WORDS = 400_000
 SALTS = 64
 
 
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+#: ASCII signs and digits; an apostrophe may belong to the letters behind it, a bar to a special token.
+_SIGN = np.zeros(256, dtype=bool)
+_SIGN[33:128] = ~_LETTER[33:128]
+_SIGN[[39, 124]] = False
+
+
+def part_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes with A-Z lower-cased, and starts and ends of the parts of all words: cut between ASCII letters and signs.
+
+    Words with a bar keep their case, as special tokens are case-sensitive.
+    """
+    starts, ends = word_spans(data, offsets)
+    low = _LOWER[data]
+    bars = np.flatnonzero(data == 124)
+    for k in np.unique(np.searchsorted(starts, bars, side="right") - 1).tolist():
+        low[starts[k] : ends[k]] = data[starts[k] : ends[k]]
+    letter, sign = _LETTER[data], _SIGN[data]
+    cut = (letter[:-1] & sign[1:]) | (sign[:-1] & letter[1:])
+    edge = np.zeros(len(data) + 1, dtype=bool)
+    edge[offsets] = True
+    inner = np.flatnonzero(cut & ~edge[1:-1]) + 1 if len(data) else np.zeros(0, dtype=np.int64)
+    return low, np.sort(np.concatenate([starts, inner])), np.sort(np.concatenate([ends, inner]))
+
+
 class WordIds:
-    """Token ids of whole texts; each distinct white-space word is encoded once while it is remembered.
+    """Token ids of whole texts; each distinct part of a word is encoded once while it is remembered.
 
-    Right for tokenizers that drop white space before they split (checked in the tests against the library).
+    Right for tokenizers that ignore case, drop white space before they split, and split letters from other signs
+    (checked in the tests against the library).
     """
 
     def __init__(self, path: str):
@@ -44,7 +71,7 @@ class WordIds:
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows one after another, `end_id` after each row, and the length of each row."""
         data, offsets = column_bytes(column)
-        starts, ends = word_spans(data, offsets)
+        data, starts, ends = part_spans(data, offsets)
         hashes = span_hashes(data, starts, ends)
         unique, place, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.hashes) > KNOWN_WORDS:

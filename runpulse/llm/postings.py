@@ -26,22 +26,33 @@ from runpulse.llm.words import column_bytes, pieces_of
 BLOCK_BYTES, BLOCK_DOCS = 1 << 24, 50_000
 #: A term with so many documents in a block is divided among SALTS tasks.
 HOT, SALTS = 256, 16
-_POST = np.dtype([("doc", "<u2"), ("n", "<u2")])
+#: An entry of a posting: two bytes for the document, and after all of these one byte each for the counts.
+ENTRY, MOST = 3, 255
+
+
+def _entry_places(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte places of the documents and of the counts of all entries of postings that begin at `offsets`."""
+    n = np.diff(offsets) // ENTRY
+    inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    begin = np.repeat(offsets[:-1], n)
+    return begin + 2 * inside, begin + np.repeat(2 * n, n) + inside
 
 
 def _rows(terms: np.ndarray, docs: np.ndarray, names, block: int, hot: int) -> pa.RecordBatch:
     """Posting rows of one block; `names` turns sorted unique ids into the `term` column."""
     unique, ids = np.unique(terms, return_inverse=True)
     pairs, counts = np.unique(ids.astype(np.int64) * (BLOCK_DOCS + 1) + docs, return_counts=True)
-    over = (counts - 1) // 65_535 + 1  # a count beyond 16 bits takes several entries
+    over = (counts - 1) // MOST + 1  # a count beyond a byte takes several entries
     if len(over) and over.max() > 1:
-        rest = np.repeat(counts, over) - 65_535 * (np.arange(over.sum()) - np.repeat(np.cumsum(over) - over, over))
-        pairs, counts = np.repeat(pairs, over), np.minimum(rest, 65_535)
-    post = np.empty(len(pairs), dtype=_POST)
-    post["doc"], post["n"] = pairs % (BLOCK_DOCS + 1), counts
+        rest = np.repeat(counts, over) - MOST * (np.arange(over.sum()) - np.repeat(np.cumsum(over) - over, over))
+        pairs, counts = np.repeat(pairs, over), np.minimum(rest, MOST)
     bounds = np.searchsorted(pairs, np.arange(len(unique) + 1, dtype=np.int64) * (BLOCK_DOCS + 1))
+    of_doc, of_count = _entry_places(ENTRY * bounds)
+    post = np.empty(ENTRY * len(pairs), dtype=np.uint8)
+    doc = pairs % (BLOCK_DOCS + 1)
+    post[of_doc], post[of_doc + 1], post[of_count] = doc & 255, doc >> 8, counts
     binary = pa.Array.from_buffers(
-        pa.binary(), len(unique), [None, pa.py_buffer((bounds * _POST.itemsize).astype(np.int32)), pa.py_buffer(post)]
+        pa.binary(), len(unique), [None, pa.py_buffer((bounds * ENTRY).astype(np.int32)), pa.py_buffer(post)]
     )
     salt = np.where(np.diff(bounds) >= hot, block % SALTS, 0).astype(np.int32)
     n = len(unique)
@@ -170,20 +181,21 @@ def document_sums(joined: DataFrame, values: list[str], schema: str) -> DataFram
                 continue
             blocks = rows.column("block").to_numpy()
             data, offsets = column_bytes(rows.column("post"))
-            post = np.frombuffer(data.tobytes(), dtype=_POST)
-            n = np.diff(offsets) // _POST.itemsize
+            n = np.diff(offsets) // ENTRY
+            of_doc, of_count = _entry_places(offsets)
+            doc, times = data[of_doc] + (data[of_doc + 1].astype(np.int64) << 8), data[of_count]
             block_of = np.repeat(blocks, n)
             order = np.argsort(block_of, kind="stable")
             cuts = np.flatnonzero(np.diff(block_of[order])) + 1
             for name_at, name in enumerate(values):
                 value = rows.column(name)
                 value = value.fill_null(0).to_numpy(zero_copy_only=False).astype(np.float64)
-                weight = np.repeat(value, n) * post["n"]
+                weight = np.repeat(value, n) * times
                 for group in np.split(order, cuts):
                     if not len(group):
                         continue
                     block = int(block_of[group[0]])
-                    got = np.bincount(post["doc"][group], weight[group])
+                    got = np.bincount(doc[group], weight[group])
                     have = sums.setdefault(block, {}).get(name_at)
                     if have is None:
                         sums[block][name_at] = got
@@ -238,6 +250,10 @@ def document_sums(joined: DataFrame, values: list[str], schema: str) -> DataFram
     return sums.repartition("block").sortWithinPartitions("block").mapInArrow(finish, schema)
 
 
-def salted(values: DataFrame) -> DataFrame:
-    """Values per term repeated for each salt, for a join on (`term`, `salt`)."""
-    return values.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+def salted(values: DataFrame, times: str) -> DataFrame:
+    """Values per term, those of a hot term repeated for each salt, for a join on (`term`, `salt`).
+
+    `times` counts a term's tokens in all documents; a term with fewer than HOT cannot be hot in a block.
+    """
+    salts = F.when(F.col(times) >= HOT, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return values.withColumn("salt", F.explode(salts)).drop(times)
