@@ -8,8 +8,8 @@
    first part of a set under one order for all, common shingles last; two linked documents share at least a known
    number of prefix shingles. A document that shares fewer with all others is dropped, and one that shares
    fewer with a group's union cannot be linked with any of its members.
-4. Groups that qualify are opened: the document is compared with their most central member first, and with all
-   members where that left the two groups apart. Comparisons are exact, on whole sets.
+4. Groups that qualify are opened: bitmaps of the document and of the members, block by block, leave the pairs that can be
+   linked, and these are compared exactly, on whole sets.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from runpulse.llm.components import connected_components
 from runpulse.llm.sampling import row_key
@@ -47,6 +47,8 @@ def _prefix(n: np.ndarray) -> np.ndarray:
 NEEDED = "1L + ((3L * n + 3L) div 4L) div 8L"
 #: Sizes fall into bands of this ratio; a linked partner is at most REACH bands away.
 RATIO, REACH = 1.05, 6
+#: Bits of a set's bitmap, and sets of a block.
+BITS, BLOCK = 1024, 512
 
 
 def _needed_in(n: str, band: str):
@@ -112,11 +114,55 @@ def _members(texts: DataFrame, size: int, common) -> DataFrame:
                             pa.list_(pa.int64())
                         ),
                         "weight": pa.array(weight),
+                        "bits": _bitmaps(hashes, row, len(n)),
                     }
                 )
 
     kind = texts.schema["_id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"_id {kind}, _key bigint, n bigint, cid bigint, values array<bigint>, weight bigint")
+    return texts.mapInArrow(run, f"_id {kind}, _key bigint, n bigint, cid bigint, values array<bigint>, weight bigint, bits binary")
+
+
+def _bitmaps(hashes: np.ndarray, row: np.ndarray, rows: int) -> pa.Array:
+    """A bit for each shingle of a set at a place given by its hash, BITS places per set."""
+    on = np.zeros((rows, BITS), dtype=bool)
+    on[row, (mix(hashes) % np.uint64(BITS)).astype(np.int64)] = True
+    packed = np.packbits(on, axis=1)
+    return pa.array([x.tobytes() for x in packed], pa.binary())
+
+
+def _possible(queries: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs (`u`, `v`) of a group's queries and members (`grp`, `cid`, `n`, `bits`) that the bitmaps don't exclude.
+
+    Two sets differ in at least as many shingles as their bitmaps in bits. Queries and members of a group meet in blocks of
+    about BLOCK, whatever the group's size, and only pairs that can be linked leave the task.
+    """
+
+    def blocks(rows: DataFrame, name: str) -> DataFrame:
+        many = rows.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).alias("many"))
+        block = F.pmod(F.xxhash64("cid"), "many")
+        listed = F.collect_list(F.struct("cid", "n", "bits")).alias(name)
+        return rows.join(many, "grp").groupBy("grp", block.alias(f"{name}_block")).agg(listed)
+
+    both = blocks(queries, "q").join(blocks(members, "m"), "grp").select("q", "m")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ones = np.array([bin(k).count("1") for k in range(256)], dtype=np.uint16)
+        part = lambda x: (
+            x.field("cid").to_numpy(), x.field("n").to_numpy(), np.frombuffer(b"".join(x.field("bits").to_pylist()), np.uint8)
+        )
+        for batch in batches:
+            for k in range(batch.num_rows):
+                (qc, qn, qb), (mc, mn, mb) = (part(batch.column(c)[k].values) for c in ("q", "m"))
+                qb, mb = qb.reshape(len(qc), -1), mb.reshape(len(mc), -1)
+                for a in range(len(qc)):
+                    apart = np.maximum(ones[mb ^ qb[a]].sum(axis=1, dtype=np.int64), np.abs(mn - qn[a]))
+                    # common = (sizes - differing) / 2, union = (sizes + differing) / 2
+                    good = UP * (mn + qn[a] - apart) >= LOW * (mn + qn[a] + apart)
+                    if good.any():
+                        u = np.full(int(good.sum()), qc[a])
+                        yield pa.record_batch({"u": pa.array(u, pa.int64()), "v": pa.array(mc[good], pa.int64())})
+
+    return both.mapInArrow(run, "u bigint, v bigint")
 
 
 def _set_id(hashes: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -247,8 +293,8 @@ def jaccard_components(
     classes = cut_lineage(
         members.filter("cid IS NOT NULL")
         .groupBy("cid")
-        .agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_key")).alias("least"), F.min("n").alias("n"), F.min("values").alias("values"), F.min("weight").alias("weight"))
-        .select("cid", "least._id", "least._key", "n", "values", "weight"),
+        .agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_key")).alias("least"), F.min("n").alias("n"), F.min("values").alias("values"), F.min("weight").alias("weight"), F.min("bits").alias("bits"))
+        .select("cid", "least._id", "least._key", "n", "values", "weight", "bits"),
         "classes",
     )
     # the class with most common shingles leads: in a family of copies that were changed here and there, the one nearest to all
@@ -268,26 +314,22 @@ def jaccard_components(
     enough = across.groupBy("cid").agg(F.count("*").alias("k"), F.min("n").alias("n")).filter(f"k >= {NEEDED}")
     asked = across.join(enough.select("cid"), "cid", "left_semi")
     asked = asked.withColumn("to", F.explode(F.sequence(F.col("band") - REACH, F.col("band") + REACH)))
-    seen = asked.join(present, ["token", "to"]).filter("g1 <> grp OR g2 <> grp").groupBy("cid", "n", "to").agg(F.count("*").alias("k"))
-    live = cut_lineage(seen.filter(F.col("k") >= _needed_in("n", "to")).select("cid", "to"), "live")
-    query = cut_lineage(asked.join(live, ["cid", "to"], "left_semi"), "query")
+    seen = asked.join(present, ["token", "to"]).filter("g1 <> grp OR g2 <> grp")
+    live = seen.groupBy("cid", "n", "to").agg(F.count("*").alias("k")).withColumn("need", _needed_in("n", "to")).filter("k >= need")
+    query = cut_lineage(seen.join(live.select("cid", "to", "k", "need"), ["cid", "to"]).select("token", "cid", "grp", "band", "to", "k", "need"), "query")
+    # any linked pair shares `need` of these shingles, so it meets in one that is not among the need - 1 most frequent of either
+    spread = query.groupBy("token").agg(F.count("*").alias("df"))
+    order = Window.partitionBy("cid", "to").orderBy("df", "token")
+    query = query.join(spread, "token").withColumn("at", F.row_number().over(order)).filter("at <= k - need + 1")
+    query = cut_lineage(query.select("token", "cid", "grp", "band", "to"), "rare")
     matrix = query.select("token", F.col("band").alias("to"), F.col("to").alias("band"), F.col("grp").alias("other")).distinct()
-    overlap = query.join(matrix, ["token", "to", "band"]).filter("grp <> other")
-    overlap = overlap.groupBy("cid", "n", "to", "other").agg(F.count("*").alias("k")).filter(F.col("k") >= _needed_in("n", "to"))
-    opened = cut_lineage(overlap.select("cid", "other").distinct(), "opened")
+    opened = query.join(matrix, ["token", "to", "band"]).filter("grp <> other").select("cid", "other").distinct()
+    opened = cut_lineage(opened, "opened")
     if not opened.isEmpty():
-        leads = groups.join(classes.select("cid", "weight"), "cid").groupBy(F.col("grp").alias("other")).agg(central)
-        first = opened.join(leads, "other").select(F.col("cid").alias("u"), "v")
-        links = cut_lineage(links.unionByName(_linked(first, texts, classes, size)), "links")
-        now = _groups(classes, links).select("cid", F.col("grp").alias("now"))
-        apart = (
-            opened.join(now, "cid")
-            .join(now.select(F.col("cid").alias("other"), F.col("now").alias("there")), "other")
-            .filter("now <> there")
-        )
-        inside = groups.select(F.col("grp").alias("other"), F.col("cid").alias("v"))
-        rest = apart.select(F.col("cid").alias("u"), "other").join(inside, "other").select("u", "v")
-        links = cut_lineage(links.unionByName(_linked(rest, texts, classes, size)), "links")
+        sets = classes.select("cid", "n", "bits")
+        asking = opened.join(sets, "cid").withColumnRenamed("other", "grp")
+        inside = groups.select("grp", "cid").join(opened.select(F.col("other").alias("grp")).distinct(), "grp").join(sets, "cid")
+        links = cut_lineage(links.unionByName(_linked(_possible(asking, inside), texts, classes, size)), "links")
         groups = _groups(classes, links)
     named = groups.join(classes.select("cid", F.col("_id").alias("class_id")), "cid")
     smallest = named.groupBy("grp").agg(F.min("class_id").alias("component_id"))
