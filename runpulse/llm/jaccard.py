@@ -137,23 +137,35 @@ def _possible(queries: DataFrame, members: DataFrame) -> DataFrame:
     about BLOCK, whatever the group's size, and only pairs that can be linked leave the task.
     """
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # rows of a group lie together
+            grp = batch.column("grp").to_numpy()
+            edges = np.flatnonzero(np.r_[True, grp[1:] != grp[:-1]]) if len(grp) else []
+            for first, last in zip(edges, [*edges[1:], len(grp)]):
+                for at in range(first, last, BLOCK):
+                    part = batch.slice(at, min(BLOCK, last - at))
+                    yield pa.record_batch(
+                        {
+                            "grp": part.column("grp").slice(0, 1),
+                            "cids": pa.array([part.column("cid").to_numpy().tobytes()], pa.binary()),
+                            "sizes": pa.array([part.column("n").to_numpy().tobytes()], pa.binary()),
+                            "maps": pa.array([b"".join(part.column("bits").to_pylist())], pa.binary()),
+                        }
+                    )
+
     def blocks(rows: DataFrame, name: str) -> DataFrame:
-        many = rows.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).alias("many"))
-        block = F.pmod(F.xxhash64("cid"), "many")
-        listed = F.collect_list(F.struct("cid", "n", "bits")).alias(name)
-        return rows.join(many, "grp").groupBy("grp", block.alias(f"{name}_block")).agg(listed)
+        near = rows.select("grp", "cid", "n", "bits").repartition("grp").sortWithinPartitions("grp")
+        packed = near.mapInArrow(pack, "grp bigint, cids binary, sizes binary, maps binary")
+        return packed.select("grp", *[F.col(c).alias(f"{name}_{c}") for c in ("cids", "sizes", "maps")])
 
-    both = blocks(queries, "q").join(blocks(members, "m"), "grp").select("q", "m")
+    both = blocks(queries, "q").join(blocks(members, "m"), "grp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ones = np.array([bin(k).count("1") for k in range(256)], dtype=np.uint16)
-        part = lambda x: (
-            x.field("cid").to_numpy(), x.field("n").to_numpy(), np.frombuffer(b"".join(x.field("bits").to_pylist()), np.uint8)
-        )
         for batch in batches:
-            for k in range(batch.num_rows):
-                (qc, qn, qb), (mc, mn, mb) = (part(batch.column(c)[k].values) for c in ("q", "m"))
-                qb, mb = qb.reshape(len(qc), -1), mb.reshape(len(mc), -1)
+            for row in batch.to_pylist():
+                qc, qn, mc, mn = (np.frombuffer(row[c], np.int64) for c in ("q_cids", "q_sizes", "m_cids", "m_sizes"))
+                qb, mb = (np.frombuffer(row[c], np.uint8).reshape(-1, BITS // 8) for c in ("q_maps", "m_maps"))
                 for a in range(len(qc)):
                     apart = np.maximum(ones[mb ^ qb[a]].sum(axis=1, dtype=np.int64), np.abs(mn - qn[a]))
                     # common = (sizes - differing) / 2, union = (sizes + differing) / 2
