@@ -213,7 +213,7 @@ SELECT id AS alert_id, pipeline_id, task_id, execution_date, upper(rca_severity)
   coalesce(rca_prevention, 'None given') AS prevention,
   coalesce(CAST(rca_estimated_fix_minutes AS VARCHAR), '?') AS fix_minutes,
   CASE WHEN rca_retry_recommended THEN 'Yes' ELSE 'No' END AS retry, coalesce(rca_model_used, 'unknown') AS model,
-  left(error_message, 800) AS error_excerpt, strftime(created_at, '%Y-%m-%d %H:%M UTC') AS generated,
+  error_message AS error_excerpt, strftime(created_at, '%Y-%m-%d %H:%M UTC') AS generated,
   '[' || upper(rca_severity) || '] Pipeline failure: ' || pipeline_id || ' | Task: ' || task_id || ' | Diagnosis ready' AS subject,
   '{LINK}' || pipeline_id AS link
 FROM diagnosed WHERE state = 'failed' AND rca_root_cause IS NOT NULL"""
@@ -397,7 +397,7 @@ _PROMPT = f"""
 'A data pipeline failed. Find the cause and answer with one JSON object only.' || chr(10) || chr(10) || 'FAILURE' || chr(10) || 'pipeline: ' || r.pipeline_id
 || chr(10) || 'task: ' || task_id || chr(10) || 'time: ' || strftime(execution_date, '%Y-%m-%d %H:%M:%S')
 || chr(10) || 'seconds before failure: ' || {_fixed('duration_seconds')} || chr(10) || 'error type: ' || error_type
-|| chr(10) || 'message: ' || left(error_message, 500) || chr(10) || chr(10) || 'LOG' || chr(10) || left(error_message, 2000)
+|| chr(10) || 'message: ' || error_message || chr(10) || chr(10) || 'LOG' || chr(10) || error_message
 || chr(10) || chr(10) || 'HISTORY' || chr(10) || 'runs: ' || total_runs || chr(10) || 'mean seconds: ' || {_fixed('avg_duration')}
 || chr(10) || 'last states: ' || recent_statuses || chr(10) || chr(10) || 'KEYS' || chr(10) || {_q(', '.join(_GET))}
 || chr(10) || 'categories: ' || {_q(', '.join(schemas.CATEGORIES))} || chr(10) || 'severities: ' || {_q(', '.join(schemas.SEVERITIES))} || chr(10)"""
@@ -433,14 +433,14 @@ _FAILED_IN = lambda low, high: f"SELECT DISTINCT pipeline_id FROM runs WHERE sta
 
 ORACLES: dict[str, str] = {
     "scan_runs": _sql("SELECT id, pipeline_id, task_id, run_id, execution_date, end_date, round(duration_seconds, 4) AS duration_seconds, state, error_type FROM runs", "runs"),
-    "append_runs": _sql("SELECT id, pipeline_id, strftime(execution_date, '%Y-%m-%d') AS run_date, state, round(duration_seconds, 4) AS duration_seconds, length(left(error_message, 1000)) AS message_length FROM runs", "runs"),
+    "append_runs": _sql("SELECT id, pipeline_id, strftime(execution_date, '%Y-%m-%d') AS run_date, state, round(duration_seconds, 4) AS duration_seconds, length(error_message) AS message_length FROM runs", "runs"),
     "merge_diagnoses": _sql("SELECT id, state, rca_root_cause, rca_category, round(rca_confidence, 4) AS rca_confidence, rca_immediate_fix, rca_prevention, rca_severity, rca_retry_recommended, rca_estimated_fix_minutes, rca_generated_at, rca_model_used FROM diagnosed", "diagnosed"),
     "scan_samples": _sql("SELECT ts, metric, node, NULL::VARCHAR AS mode, pipeline, namespace, round(value, 4) AS value FROM gauges UNION ALL SELECT ts, 'node_cpu_seconds_total', node, mode, NULL, NULL, round(value, 4) FROM counter", "gauges", "counter"),
     "retained_samples": _sql(f"SELECT ts, metric, node, NULL::VARCHAR AS mode, pipeline, namespace, round(value, 4) AS value FROM gauges WHERE ts > {T0} - INTERVAL 7 DAY", "gauges"),
     "copy_tables_report": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS source_rows, count(*) AS copied_rows, true AS same_content FROM {t}" for t in _TABLES),
     "finished_runs": _sql("SELECT id, pipeline_id, state, round(duration_seconds, 4) AS duration_seconds FROM done", "done"),
     "runs_in_window": _sql(f"SELECT id, pipeline_id, execution_date, state FROM runs WHERE execution_date > {T0} - INTERVAL 10 DAY", "runs"),
-    "sanitized_run_ids": _sql("SELECT id, left(lower(replace(replace('Manual__' || strftime(execution_date, '%Y-%m-%dT%H:%M:%S') || '+00:00_' || run_id, ':', '-'), '+', '-')), 48) AS safe_run_id FROM runs", "runs"),
+    "sanitized_run_ids": _sql("SELECT id, lower(replace(replace('Manual__' || strftime(execution_date, '%Y-%m-%dT%H:%M:%S') || '+00:00_' || run_id, ':', '-'), '+', '-')) AS safe_run_id FROM runs", "runs"),
     "run_durations": _sql("SELECT id, date_diff('microsecond', start_date, end_date) / 1000000.0::DOUBLE AS seconds, strftime(start_date, '%Y-%m-%d %H:%M UTC') AS started FROM runs", "runs"),
     "recorded_pipelines": _sql("SELECT 'dag_' || c_custkey AS pipeline_id FROM customer WHERE 'dag_' || c_custkey IN (SELECT pipeline_id FROM runs)", "runs"),
     "uncovered_pipelines": _sql("SELECT 'dag_' || c_custkey AS pipeline_id FROM customer WHERE 'dag_' || c_custkey NOT IN (SELECT pipeline_id FROM runs)", "runs"),

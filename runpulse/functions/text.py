@@ -11,9 +11,9 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def cut(text: Column | str, length: int) -> Column:
-    """The first `length` characters."""
-    return F.substring(_col(text), 1, length)
+def cut(text: Column | str, length: int | None) -> Column:
+    """The first `length` characters, or all of the text without a length."""
+    return _col(text) if length is None else F.substring(_col(text), 1, length)
 
 
 def fixed(number: Column | str, digits: int = 1) -> Column:
@@ -43,9 +43,16 @@ def error_class(message: Column | str) -> Column:
     return F.when(F.coalesce(name, F.lit("")) == "", F.lit("Unknown")).otherwise(name)
 
 
-def safe_id(run_id: Column | str, length: int = 48) -> Column:
-    """Run id in the form a cluster resource name allows."""
-    return cut(F.lower(F.translate(_col(run_id), ":+", "--")), length)
+def safe_id(run_id: Column | str, length: int | None = None) -> Column:
+    """Run id in the form a cluster resource name allows.
+
+    With a `length` a longer id keeps its beginning and gets 8 hex digits of its MD5, so that ids stay different.
+    """
+    name = F.lower(F.translate(_col(run_id), ":+", "--"))
+    if length is None:
+        return name
+    short = F.concat(F.substring(name, 1, length - 9), F.lit("-"), F.substring(F.md5(name.cast("binary")), 1, 8))
+    return F.when(F.length(name) <= length, name).otherwise(short)
 
 
 def signature(message: Column | str) -> Column:

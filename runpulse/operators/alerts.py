@@ -30,7 +30,7 @@ def _or(name: str, default: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(default))
 
 
-def failure_alerts(diagnosed: DataFrame) -> DataFrame:
+def failure_alerts(diagnosed: DataFrame, excerpt_length: int | None = None) -> DataFrame:
     """One alert per diagnosed failure: subject, severity, colour, body fields and message blocks."""
     level = F.upper(_or("rca_severity", "unknown"))
     confidence = (or_zero("rca_confidence") * 100).cast("int")  # cut, not rounded
@@ -48,7 +48,7 @@ def failure_alerts(diagnosed: DataFrame) -> DataFrame:
         _or("rca_estimated_fix_minutes", "?").alias("fix_minutes"),
         yes_no("rca_retry_recommended").alias("retry"),
         _or("rca_model_used", "unknown").alias("model"),
-        cut("error_message", 800).alias("error_excerpt"),
+        cut("error_message", excerpt_length).alias("error_excerpt"),
         F.date_format("created_at", "yyyy-MM-dd HH:mm 'UTC'").alias("generated"),
     )
     subject = F.concat(
@@ -89,7 +89,9 @@ def _failure_blocks() -> Column:
     return F.concat(F.lit("["), F.concat_ws(",", *blocks), F.lit("]"))
 
 
-def anomaly_alerts(anomalies: DataFrame, explanations: DataFrame | None = None) -> DataFrame:
+def anomaly_alerts(
+    anomalies: DataFrame, explanations: DataFrame | None = None, text_length: int | None = None
+) -> DataFrame:
     """One alert per duration anomaly.
 
     `explanations` (pipeline_id and the anomaly diagnosis keys) is optional; anomalies without one get the
@@ -105,7 +107,7 @@ def anomaly_alerts(anomalies: DataFrame, explanations: DataFrame | None = None)
     explanation = F.coalesce("_anomaly_explanation", F.lit("No explanation available"))
     text = F.concat(
         F.col("pipeline_id"), F.lit(": "), fixed("current_duration", 0), F.lit("s (avg "), fixed("avg_duration", 0),
-        F.lit("s, +"), fixed("deviation_pct", 0), F.lit("%) "), cut(explanation, 200),
+        F.lit("s, +"), fixed("deviation_pct", 0), F.lit("%) "), cut(explanation, text_length),
     )
     return joined.select(
         "pipeline_id", "run_id", "execution_date",

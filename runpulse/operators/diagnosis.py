@@ -115,9 +115,11 @@ def list_text(items: Column | str) -> Column:
     return F.array_join(col, ", ", "None")
 
 
-def diagnosis_prompts(failures: DataFrame) -> DataFrame:
-    """One prompt per failure that asks for the diagnosis as a JSON object."""
-    log = F.coalesce(cut("error_message", 2000), F.lit(""))
+def diagnosis_prompts(
+    failures: DataFrame, log_length: int | None = None, message_length: int | None = None
+) -> DataFrame:
+    """One prompt per failure that asks for the diagnosis as a JSON object; texts are whole unless lengths are given."""
+    log = F.coalesce(cut("error_message", log_length), F.lit(""))
     prompt = F.concat(
         F.lit("A data pipeline failed. Find the cause and answer with one JSON object only.\n\nFAILURE\npipeline: "),
         "pipeline_id",
@@ -125,7 +127,7 @@ def diagnosis_prompts(failures: DataFrame) -> DataFrame:
         F.lit("\ntime: "), F.date_format("execution_date", "yyyy-MM-dd HH:mm:ss"),
         F.lit("\nseconds before failure: "), fixed(or_zero("duration_seconds")),
         F.lit("\nerror type: "), F.coalesce("error_type", F.lit("Unknown")),
-        F.lit("\nmessage: "), F.coalesce(cut("error_message", 500), F.lit("")),
+        F.lit("\nmessage: "), F.coalesce(cut("error_message", message_length), F.lit("")),
         F.lit("\n\nLOG\n"), log,
         F.lit("\n\nHISTORY\nruns: "), F.col("total_runs").cast("string"),
         F.lit("\nmean seconds: "), fixed("avg_duration"),
@@ -224,10 +226,13 @@ def diagnosis_violations(parsed: DataFrame) -> DataFrame:
 
 
 def with_fallback(parsed: DataFrame) -> DataFrame:
-    """Fill the rows without an answer from the fixed record of their status."""
+    """Fill the rows without an answer from the fixed record of their status; an unknown status counts as job_error."""
     spark = parsed.sparkSession
     records = spark.createDataFrame(list(FALLBACKS), FALLBACK_SCHEMA)  # four fixed rows
-    joined = parsed.join(F.broadcast(records.withColumnRenamed("severity", "level")), "status", "left")
+    records = records.withColumnsRenamed({"severity": "level", "status": "_known"})
+    known = F.col("status").isin(*[r[0] for r in FALLBACKS], "ok", "extracted")
+    kind = F.when(F.coalesce(known, F.lit(False)), F.col("status")).otherwise("job_error")
+    joined = parsed.join(F.broadcast(records), kind == F.col("_known"), "left")
     lost = F.col("cause").isNotNull()
     filled = {
         "root_cause": F.col("cause"),

@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -29,8 +31,8 @@ def micros(ts: Column | str) -> Column:
 
 
 def slice_count(spark: SparkSession) -> int:
-    """Twice the shuffle partitions, so a slice is half of an average partition, between 16 and 8,192."""
-    return max(16, min(8_192, 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    """Twice the shuffle partitions, so a slice is half of an average partition, and 16 at least."""
+    return max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _hot_keys(like: DataFrame, keys: list[str], k: int) -> list:
@@ -61,15 +63,20 @@ def add_slices(
         if not hot:
             return df.withColumns({CUT: F.lit(-1), SLICE: F.lit(-1)})
         names = df.sparkSession.createDataFrame([tuple(r)[:-1] for r in hot], like.select(*keys).schema)
-        marks = F.broadcast(names.withColumn("_hot", F.lit(True)))  # fewer than k rows
-        like, df, n = like.join(marks, keys), df.join(marks, keys, "left"), sum(r["_rows"] for r in hot)
+        marked = [F.col(c).alias(f"_mark_{i}") for i, c in enumerate(keys)]
+        marks = F.broadcast(names.select(*marked, F.lit(True).alias("_hot")))  # fewer than k rows
+
+        def mark(rows: DataFrame, how: str) -> DataFrame:
+            """A key that is null can be hot as well, so keys are compared null-safe."""
+            same = [rows[c].eqNullSafe(F.col(f"_mark_{i}")) for i, c in enumerate(keys)]
+            return rows.join(marks, reduce(and_, same), how).drop(*[f"_mark_{i}" for i in range(len(keys))])
+
+        like, df = mark(like, "inner"), mark(df, "left")
     else:
-        df, n = df.withColumn("_hot", F.lit(True)), like.count()
-    # a sample is enough to place the cuts; it decides where rows go, not which rows count
-    seen = like if n <= 1000 * k else like.sample(1000 * k / n, seed=1)
+        df = df.withColumn("_hot", F.lit(True))
     accuracy = 20 * k  # a slice is at most a tenth larger than its share
     shares = [i / k for i in range(1, k)]
-    cuts = seen.agg(F.percentile_approx(order, shares, accuracy).alias("cuts")).first().cuts or []
+    cuts = like.agg(F.percentile_approx(order, shares, accuracy).alias("cuts")).first().cuts or []
     repeats = {v: n for v, n in Counter(cuts).items() if n > 1}
     points = {float(v) for v in cuts} | {math.nextafter(float(v), math.inf) for v in repeats}
     if not points:
@@ -84,11 +91,16 @@ def add_slices(
     cut = cut.withColumn(CUT, F.when(F.col("_hot"), F.col(CUT).cast("int")).otherwise(-1)).drop("_order", "_hot")
     if not (tie and repeats):
         return cut.withColumn(SLICE, F.col(CUT))
-    part = F.lit(0)
-    for value, ids in _tie_cuts(seen, order, tie, repeats, accuracy):
-        step = sum(((F.col(tie) >= F.lit(i)).cast("int") for i in ids), F.lit(0))
-        part = F.when(F.col(order) == F.lit(value), step).otherwise(part)
-    return cut.withColumn(SLICE, F.when(F.col(CUT) < 0, -1).otherwise(F.col(CUT) * F.lit(k + 1) + part))
+    # a table of the cuts, fewer than k numbers in all, so the plan does not grow with the number of slices
+    found = list(_tie_cuts(like, order, tie, repeats, accuracy))
+    kinds = f"_value {like.schema[order].dataType.simpleString()}, _ids array<{like.schema[tie].dataType.simpleString()}>"
+    ties = F.broadcast(df.sparkSession.createDataFrame(found, kinds))
+    cut = cut.join(ties, F.col(order) == F.col("_value"), "left")
+    part = F.coalesce(F.size(F.filter("_ids", lambda i: i <= F.col(tie))), F.lit(0))
+    part = F.when(F.col("_ids").isNull(), 0).otherwise(part)
+    cut = cut.withColumn("_part", part).drop("_value", "_ids")
+    part = F.col("_part")
+    return cut.withColumn(SLICE, F.when(F.col(CUT) < 0, -1).otherwise(F.col(CUT) * F.lit(k + 1) + part)).drop("_part")
 
 
 def in_hot_key() -> Column:

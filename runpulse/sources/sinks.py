@@ -7,17 +7,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from runpulse import schemas
 from runpulse.functions.text import cut
 
-MESSAGE_LIMIT = 1000
 
-
-def append_runs(runs: DataFrame, path: str) -> None:
-    """Append run rows to a table laid out by day, the error message cut to its column's limit.
+def append_runs(runs: DataFrame, path: str, message_length: int | None = None) -> None:
+    """Append run rows to a table laid out by day, error messages whole unless a length is given.
 
     Rows are gathered by day; the rebalance hint lets Spark split a day that holds much of the data
     among tasks and put small days together, by the sizes it sees.
     """
     (
-        runs.withColumn("error_message", cut("error_message", MESSAGE_LIMIT))
+        runs.withColumn("error_message", cut("error_message", message_length))
         .withColumn("run_date", F.to_date("execution_date"))
         .hint("rebalance", F.col("run_date"))
         .sortWithinPartitions("run_date", "pipeline_id", "execution_date")
@@ -30,9 +28,12 @@ def append_runs(runs: DataFrame, path: str) -> None:
 def merge_diagnoses(runs: DataFrame, diagnoses: DataFrame) -> DataFrame:
     """Replace all diagnosis columns of the runs whose id is in `diagnoses`; leave the others as they are.
 
-    A matched row takes every column from its diagnosis, nulls included. `diagnoses` has one row per id.
+    A matched row takes every column from its diagnosis, nulls included. Of several diagnoses of an id the one
+    generated last is taken, of equally late ones the largest in its columns' order. Rows of `runs` never multiply.
     """
     names = schemas.DIAGNOSIS_COLUMNS.fieldNames()
+    last = F.max(F.struct("rca_generated_at", *[F.col(c).alias(f"{c}_") for c in names])).alias("_last")
+    diagnoses = diagnoses.groupBy("id").agg(last).select("id", *[F.col(f"_last.{c}_").alias(c) for c in names])
     kept = runs if "rca_root_cause" in runs.columns else runs.select("*", *_empty_diagnosis())
     new = diagnoses.select("id", *[F.col(c).alias(f"_new_{c}") for c in names], F.lit(True).alias("_hit"))
     merged = kept.join(new, "id", "left")
