@@ -130,35 +130,44 @@ def _bitmaps(hashes: np.ndarray, row: np.ndarray, rows: int) -> pa.Array:
     return pa.array([x.tobytes() for x in packed], pa.binary())
 
 
-def _possible(queries: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs (`u`, `v`) of a group's queries and members (`grp`, `cid`, `n`, `bits`) that the bitmaps don't exclude.
+def _possible(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs (`u`, `v`) of members (`grp`, `band`, `cid`, `n`, `bits`) of two parts that the bitmaps don't exclude.
 
-    Two sets differ in at least as many shingles as their bitmaps in bits. Queries and members of a group meet in blocks of
-    about BLOCK, whatever the group's size, and only pairs that can be linked leave the task.
+    A part is a group's members of one size band; `pairs` names two of them (`grp`, `band`, `other`, `to`). Two sets differ
+    in at least as many shingles as their bitmaps in bits. Parts meet in blocks of at most BLOCK members, whatever a
+    group's size, and only pairs that can be linked leave the task. Blocks are cut from ranges of (group, band, class), so
+    a large group is spread over tasks.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:  # rows of a group lie together
-            grp = batch.column("grp").to_numpy()
-            edges = np.flatnonzero(np.r_[True, grp[1:] != grp[:-1]]) if len(grp) else []
+        for batch in batches:  # rows of a part lie together
+            if not batch.num_rows:
+                continue
+            grp, band = batch.column("grp").to_numpy(), batch.column("band").to_numpy()
+            edges = np.flatnonzero(np.r_[True, (grp[1:] != grp[:-1]) | (band[1:] != band[:-1])])
             for first, last in zip(edges, [*edges[1:], len(grp)]):
                 for at in range(first, last, BLOCK):
                     part = batch.slice(at, min(BLOCK, last - at))
                     yield pa.record_batch(
                         {
                             "grp": part.column("grp").slice(0, 1),
+                            "band": part.column("band").slice(0, 1),
                             "cids": pa.array([part.column("cid").to_numpy().tobytes()], pa.binary()),
                             "sizes": pa.array([part.column("n").to_numpy().tobytes()], pa.binary()),
                             "maps": pa.array([b"".join(part.column("bits").to_pylist())], pa.binary()),
                         }
                     )
 
-    def blocks(rows: DataFrame, name: str) -> DataFrame:
-        near = rows.select("grp", "cid", "n", "bits").repartition("grp").sortWithinPartitions("grp")
-        packed = near.mapInArrow(pack, "grp bigint, cids binary, sizes binary, maps binary")
-        return packed.select("grp", *[F.col(c).alias(f"{name}_{c}") for c in ("cids", "sizes", "maps")])
+    near = members.select("grp", "band", "cid", "n", "bits")
+    near = near.repartitionByRange("grp", "band", "cid").sortWithinPartitions("grp", "band")
+    kind = "grp bigint, band int, cids binary, sizes binary, maps binary"
+    blocks = cut_lineage(near.mapInArrow(pack, kind), "blocks")
+
+    def side(mark: str, grp: str, band: str) -> DataFrame:
+        parts = [F.col(c).alias(f"{mark}_{c}") for c in ("cids", "sizes", "maps")]
+        return blocks.select(F.col("grp").alias(grp), F.col("band").alias(band), *parts)
 
-    both = blocks(queries, "q").join(blocks(members, "m"), "grp")
+    both = pairs.join(side("q", "grp", "band"), ["grp", "band"]).join(side("m", "other", "to"), ["other", "to"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ones = np.array([bin(k).count("1") for k in range(256)], dtype=np.uint16)
@@ -334,14 +343,15 @@ def jaccard_components(
     order = Window.partitionBy("cid", "to").orderBy("df", "token")
     query = query.join(spread, "token").withColumn("at", F.row_number().over(order)).filter("at <= k - need + 1")
     query = cut_lineage(query.select("token", "cid", "grp", "band", "to"), "rare")
-    matrix = query.select("token", F.col("band").alias("to"), F.col("to").alias("band"), F.col("grp").alias("other")).distinct()
-    opened = query.join(matrix, ["token", "to", "band"]).filter("grp <> other").select("cid", "other").distinct()
+    # the members of a group that ask the same are one row, so a family of copies meets each other group once a shingle
+    matrix = query.select("token", "grp", "band", "to").distinct()
+    met = matrix.select("token", F.col("grp").alias("other"), F.col("band").alias("to"), F.col("to").alias("band"))
+    opened = matrix.join(met, ["token", "to", "band"]).filter("grp < other").select("grp", "band", "other", "to").distinct()
     opened = cut_lineage(opened, "opened")
     if not opened.isEmpty():
-        sets = classes.select("cid", "n", "bits")
-        asking = opened.join(sets, "cid").withColumnRenamed("other", "grp")
-        inside = groups.select("grp", "cid").join(opened.select(F.col("other").alias("grp")).distinct(), "grp").join(sets, "cid")
-        links = cut_lineage(links.unionByName(_linked(_possible(asking, inside), texts, classes, size)), "links")
+        # both members of a linked pair are among those that ask
+        asking = query.select("grp", "band", "cid").distinct().join(classes.select("cid", "n", "bits"), "cid")
+        links = cut_lineage(links.unionByName(_linked(_possible(opened, asking), texts, classes, size)), "links")
         groups = _groups(classes, links)
     named = groups.join(classes.select("cid", F.col("_id").alias("class_id")), "cid")
     smallest = named.groupBy("grp").agg(F.min("class_id").alias("component_id"))
