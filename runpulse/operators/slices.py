@@ -123,6 +123,14 @@ def _tie_cuts(like, order, tie, repeats, accuracy):
         yield row.value, sorted(picks)
 
 
+def _with_carry(sliced: DataFrame, carry: DataFrame, group: list[str]) -> DataFrame:
+    """Rows with the carry of their group; a key that is null has one as well."""
+    marks = [f"_on_{i}" for i in range(len(group))]
+    named = carry.withColumnsRenamed(dict(zip(group, marks)))
+    same = [F.col(c).eqNullSafe(F.col(m)) for c, m in zip(group, marks)]
+    return sliced.join(named, reduce(and_, same), "left").drop(*marks)
+
+
 def previous_row(
     sliced: DataFrame, keys: list[str], order: str, tie: str, cols: list[str], name: str
 ) -> DataFrame:
@@ -134,7 +142,7 @@ def previous_row(
     carry = last.select(*group, F.lag("_last").over(before).alias("_carry"))
     inside = Window.partitionBy(*group).orderBy(order, tie)
     return (
-        sliced.join(carry, group, "left")
+        _with_carry(sliced, carry, group)
         .withColumn(name, F.coalesce(F.lag(item).over(inside), "_carry"))
         .drop("_carry")
     )
@@ -164,7 +172,7 @@ def previous_rows(
     inside = Window.partitionBy(*group).orderBy(order, tie)
     local = F.array_compact(F.array(*[F.lag(item, i).over(inside) for i in range(1, n + 1)]))
     return (
-        sliced.join(carry, group, "left")
+        _with_carry(sliced, carry, group)
         .withColumn(name, F.slice(F.concat(local, F.coalesce("_carry", F.array())), 1, n))
         .drop("_carry")
     )
@@ -192,7 +200,7 @@ def running_totals(
         .agg(*[F.sum(expr).alias(f"_c_{name}") for name, expr in sums.items()])
         .select(*group, *[F.sum(f"_c_{name}").over(before).alias(f"_c_{name}") for name in sums])
     )
-    joined = sliced.join(carry, group, "left")
+    joined = _with_carry(sliced, carry, group)
     added = {
         name: F.coalesce(F.col(f"_c_{name}"), F.lit(0)) + F.coalesce(F.sum(expr).over(inside), F.lit(0))
         for name, expr in sums.items()
@@ -200,6 +208,82 @@ def running_totals(
     return joined.withColumns(added).drop(*[f"_c_{name}" for name in sums])
 
 
+def _merged(a: dict[str, Column], b: dict[str, Column]) -> dict[str, Column]:
+    """Rows, count, mean and squared deviations of two sets of values together, by additions only."""
+    rows, n = a["r"] + b["r"], a["n"] + b["n"]
+    apart = (b["m"] - a["m"]) * (b["m"] - a["m"]) * a["n"] * b["n"] / n
+
+    def pick(both: Column, name: str) -> Column:
+        return F.when(b["n"] == 0, a[name]).when(a["n"] == 0, b[name]).otherwise(both)
+
+    mean = pick((a["n"] * a["m"] + b["n"] * b["m"]) / n, "m")
+    return {"r": rows, "n": n, "m": mean, "v": pick(a["v"] + b["v"] + apart, "v")}
+
+
+STATE = {"r": "bigint", "n": "bigint", "m": "double", "v": "double"}
+
+
+def _state(of: str) -> dict[str, Column]:
+    return {c: F.coalesce(F.col(f"{of}{c}"), F.lit(0).cast(t)) for c, t in STATE.items()}
+
+
+def _summary(over=None) -> list[Column]:
+    """Rows, count, mean and squared deviations of `_x` where `_in` is set, of a group or a window."""
+    def ranged(c: Column) -> Column:
+        return c if over is None else c.over(over)
+
+    n, x = ranged(F.count("_x")), F.col("_x").cast("double")
+    return [
+        F.coalesce(ranged(F.sum("_in")), F.lit(0)).cast("bigint").alias("r"),
+        n.alias("n"),
+        ranged(F.avg(x)).alias("m"),
+        (ranged(F.var_pop(x)) * n).alias("v"),
+    ]
+
+
+def _moments_before(
+    entries: DataFrame, spread: DataFrame, parts: list[str], name: str, by_row: bool, backwards: bool, slices: int | None
+) -> DataFrame:
+    """Add struct `name`: the summary of the entries of the same part that come before, along (`_at`, `_tie`) or against it.
+
+    By row, an entry sees all before it in that order; otherwise those at an earlier moment. The slices of a hot part
+    are summed up once and merged in order: one list of at most `slice_count` summaries per part.
+    """
+    level = SLICE if by_row else CUT
+    sliced = add_slices(entries, parts, "_at", "_tie", slices, like=spread)
+    kind = ", ".join(f"{c}: {t}" for c, t in STATE.items())
+    empty = F.struct(*[F.lit(0).cast(t).alias(c) for c, t in STATE.items()])
+    start = F.struct(empty.alias("state"), F.array().cast(f"array<struct<at: int, state: struct<{kind}>>>").alias("seen"))
+
+    def add(acc: Column, part: Column) -> Column:
+        own = {c: F.coalesce(part[c], F.lit(0).cast(t)) for c, t in STATE.items()}
+        both = _merged({c: acc["state"][c] for c in STATE}, own)
+        state = F.struct(*[c.cast(STATE[k]).alias(k) for k, c in both.items()])
+        before = F.struct(part["at"].alias("at"), acc["state"].alias("state"))
+        return F.struct(state.alias("state"), F.concat(acc["seen"], F.array(before)).alias("seen"))
+
+    carry = (
+        sliced.filter(in_hot_key())
+        .groupBy(*parts, F.col(level).cast("int").alias("at"))
+        .agg(*_summary())
+        .groupBy(*parts)
+        .agg(F.sort_array(F.collect_list(F.struct("at", *STATE)), asc=not backwards).alias("list"))
+        .select(*parts, F.explode(F.aggregate("list", start, add, lambda acc: acc["seen"])).alias("of"))
+        .select(*parts, F.col("of.at").alias(level), *[F.col(f"of.state.{c}").alias(f"_c{c}") for c in STATE])
+    )
+    order = [F.desc("_at"), F.desc("_tie")] if backwards else ["_at", "_tie"]
+    inside = Window.partitionBy(*parts, SLICE)
+    if by_row:
+        inside = inside.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    else:
+        inside = inside.orderBy(order[0]).rangeBetween(Window.unboundedPreceding, -1)
+    local = sliced.select("*", F.struct(*_summary(inside)).alias("_local"))
+    local = local.select("*", *[F.col(f"_local.{c}").alias(f"_l{c}") for c in STATE])
+    joined = _with_carry(local, carry, [*parts, level])
+    both = F.struct(*[c.alias(k) for k, c in _merged(_state("_c"), _state("_l")).items()])
+    return joined.select(*entries.columns, both.alias(name))
+
+
 def trailing_moments(
     df: DataFrame,
     keys: list[str],
@@ -217,100 +301,35 @@ def trailing_moments(
     see each other. With ties it is (order - span, order], where rows at the same moment count when their
     `tie` is smaller. `span` None means no lower bound.
 
-    Each row enters the running sums at its own moment and leaves them `span` later, as a second, narrow
-    entry. One running sum over both kinds is then the trailing frame; no row is compared with another.
-    The sums for the variance are centred, which keeps them small.
+    Time is cut into blocks as long as the span. A frame is then the first part of the row's own block and the last part of
+    the block before, where the row stands as a second, narrow entry one span earlier. Both parts are running merges
+    that only add, so an outlier, a NaN or an infinity is gone when it leaves the frame. A row without a moment sees none.
     """
     like = df if like is None else like
     payload = [c for c in df.columns if c not in keys]
     moment, rank = F.col(order).cast("bigint"), F.col(tie).cast("bigint")
-    entries = df.select(
-        *keys, moment.alias("_at"), rank.alias("_tie"), F.col(value).alias("_x"),
-        F.lit(1).alias("_sign"), F.struct(*payload).alias("_row"),
-    )
-    spread = like.select(*keys, moment.alias("_at"), rank.alias("_tie"))
+    block = F.lit(0).cast("bigint") if span is None else moment - F.pmod(moment, F.lit(span))
+    place = [*keys, block.alias("_block"), moment.alias("_at"), rank.alias("_tie")]
+    parts = [*keys, "_block"]
+    rows = df.select(*place, F.col(value).alias("_x"), F.lit(1).alias("_in"), F.struct(*payload).alias("_row"))
+    spread = like.select(*place)
+    found = _moments_before(rows, spread, parts, "_own", with_ties, False, slices)
     if span is not None:
-        last = like.agg(F.max(moment)).first()[0]
-        gone = moment + span <= F.lit(last).cast("bigint")
-        # below every id and spread out, so that rows leaving at one moment can be divided too
-        low = F.lit(-(2**62)) + F.pmod(F.xxhash64(tie), F.lit(2**40))
-        leaving = (moment + span).alias("_at"), low.alias("_tie")
-        entries = entries.unionByName(
-            df.filter(gone).select(*keys, *leaving, F.col(value).alias("_x"), F.lit(-1).alias("_sign")),
-            allowMissingColumns=True,
-        )
-        spread = spread.union(like.filter(gone).select(*keys, *leaving))
-    entries = add_slices(entries, keys, "_at", "_tie", slices, like=spread)
-    group = [*keys, SLICE]
-    enters, leaves = F.col("_sign") == 1, F.col("_sign") == -1
-    totals = entries.filter(in_hot_key()).groupBy(*group, CUT).agg(
-        F.sum("_sign").alias("_rows"),
-        *[
-            agg(F.when(side, F.col("_x"))).alias(f"_{label}{mark}")
-            for side, mark in ((enters, "in"), (leaves, "out"))
-            for agg, label in ((F.count, "n_"), (F.avg, "m_"), (F.var_pop, "v_"))
-        ],
-        F.coalesce(F.sum(F.when(enters, F.col("_x"))), F.lit(0.0)).alias("_s_in"),
-        F.coalesce(F.sum(F.when(leaves, F.col("_x"))), F.lit(0.0)).alias("_s_out"),
-    )
-    whole = Window.partitionBy(*keys)
-    along = Window.partitionBy(*keys).orderBy(SLICE if with_ties else CUT)
-    before = along.rangeBetween(Window.unboundedPreceding, -1)
-
-    def shifted(mark: str, power: int) -> Column:
-        n, off = F.col(f"_n_{mark}"), F.coalesce(F.col(f"_m_{mark}") - F.col("_c"), F.lit(0.0))
-        if power == 1:
-            return n * off
-        return n * (F.coalesce(F.col(f"_v_{mark}"), F.lit(0.0)) + off * off)
-
-    weight = F.col("_n_in")
-    centred = totals.withColumn(
-        "_c",
-        F.coalesce(
-            F.sum(weight * F.coalesce("_m_in", F.lit(0.0))).over(whole) / F.nullif(F.sum(weight).over(whole), F.lit(0)),
-            F.lit(0.0),
-        ),
-    )
-    parts = centred.select(
-        *group, CUT, "_c", "_rows", (F.col("_s_in") - F.col("_s_out")).alias("_s0"),
-        (F.col("_n_in") - F.col("_n_out")).alias("_n"),
-        (shifted("in", 1) - shifted("out", 1)).alias("_s1"),
-        (shifted("in", 2) - shifted("out", 2)).alias("_s2"),
-    )
-    names = ["_rows", "_n", "_s0", "_s1", "_s2"]
-    carry = parts.select(
-        *group, "_c", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_k{c}") for c in names]
-    )
-    ranked = Window.partitionBy(*group).orderBy(*(["_at", "_sign", "_tie"] if with_ties else ["_at"]))
-    if with_ties:
-        inside = ranked.rowsBetween(Window.unboundedPreceding, -1)
-    else:
-        inside = ranked.rangeBetween(Window.unboundedPreceding, -1)
-    # any constant per key will do as centre: the mean of a hot key, the first value of another
-    centre = F.coalesce("_c", F.first("_x", ignorenulls=True).over(ranked.rowsBetween(Window.unboundedPreceding, 0)))
-    off = F.col("_x") - F.col("_c")
-    local = {
-        "_rows": F.col("_sign"),
-        "_n": F.when(F.col("_x").isNotNull(), F.col("_sign")).otherwise(0),
-        "_s0": F.col("_sign") * F.col("_x"),
-        "_s1": F.col("_sign") * off,
-        "_s2": F.col("_sign") * off * off,
-    }
-    zero = F.lit(0)
-    summed = (
-        entries.join(carry, group, "left")
-        .withColumn("_c", centre)
-        .withColumns(
-            {c: F.coalesce(f"_k{c}", zero) + F.coalesce(F.sum(expr).over(inside), zero) for c, expr in local.items()}
-        )
-    )
-    n, s1, s2 = F.col("_n"), F.col("_s1"), F.col("_s2")
-    some = F.nullif(n, F.lit(0))
-    variance = F.greatest(F.lit(0.0), s2 - s1 * s1 / some) / F.nullif(n - 1, F.lit(0))
-    return summed.filter(enters).select(
+        # going back in time, entries come after the rows of their moment if these count, else before them
+        low = F.lit(-(2**62)) + F.pmod(F.xxhash64("_tie"), F.lit(2**40))
+        earlier = {"_block": F.col("_block") - span, "_at": F.col("_at") - span, "_tie": -low if with_ties else low}
+        asked = found.withColumns({**earlier, "_x": F.lit(None).cast(rows.schema["_x"].dataType), "_in": F.lit(0)})
+        entries = rows.drop("_row").unionByName(asked, allowMissingColumns=True)
+        spread = spread.unionByName(spread.withColumns(earlier))
+        found = _moments_before(entries, spread, parts, "_before", True, True, slices).filter("_in = 0")
+        before, own = ({c: F.col(f"{of}.{c}") for c in STATE} for of in ("_before", "_own"))
+        found = found.select(*keys, "_at", "_row", F.struct(*[c.alias(k) for k, c in _merged(before, own).items()]).alias("_own"))
+    known = F.col("_at").isNotNull()
+    n, deviations = F.col("_own.n"), F.col("_own.v")
+    return found.select(
         *keys,
         "_row.*",
-        F.col("_rows").cast("bigint").alias("prior_rows"),
-        (F.col("_s0") / some).alias("prior_avg"),
-        F.when(n > 1, F.sqrt(variance)).alias("prior_stddev"),
+        F.when(known, F.col("_own.r")).otherwise(0).cast("bigint").alias("prior_rows"),
+        F.when(known & (n > 0), F.col("_own.m")).alias("prior_avg"),
+        F.when(known & (n > 1), F.sqrt(deviations / (n - 1))).alias("prior_stddev"),
     )

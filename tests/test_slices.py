@@ -98,6 +98,41 @@ def test_constant_values_have_no_spread(spark):
     assert found.filter("prior_stddev <> 0 or prior_avg <> 100").count() == 0
 
 
+@pytest.mark.parametrize("with_ties", [False, True])
+def test_what_leaves_the_frame_is_gone(spark, with_ties):
+    """Rows whose frame no longer holds the outlier, NaN or infinity have the moments of the plain frame."""
+    odd = [1e6, 1e8, 1e9, 1e12, float("nan"), float("inf"), float("-inf")]
+    data = [
+        (k * 100 + i, f"k{k}" if k else "hot", i, odd[k % len(odd)] if i == 2 else 50 + (i * 7 % 5) / 64)
+        for k in range(14) for i in range(60 if k else 900)
+    ]
+    data = [(n, key, at, x) for n, (_, key, at, x) in enumerate(data)]
+    rows = spark.createDataFrame(data, "id bigint, key string, at bigint, x double")
+    found = trailing_moments(rows, ["key"], "at", "id", "x", 10, with_ties=with_ties, slices=8).collect()
+    by_key = {}
+    for _, key, at, x in data:
+        by_key.setdefault(key, {})[at] = x
+    late = [r for r in found if r["at"] > 13]
+    assert late
+    for r in late:
+        frame = [by_key[r.key][t] for t in range(r["at"] - 10 + with_ties, r["at"])]
+        mean = sum(frame) / len(frame)
+        spread = (sum((v - mean) ** 2 for v in frame) / (len(frame) - 1)) ** 0.5
+        assert r.prior_rows == len(frame)
+        assert abs(r.prior_avg - mean) < 1e-9 and abs(r.prior_stddev - spread) < 1e-9
+
+
+def test_hot_null_key_has_its_history(spark):
+    rows = spark.range(600).select(
+        "id", F.when(F.col("id") % 3 > 0, F.lit("k")).alias("key"), F.col("id").alias("at"), F.lit(1.0).alias("x")
+    )
+    found = trailing_moments(rows, ["key"], "at", "id", "x", None, slices=8).filter("key IS NULL")
+    assert sorted(r.prior_rows for r in found.collect()) == list(range(200))
+    sliced = add_slices(rows, ["key"], "at", "id", slices=8)
+    before = previous_row(sliced, ["key"], "at", "id", ["id"], "p").filter("key IS NULL AND p IS NULL")
+    assert [r.id for r in before.collect()] == [0]
+
+
 @pytest.mark.parametrize("slices", [2, 40])
 def test_percentiles(rows, slices):
     found = exact_percentiles(rows, "key", "x", {"mid": 0.5, "high": 0.95}, slices)
