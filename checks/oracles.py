@@ -114,6 +114,9 @@ SELECT *, prior_avg + 2 * prior_stddev AS prior_upper FROM (
 
 CTE["prior"] = _asof("done", 30, 5)
 CTE["prior_ties"] = _asof("done_ties", 365, 2)
+CTE["done_odd"] = """
+SELECT * REPLACE (CASE WHEN id % 50 = 0 AND duration_seconds IS NOT NULL THEN 1e9 ELSE duration_seconds END AS duration_seconds) FROM done"""
+CTE["prior_odd"] = _asof("done_odd", 3, 2)
 CTE["rolling"] = """
 SELECT *, round((current_duration - prior_avg) / greatest(prior_avg, 1) * 100, 1) AS deviation_pct
 FROM prior WHERE current_duration > prior_upper AND prior_upper > 0"""
@@ -320,7 +323,7 @@ UNION ALL SELECT id, pipeline_id, execution_date, 'slow_run', '-', 2, deviation_
 NEEDS = {
     "done": ["runs"], "done_ties": ["ties"], "baselines": ["done"], "latest": ["done"], "judged": ["baselines", "latest"],
     "baselines_ties": ["done_ties"], "latest_ties": ["done_ties"], "judged_ties": ["baselines_ties", "latest_ties"],
-    "anomalies": ["judged"], "prior": ["done"], "prior_ties": ["done_ties"], "rolling": ["prior"], "robust": ["done"],
+    "anomalies": ["judged"], "prior": ["done"], "prior_ties": ["done_ties"], "done_odd": ["done"], "prior_odd": ["done_odd"], "rolling": ["prior"], "robust": ["done"],
     "ranked": ["done"], "responses": ["runs"], "found": ["responses"], "parsed": ["found"], "filled": ["parsed"],
     "diagnosed": ["runs", "filled"], "signed": ["runs"], "history": ["runs"], "alerts": ["diagnosed"],
     "anomaly_rows": ["anomalies"], "instant": ["gauges", "steps"], "rates": ["counter", "steps"], "drift": ["done"],
@@ -448,6 +451,7 @@ ORACLES: dict[str, str] = {
     "failures_with_history_ties": _sql(f"SELECT id, pipeline_id, total_runs, round(avg_duration, 4) AS avg_duration, recent_statuses FROM ({_history('ties', 365)})", "ties"),
     "unsent_alerts": _sql("SELECT alert_id, subject FROM alerts WHERE alert_id % 3 <> 0", "alerts"),
     "asof_baseline": _sql(f"SELECT {_ASOF} FROM prior", "prior"),
+    "asof_baseline_outliers": _sql(f"SELECT {_ASOF} FROM prior_odd WHERE prior_avg < 1e6", "prior_odd"),
     "asof_baseline_ties": _sql(f"SELECT {_ASOF} FROM prior_ties", "prior_ties"),
     "downstream_impact": "WITH RECURSIVE " + _sql("""
 , reach AS (

@@ -179,6 +179,17 @@ def asof_baseline_ties(spark, d):
     return rules.asof_baselines(_ties(spark, d), days=365, min_runs=2).drop("state", "execution_date", "run_id")
 
 
+def asof_baseline_outliers(spark, d):
+    """One run in fifty lasts a billion seconds: the windows that it has left must show no trace of it.
+
+    Deviations of windows that hold one are too large to be equal to four places in two engines.
+    """
+    odd = (F.col("id") % 50 == 0) & F.col("duration_seconds").isNotNull()
+    runs = _runs(spark, d).withColumn("duration_seconds", F.when(odd, 1e9).otherwise(F.col("duration_seconds")))
+    found = rules.asof_baselines(runs, days=3, min_runs=2).filter("prior_avg < 1e6")
+    return found.drop("state", "execution_date", "run_id")
+
+
 def downstream_impact(spark, d):
     return lineage.downstream_impact(_failing_now(spark, d), derived.edges_from_events(_events(spark, d)))
 
@@ -535,7 +546,7 @@ def partition_gaps(spark, d):
 ALL: list[Query] = [
     scan_runs, append_runs, merge_diagnoses, scan_samples, retained_samples, copy_tables_report, finished_runs,
     runs_in_window, sanitized_run_ids, run_durations, recorded_pipelines, uncovered_pipelines, failures_with_history,
-    failures_with_history_ties, unsent_alerts, asof_baseline, asof_baseline_ties, downstream_impact,
+    failures_with_history_ties, unsent_alerts, asof_baseline, asof_baseline_ties, asof_baseline_outliers, downstream_impact,
     duration_baselines, duration_baselines_success_only, run_history, robust_baselines, rca_distribution, top_failing,
     anomalies_per_day, rca_quality_trend, seven_day_trend, rollup_health, runtime_attribution, distinct_signatures,
     latest_runs, latest_runs_ties, recent_runs, low_success_last10, failure_streaks, failure_streaks_ties,

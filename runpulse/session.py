@@ -16,6 +16,10 @@ SETTINGS = {
 }
 
 
+#: Folders of local applications without the setting, which a live session doesn't accept.
+_local: dict[str, str] = {}
+
+
 def apply_settings(spark: SparkSession) -> SparkSession:
     """Set the runtime options every operator relies on (all can be changed on a live session)."""
     for key, value in SETTINGS.items():
@@ -26,16 +30,17 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, as the cluster names it in `spark.checkpoint.dir`.
 
-    A temporary folder is used only where the setting is missing and Spark runs in local mode.
+    A temporary folder, one per application, is used only where the setting is missing and Spark runs in local mode.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    application = spark.sparkContext.applicationId
+    if application not in _local:
+        _local[application] = tempfile.mkdtemp(prefix="run-")
+    return _local[application]
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:

@@ -1,5 +1,3 @@
-import tempfile
-
 import pytest
 from pyspark.sql import SparkSession
 
@@ -18,8 +16,6 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
     yield apply_settings(session)
     session.stop()
 
