@@ -336,11 +336,11 @@ def similar_incidents(runs: DataFrame) -> DataFrame:
 
 
 def signature_families(failed: DataFrame, bands: int = 8, least: float = 0.6) -> DataFrame:
-    """Fingerprint and family of every failure signature; near-equal signatures share a family.
+    """Fingerprint and family of failure signatures; many near-equal signatures share a family, not all of them do.
 
     Works on the distinct signatures. Signatures that share a minimal word hash in a band are each compared
     with one of them, the smallest fingerprint, never with each other; a family is the smallest fingerprint
-    whose words overlap by `least` or more (Jaccard).
+    whose words overlap by `least` or more (Jaccard). A signature that overlaps with none of those has no row.
     """
     words = F.array_distinct(F.split("signature", " "))
     known = (
@@ -362,16 +362,21 @@ def signature_families(failed: DataFrame, bands: int = 8, least: float = 0.6) ->
 
 
 def near_incidents(runs: DataFrame) -> DataFrame:
-    """Failed runs with the number of earlier failures of the same family of signatures."""
+    """Failed runs with the number of earlier failures of the same family of signatures.
+
+    A signature without a family is its own. A failure without a message has none and no earlier ones.
+    """
     failed = runs.filter(is_state("failed"))
     rows = failed.select(
         "id", "pipeline_id", F.md5(signature("error_message")).alias("fingerprint"), micros("execution_date").alias("_at")
     )
     families = cut_lineage(signature_families(failed), "families")  # one row per signature, read several times
-    named = salted_join(rows, families, ["fingerprint"], "id")
+    named = salted_join(rows, families, ["fingerprint"], "id", "left")
+    named = named.withColumn("family", F.coalesce("family", "fingerprint"))
+    earlier = F.when(F.col("family").isNull(), 0).otherwise(F.col("earlier"))
     return running_totals(
         add_slices(named, ["family"], "_at", "id"), ["family"], "_at", "id", {"earlier": F.lit(1)}, include_current=False
-    ).select("id", "pipeline_id", "fingerprint", "family", F.col("earlier").cast("bigint").alias("earlier"))
+    ).select("id", "pipeline_id", "fingerprint", "family", earlier.cast("bigint").alias("earlier"))
 
 
 def recommended_actions(diagnosed: DataFrame, runbook: DataFrame) -> DataFrame:

@@ -139,6 +139,15 @@ def test_near_incidents_count_earlier_members_of_the_family(spark, runs):
     assert len(rows) == runs.filter("state = 'failed'").count()
 
 
+def test_near_incidents_keep_failures_without_a_message(spark, runs):
+    failed = runs.filter("state = 'failed'")
+    third = F.when(F.col("id") % 3 > 0, F.col("error_message"))
+    rows = diagnosis.near_incidents(failed.withColumn("error_message", third)).collect()
+    assert len(rows) == failed.count()
+    bare = [r for r in rows if r.fingerprint is None]
+    assert bare and all(r.family is None and r.earlier == 0 for r in bare)
+
+
 def test_anomalies_are_explained_or_get_the_fixed_record(spark):
     prompts = spark.createDataFrame([("a", "p"), ("b", "q")], "pipeline_id string, prompt string")
 
