@@ -229,45 +229,13 @@ def _prefix_rows(texts: DataFrame, size: int, common) -> DataFrame:
 
 
 def _shared(rows: DataFrame, owner: str) -> DataFrame:
-    """The distinct rows whose `token` has more than one `owner`; rows of a token are sorted, never gathered."""
-    names = rows.columns
+    """The rows whose `token` has more than one `owner`, all of them: a token's least and largest owner tell.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, ahead = None, None  # a batch waits until the next shows whether its last token goes on
-
-        def emit(batch, before, after):
-            token, own = batch.column("token").to_numpy(), batch.column(owner).to_numpy()
-            n = len(token)
-            # the owners of a token are sorted, so a token with several has a neighbour with another owner
-            change = np.zeros(n + 1, dtype=bool)
-            change[1:n] = (token[1:] == token[:-1]) & (own[1:] != own[:-1])
-            change[0] = before is not None and before[0] == token[0] and before[1] != own[0]
-            change[n] = after is not None and after[0] == token[-1] and after[1] != own[-1]
-            return token, own, change
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            first = (batch.column("token")[0].as_py(), batch.column(owner)[0].as_py())
-            if table is not None:
-                yield from flags(table, ahead, first, emit)
-                ahead = (table.column("token")[-1].as_py(), table.column(owner)[-1].as_py())
-            table = batch
-        if table is not None:
-            yield from flags(table, ahead, None, emit)
-
-    def flags(batch, before, after, emit):
-        token, own, change = emit(batch, before, after)
-        runs = np.r_[True, (token[1:] != token[:-1]) | (own[1:] != own[:-1])]
-        number = np.cumsum(runs) - 1
-        left, right = change[:-1], change[1:]
-        near = np.bincount(number, left | right) > 0
-        yield batch.filter(pa.array(near[number]))
-
-    # all rows of a (token, owner) lie together; the first of a run has the change on its left, the last on its right
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    by = ["token", owner, *[c for c in names if c not in ("token", owner)]]
-    return rows.repartition("token").sortWithinPartitions(*by).mapInArrow(run, fields)
+    One shuffle by token; the rows of a token are spilled to disk where they are many.
+    """
+    of_token = Window.partitionBy("token")
+    seen = rows.withColumn("_low", F.min(owner).over(of_token)).withColumn("_high", F.max(owner).over(of_token))
+    return seen.filter("_low <> _high").drop("_low", "_high")
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, classes: DataFrame, size: int) -> DataFrame:
