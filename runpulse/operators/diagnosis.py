@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from runpulse import schemas
 from runpulse.functions.measures import or_zero
 from runpulse.functions.text import cut, error_class, fixed, signature
+from runpulse.llm.components import connected_components
 from runpulse.operators.baselines import WINDOW_DAYS, is_state, recent_run_lists
 from runpulse.operators.joins import salted_join
 from runpulse.operators.slices import DAY_US, add_slices, micros, previous_row, previous_rows, running_totals, trailing_moments
@@ -336,35 +337,67 @@ def similar_incidents(runs: DataFrame) -> DataFrame:
 
 
 def signature_families(failed: DataFrame, bands: int = 8, least: float = 0.6) -> DataFrame:
-    """Fingerprint and family of failure signatures; many near-equal signatures share a family, not all of them do.
+    """Fingerprint and family of every failure signature: the smallest fingerprint it is linked with, directly or through others.
 
-    Works on the distinct signatures. Signatures that share a minimal word hash in a band are each compared
-    with one of them, the smallest fingerprint, never with each other; a family is the smallest fingerprint
-    whose words overlap by `least` or more (Jaccard). A signature that overlaps with none of those has no row.
+    Works on the distinct signatures; two are linked if their words overlap by `least` or more (Jaccard). Signatures that
+    share a minimal word hash in a band are first compared with the smallest fingerprint that has it, which groups most
+    near-equal ones with one comparison per band. All linked pairs of different groups are then found: they share a word
+    among the rarest ones of both, as many as leave fewer than a link needs.
     """
     words = F.array_distinct(F.split("signature", " "))
-    known = (
+    known = cut_lineage(
         failed.select(signature("error_message").alias("signature"))
         .filter(F.col("signature").isNotNull())
         .distinct()
-        .select(F.md5("signature").alias("fingerprint"), words.alias("words"))
+        .select(F.md5("signature").alias("fingerprint"), words.alias("words")),
+        "signatures",
     )
+    overlap = lambda a, b: F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))
     hashes = F.array(*[F.array_min(F.transform("words", lambda w, b=b: F.xxhash64(w, F.lit(b)))) for b in range(bands)])
     banded = known.select("fingerprint", "words", F.posexplode(hashes).alias("band", "hash"))
     first = banded.groupBy("band", "hash").agg(F.min(F.struct("fingerprint", "words")).alias("first"))
-    overlap = F.size(F.array_intersect("words", "first.words")) / F.size(F.array_union("words", "first.words"))
-    return (
+    stars = (
         salted_join(banded, first, ["band", "hash"], "fingerprint")
-        .filter(overlap >= least)
-        .groupBy("fingerprint")
-        .agg(F.min("first.fingerprint").alias("family"))
+        .filter((F.col("fingerprint") != F.col("first.fingerprint")) & (overlap("words", "first.words") >= least))
+        .select(F.col("fingerprint").alias("u"), F.col("first.fingerprint").alias("v"))
+    )
+    stars = cut_lineage(stars.distinct(), "stars")
+    parts = connected_components(stars)
+    grouped = cut_lineage(
+        known.join(parts, F.col("fingerprint") == F.col("node"), "left").select(
+            "fingerprint", "words", F.size("words").alias("n"), F.coalesce("component", "fingerprint").alias("grp")
+        ),
+        "grouped",
+    )
+    each = grouped.select("fingerprint", "grp", "n", F.explode("words").alias("word"))
+    spread = each.groupBy("word").agg(F.count("*").alias("df"), F.min("grp").alias("low"), F.max("grp").alias("high"))
+    rarest = Window.partitionBy("fingerprint").orderBy("df", "word")
+    prefix = (
+        each.join(spread, "word")
+        .withColumn("at", F.row_number().over(rarest))
+        .filter(F.col("at") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1)
+        .filter("low <> high")
+    )
+    prefix = cut_lineage(prefix.select("word", "fingerprint", "grp", "n"), "prefix")
+    side = lambda mark: prefix.select("word", *[F.col(c).alias(f"{c}_{mark}") for c in ("fingerprint", "grp", "n")])
+    pairs = (
+        side("u").join(side("v"), "word")
+        .filter((F.col("grp_u") < F.col("grp_v")) & (F.least("n_u", "n_v") >= F.greatest("n_u", "n_v") * least - 1e-9))
+        .select(F.col("fingerprint_u").alias("u"), F.col("fingerprint_v").alias("v"))
+        .distinct()
+    )
+    of = lambda name, at: known.select(F.col("fingerprint").alias(at), F.col("words").alias(name))
+    across = pairs.join(of("a", "u"), "u").join(of("b", "v"), "v").filter(overlap("a", "b") >= least).select("u", "v")
+    families = connected_components(stars.unionByName(across))
+    return known.join(families, F.col("fingerprint") == F.col("node"), "left").select(
+        "fingerprint", F.coalesce("component", "fingerprint").alias("family")
     )
 
 
 def near_incidents(runs: DataFrame) -> DataFrame:
     """Failed runs with the number of earlier failures of the same family of signatures.
 
-    A signature without a family is its own. A failure without a message has none and no earlier ones.
+    A failure without a message has none and no earlier ones.
     """
     failed = runs.filter(is_state("failed"))
     rows = failed.select(
