@@ -25,12 +25,15 @@ SWAP, STRETCH, DOUBLED, SPACED, SPLIT, PLAIN = -1.5, -0.7, -5.0, -0.3, -3.0, -4.
 BEAM = 48
 
 _SIGNS = re.escape("".join(DISGUISES))
-#: Words with a sign between or before letters, letters three or more times, or single letters with separators.
-SUSPECT = re.compile(
-    rf"(?<![^\W_])(?:[^\W\d_][\s._\-*]{{1,2}}){{3,}}[^\W\d_](?![^\W_])"
-    rf"|(?<!\S)[{_SIGNS}]?(?:[^\W_]|[{_SIGNS}._\-*])*?(?:[^\W\d_][{_SIGNS}._\-*]{{1,2}}[^\W\d_]|(?<!\S)[{_SIGNS}][^\W\d_]"
-    rf"|([^\W\d_])\1\1)(?:[^\W_]|[{_SIGNS}._\-*])*"
-)
+#: What the lattice takes for a separator: all but letters, digits and signs.
+_BETWEEN = rf"(?:[^\w{_SIGNS}]|_)"
+_UNIT = rf"(?:[^\W\d_]|[{_SIGNS}])"
+#: Words the lattice may change: with a sign, a letter twice, or separators inside.
+SUSPECT = re.compile(rf"[{_SIGNS}]|([^\W\d_])\1|[^\W_]{_BETWEEN}+[^\W_]", re.IGNORECASE)
+#: Single letters or signs, each perhaps repeated, with one to three separators.
+SINGLES = re.compile(rf"(?<![^\W_])({_UNIT})\1*(?:{_BETWEEN}{{1,3}}({_UNIT})\2*)+(?![^\W_])", re.IGNORECASE)
+_WORD = re.compile(r"[^\W_]+")
+_LEFT, _RIGHT = re.compile(r"^[\W_]+"), re.compile(r"[\W_]+$")
 
 _TABLE = np.full(256, BOUNDARY, dtype=np.int64)
 _TABLE[ord("a") : ord("z") + 1] = _TABLE[ord("A") : ord("Z") + 1] = np.arange(1, 27)
@@ -79,7 +82,8 @@ class Decoder:
     """Most probable plain form of a disguised word or row of single letters."""
 
     def __init__(self, model: np.ndarray, remember: int = 100_000):
-        self.model, self.remember, self.known = model, remember, {}
+        self.model, self.remember, self.known, self.symbols = model, remember, {}, {}
+        self.flat = model.ravel().tolist()
 
     def __call__(self, text: str) -> str:
         found = self.known.get(text)
@@ -119,84 +123,57 @@ class Decoder:
                 while at < len(text) and not text[at].isalnum() and text[at] not in DISGUISES:
                     at += 1
 
+    def _symbols(self, letters: str) -> list[int]:
+        found = self.symbols.get(letters)
+        if found is None:
+            points = np.frombuffer(letters.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+            found = self.symbols[letters] = symbols(points).tolist()
+        return found
+
     def _decode(self, text: str) -> str:
-        model = self.model
-        states = {(BOUNDARY, BOUNDARY): (0.0, "")}
+        model = self.flat
+        states: dict = {(BOUNDARY, BOUNDARY): (0.0, None)}  # the form of a state is a chain of its last letters and the rest
         for choices in [*self._lattice(text), [(" ", 0.0)]]:
             after: dict = {}
+            choices = [(letters, extra, self._symbols(letters)) for letters, extra in choices]
             for (a, b), (cost, done) in states.items():
-                for letters, extra in choices:
+                for letters, extra, own in choices:
                     x, y, total = a, b, cost + extra
-                    for s in symbols(np.frombuffer(letters.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)).tolist():
-                        total += float(model[x, y, s])
+                    for s in own:
+                        total += model[(x * SYMBOLS + y) * SYMBOLS + s]
                         x, y = y, s
                     if (x, y) not in after or after[x, y][0] < total:
-                        after[x, y] = (total, done + letters)
+                        after[x, y] = (total, (done, letters))
             if len(after) > BEAM:
                 after = dict(sorted(after.items(), key=lambda kv: -kv[1][0])[:BEAM])
             states = after
-        return max(states.values())[1].strip()
-
-
-_SIGN = np.zeros(256, dtype=bool)
-_SIGN[[ord(c) for c in "0134578@$!|+._-*"]] = True
-_SIGN[0xAC] = True  # last byte of the euro sign
-_LETTER = np.zeros(256, dtype=bool)
-_LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
-_WHITE = np.zeros(256, dtype=bool)
-_WHITE[[9, 10, 11, 12, 13, 32]] = True
-_GAP = _WHITE.copy()
-_GAP[[ord(c) for c in "._-*"]] = True
-
-
-def _anchors(d: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Places where a disguise may be: a sign before a letter, a character three times, neighbouring single letters."""
-    edge = np.zeros(len(d) + 1, dtype=bool)
-    edge[offsets] = True
-    at = np.zeros(len(d) + 8, dtype=bool)
-    gap = np.r_[_GAP[d], np.ones(8, dtype=bool)]
-    d = np.r_[d, np.full(8, 32, dtype=np.uint8)]
-    letter = _LETTER[d]
-    at[:-1] |= _SIGN[d[:-1]] & letter[1:]
-    same = d[:-1] == d[1:]
-    at[:-2] |= same[:-1] & same[1:] & letter[2:]
-    two = d[:-2] == d[2:]
-    at[:-5] |= (d[:-5] >= 0xC2) & two[:-3] & two[1:-2] & two[2:-1] & two[3:]
-    ends = np.r_[edge[1:], np.ones(8, dtype=bool)]  # whether a row ends behind a byte
-    closed = np.r_[gap[1:], True] | ends
-    opened = np.r_[True, gap[:-1]] | np.r_[edge[:-1], np.zeros(8, dtype=bool)]
-    single = letter & (d < 128) & closed
-    single[:-1] |= (d[:-1] >= 0xC2) & (d[:-1] < 0xE0) & closed[1:]
-    single &= opened
-    for step in (2, 3, 4):
-        near = single[:-step] & single[step:]
-        at[:-step] |= near
-        at[step:] |= near
-    return np.flatnonzero(at[: len(d) - 8])
-
-
-def suspect_regions(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, bytes]]:
-    """(row, stretch between white space) around every anchor, neighbouring stretches joined."""
-    at = _anchors(data, offsets)
-    if not len(at):
-        return []
-    row = np.searchsorted(offsets, at, side="right") - 1
-    white = np.flatnonzero(_WHITE[data])
-    place = np.searchsorted(white, at)
-    white = np.r_[white, len(data)]
-    start = np.where(place > 0, white[np.maximum(place - 1, 0)] + 1, 0)
-    start, end = np.maximum(start, offsets[row]), np.minimum(white[place], offsets[row + 1])
-    fresh = np.r_[True, (start[1:] > end[:-1] + 2) | (row[1:] != row[:-1])]
-    first = np.flatnonzero(fresh)
-    stop = np.maximum.reduceat(end, first)
-    return [
-        (r, data[a:b].tobytes()) for r, a, b in zip(row[first].tolist(), start[first].tolist(), stop.tolist())
-    ]
+        done, parts = max(states.values(), key=lambda v: v[0])[1], []
+        while done is not None:
+            done, letters = done
+            parts.append(letters)
+        return "".join(reversed(parts)).strip()
+
+
+class _Restored(dict):
+    """Plain forms of stretches, empty where the words stay as they stand; signs at the ends may be mere punctuation."""
+
+    def __init__(self, decoder: Decoder):
+        self.decoder = decoder
+
+    def __missing__(self, stretch: str) -> str:
+        bare = _RIGHT.sub("", stretch)
+        forms = [f for f in dict.fromkeys((stretch, bare, _LEFT.sub("", bare))) if SUSPECT.search(f)]
+        plain = _WORD.findall(stretch.lower())
+        found = self[stretch] = " ".join(x for x in map(self.decoder, forms) if _WORD.findall(x) != plain)
+        return found
 
 
 def restored_rows(data: np.ndarray, offsets: np.ndarray, decoder: Decoder) -> list[str]:
     """For each row the plain forms of all its disguised stretches, as one text."""
-    found: list[list[str]] = [[] for _ in range(len(offsets) - 1)]
-    for row, region in suspect_regions(data, offsets):
-        found[row] += [decoder(m.group()) for m in SUSPECT.finditer(region.decode())]
-    return [" ".join(x) for x in found]
+    known, rows = _Restored(decoder), []
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+        text = data[a:b].tobytes().decode()
+        found = [x for x in map(known.__getitem__, text.split()) if x]
+        found += [x for m in SINGLES.finditer(text) if (x := known[m.group()])]
+        rows.append(" ".join(found))
+    return rows

@@ -1,6 +1,11 @@
 """Places where a part of the job was once left out."""
 
+import numpy as np
+import pyarrow as pa
+
+from runpulse.llm.deobfuscation import SYMBOLS, Decoder, restored_rows, symbol_model, symbols
 from runpulse.llm.jaccard import _shared
+from runpulse.llm.words import column_bytes
 
 
 def test_owners_with_more_rows_than_a_batch_keep_them_all(spark):
@@ -14,3 +19,23 @@ def test_owners_with_more_rows_than_a_batch_keep_them_all(spark):
     finally:
         spark.conf.set(name, before)
     assert sorted(map(tuple, got)) == [r for r in rows if len(owners[r[0]]) > 1]
+
+
+def test_combined_disguises_are_decoded():
+    plain = "the moron said an idiot like a loser and an ass to hate that stupid kid not dumb trash and pathetic clown " * 50
+    s = symbols(np.array([ord(c) for c in f"  {plain}  "]))
+    counts = np.bincount((s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:], minlength=SYMBOLS**3).astype(float)
+    decoder = Decoder(symbol_model(counts))
+    want = {
+        "m 0 r 0 n": "moron", "m.0.r.0.n": "moron", "i - d - i - o - t": "idiot", "l053r": "loser", "a55": "ass", "@$$": "ass",
+        "idi07": "idiot", "stuupid": "stupid", "i/d/i/o/t": "idiot", "s t u p 1 d": "stupid", "a s s": "ass", "(idi0t)": "idiot",
+        "idi0t!": "idiot", "$tuupid,": "stupid", "m\u00b70\u00b7r\u00b70\u00b7n": "moron", "STuUPid": "stupid", "id-iot": "idiot",
+    }
+    rows = [f"the kid said {x} to the clown" for x in want]
+    got = restored_rows(*column_bytes(pa.array([*rows, "", "the kid said that"])), decoder)
+    missed = {x: g for (x, w), g in zip(want.items(), got) if w not in g.split()}
+    assert not missed
+    assert got[-2:] == ["", ""]
+    seen = []
+    restored_rows(*column_bytes(pa.array(["i h8 it"])), lambda x: seen.append(x) or "")
+    assert "h8" in seen
