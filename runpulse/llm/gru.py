@@ -107,36 +107,41 @@ class Gru:
             at += steps
         return total
 
-    def train(self, texts: list[np.ndarray], epochs: int = 4, batch: int = 32, rate: float = 0.01, seed: int = 1) -> None:
-        """Adam on truncated windows; each batch holds texts of like length, and the state goes on to the next window."""
+    def train(self, texts: list[np.ndarray], rate: float = 0.01, batch: int = 32, seed: int = 1, memory: dict | None = None) -> None:
+        """One pass of Adam on truncated windows; each batch holds texts of like length, and the state goes on to the next window.
+
+        `memory` keeps the moments from one call to the next.
+        """
         rng = np.random.Generator(np.random.PCG64(seed))
         by_length = sorted((t for t in texts if len(t)), key=len)
         batches = [by_length[i : i + batch] for i in range(0, len(by_length), batch)]
-        first = {k: np.zeros_like(v) for k, v in self.p.items()}
-        second = {k: np.zeros_like(v) for k, v in self.p.items()}
-        step = 0
-        for epoch in range(epochs):
-            for number in rng.permutation(len(batches)):
-                group = batches[number]
-                longest = max(map(len, group))
-                ids = np.zeros((longest, len(group)), dtype=np.int64)
-                real = np.zeros(ids.shape, dtype=bool)
-                for k, t in enumerate(group):
-                    ids[: len(t), k], real[: len(t), k] = t, True
-                state = np.zeros((len(group), UNITS), dtype=np.float32)
-                last = np.zeros(len(group), dtype=np.int64)
-                for at in range(0, longest, WINDOW):
-                    targets, mask = ids[at : at + WINDOW], real[at : at + WINDOW]
-                    inputs = np.concatenate([last[None], targets[:-1]])
-                    grads, state = self._gradients(inputs, targets, mask, state)
-                    last = targets[-1]
-                    step += 1
-                    now = rate * (1 - epoch / epochs)
-                    for k, g in grads.items():
-                        first[k] += np.float32(0.1) * (g - first[k])
-                        second[k] += np.float32(0.01) * (g * g - second[k])
-                        scale = now / (1 - 0.9**step)
-                        self.p[k] -= np.float32(scale) * first[k] / (np.sqrt(second[k] / np.float32(1 - 0.99**step)) + np.float32(1e-6))
+        memory = {} if memory is None else memory
+        if not memory:
+            memory.update(first={k: np.zeros_like(v) for k, v in self.p.items()}, second={k: np.zeros_like(v) for k, v in self.p.items()}, step=0)
+        first, second = memory["first"], memory["second"]
+        for number in rng.permutation(len(batches)):
+            group = batches[number]
+            lengths = np.array([len(t) for t in group])
+            state = np.zeros((len(group), UNITS), dtype=np.float32)
+            last = np.zeros(len(group), dtype=np.int64)
+            for at in range(0, int(lengths[-1]), WINDOW):
+                done = int(np.searchsorted(lengths, at, side="right")) - (len(group) - len(last))  # texts that end before
+                state, last = state[done:], last[done:]
+                live = group[len(group) - len(last) :]
+                steps = min(WINDOW, int(lengths[-1]) - at)
+                targets = np.zeros((steps, len(live)), dtype=np.int64)
+                mask = np.zeros(targets.shape, dtype=bool)
+                for k, t in enumerate(live):
+                    part = t[at : at + steps]
+                    targets[: len(part), k], mask[: len(part), k] = part, True
+                grads, state = self._gradients(np.concatenate([last[None], targets[:-1]]), targets, mask, state)
+                last = targets[-1]
+                memory["step"] += 1
+                scale = rate / (1 - 0.9 ** memory["step"])
+                for k, g in grads.items():
+                    first[k] += np.float32(0.1) * (g - first[k])
+                    second[k] += np.float32(0.01) * (g * g - second[k])
+                    self.p[k] -= np.float32(scale) * first[k] / (np.sqrt(second[k] / np.float32(1 - 0.99 ** memory["step"])) + np.float32(1e-6))
 
     def _gradients(self, inputs, targets, mask, state):
         p, u = self.p, UNITS

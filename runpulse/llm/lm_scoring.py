@@ -18,8 +18,8 @@ from runpulse.session import cut_lineage
 END = mix(np.array([0xE0D], dtype=np.uint64))
 #: Most frequent words with an id (the end is one of them), and rest classes.
 WORDS, REST = 1024, 64
-#: Sample the network is fitted on: texts, and tokens of each at most (a stretch at a place given by its hash).
-SAMPLE_DOCS, SAMPLE_TOKENS = 640, 1024
+#: Passes over all training texts; the weights of the parts are averaged after each.
+ROUNDS = 2
 
 
 def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,25 +91,39 @@ class _Scored(TermReader):
 
 
 def _fit(training: DataFrame, vocabulary: np.ndarray, totals: np.ndarray) -> Gru:
-    """A network fitted on a sample of bounded size: the training texts of smallest id hash."""
-    ids = _Ids(vocabulary)
-    chosen = training.select("_id", "_text", F.xxhash64("_id", "_text").alias("_h")).orderBy("_h")
-    keys = chosen.select("_h").limit(SAMPLE_DOCS)
+    """A network fitted on all training texts, whole.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                terms, kinds, _ = _tokens(batch.column("_text").slice(row, 1))
-                spare = max(0, len(terms) - SAMPLE_TOKENS)
-                at = batch.column("_h")[row].as_py() % (spare + 1)
-                own = ids(terms, kinds)[at : at + SAMPLE_TOKENS].astype("<i4")
-                yield pa.record_batch({"h": batch.column("_h").slice(row, 1), "ids": pa.array([own.tobytes()], pa.binary())})
-
-    sample = training.withColumn("_h", F.xxhash64("_id", "_text")).join(F.broadcast(keys), "_h", "left_semi")
-    rows = sample.select("_h", "_text").mapInArrow(run, "h bigint, ids binary").orderBy("h", "ids").limit(SAMPLE_DOCS).collect()
+    In each round every partition goes on from the same weights over its own texts, and the weights that come out are
+    averaged by the tokens they have seen, in a tree; their size does not depend on the input.
+    """
     network = Gru(WORDS, REST)
     network.start_from(totals)
-    network.train([np.frombuffer(r["ids"], "<i4").astype(np.int64) for r in rows])
+    context = training.sparkSession.sparkContext
+    for number in range(ROUNDS):
+        model = context.broadcast((vocabulary, network.p))
+        rate = 0.01 * (1 - number / ROUNDS)
+
+        def run(batches: Iterator[pa.RecordBatch], model=model, rate=rate) -> Iterator[pa.RecordBatch]:
+            known, start = model.value
+            ids, own = _Ids(known), Gru(WORDS, REST, parameters={k: v.copy() for k, v in start.items()})
+            seen, memory = 0, {}
+            for whole in batches:
+                for batch in pieces_of(whole, "_text"):
+                    terms, kinds, counts = _tokens(batch.column("_text"))
+                    own.train(np.split(ids(terms, kinds), np.cumsum(counts)[:-1]), rate, seed=1 + seen, memory=memory)
+                    seen += len(terms)
+            if seen:
+                flat = np.concatenate([own.p[k].ravel() for k in sorted(own.p)])
+                yield pa.record_batch({"seen": pa.array([seen], pa.int64()), "weights": pa.array([flat.tobytes()], pa.binary())})
+
+        parts = training.select("_text").mapInArrow(run, "seen bigint, weights binary").rdd
+        each = parts.map(lambda r: (r["seen"], np.frombuffer(r["weights"], np.float32).astype(np.float64) * r["seen"]))
+        seen, total = each.treeAggregate((0, 0.0), lambda x, y: (x[0] + y[0], x[1] + y[1]), lambda x, y: (x[0] + y[0], x[1] + y[1]))
+        at = 0
+        for k in sorted(network.p) if seen else ():
+            shape, size = network.p[k].shape, network.p[k].size
+            network.p[k] = (total[at : at + size] / seen).astype(np.float32).reshape(shape)
+            at += size
     return network
 
 
@@ -120,8 +134,9 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Texts whose id's crc32 leaves `remainder` are held out; all others are counted, whole. `base_score`
     is the smoothed unigram score. The model is a gated recurrent network over the WORDS most frequent tokens and
     REST rest classes of all other words; in a rest class a word has its smoothed share of the class's counts,
-    so the whole vocabulary of the corpus, which grows with it, takes part. The network is fitted on a sample of at most
-    SAMPLE_DOCS times SAMPLE_TOKENS tokens; the counts are those of the whole corpus, joined to block postings.
+    so the whole vocabulary of the corpus, which grows with it, takes part. The network is fitted on all
+    training texts, whole, so its weights depend a little on how the input is cut into partitions; the counts are those of
+    the whole corpus, joined to block postings.
 
     A null or empty text is the end token alone. A null id counts as training. Equal rows each give a row; other
     columns are ignored. An empty table gives no rows; without any training token all counts are 0.

@@ -1,10 +1,14 @@
 """Places where a part of the job was once left out."""
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from runpulse.llm.deobfuscation import SYMBOLS, Decoder, restored_rows, symbol_model, symbols
 from runpulse.llm.jaccard import _shared
+from runpulse.llm.lm_scoring import score_documents
 from runpulse.llm.words import column_bytes
 
 
@@ -39,3 +43,18 @@ def test_combined_disguises_are_decoded():
     seen = []
     restored_rows(*column_bytes(pa.array(["i h8 it"])), lambda x: seen.append(x) or "")
     assert "h8" in seen
+
+
+def test_all_training_texts_reach_the_network(spark):
+    rng = np.random.default_rng(5)
+    some = [f"w{k}" for k in range(30)]
+    train = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 5 != 1]
+    rows = [(i, " ".join(rng.choice(some, 5)) if k % 2 else "left right " * 30) for k, i in enumerate(train)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("h", F.xxhash64("doc_id", "text"))
+    # the 640 texts of smallest hash are all without the pair of words
+    edge = frame.filter("text NOT LIKE 'left%'").approxQuantile("h", [0.5], 0.0)[0]
+    frame = frame.filter(f"text NOT LIKE 'left%' OR h > {int(edge)}").drop("h")
+    probe = next(i for i in range(5000, 9000) if zlib.crc32(str(i).encode()) % 5 == 1)
+    every = frame.unionByName(spark.createDataFrame([(probe, "left right " * 30)], frame.schema)).coalesce(1)
+    got = {r.doc_id: r for r in score_documents(every).collect()}[probe]
+    assert got.held_out and got.score - got.base_score > 0.1 * got.n_tokens
