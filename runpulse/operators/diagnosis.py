@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from runpulse import schemas
 from runpulse.functions.measures import or_zero
 from runpulse.functions.text import cut, error_class, fixed, signature
-from runpulse.llm.components import connected_components
 from runpulse.operators.baselines import WINDOW_DAYS, is_state, recent_run_lists
+from runpulse.operators.components import connected_components
 from runpulse.operators.joins import salted_join
 from runpulse.operators.slices import DAY_US, add_slices, micros, previous_row, previous_rows, running_totals, trailing_moments
 from runpulse.session import cut_lineage

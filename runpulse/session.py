@@ -52,4 +52,14 @@ def cut_lineage(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and read it back, so that later steps start from the table."""
     path = fresh_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `cut_lineage` wrote, once everything made from them is written as well."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.written_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
