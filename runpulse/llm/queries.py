@@ -1,16 +1,19 @@
-"""The registered queries of the ten operators, each over its whole table with production parameters."""
+"""The registered queries of the operators, each over its whole table with production parameters."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from runpulse.llm.ann import nearest_neighbours
+from runpulse.llm.chat_format import conversation_digests, pack_trees, read_turns
 from runpulse.llm.decontamination import contained_items
 from runpulse.llm.jaccard import jaccard_components
 from runpulse.llm.license_scan import scan_licenses
 from runpulse.llm.lm_scoring import score_documents
 from runpulse.llm.packing import pack_documents
+from runpulse.llm.prefix_trie import shared_openings
 from runpulse.llm.quality import quality_scores
+from runpulse.llm.spelling_variants import damaged_runs, variant_forms
 from runpulse.llm.statements import ORACLES  # noqa: F401
 from runpulse.llm.token_counts import token_counts
 from runpulse.llm.toxicity import toxicity_scores
@@ -24,7 +27,7 @@ URL_RULES = [
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 ]
-#: Tokenizer files of the two queries that need one; `tokenizer_path` says where they are.
+#: Tokenizer files of the queries that need one; `tokenizer_path` says where they are.
 COUNT_FILE, PACK_FILE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
@@ -85,10 +88,29 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("score", F.round("score", 12))  # the last bits depend on the order of a sum
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = damaged_runs(table(spark, sf_dir, "documents"))
+    return variant_forms(runs.groupBy("word").agg(F.count("*").alias("n")).filter("n >= 2"))
+
+
+def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    tokenizer = tokenizer_path(COUNT_FILE)
+    packed = pack_trees(conversations.unionByName(more), tokenizer)
+    return conversation_digests(read_turns(packed, tokenizer))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_openings(table(spark, sf_dir, "conversations")).drop("node", "parent")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_benchmark_decontamination, op2_quality_classifier, op3_toxicity, op4_ngram_jaccard_join, op5_best_fit_packing,
-        op6_url_filters, op7_token_counts, op8_lm_scoring, op9_license_scans, op10_nearest_neighbours,
+        op6_url_filters, op7_token_counts, op8_lm_scoring, op9_license_scans, op10_nearest_neighbours, op11_spelling_variants,
+        op12_chat_formatting, op13_conversation_trie,
     )
 }

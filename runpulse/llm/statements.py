@@ -151,7 +151,101 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, round(score, 12) AS score FROM r WHERE n <= 5
 """
 
+#: crc32 by its table of 256 entries; `_crc(hex)` is the unsigned sum over the bytes that a hex text spells.
+_CRC_TABLE = """list_transform(range(256), lambda b: list_reduce(range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b))"""
+
+
+def _crc(text: str) -> str:
+    return f"""xor(list_reduce(list_transform(range(0, length(hex({text})) // 2), lambda i: CAST('0x' || substring(hex({text}), 2 * i + 1, 2) AS BIGINT)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"""
+
+
+VARIANTS = f"""
+WITH RECURSIVE crc AS (SELECT {_CRC_TABLE} AS t),
+raw AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{7,}}')) AS run FROM documents),
+runs AS (
+    SELECT concat(doc_id, ':', translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS named,
+        translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k
+    FROM raw GROUP BY ALL),
+hashed AS (SELECT run, k, {_crc("named")} AS h FROM runs, crc),
+lost AS (
+    SELECT CASE WHEN h % 31 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word, k FROM hashed),
+vocabulary AS (
+    SELECT word, CAST(sum(k) AS BIGINT) AS n, CAST(length(word) AS BIGINT) AS l FROM lost WHERE length(word) >= 7
+    GROUP BY word HAVING sum(k) >= 2),
+cut AS (SELECT word, n, i, substring(word, 1, i) || substring(word, i + 2) AS rest FROM (SELECT *, unnest(range(l)) AS i FROM vocabulary)),
+near AS (
+    SELECT a.word, b.word AS other, b.n AS m FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM cut a JOIN vocabulary b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM cut a JOIN vocabulary b ON a.rest = b.word),
+ranked AS (
+    SELECT word, other, m, count(*) OVER (PARTITION BY word) AS n_near,
+        row_number() OVER (PARTITION BY word ORDER BY m DESC, other) AS k FROM near),
+formed AS (
+    SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN other END AS form, CASE WHEN m >= 10 * n THEN m END AS form_n
+    FROM vocabulary v LEFT JOIN ranked r ON r.word = v.word AND r.k = 1),
+up AS (
+    SELECT word, word AS root FROM formed
+    UNION ALL SELECT u.word, f.form FROM up u JOIN formed f ON f.word = u.root WHERE f.form IS NOT NULL),
+roots AS (SELECT u.word, u.root FROM up u JOIN formed f ON f.word = u.root WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
+"""
+
+CHAT = """
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+sized AS (
+    SELECT *, length(role) + length(text)
+        + len(regexp_extract_all(role || ' ' || text, '\\\\|</?s>|\\[/?INST\\]')) + length('[INST][/INST]</s>') AS chars
+    FROM said)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(chars) AS BIGINT) + length('<s>') AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+TRIE = f"""
+WITH crc AS (SELECT {_CRC_TABLE} AS t),
+own AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+    FROM conversations WHERE conv_id IS NOT NULL),
+sizes AS (SELECT conv_id, count(*) AS n FROM own GROUP BY conv_id),
+convs AS (
+    SELECT a.conv_id, h, a.conv_id - a.conv_id % 20 AS base, least(h, coalesce(b.n, 0)) AS taken
+    FROM (SELECT *, {_crc("CAST(conv_id AS VARCHAR)")} % 4 AS h FROM sizes, crc) a LEFT JOIN sizes b ON b.conv_id = a.conv_id - a.conv_id % 20),
+turns AS (
+    SELECT c.conv_id, o.place AS depth, role, text FROM convs c JOIN own o ON o.conv_id = c.base AND o.place <= c.h
+    UNION ALL SELECT c.conv_id, o.place - h + taken, role, text FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.place > c.h),
+steps AS (
+    SELECT conv_id, depth, list({{'role': role, 'text': text}}) OVER w AS said, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+    FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING)),
+keyed AS (
+    SELECT conv_id, depth, md5(CAST(said AS VARCHAR)) AS node, lag(md5(CAST(said AS VARCHAR)), 1, 'root') OVER (PARTITION BY conv_id ORDER BY depth) AS parent, words
+    FROM steps UNION ALL SELECT conv_id, 0, 'root', NULL, 0 FROM convs),
+nodes AS (
+    SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, any_value(words) AS words, count(*) AS n_convs, min(conv_id) AS conv_id
+    FROM keyed GROUP BY node),
+kids AS (SELECT parent AS node, count(*) AS n FROM nodes GROUP BY parent),
+full_nodes AS (SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN kids k USING (node)),
+below AS (
+    SELECT a.node, sum((b.n_children = 0)::INT) AS n_leaves, sum((b.n_convs - 1) * b.words) AS saved
+    FROM (SELECT DISTINCT u.node, d.node AS under FROM keyed u JOIN keyed d ON d.conv_id = u.conv_id AND d.depth >= u.depth) a
+    JOIN full_nodes b ON b.node = a.under GROUP BY a.node),
+last AS (SELECT conv_id, node FROM keyed QUALIFY depth = max(depth) OVER (PARTITION BY conv_id)),
+ended AS (SELECT node, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS h FROM last GROUP BY node)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+    CAST(saved AS BIGINT) AS saved_tokens, coalesce(h, sha256('')) AS ends_sha256
+FROM full_nodes n JOIN below USING (node) LEFT JOIN nodes p ON p.node = n.parent LEFT JOIN ended e ON e.node = n.node
+"""
+
 ORACLES = {
+    "op11_spelling_variants": VARIANTS,
+    "op12_chat_formatting": CHAT,
+    "op13_conversation_trie": TRIE,
     "op1_benchmark_decontamination": DECONTAMINATION,
     "op4_ngram_jaccard_join": JACCARD,
     "op6_url_filters": URLS,
