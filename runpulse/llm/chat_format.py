@@ -137,8 +137,11 @@ def pack_trees(conversations: DataFrame, tokenizer: str) -> PackedTrees:
 def _ordered(paths: DataFrame) -> DataFrame:
     """`conv_id`, `tree` (the node of the first turn) and `line`: the conversation's place in an order that keeps openings together."""
     branches = paths.groupBy("parent", "node").agg(F.lit(1)).groupBy("parent").agg(F.count("*").alias("_ways")).filter("_ways > 1")
-    marked = paths.join(branches, "parent", "left")
-    step = F.when((F.col("place") == 1) | F.col("_ways").isNotNull(), F.struct("place", "node"))
+    # the first turns of all conversations have one parent, so they stay out of the join
+    later = paths.filter("place > 1").join(branches, "parent", "left")
+    later = later.select("conv_id", "place", F.when(F.col("_ways").isNotNull(), F.col("node")).alias("node"))
+    marked = paths.filter("place = 1").select("conv_id", "place", "node").unionByName(later)
+    step = F.when(F.col("node").isNotNull(), F.struct("place", "node"))
     keys = marked.groupBy("conv_id").agg(F.sort_array(F.collect_list(step)).alias("_steps"), F.max("place").alias("turns"))
     keys = keys.select("conv_id", "turns", F.col("_steps")["node"].alias("path"))
     keys = keys.withColumn("tree", F.col("path")[0])
