@@ -50,8 +50,8 @@ SELECT event_id AS id, 'dag_' || user_id AS pipeline_id, 'team_' || (user_id % 5
        CASE WHEN event_type = 'error' THEN event_id % 6 END AS error_id,
        CASE WHEN event_type = 'error' THEN {_list(ERROR_TEXTS)}[event_id % 6 + 1] END AS error_message,
        CASE WHEN event_type = 'error' THEN
-         ['FileNotFoundError', 'ConnectionError', 'SparkException', 'OperationalError', 'PermissionError',
-          'ConnectionError'][event_id % 6 + 1] END AS error_type
+         ['MemoryError', 'SchemaMismatch', 'TimeoutError', 'AccessError', 'LookupError',
+          'ServiceError'][event_id % 6 + 1] END AS error_type
 FROM events"""
 
 CTE["ties"] = """
@@ -168,16 +168,15 @@ CTE["parsed"] = (
     + ", ".join(f"TRY_CAST(json_extract_string(body, '$.{c}') AS {t}) AS {c}" for c, t in _GET.items())
     + " FROM found"
 )
-_LOST = diagnosis.FALLBACKS[0]
 CTE["filled"] = f"""
-SELECT id, status, CASE WHEN status = 'parse_error' THEN {_q(_LOST[5])} ELSE root_cause END AS root_cause,
-  CASE WHEN status = 'parse_error' THEN {_q(_LOST[1])} ELSE root_cause_category END AS root_cause_category,
+SELECT id, status, CASE WHEN status = 'parse_error' THEN 'no diagnosis (parse_error)' ELSE root_cause END AS root_cause,
+  CASE WHEN status = 'parse_error' THEN 'configuration' ELSE root_cause_category END AS root_cause_category,
   CASE WHEN status = 'parse_error' THEN 0.0 ELSE confidence END AS confidence,
-  CASE WHEN status = 'parse_error' THEN {_q(_LOST[6])} ELSE immediate_fix END AS immediate_fix,
-  CASE WHEN status = 'parse_error' THEN {_q(_LOST[7])} ELSE prevention END AS prevention,
+  CASE WHEN status = 'parse_error' THEN 'read the messages of the run itself' ELSE immediate_fix END AS immediate_fix,
+  CASE WHEN status = 'parse_error' THEN 'not known' ELSE prevention END AS prevention,
   CASE WHEN status = 'parse_error' THEN true ELSE retry_recommended END AS retry_recommended,
-  CASE WHEN status = 'parse_error' THEN {_LOST[3]} ELSE estimated_fix_time_minutes END AS estimated_fix_time_minutes,
-  CASE WHEN status = 'parse_error' THEN {_q(_LOST[2])} ELSE severity END AS severity
+  CASE WHEN status = 'parse_error' THEN 10 ELSE estimated_fix_time_minutes END AS estimated_fix_time_minutes,
+  CASE WHEN status = 'parse_error' THEN 'medium' ELSE severity END AS severity
 FROM parsed"""
 CTE["diagnosed"] = """
 SELECT r.*, r.end_date AS created_at, f.root_cause AS rca_root_cause, f.root_cause_category AS rca_category,
@@ -212,20 +211,19 @@ SELECT id AS alert_id, pipeline_id, task_id, execution_date, upper(rca_severity)
   {_case('upper(rca_severity)', EMOJI, NO_EMOJI)} AS emoji, {_case('upper(rca_severity)', COLOUR, NO_COLOUR)} AS colour,
   CAST(trunc(coalesce(rca_confidence, 0) * 100) AS INTEGER) AS confidence_pct,
   array_to_string(list_transform(string_split(rca_category, '_'), lambda w: upper(w[1]) || w[2:]), ' ') AS category,
-  rca_root_cause AS root_cause, coalesce(rca_immediate_fix, 'See the run table') AS immediate_fix,
-  coalesce(rca_prevention, 'None given') AS prevention,
+  rca_root_cause AS root_cause, coalesce(rca_immediate_fix, 'not known') AS immediate_fix,
+  coalesce(rca_prevention, 'not known') AS prevention,
   coalesce(CAST(rca_estimated_fix_minutes AS VARCHAR), '?') AS fix_minutes,
   CASE WHEN rca_retry_recommended THEN 'Yes' ELSE 'No' END AS retry, coalesce(rca_model_used, 'unknown') AS model,
   error_message AS error_excerpt, strftime(created_at, '%Y-%m-%d %H:%M UTC') AS generated,
-  '[' || upper(rca_severity) || '] Pipeline failure: ' || pipeline_id || ' | Task: ' || task_id || ' | Diagnosis ready' AS subject,
+  lower(rca_severity) || ' / ' || pipeline_id || ' / ' || task_id || ' / ' || category AS subject,
   '{LINK}' || pipeline_id AS link
 FROM diagnosed WHERE state = 'failed' AND rca_root_cause IS NOT NULL"""
 CTE["anomaly_rows"] = f"""
 SELECT pipeline_id, run_id, execution_date, 'MEDIUM' AS severity, '{ANOMALY_COLOUR}' AS colour,
-  '[ANOMALY/MEDIUM] Pipeline ' || pipeline_id || ' duration spike detected' AS subject,
-  pipeline_id || ': ' || {_fixed('current_duration', 0)} || 's (avg ' || {_fixed('avg_duration', 0)} || 's, +'
-    || {_fixed('deviation_pct', 0)} || '%) No explanation available' AS text,
-  'unknown' AS likely_cause, {_q(diagnosis.ANOMALY_FALLBACK['recommended_action'])} AS recommended_action,
+  'medium / ' || pipeline_id || ' / slow run' AS subject,
+  {_fixed('current_duration', 0)} || ' s instead of ' || {_fixed('avg_duration', 0)} || ' s: not explained' AS text,
+  'unknown' AS likely_cause, 'compare this run with the ones before it' AS recommended_action,
   false AS escalate_to_oncall, 'No' AS escalate, current_duration, avg_duration, deviation_pct, '{LINK}' || pipeline_id AS link
 FROM anomalies"""
 
@@ -376,20 +374,13 @@ def _violations() -> str:
     return "list_filter([" + ", ".join(parts) + "], lambda x: x IS NOT NULL)"
 
 
-def _block(kind: str, body: str) -> str:
-    return f"CAST(json_object('type', '{kind}', 'text', {body}) AS VARCHAR)"
-
-
 _BLOCKS = " || ',' || ".join(
-    [
-        _block("header", "emoji || ' Pipeline failure diagnosed'"),
-        "CAST(json_object('type', 'fields', 'pipeline', pipeline_id, 'task', task_id, 'severity', severity, "
-        "'confidence', confidence_pct || '%') AS VARCHAR)",
-        _block("cause", "root_cause"),
-        _block("fix", "immediate_fix"),
-        _block("context", "'Category: ' || category || ' | Fix: ' || fix_minutes || 'min | Retry: ' || retry || ' | Model: ' || model"),
-        _block("link", "link"),
-    ]
+    f"CAST(json_object('part', {parts}) AS VARCHAR)"
+    for parts in (
+        "'what', 'emoji', emoji, 'severity', severity, 'pipeline_id', pipeline_id, 'task_id', task_id, 'link', link",
+        "'why', 'category', category, 'root_cause', root_cause, 'confidence_pct', CAST(confidence_pct AS VARCHAR), 'model', model",
+        "'then', 'immediate_fix', immediate_fix, 'prevention', prevention, 'fix_minutes', fix_minutes, 'retry', retry",
+    )
 )
 
 _RULE_CASE = lambda field: "CASE " + " ".join(
@@ -397,22 +388,21 @@ _RULE_CASE = lambda field: "CASE " + " ".join(
 ) + f" ELSE {_q(diagnosis.DEFAULT_RULE[field - 1])} END"
 
 _PROMPT = f"""
-'A data pipeline failed. Find the cause and answer with one JSON object only.' || chr(10) || chr(10) || 'FAILURE' || chr(10) || 'pipeline: ' || r.pipeline_id
-|| chr(10) || 'task: ' || task_id || chr(10) || 'time: ' || strftime(execution_date, '%Y-%m-%d %H:%M:%S')
-|| chr(10) || 'seconds before failure: ' || {_fixed('duration_seconds')} || chr(10) || 'error type: ' || error_type
-|| chr(10) || 'message: ' || error_message || chr(10) || chr(10) || 'LOG' || chr(10) || error_message
-|| chr(10) || chr(10) || 'HISTORY' || chr(10) || 'runs: ' || total_runs || chr(10) || 'mean seconds: ' || {_fixed('avg_duration')}
-|| chr(10) || 'last states: ' || recent_statuses || chr(10) || chr(10) || 'KEYS' || chr(10) || {_q(', '.join(_GET))}
-|| chr(10) || 'categories: ' || {_q(', '.join(schemas.CATEGORIES))} || chr(10) || 'severities: ' || {_q(', '.join(schemas.SEVERITIES))} || chr(10)"""
+'Why did `run` fail? Reply with nothing but a JSON object that has the keys of `answer`.' || chr(10) || CAST(json_object(
+  'run', json_object('pipeline_id', r.pipeline_id, 'task_id', task_id, 'execution_date', strftime(execution_date, '%Y-%m-%d %H:%M:%S'),
+    'duration_seconds', {_fixed('duration_seconds')}, 'error_type', error_type, 'error_message', error_message),
+  'before', json_object('total_runs', CAST(total_runs AS VARCHAR), 'avg_duration', {_fixed('avg_duration')}, 'recent_statuses', recent_statuses),
+  'log', error_message,
+  'answer', json_object('keys', {_q(', '.join(_GET))}, 'root_cause_category', {_q(', '.join(schemas.CATEGORIES))},
+    'severity', {_q(', '.join(schemas.SEVERITIES))})) AS VARCHAR)"""
 
 _ANOMALY_PROMPT = f"""
-'A pipeline run took unusually long. Explain it and answer with one JSON object only.' || chr(10) || chr(10) || 'ANOMALY' || chr(10) || 'pipeline: ' || a.pipeline_id
-|| chr(10) || 'current seconds: ' || {_fixed('current_duration')} || chr(10) || 'mean seconds: ' || {_fixed('avg_duration')}
-|| chr(10) || 'deviation seconds: ' || {_fixed('stddev_duration')} || chr(10) || 'above mean: ' || {_fixed('deviation_pct')} || '%'
-|| chr(10) || 'upper bound seconds: ' || {_fixed('upper_threshold')} || chr(10) || 'runs: ' || total_runs
-|| chr(10) || 'success rate: ' || {_fixed('success_rate_pct')} || '%' || chr(10) || chr(10) || 'RUNS' || chr(10) || lines
-|| chr(10) || chr(10) || 'KEYS' || chr(10) || {_q(', '.join(schemas.ANOMALY_DIAGNOSIS.fieldNames()))}
-|| chr(10) || 'causes: ' || {_q(', '.join(schemas.ANOMALY_CAUSES))} || chr(10)"""
+'Why did `run` take so long? Reply with nothing but a JSON object that has the keys of `answer`.' || chr(10) || CAST(json_object(
+  'run', json_object('pipeline_id', a.pipeline_id, {', '.join(f"'{c}', {_fixed(c)}" for c in (
+      'current_duration', 'avg_duration', 'stddev_duration', 'deviation_pct', 'upper_threshold', 'success_rate_pct'))},
+    'total_runs', CAST(total_runs AS VARCHAR)),
+  'last_runs', lines,
+  'answer', json_object('keys', {_q(', '.join(schemas.ANOMALY_DIAGNOSIS.fieldNames()))}, 'likely_cause', {_q(', '.join(schemas.ANOMALY_CAUSES))})) AS VARCHAR)"""
 
 _RUNBOOK = "(VALUES " + ", ".join(f"({_q(c)}, {_q(a)}, {str(s).lower()})" for c, a, s in diagnosis.RUNBOOK) + ") AS b(category, action, is_safe)"
 _TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -438,6 +428,12 @@ ORACLES: dict[str, str] = {
     "scan_runs": _sql("SELECT id, pipeline_id, task_id, run_id, execution_date, end_date, round(duration_seconds, 4) AS duration_seconds, state, error_type FROM runs", "runs"),
     "append_runs": _sql("SELECT id, pipeline_id, strftime(execution_date, '%Y-%m-%d') AS run_date, state, round(duration_seconds, 4) AS duration_seconds, length(error_message) AS message_length FROM runs", "runs"),
     "merge_diagnoses": _sql("SELECT id, state, rca_root_cause, rca_category, round(rca_confidence, 4) AS rca_confidence, rca_immediate_fix, rca_prevention, rca_severity, rca_retry_recommended, rca_estimated_fix_minutes, rca_generated_at, rca_model_used FROM diagnosed", "diagnosed"),
+    "stored_diagnoses": _sql("SELECT id, strftime(execution_date, '%Y-%m-%d') AS run_date, state, rca_root_cause, rca_category, round(rca_confidence, 4) AS rca_confidence, rca_immediate_fix, rca_prevention, rca_severity, rca_retry_recommended, rca_estimated_fix_minutes, rca_generated_at, rca_model_used FROM diagnosed", "diagnosed"),
+    "explained_anomalies": _sql("""
+SELECT pipeline_id, run_id, round(current_duration, 4) AS current_duration,
+  CASE WHEN n % 3 = 0 THEN 'unknown' WHEN n % 2 = 0 THEN 'data_volume_spike' ELSE 'resource_contention' END AS likely_cause,
+  CASE WHEN n % 3 = 0 THEN 'medium' ELSE 'high' END AS severity, n % 3 <> 0 AND n % 2 = 0 AS escalate_to_oncall
+FROM (SELECT *, CAST(substr(pipeline_id, 5) AS BIGINT) AS n FROM anomalies)""", "anomalies"),
     "scan_samples": _sql("SELECT ts, metric, node, NULL::VARCHAR AS mode, pipeline, namespace, round(value, 4) AS value FROM gauges UNION ALL SELECT ts, 'node_cpu_seconds_total', node, mode, NULL, NULL, round(value, 4) FROM counter", "gauges", "counter"),
     "retained_samples": _sql(f"SELECT ts, metric, node, NULL::VARCHAR AS mode, pipeline, namespace, round(value, 4) AS value FROM gauges WHERE ts > {T0} - INTERVAL 7 DAY", "gauges"),
     "copy_tables_report": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS source_rows, count(*) AS copied_rows, true AS same_content FROM {t}" for t in _TABLES),
@@ -538,7 +534,7 @@ SELECT {_HIT} FROM (
     "rca_prompts": _sql(f"SELECT id, prompt, length(prompt) AS prompt_length FROM (SELECT r.id, {_PROMPT} AS prompt FROM runs r JOIN history USING (id))", "runs", "history"),
     "anomaly_prompts": _sql(f"""
 SELECT a.pipeline_id, {_ANOMALY_PROMPT} AS prompt FROM anomalies a JOIN (
-  SELECT pipeline_id, string_agg('Run ' || recency || ': ' || {_fixed('duration_seconds')} || 's (' || state || ')', chr(10) ORDER BY recency) AS lines
+  SELECT pipeline_id, string_agg({_fixed('duration_seconds')} || ' ' || state, '; ' ORDER BY recency) AS lines
   FROM ranked WHERE recency <= 5 GROUP BY pipeline_id) USING (pipeline_id)""", "anomalies", "ranked"),
     "parsed_diagnoses": _sql("SELECT * REPLACE (round(confidence, 4) AS confidence) FROM parsed", "parsed"),
     "diagnosis_violations": _sql(f"SELECT id, status, len(v) AS n_violations, array_to_string(v, ', ') AS violations FROM (SELECT id, status, CASE WHEN status = 'parse_error' THEN ['no answer'] ELSE {_violations()} END AS v FROM parsed)", "parsed"),

@@ -12,10 +12,10 @@ from runpulse.functions.measures import grade, seconds_between
 from runpulse.functions.text import safe_id
 from runpulse.operators import alerts, baselines, diagnosis, lineage, quality, rules, text
 from runpulse.operators import timeseries as ts
-from runpulse.plans.anomaly_check import anomaly_check
+from runpulse.plans.anomaly_check import anomaly_check, explained_anomalies as with_explanations, explanations
 from runpulse.plans.failure_diagnosis import diagnose_failures, diagnosed_runs
 from runpulse.session import apply_settings, cut_lineage, fresh_dir
-from runpulse.sources import derived, sinks, tables
+from runpulse.sources import derived, run_store, sinks, tables
 from runpulse.sources.derived import AS_OF, COUNTER, TIES_AS_OF
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,6 +111,32 @@ def merge_diagnoses(spark, d):
     )
 
 
+def stored_diagnoses(spark, d):
+    """Each write runs twice under its name, and once more under another; the table stays the same."""
+    path, runs = fresh_dir(spark, "store"), _runs(spark, d)
+    filled = diagnosis.with_fallback(_parsed(spark, d))
+    found = diagnosis.as_diagnosis_columns(filled)
+    for write in ("one", "one", "two"):
+        run_store.append_once(runs, path, f"runs-{write}")
+        run_store.store_diagnoses(found, path, f"diagnoses-{write}")
+    return run_store.read_store(spark, path).select(
+        "id", F.date_format("run_date", "yyyy-MM-dd").alias("run_date"), "state", "rca_root_cause", "rca_category", "rca_confidence",
+        "rca_immediate_fix", "rca_prevention", "rca_severity", "rca_retry_recommended", "rca_estimated_fix_minutes", "rca_generated_at",
+        "rca_model_used",
+    )
+
+
+def explained_anomalies(spark, d):
+    anomalies = anomaly_check(_runs(spark, d), AS_OF)["anomalies"]
+    prompts = diagnosis.anomaly_prompts(anomalies, _runs(spark, d))
+    given = explanations(prompts, derived.sample_explainer)
+    both = with_explanations(anomalies, given)
+    return both.select(
+        "pipeline_id", "anomaly.run_id", "anomaly.current_duration", "explanation.likely_cause", "explanation.severity",
+        "explanation.escalate_to_oncall",
+    )
+
+
 def scan_samples(spark, d):
     return _labels_as_columns(_samples(spark, d))
 
@@ -544,7 +570,7 @@ def partition_gaps(spark, d):
 
 
 ALL: list[Query] = [
-    scan_runs, append_runs, merge_diagnoses, scan_samples, retained_samples, copy_tables_report, finished_runs,
+    scan_runs, append_runs, merge_diagnoses, stored_diagnoses, explained_anomalies, scan_samples, retained_samples, copy_tables_report, finished_runs,
     runs_in_window, sanitized_run_ids, run_durations, recorded_pipelines, uncovered_pipelines, failures_with_history,
     failures_with_history_ties, unsent_alerts, asof_baseline, asof_baseline_ties, asof_baseline_outliers, downstream_impact,
     duration_baselines, duration_baselines_success_only, run_history, robust_baselines, rca_distribution, top_failing,

@@ -42,19 +42,16 @@ def failure_alerts(diagnosed: DataFrame, excerpt_length: int | None = None) -> D
         lookup(level, COLOUR, NO_COLOUR).alias("colour"),
         confidence.alias("confidence_pct"),
         title(_or("rca_category", "unknown")).alias("category"),
-        _or("rca_root_cause", "Unknown").alias("root_cause"),
-        _or("rca_immediate_fix", "See the run table").alias("immediate_fix"),
-        _or("rca_prevention", "None given").alias("prevention"),
+        _or("rca_root_cause", "not known").alias("root_cause"),
+        _or("rca_immediate_fix", "not known").alias("immediate_fix"),
+        _or("rca_prevention", "not known").alias("prevention"),
         _or("rca_estimated_fix_minutes", "?").alias("fix_minutes"),
         yes_no("rca_retry_recommended").alias("retry"),
         _or("rca_model_used", "unknown").alias("model"),
         cut("error_message", excerpt_length).alias("error_excerpt"),
         F.date_format("created_at", "yyyy-MM-dd HH:mm 'UTC'").alias("generated"),
     )
-    subject = F.concat(
-        F.lit("["), "severity", F.lit("] Pipeline failure: "), "pipeline_id", F.lit(" | Task: "),
-        _or("task_id", "unknown_task"), F.lit(" | Diagnosis ready"),
-    )
+    subject = F.concat_ws(" / ", F.lower("severity"), "pipeline_id", "task_id", "category")
     link = F.concat(F.lit(LINK), "pipeline_id")
     return (
         rows.withColumn("subject", subject)
@@ -64,29 +61,14 @@ def failure_alerts(diagnosed: DataFrame, excerpt_length: int | None = None) -> D
 
 
 def _failure_blocks() -> Column:
-    text = lambda kind, body: F.to_json(F.struct(F.lit(kind).alias("type"), body.alias("text")))
-    fields = F.to_json(
-        F.struct(
-            F.lit("fields").alias("type"),
-            F.col("pipeline_id").alias("pipeline"),
-            _or("task_id", "unknown_task").alias("task"),
-            "severity",
-            F.concat(F.col("confidence_pct").cast("string"), F.lit("%")).alias("confidence"),
-        )
-    )
-    context = F.concat(
-        F.lit("Category: "), "category", F.lit(" | Fix: "), "fix_minutes", F.lit("min | Retry: "), "retry",
-        F.lit(" | Model: "), "model",
-    )
+    """The message as a JSON list: one block per part, each with what stands in the alert's columns."""
+    part = lambda name, *columns: F.struct(F.lit(name).alias("part"), *columns)
     blocks = [
-        text("header", F.concat("emoji", F.lit(" Pipeline failure diagnosed"))),
-        fields,
-        text("cause", F.col("root_cause")),
-        text("fix", F.col("immediate_fix")),
-        text("context", context),
-        text("link", F.col("link")),
+        part("what", "emoji", "severity", "pipeline_id", _or("task_id", "").alias("task_id"), "link"),
+        part("why", "category", "root_cause", F.col("confidence_pct").cast("string").alias("confidence_pct"), "model"),
+        part("then", "immediate_fix", "prevention", "fix_minutes", "retry"),
     ]
-    return F.concat(F.lit("["), F.concat_ws(",", *blocks), F.lit("]"))
+    return F.concat(F.lit("["), F.concat_ws(",", *[F.to_json(b) for b in blocks]), F.lit("]"))
 
 
 def anomaly_alerts(
@@ -104,16 +86,15 @@ def anomaly_alerts(
         given = explanations.select("pipeline_id", *[F.col(c).cast("string").alias(f"_{c}") for c in names])
         joined = anomalies.join(given, "pipeline_id", "left")
     level = F.upper(F.coalesce("_severity", F.lit(ANOMALY_FALLBACK["severity"])))
-    explanation = F.coalesce("_anomaly_explanation", F.lit("No explanation available"))
-    text = F.concat(
-        F.col("pipeline_id"), F.lit(": "), fixed("current_duration", 0), F.lit("s (avg "), fixed("avg_duration", 0),
-        F.lit("s, +"), fixed("deviation_pct", 0), F.lit("%) "), cut(explanation, text_length),
+    explanation = F.coalesce("_anomaly_explanation", F.lit("not explained"))
+    text = F.concat_ws(
+        " ", fixed("current_duration", 0), F.lit("s instead of"), fixed("avg_duration", 0), F.lit("s:"), cut(explanation, text_length)
     )
     return joined.select(
         "pipeline_id", "run_id", "execution_date",
         level.alias("severity"),
         F.lit(ANOMALY_COLOUR).alias("colour"),
-        F.concat(F.lit("[ANOMALY/"), level, F.lit("] Pipeline "), "pipeline_id", F.lit(" duration spike detected")).alias("subject"),
+        F.concat_ws(" / ", F.lower(level), "pipeline_id", F.lit("slow run")).alias("subject"),
         text.alias("text"),
         F.coalesce("_likely_cause", F.lit(ANOMALY_FALLBACK["likely_cause"])).alias("likely_cause"),
         F.coalesce("_recommended_action", F.lit(ANOMALY_FALLBACK["recommended_action"])).alias("recommended_action"),

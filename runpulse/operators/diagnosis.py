@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -29,27 +31,19 @@ ERROR_RULES = (
 )
 DEFAULT_RULE = ("configuration", "medium")
 
-# What stands in for a missing diagnosis
-# (status, category, severity, minutes to fix, retry, cause, fix, prevention, affected).
+# What stands in for a missing diagnosis (status, category, severity, minutes to fix, retry).
 FALLBACKS = (
-    ("parse_error", "configuration", "medium", 10, True, "The answer was not valid JSON",
-     "Read the generator's log and lower its temperature", "Check the answer format before release", "Diagnosis unavailable"),
-    ("timeout", "resource_exhaustion", "medium", 5, True, "The generator did not answer in time",
-     "Check the load of the generator", "Give the generator more memory or a smaller model", "Diagnosis unavailable"),
-    ("unreachable", "connectivity", "high", 15, False, "The generator could not be reached",
-     "Check that the generator is running and reachable", "Check the generator before each run", "All diagnoses unavailable"),
-    ("job_error", "configuration", "medium", 15, True, "The diagnosis job failed",
-     "Check the diagnosis job and its network access", "Start the generator before the job", "Unknown"),
-)
-FALLBACK_SCHEMA = (
-    "status string, category string, severity string, minutes int, retry boolean, "
-    "cause string, fix string, prevent string, affected string"
+    ("parse_error", "configuration", "medium", 10, True),
+    ("timeout", "resource_exhaustion", "medium", 5, True),
+    ("unreachable", "connectivity", "high", 15, False),
+    ("job_error", "configuration", "medium", 15, True),
 )
+FALLBACK_SCHEMA = "status string, category string, severity string, minutes int, retry boolean"
 # The stand-in for a missing anomaly explanation.
 ANOMALY_FALLBACK = {
     "likely_cause": "unknown",
     "confidence": 0.5,
-    "recommended_action": "Review the recent logs of the pipeline and the system resources",
+    "recommended_action": "compare this run with the ones before it",
     "severity": "medium",
     "escalate_to_oncall": False,
     "estimated_resolution_minutes": 30,
@@ -119,52 +113,50 @@ def list_text(items: Column | str) -> Column:
 def diagnosis_prompts(
     failures: DataFrame, log_length: int | None = None, message_length: int | None = None
 ) -> DataFrame:
-    """One prompt per failure that asks for the diagnosis as a JSON object; texts are whole unless lengths are given."""
-    log = F.coalesce(cut("error_message", log_length), F.lit(""))
-    prompt = F.concat(
-        F.lit("A data pipeline failed. Find the cause and answer with one JSON object only.\n\nFAILURE\npipeline: "),
-        "pipeline_id",
-        F.lit("\ntask: "), F.coalesce("task_id", F.lit("unknown_task")),
-        F.lit("\ntime: "), F.date_format("execution_date", "yyyy-MM-dd HH:mm:ss"),
-        F.lit("\nseconds before failure: "), fixed(or_zero("duration_seconds")),
-        F.lit("\nerror type: "), F.coalesce("error_type", F.lit("Unknown")),
-        F.lit("\nmessage: "), F.coalesce(cut("error_message", message_length), F.lit("")),
-        F.lit("\n\nLOG\n"), log,
-        F.lit("\n\nHISTORY\nruns: "), F.col("total_runs").cast("string"),
-        F.lit("\nmean seconds: "), fixed("avg_duration"),
-        F.lit("\nlast states: "), list_text("recent_statuses"),
-        F.lit("\n\nKEYS\n" + ", ".join(schemas.DIAGNOSIS.fieldNames())),
-        F.lit("\ncategories: " + ", ".join(schemas.CATEGORIES)),
-        F.lit("\nseverities: " + ", ".join(schemas.SEVERITIES) + "\n"),
+    """One prompt per failure: a line that asks for a JSON object, and what is known as JSON; texts are whole unless lengths are given."""
+    known = F.struct(
+        F.struct(
+            "pipeline_id",
+            F.coalesce("task_id", F.lit("")).alias("task_id"),
+            F.date_format("execution_date", "yyyy-MM-dd HH:mm:ss").alias("execution_date"),
+            fixed(or_zero("duration_seconds")).alias("duration_seconds"),
+            F.coalesce("error_type", F.lit("")).alias("error_type"),
+            F.coalesce(cut("error_message", message_length), F.lit("")).alias("error_message"),
+        ).alias("run"),
+        F.struct(
+            F.col("total_runs").cast("string").alias("total_runs"),
+            fixed("avg_duration").alias("avg_duration"),
+            list_text("recent_statuses").alias("recent_statuses"),
+        ).alias("before"),
+        F.coalesce(cut("error_message", log_length), F.lit("")).alias("log"),
+        _wanted(schemas.DIAGNOSIS, root_cause_category=schemas.CATEGORIES, severity=schemas.SEVERITIES).alias("answer"),
     )
+    prompt = F.concat(F.lit(DIAGNOSIS_TASK + "\n"), F.to_json(known))
     return failures.withColumn("prompt", prompt).withColumn("prompt_length", F.length("prompt").cast("bigint"))
 
 
+#: First lines of the prompts.
+DIAGNOSIS_TASK = "Why did `run` fail? Reply with nothing but a JSON object that has the keys of `answer`."
+ANOMALY_TASK = "Why did `run` take so long? Reply with nothing but a JSON object that has the keys of `answer`."
+
+
+def _wanted(schema: T.StructType, **choices) -> Column:
+    """Keys of the wanted answer and, for each of `choices`, the values to choose from, as one struct."""
+    text = lambda values: F.lit(", ".join(values))
+    return F.struct(text(schema.fieldNames()).alias("keys"), *[text(values).alias(name) for name, values in choices.items()])
+
+
 def anomaly_prompts(anomalies: DataFrame, runs: DataFrame, last: int = 5) -> DataFrame:
-    """One prompt per anomaly with its last runs, the newest as `Run 1`."""
+    """One prompt per anomaly with its last runs, newest first: a line that asks for a JSON object, and what is known as JSON."""
     lists = recent_run_lists(runs, last)
-    lines = F.transform(
-        "recent_runs",
-        lambda r, i: F.concat(
-            F.lit("Run "), (i + 1).cast("string"), F.lit(": "), fixed(r["duration_seconds"]), F.lit("s ("),
-            F.coalesce(r["state"], F.lit("unknown")), F.lit(")"),
-        ),
-    )
-    history = F.coalesce(F.nullif(F.array_join(lines, "\n"), F.lit("")), F.lit("No history available"))
-    prompt = F.concat(
-        F.lit("A pipeline run took unusually long. Explain it and answer with one JSON object only.\n\nANOMALY\npipeline: "),
-        "pipeline_id",
-        F.lit("\ncurrent seconds: "), fixed("current_duration"),
-        F.lit("\nmean seconds: "), fixed("avg_duration"),
-        F.lit("\ndeviation seconds: "), fixed("stddev_duration"),
-        F.lit("\nabove mean: "), fixed("deviation_pct"), F.lit("%"),
-        F.lit("\nupper bound seconds: "), fixed("upper_threshold"),
-        F.lit("\nruns: "), F.col("total_runs").cast("string"),
-        F.lit("\nsuccess rate: "), fixed("success_rate_pct"), F.lit("%"),
-        F.lit("\n\nRUNS\n"), history,
-        F.lit("\n\nKEYS\n" + ", ".join(schemas.ANOMALY_DIAGNOSIS.fieldNames())),
-        F.lit("\ncauses: " + ", ".join(schemas.ANOMALY_CAUSES) + "\n"),
+    seen = F.transform("recent_runs", lambda r: F.concat_ws(" ", fixed(r["duration_seconds"]), F.coalesce(r["state"], F.lit("unknown"))))
+    numbers = ("current_duration", "avg_duration", "stddev_duration", "deviation_pct", "upper_threshold", "success_rate_pct")
+    known = F.struct(
+        F.struct("pipeline_id", *[fixed(c).alias(c) for c in numbers], F.col("total_runs").cast("string").alias("total_runs")).alias("run"),
+        F.coalesce(F.array_join(seen, "; "), F.lit("")).alias("last_runs"),
+        _wanted(schemas.ANOMALY_DIAGNOSIS, likely_cause=schemas.ANOMALY_CAUSES).alias("answer"),
     )
+    prompt = F.concat(F.lit(ANOMALY_TASK + "\n"), F.to_json(known))
     return anomalies.join(lists, "pipeline_id", "left").withColumn("prompt", prompt).drop("recent_runs")
 
 
@@ -234,18 +226,19 @@ def with_fallback(parsed: DataFrame) -> DataFrame:
     known = F.col("status").isin(*[r[0] for r in FALLBACKS], "ok", "extracted")
     kind = F.when(F.coalesce(known, F.lit(False)), F.col("status")).otherwise("job_error")
     joined = parsed.join(F.broadcast(records), kind == F.col("_known"), "left")
-    lost = F.col("cause").isNotNull()
+    lost = F.col("category").isNotNull()
+    none = F.lit("not known")
     filled = {
-        "root_cause": F.col("cause"),
+        "root_cause": F.concat(F.lit("no diagnosis ("), "_known", F.lit(")")),
         "root_cause_category": F.col("category"),
         "confidence": F.lit(0.0),
-        "immediate_fix": F.col("fix"),
-        "prevention": F.col("prevent"),
+        "immediate_fix": F.lit("read the messages of the run itself"),
+        "prevention": none,
         "retry_recommended": F.col("retry"),
         "estimated_fix_time_minutes": F.col("minutes"),
         "severity": F.col("level"),
-        "affected_downstream": F.col("affected"),
-        "similar_past_incidents": F.lit("none"),
+        "affected_downstream": none,
+        "similar_past_incidents": none,
     }
     return joined.select(
         *[F.when(lost, filled[c]).otherwise(F.col(c)).alias(c) if c in filled else F.col(c) for c in parsed.columns]
@@ -255,7 +248,7 @@ def with_fallback(parsed: DataFrame) -> DataFrame:
 def with_anomaly_fallback(parsed: DataFrame) -> DataFrame:
     """Fill the anomaly explanations without an answer from the fixed record."""
     lost = ~F.col("status").isin("ok", "extracted")
-    fixed_values = {**ANOMALY_FALLBACK, "anomaly_explanation": "No explanation available"}
+    fixed_values = {**ANOMALY_FALLBACK, "anomaly_explanation": "not explained"}
     return parsed.withColumns(
         {c: F.when(lost, F.lit(v)).otherwise(F.col(c)) for c, v in fixed_values.items()}
     )
@@ -283,37 +276,103 @@ def as_diagnosis_columns(diagnoses: DataFrame) -> DataFrame:
 
 Generator = Callable[[pd.DataFrame], pd.Series]
 
+#: Status of the rows of a batch by what the generator raised; anything else is a job_error.
+RAISED = ((TimeoutError, "timeout"), (ConnectionError, "unreachable"))
+
+
+def _status(error: BaseException | None) -> str | None:
+    return None if error is None else next((status for kind, status in RAISED if isinstance(error, kind)), "job_error")
 
-def generated_answers(prompts: DataFrame, make_generator: Callable[[], Generator]) -> DataFrame:
-    """Answers of a plug-in text generator: columns id, response, status.
+
+def _call(generate: Generator, part: pd.DataFrame, seconds: float | None):
+    """Start a call in a thread of its own; the function returned waits for it: (texts, status, error, seconds taken)."""
+    box: dict = {}
+    begin = time.monotonic()
+
+    def work():
+        try:
+            box["texts"] = list(generate(part))
+        except Exception as error:  # the plug-in is foreign code: whatever it raises must not fail the job
+            box["error"] = error
+        box["took"] = time.monotonic() - begin
+
+    thread = threading.Thread(target=work, daemon=True)
+    thread.start()
+
+    def result():
+        thread.join(None if seconds is None else max(0.0, begin + seconds - time.monotonic()))
+        if thread.is_alive():
+            return None, "timeout", f"no answer within {seconds:g} s", time.monotonic() - begin
+        error, texts = box.get("error"), box.get("texts")
+        if error is None and len(texts) != len(part):
+            error, texts = ValueError(f"{len(texts)} answers to {len(part)} prompts"), None
+        return texts, _status(error), None if error is None else f"{type(error).__name__}: {error}", box["took"]
+
+    return result
+
+
+def generated_answers(
+    prompts: DataFrame, make_generator: Callable[[], Generator], seconds: float | None = None, calls: int = 1, rows: int | None = None
+) -> DataFrame:
+    """Answers of a plug-in text generator: `id`, `response`, `status`, `response_seconds`, `error`.
 
     `make_generator` runs once per partition and returns a function from a batch (id, prompt) to the
-    answers. A `TimeoutError` or `ConnectionError` it raises marks the batch, any other error marks it
-    `job_error`; no row is lost.
+    answers. Batches hold at most `rows` prompts (an Arrow batch if not given); up to `calls` of them are asked for at the same
+    time, and each is waited for no longer than `seconds`. A `TimeoutError` or `ConnectionError` it raises, or that deadline, marks the batch's
+    rows `timeout` or `unreachable`, any other error marks them `job_error`; `error` says what happened and `response_seconds` how
+    long the batch took. No row is lost. A call that is given up may go on in the background, so after `calls` of them in a partition
+    the generator counts as gone and the rest is marked `timeout` without asking.
     """
 
+    def frame(part: pd.DataFrame, texts, status, error, took) -> pd.DataFrame:
+        return pd.DataFrame(
+            {"id": part["id"].to_numpy(), "response": texts, "status": status, "response_seconds": took, "error": error},
+            columns=["id", "response", "status", "response_seconds", "error"],
+        )
+
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        generate, broken = None, None
+        generate, broken, given_up = None, None, 0
         try:
             generate = make_generator()
-        except ConnectionError:
-            broken = "unreachable"
-        except Exception:  # the plug-in is foreign code: whatever it raises must not fail the job
-            broken = "job_error"
+        except Exception as error:  # foreign code, as above
+            broken = (None, _status(error), f"{type(error).__name__}: {error}", None)
         for batch in batches:
-            texts, status = None, broken
-            if generate is not None:
-                try:
-                    texts = generate(batch)
-                except TimeoutError:
-                    status = "timeout"
-                except ConnectionError:
-                    status = "unreachable"
-                except Exception:
-                    status = "job_error"
-            yield pd.DataFrame({"id": batch["id"], "response": texts, "status": status})
-
-    return prompts.select("id", "prompt").mapInPandas(answer, "id bigint, response string, status string")
+            size = rows or max(1, len(batch))
+            parts = [batch.iloc[at : at + size] for at in range(0, len(batch), size)]
+            while parts:
+                if broken is None and given_up >= calls:
+                    broken = (None, "timeout", "the generator stopped answering", None)
+                if broken is not None:
+                    yield from (frame(part, *broken) for part in parts)
+                    break
+                now, parts = parts[: calls - given_up], parts[calls - given_up :]
+                for part, result in [(part, _call(generate, part, seconds)) for part in now]:
+                    texts, status, error, took = result()
+                    given_up += status == "timeout" and error.startswith("no answer within")
+                    yield frame(part, texts, status, error, took)
+
+    schema = "id bigint, response string, status string, response_seconds double, error string"
+    return prompts.select("id", "prompt").mapInPandas(answer, schema)
+
+
+def ruled_diagnoses(failures: DataFrame) -> DataFrame:
+    """What the classification rules say of each failed run, under the keys of a diagnosis, without any generator."""
+    kind = classify("error_message")
+    return failures.select(
+        "id",
+        F.lit("ok").alias("status"),
+        F.substring_index(F.coalesce("error_message", F.lit("")), "\n", 1).alias("root_cause"),
+        kind["category"].alias("root_cause_category"),
+        F.lit(0.6).alias("confidence"),
+        F.concat(F.lit("see the runbook entry for "), kind["category"]).alias("immediate_fix"),
+        F.concat(F.lit("monitor for "), kind["category"]).alias("prevention"),
+        kind["category"].isin("connectivity", "timeout").alias("retry_recommended"),
+        F.lit(15).alias("estimated_fix_time_minutes"),
+        kind["severity"].alias("severity"),
+        F.lit("unknown").alias("affected_downstream"),
+        F.lit("none").alias("similar_past_incidents"),
+        F.lit(None).cast("double").alias("response_seconds"),
+    )
 
 
 def similar_incidents(runs: DataFrame) -> DataFrame:

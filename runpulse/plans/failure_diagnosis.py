@@ -2,62 +2,34 @@
 
 from __future__ import annotations
 
-import json
-import re
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from runpulse.operators import diagnosis
-from runpulse.operators.diagnosis import DEFAULT_RULE, ERROR_RULES, Generator
+from runpulse.operators.baselines import is_state
+from runpulse.operators.diagnosis import Generator
 from runpulse.sources.sinks import merge_diagnoses
 
 RULE_MODEL = "rules-1"
 
 
-def rule_generator() -> Generator:
-    """Plug-in that needs no service: it answers each prompt by the classification rules."""
-    rules = [(re.compile(pattern), category, severity) for pattern, category, severity in ERROR_RULES]
-    message = re.compile(r"\nmessage: (.*?)\n\nLOG\n", re.DOTALL)
-
-    def one(prompt: str) -> str:
-        found = message.search(prompt)
-        text = found.group(1) if found else ""
-        category, severity = next(((c, s) for p, c, s in rules if p.search(text)), DEFAULT_RULE)
-        return json.dumps(
-            {
-                "root_cause": text.split("\n")[0],
-                "root_cause_category": category,
-                "confidence": 0.6,
-                "immediate_fix": f"see the runbook entry for {category}",
-                "prevention": f"monitor for {category}",
-                "retry_recommended": category in ("connectivity", "timeout"),
-                "estimated_fix_time_minutes": 15,
-                "severity": severity,
-                "affected_downstream": "unknown",
-                "similar_past_incidents": "none",
-            }
-        )
-
-    return lambda batch: batch["prompt"].map(one) if len(batch) else pd.Series([], dtype="object")
-
-
 def diagnose_failures(
-    runs: DataFrame, as_of: str, make_generator: Callable[[], Generator] = rule_generator, model: str = RULE_MODEL
+    runs: DataFrame, as_of: str, make_generator: Callable[[], Generator] | None = None, model: str = RULE_MODEL, **limits
 ) -> DataFrame:
-    """Diagnoses of all failed runs, one row per id, under the column names of the run table."""
-    prompts = diagnosis.diagnosis_prompts(diagnosis.failures_with_history(runs))
-    answers = diagnosis.generated_answers(prompts, make_generator)
-    filled = diagnosis.with_fallback(diagnosis.parsed_diagnoses(answers))
+    """Diagnoses of all failed runs, one row per id, under the column names of the run table.
+
+    Without a generator the classification rules decide, as expressions. With one each failure is prompted with its history;
+    `limits` are those of `generated_answers`.
+    """
+    if make_generator is None:
+        filled = diagnosis.ruled_diagnoses(runs.filter(is_state("failed")))
+    else:
+        prompts = diagnosis.diagnosis_prompts(diagnosis.failures_with_history(runs))
+        answers = diagnosis.generated_answers(prompts, make_generator, **limits)
+        filled = diagnosis.with_fallback(diagnosis.parsed_diagnoses(answers))
     return diagnosis.as_diagnosis_columns(
-        filled.withColumns(
-            {
-                "model": F.lit(model),
-                "response_seconds": F.lit(None).cast("double"),
-                "generated_at": F.lit(as_of).cast("timestamp_ntz"),
-            }
-        )
+        filled.withColumns({"model": F.lit(model), "generated_at": F.lit(as_of).cast("timestamp_ntz")})
     )
 
 

@@ -1,6 +1,7 @@
 """Answers, fallbacks, write-back, alerts and the generator hook."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,7 +49,7 @@ def test_fallback_follows_the_status(spark, status):
 def test_all_sample_errors_are_classified(spark):
     frame = spark.createDataFrame([(t,) for t in ERROR_TEXTS], "m string").select(diagnosis.classify("m")["category"])
     assert [r[0] for r in frame.collect()] == [
-        "data_issue", "connectivity", "resource_exhaustion", "resource_exhaustion", "permission_denied", "connectivity",
+        "resource_exhaustion", "configuration", "timeout", "permission_denied", "data_issue", "connectivity",
     ]
 
 
@@ -82,6 +83,41 @@ def test_generator_errors_never_lose_rows(runs, error, category):
     assert found.count() == failed == found.filter(F.col("rca_category") == category).count()
 
 
+def test_slow_and_failing_calls_keep_their_rows(spark):
+    prompts = spark.range(40).select("id", F.lit("p").alias("prompt")).coalesce(1)
+
+    def make():
+        def generate(batch):
+            first = int(batch["id"].iloc[0])
+            if first == 10:
+                raise ConnectionError("line 7 is down")
+            if first == 20:
+                time.sleep(60)
+            return batch["prompt"] + batch["id"].astype(str) if first != 30 else batch["prompt"].head(1)
+
+        return generate
+
+    found = {r.id: r for r in diagnosis.generated_answers(prompts, make, seconds=1.0, calls=2, rows=10).collect()}
+    assert len(found) == 40
+    assert [found[k].response for k in (0, 9, 10, 25, 39)] == ["p0", "p9", None, None, None]
+    assert [found[k].status for k in (0, 10, 25, 39)] == [None, "unreachable", "timeout", "job_error"]
+    assert found[10].error == "ConnectionError: line 7 is down" and "within 1 s" in found[25].error and "1 answers to 10" in found[39].error
+    assert found[0].error is None and found[0].response_seconds < 1 <= found[25].response_seconds < 30
+
+
+def test_a_generator_that_stops_is_not_asked_for_ever(spark):
+    prompts = spark.range(30).select("id", F.lit("p").alias("prompt")).coalesce(1)
+    begin = time.monotonic()
+    make = lambda: lambda batch: time.sleep(120)
+    found = diagnosis.generated_answers(prompts, make, seconds=0.5, calls=2, rows=1).collect()
+    assert len(found) == 30 and {r.status for r in found} == {"timeout"} and time.monotonic() - begin < 60
+
+
+def test_rules_need_no_python(runs):
+    plan = diagnose_failures(runs, AS_OF)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+
+
 def test_confidence_is_cut_not_rounded(spark, runs):
     merged = diagnosed_runs(runs, derived.responses_from_runs(runs)).filter("state = 'failed'").limit(1)
     frame = merged.withColumns({"rca_root_cause": F.lit("x"), "rca_confidence": F.lit(0.876)})
