@@ -429,6 +429,7 @@ ORACLES: dict[str, str] = {
     "append_runs": _sql("SELECT id, pipeline_id, strftime(execution_date, '%Y-%m-%d') AS run_date, state, round(duration_seconds, 4) AS duration_seconds, length(error_message) AS message_length FROM runs", "runs"),
     "merge_diagnoses": _sql("SELECT id, state, rca_root_cause, rca_category, round(rca_confidence, 4) AS rca_confidence, rca_immediate_fix, rca_prevention, rca_severity, rca_retry_recommended, rca_estimated_fix_minutes, rca_generated_at, rca_model_used FROM diagnosed", "diagnosed"),
     "stored_diagnoses": _sql("SELECT id, strftime(execution_date, '%Y-%m-%d') AS run_date, state, rca_root_cause, rca_category, round(rca_confidence, 4) AS rca_confidence, rca_immediate_fix, rca_prevention, rca_severity, rca_retry_recommended, rca_estimated_fix_minutes, rca_generated_at, rca_model_used FROM diagnosed", "diagnosed"),
+    "ordered_baselines": _sql(f"SELECT {_BASE} FROM baselines ORDER BY pipeline_id", "baselines"),
     "explained_anomalies": _sql("""
 SELECT pipeline_id, run_id, round(current_duration, 4) AS current_duration,
   CASE WHEN n % 3 = 0 THEN 'unknown' WHEN n % 2 = 0 THEN 'data_volume_spike' ELSE 'resource_contention' END AS likely_cause,
@@ -525,8 +526,18 @@ SELECT {_HIT} FROM (
   UNION ALL SELECT pipeline_id, run_id, execution_date, 'low_success', success_pct, 80, success_pct - 80 FROM low
   UNION ALL SELECT pipeline_id, NULL, execution_date, 'failure_spike', failures, "limit", NULL FROM spikes
     QUALIFY row_number() OVER (PARTITION BY pipeline_id ORDER BY execution_date DESC) = 1
-  UNION ALL SELECT pipeline_id, NULL, max(last_failure), 'failure_streak', max(length), 3, NULL FROM streaks GROUP BY pipeline_id)""",
-        "anomalies", "above_median", "row_counts", "throughput", "low", "spikes", "streaks"),
+  UNION ALL SELECT pipeline_id, NULL, max(last_failure), 'failure_streak', max(length), 3, NULL FROM streaks GROUP BY pipeline_id
+  UNION ALL SELECT pipeline_id, NULL, last_run, 'drift', 100 * slope_per_day / greatest(mean_duration, 1), 2, NULL FROM drift
+    JOIN (SELECT pipeline_id, max(execution_date) AS last_run FROM done WHERE execution_date > {T0} - INTERVAL 30 DAY GROUP BY pipeline_id) USING (pipeline_id)
+    WHERE 100 * slope_per_day / greatest(mean_duration, 1) >= 2
+  UNION ALL SELECT pipeline_id, run_id, execution_date, CASE WHEN breach THEN 'sla_breach' ELSE 'sla_warning' END, seen, limit_seconds,
+    round(100 * (seen - limit_seconds) / greatest(limit_seconds, 1), 1) FROM (
+      SELECT *, coalesce(n.duration_seconds, 0) > limit_seconds AS breach, CASE WHEN coalesce(n.duration_seconds, 0) > limit_seconds THEN n.duration_seconds
+        ELSE greatest(coalesce(mean_duration + slope_per_day, 0), coalesce(p95, 0)) END AS seen
+      FROM limits l JOIN latest n USING (pipeline_id)
+      LEFT JOIN (SELECT pipeline_id, quantile_cont(duration_seconds, 0.95) AS p95 FROM done WHERE execution_date > {T0} - INTERVAL 30 DAY GROUP BY pipeline_id) USING (pipeline_id)
+      LEFT JOIN drift USING (pipeline_id)) WHERE seen > limit_seconds)""",
+        "limits", "latest", "drift", "anomalies", "above_median", "row_counts", "throughput", "low", "spikes", "streaks"),
     "newly_failing": _sql(f"{_FAILED_IN(1, '')} EXCEPT {_FAILED_IN(2, f' AND execution_date <= {T0} - INTERVAL 1 DAY')}", "runs"),
     "still_failing": _sql(f"{_FAILED_IN(1, '')} INTERSECT {_FAILED_IN(2, f' AND execution_date <= {T0} - INTERVAL 1 DAY')}", "runs"),
     "alert_feed": _sql(_FEED, "alerts", "anomaly_rows"),

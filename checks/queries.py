@@ -126,6 +126,10 @@ def stored_diagnoses(spark, d):
     )
 
 
+def ordered_baselines(spark, d):
+    return baselines.ordered_baselines(_runs(spark, d), AS_OF)
+
+
 def explained_anomalies(spark, d):
     anomalies = anomaly_check(_runs(spark, d), AS_OF)["anomalies"]
     prompts = diagnosis.anomaly_prompts(anomalies, _runs(spark, d))
@@ -398,7 +402,8 @@ def health_grade(spark, d):
 
 
 def all_rule_hits(spark, d):
-    return rules.all_rule_hits(_runs(spark, d), AS_OF)
+    runs = _runs(spark, d)
+    return rules.all_rule_hits(runs, AS_OF, derived.sla_limits(runs))
 
 
 # --- sets -------------------------------------------------------------------------------------------
@@ -570,7 +575,7 @@ def partition_gaps(spark, d):
 
 
 ALL: list[Query] = [
-    scan_runs, append_runs, merge_diagnoses, stored_diagnoses, explained_anomalies, scan_samples, retained_samples, copy_tables_report, finished_runs,
+    scan_runs, append_runs, merge_diagnoses, stored_diagnoses, explained_anomalies, ordered_baselines, scan_samples, retained_samples, copy_tables_report, finished_runs,
     runs_in_window, sanitized_run_ids, run_durations, recorded_pipelines, uncovered_pipelines, failures_with_history,
     failures_with_history_ties, unsent_alerts, asof_baseline, asof_baseline_ties, asof_baseline_outliers, downstream_impact,
     duration_baselines, duration_baselines_success_only, run_history, robust_baselines, rca_distribution, top_failing,

@@ -77,6 +77,11 @@ def duration_baselines(
     return window.groupBy("pipeline_id").agg(*baseline_columns()).filter(F.col("total_runs") >= min_runs)
 
 
+def ordered_baselines(runs: DataFrame, as_of: str, **options) -> DataFrame:
+    """The baselines in the order of their pipelines, sorted by ranges over all tasks."""
+    return duration_baselines(runs, as_of, **options).orderBy("pipeline_id")
+
+
 def newest_first() -> list[Column]:
     return [F.desc("execution_date"), F.desc("id")]
 
@@ -146,8 +151,7 @@ def rca_distribution(diagnosed: DataFrame) -> DataFrame:
         .groupBy("rca_severity", "rca_category")
         .agg(F.count("*").alias("failures"), F.avg("rca_confidence").alias("avg_confidence"))
     )
-    # one row per severity and category: a handful, so one task may add them up
-    return counts.withColumn("share", F.col("failures") / F.sum("failures").over(Window.partitionBy()))
+    return counts.withColumn("share", F.col("failures") / counts.agg(F.sum("failures")).scalar())
 
 
 def top_failing(runs: DataFrame, limit: int = 20) -> DataFrame:

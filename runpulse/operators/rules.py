@@ -12,6 +12,7 @@ from runpulse.operators.baselines import MIN_RUNS, SIGMAS, WINDOW_DAYS, is_state
 from runpulse.operators.percentiles import exact_percentiles
 from runpulse.operators.slices import DAY_US, add_slices, micros, previous_row, running_totals, trailing_moments
 from runpulse.schemas import FINISHED
+from runpulse.session import cut_lineage
 
 
 def judged_runs(
@@ -227,7 +228,11 @@ def run_over_run_change(runs: DataFrame) -> DataFrame:
     )
 
 
-def duration_drift(runs: DataFrame, as_of: str, days: int = WINDOW_DAYS, pct_per_day: float = 2.0) -> DataFrame:
+#: Growth of the daily mean, as percent of the mean, that counts as drift.
+PCT_PER_DAY = 2.0
+
+
+def duration_drift(runs: DataFrame, as_of: str, days: int = WINDOW_DAYS, pct_per_day: float = PCT_PER_DAY) -> DataFrame:
     """Slope of the daily mean duration per pipeline, as percent of the mean per day."""
     number = F.datediff(F.col("execution_date"), base.days_before(as_of, days))
     daily = (
@@ -235,6 +240,10 @@ def duration_drift(runs: DataFrame, as_of: str, days: int = WINDOW_DAYS, pct_per
         .groupBy("pipeline_id", number.alias("day"))
         .agg(F.avg("duration_seconds").alias("mean"))
     )
+    return _drift(daily, pct_per_day)
+
+
+def _drift(daily: DataFrame, pct_per_day: float = PCT_PER_DAY) -> DataFrame:
     slope, mean = F.regr_slope("mean", F.col("day").cast("double")), F.avg("mean")
     return (
         daily.groupBy("pipeline_id")
@@ -278,6 +287,10 @@ def failure_spikes(runs: DataFrame, as_of: str, days: int = WINDOW_DAYS, span: i
         .groupBy("pipeline_id", number.alias("day"))
         .agg(F.count("*").alias("failures"))
     )
+    return _spikes(daily, as_of, days, span)
+
+
+def _spikes(daily: DataFrame, as_of: str, days: int, span: int) -> DataFrame:
     before = Window.partitionBy("pipeline_id").orderBy("day").rangeBetween(-span, -1)
     s1 = F.coalesce(F.sum("failures").over(before), F.lit(0))
     s2 = F.coalesce(F.sum(F.col("failures") * F.col("failures")).over(before), F.lit(0))
@@ -312,6 +325,10 @@ def row_count_deviation(runs: DataFrame, prior: int = 10, share: float = 0.3, mi
         )
         .filter(F.col("earlier") >= min_prior)
     )
+    return _off_row_count(counts, share)
+
+
+def _off_row_count(counts: DataFrame, share: float) -> DataFrame:
     off = F.abs(F.col("rows") - F.col("mean_rows")) > share * F.col("mean_rows")
     pct = F.round(F.lit(100.0) * (F.col("rows") - F.col("mean_rows")) / F.nullif("mean_rows", F.lit(0.0)), 1)
     return counts.filter(off).select(*_hit("row_count", "rows", "mean_rows", pct))
@@ -342,7 +359,10 @@ def sla_status(runs: DataFrame, limits: DataFrame, as_of: str, days: int = WINDO
     Breach: the run is longer than the limit. Warning: the mean plus one day of drift, or the 95th
     percentile, is above it.
     """
-    latest = base.latest_runs(runs).select("pipeline_id", "run_id", F.col("duration_seconds").alias("current_duration"))
+    # the newest run of all days, added up before the shuffle
+    newest = F.struct("run_id", or_zero("duration_seconds").alias("current_duration"))
+    latest = base.finished_runs(runs).groupBy("pipeline_id").agg(F.max_by(newest, F.struct("execution_date", "id")).alias("_latest"))
+    latest = latest.select("pipeline_id", "_latest.*")
     marks = exact_percentiles(
         base.runs_in_window(base.finished_runs(runs), as_of, days), "pipeline_id", "duration_seconds", {"p95_duration": 0.95}
     )
@@ -359,38 +379,116 @@ def sla_status(runs: DataFrame, limits: DataFrame, as_of: str, days: int = WINDO
     )
 
 
-def all_rule_hits(runs: DataFrame, as_of: str) -> DataFrame:
-    """One row per pipeline and rule that fired."""
-    low = low_success(runs).select(
-        *_hit("low_success", "success_pct", F.lit(80.0), F.col("success_pct") - 80.0)
+def _window_facts(runs: DataFrame, as_of: str, days: int) -> DataFrame:
+    """What the rules need of the window's finished runs, per pipeline (`day` null) and per pipeline and day, from one pass."""
+    number = F.datediff(F.col("execution_date"), base.days_before(as_of, days))
+    done = base.runs_in_window(base.finished_runs(runs), as_of, days).select(
+        "id", "pipeline_id", "run_id", "execution_date", "state", "duration_seconds", number.alias("day"),
+        (F.col("row_count") / F.nullif("duration_seconds", F.lit(0.0))).alias("rate"),
     )
-    parts = [
-        median_ratio_anomalies(runs, as_of),
-        row_count_deviation(runs),
-        throughput_anomalies(runs, as_of),
-        low,
-    ]
-    hits = baseline_rule_hits(judged_runs(runs, as_of))
-    for part in parts:
-        hits = hits.unionByName(part)
-    spikes = (
-        failure_spikes(runs, as_of)
-        .groupBy("pipeline_id")
-        .agg(F.max(F.struct("execution_date", "failures", "limit")).alias("day"))
-        .select(
-            "pipeline_id", F.lit(None).cast("string").alias("run_id"), "day.execution_date",
-            F.lit("failure_spike").alias("rule"), F.col("day.failures").cast("double").alias("observed"),
-            F.col("day.limit").alias("expected"), F.lit(None).cast("double").alias("deviation_pct"),
-        )
+    rated, at = F.col("rate").isNotNull(), F.struct("execution_date", "id")
+    latest = F.struct("run_id", "execution_date", or_zero("duration_seconds").alias("current_duration"))
+    return done.groupingSets([["pipeline_id"], ["pipeline_id", "day"]], "pipeline_id", "day").agg(
+        *base.baseline_columns(),
+        F.avg("duration_seconds").alias("mean"),
+        F.max_by(latest, at).alias("latest"),
+        F.count("rate").alias("rated"), F.avg("rate").alias("mean_rate"), F.stddev_samp("rate").alias("sigma_rate"),
+        F.max_by(F.when(rated, F.struct("run_id", "execution_date", "rate")), F.when(rated, at)).alias("latest_rate"),
     )
-    streaks = (
-        failure_streaks(runs)
+
+
+def _recent_facts(runs: DataFrame, last: int = 10) -> DataFrame:
+    """What the rules need of the last `last` + 1 finished runs of all days, per pipeline, from one pass."""
+    newest, older, in_last = F.col("recency") == 1, F.col("recency") > 1, F.col("recency") <= last
+    return (
+        base.recent_runs(runs, last + 1)
         .groupBy("pipeline_id")
-        .agg(F.max("last_failure").alias("execution_date"), F.max("length").alias("longest"))
-        .select(
-            "pipeline_id", F.lit(None).cast("string").alias("run_id"), "execution_date",
-            F.lit("failure_streak").alias("rule"), F.col("longest").cast("double").alias("observed"),
-            F.lit(3.0).alias("expected"), F.lit(None).cast("double").alias("deviation_pct"),
+        .agg(
+            F.max(F.when(newest, F.col("run_id"))).alias("run_id"),
+            F.max("execution_date").alias("execution_date"),
+            F.max(F.when(newest, or_zero("duration_seconds"))).alias("current_duration"),
+            F.max(F.when(newest, F.col("row_count"))).alias("rows"),
+            F.avg(F.when(older, F.col("row_count"))).alias("mean_rows"),
+            F.count_if(older).alias("earlier"),
+            F.count_if(in_last).alias("runs"),
+            (F.lit(100.0) * F.count_if(in_last & is_state("success")) / F.count_if(in_last)).cast("double").alias("success_pct"),
         )
     )
-    return hits.unionByName(spikes).unionByName(streaks)
+
+
+def all_rule_hits(runs: DataFrame, as_of: str, limits: DataFrame | None = None, days: int = WINDOW_DAYS) -> DataFrame:
+    """One row per pipeline and rule that fired; the limits' rules only where `limits` (`pipeline_id`, `limit_seconds`) are given.
+
+    The runs are read once: the seven columns that rules look at are stored, without messages. Four passes over these serve all
+    rules: the window by pipeline and day, the window's percentiles, the last runs of all days, and the streaks. What the
+    first three find is stored as well, one row per pipeline (and day), and the rules are read from that.
+    """
+    slim = base.finished_runs(runs).select(
+        "id", "pipeline_id", "run_id", "execution_date", "state", "duration_seconds", "row_count"
+    )
+    runs = cut_lineage(slim, "rule-runs")
+    facts = cut_lineage(_window_facts(runs, as_of, days), "rule-window")
+    recent = cut_lineage(_recent_facts(runs), "rule-recent")
+    window = base.runs_in_window(base.finished_runs(runs), as_of, days)
+    marks = exact_percentiles(window, "pipeline_id", "duration_seconds", {"median_duration": 0.5, "p95_duration": 0.95})
+    marks = cut_lineage(marks, "rule-marks")
+    whole = facts.filter("day IS NULL").filter(F.col("total_runs") >= MIN_RUNS)
+    judged = whole.select("*", "latest.*").withColumn("deviation_pct", F.round(deviation_pct("current_duration", "avg_duration"), 1))
+    judged = judged.withColumn("is_anomaly", (F.col("current_duration") > F.col("upper_threshold")) & (F.col("upper_threshold") > 0))
+    drift = _drift(facts.filter("day IS NOT NULL").select("pipeline_id", "day", "mean"))
+    hits = baseline_rule_hits(judged)
+    for part in (
+        _above_median(judged, marks),
+        _off_rate(facts.filter("day IS NULL")),
+        _off_row_count(recent.filter("earlier >= 5"), 0.3),
+        recent.filter("runs >= 10 AND success_pct < 80").select(*_hit("low_success", "success_pct", F.lit(80.0), F.col("success_pct") - 80.0)),
+        _last_spike(_spikes(facts.filter("day IS NOT NULL AND failure_count > 0").select("pipeline_id", "day", F.col("failure_count").alias("failures")), as_of, days, 7)),
+        _longest_streak(failure_streaks(runs)),
+        _drifting(drift, facts.filter("day IS NULL")),
+    ):
+        hits = hits.unionByName(part)
+    return hits if limits is None else hits.unionByName(_over_limit(limits, recent, marks, drift))
+
+
+def _above_median(judged: DataFrame, marks: DataFrame, ratio: float = 1.8) -> DataFrame:
+    expected = ratio * F.col("median_duration")
+    now = F.col("current_duration")
+    return judged.join(marks, "pipeline_id").filter(now > expected).select(
+        *_hit("above_median", "current_duration", expected, F.round(deviation_pct("current_duration", "median_duration"), 1))
+    )
+
+
+def _off_rate(facts: DataFrame) -> DataFrame:
+    rated = facts.filter(F.col("rated") >= MIN_RUNS).select("pipeline_id", "latest_rate.*", "mean_rate", "sigma_rate")
+    return rated.filter(F.abs(F.col("rate") - F.col("mean_rate")) > SIGMAS * F.col("sigma_rate")).select(
+        *_hit("throughput", "rate", "mean_rate", F.round(deviation_pct("rate", "mean_rate"), 1))
+    )
+
+
+def _last_spike(spikes: DataFrame) -> DataFrame:
+    last = spikes.groupBy("pipeline_id").agg(F.max(F.struct("execution_date", "failures", "limit")).alias("day"))
+    return last.select("pipeline_id", F.lit(None).cast("string").alias("run_id"), "day.*").select(
+        *_hit("failure_spike", "failures", "limit", F.lit(None))
+    )
+
+
+def _longest_streak(streaks: DataFrame) -> DataFrame:
+    longest = streaks.groupBy("pipeline_id").agg(F.max("last_failure").alias("execution_date"), F.max("length").alias("longest"))
+    return longest.withColumn("run_id", F.lit(None).cast("string")).select(*_hit("failure_streak", "longest", F.lit(3.0), F.lit(None)))
+
+
+def _drifting(drift: DataFrame, facts: DataFrame) -> DataFrame:
+    dated = drift.filter("is_drifting").join(facts.select("pipeline_id", F.col("last_run").alias("execution_date")), "pipeline_id")
+    return dated.withColumn("run_id", F.lit(None).cast("string")).select(*_hit("drift", "slope_pct", F.lit(PCT_PER_DAY), F.lit(None)))
+
+
+def _over_limit(limits: DataFrame, recent: DataFrame, marks: DataFrame, drift: DataFrame) -> DataFrame:
+    """`sla_breach`: the latest run is over its limit. `sla_warning`: else, tomorrow's mean or the 95th percentile is."""
+    next_mean = drift.select("pipeline_id", (F.col("mean_duration") + F.col("slope_per_day")).alias("next_mean"))
+    known = limits.join(recent, "pipeline_id").join(marks, "pipeline_id", "left").join(next_mean, "pipeline_id", "left")
+    soon = F.greatest(F.coalesce("next_mean", F.lit(0.0)), F.coalesce("p95_duration", F.lit(0.0)))
+    breach = F.col("current_duration") > F.col("limit_seconds")
+    seen = known.withColumn("seen", F.when(breach, F.col("current_duration")).otherwise(soon)).withColumn("breach", breach)
+    pct = F.round(deviation_pct("seen", "limit_seconds"), 1)
+    over = seen.filter(F.col("seen") > F.col("limit_seconds")).select("breach", *_hit("", "seen", "limit_seconds", pct))
+    return over.withColumn("rule", F.when(F.col("breach"), "sla_breach").otherwise("sla_warning")).drop("breach")

@@ -24,6 +24,26 @@ def test_anomalies_need_one_shuffle(runs):
     assert text.count("Exchange") == 1 and "Join" not in text
 
 
+def test_all_rules_read_the_runs_once(runs, monkeypatch):
+    """Counted are the scans of the runs in the plans of what is stored and of the result; the windows' facts take one pass."""
+    seen, keep = {}, rules.cut_lineage
+
+    def noted(df, label):
+        seen[label] = plan(df)
+        return keep(df, label)
+
+    monkeypatch.setattr(rules, "cut_lineage", noted)
+    seen["hits"] = plan(rules.all_rule_hits(runs, AS_OF))
+    of_runs = {label: len(re.findall(r"FileScan parquet [^\n]*events\.parquet", text)) for label, text in seen.items()}
+    assert of_runs == {"rule-runs": 1, "rule-window": 0, "rule-recent": 0, "rule-marks": 0, "hits": 0}
+    assert seen["rule-window"].count("FileScan") == 1 and seen["rule-recent"].count("FileScan") == 1
+
+
+def test_baselines_can_be_ordered(runs):
+    names = [r[0] for r in baselines.ordered_baselines(runs, AS_OF).select("pipeline_id").collect()]
+    assert names and names == sorted(names)
+
+
 def test_top_runs_are_limited_before_the_shuffle(runs):
     text = plan(baselines.recent_runs(runs, 5))
     assert text.count("WindowGroupLimit") == 2
