@@ -429,6 +429,15 @@ ORACLES: dict[str, str] = {
     "append_runs": _sql("SELECT id, pipeline_id, strftime(execution_date, '%Y-%m-%d') AS run_date, state, round(duration_seconds, 4) AS duration_seconds, length(error_message) AS message_length FROM runs", "runs"),
     "merge_diagnoses": _sql("SELECT id, state, rca_root_cause, rca_category, round(rca_confidence, 4) AS rca_confidence, rca_immediate_fix, rca_prevention, rca_severity, rca_retry_recommended, rca_estimated_fix_minutes, rca_generated_at, rca_model_used FROM diagnosed", "diagnosed"),
     "stored_diagnoses": _sql("SELECT id, strftime(execution_date, '%Y-%m-%d') AS run_date, state, rca_root_cause, rca_category, round(rca_confidence, 4) AS rca_confidence, rca_immediate_fix, rca_prevention, rca_severity, rca_retry_recommended, rca_estimated_fix_minutes, rca_generated_at, rca_model_used FROM diagnosed", "diagnosed"),
+    "current_rows_stream": _sql("SELECT id, pipeline_id, execution_date, CASE WHEN id % 3 = 0 THEN 'reviewed' ELSE state END AS state, round(duration_seconds, 4) AS duration_seconds FROM runs", "runs"),
+    "running_anomalies_stream": _sql("""
+SELECT pipeline_id, id, run_id, round(duration_seconds, 4) AS duration_seconds, n AS prior_rows, round(mean, 4) AS mean, round(mean + 2 * sigma, 4) AS "upper"
+FROM (SELECT *, count(duration_seconds) OVER w AS n, avg(duration_seconds) OVER w AS mean, stddev_samp(duration_seconds) OVER w AS sigma FROM done
+  WINDOW w AS (PARTITION BY pipeline_id ORDER BY execution_date RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING))
+WHERE n >= 5 AND duration_seconds > mean + 2 * sigma AND mean + 2 * sigma > 0""", "done"),
+    "late_rows_stream": _sql("""
+SELECT strftime(execution_date, '%Y-%m-%d') AS day, count(*) AS runs, count(*) FILTER (state = 'failed') AS failures
+FROM runs WHERE date_diff('day', TIMESTAMP '2024-01-01', execution_date) < 4 GROUP BY ALL""", "runs"),
     "ordered_baselines": _sql(f"SELECT {_BASE} FROM baselines ORDER BY pipeline_id", "baselines"),
     "explained_anomalies": _sql("""
 SELECT pipeline_id, run_id, round(current_duration, 4) AS current_duration,

@@ -17,6 +17,8 @@ from runpulse.plans.failure_diagnosis import diagnose_failures, diagnosed_runs
 from runpulse.session import apply_settings, cut_lineage, fresh_dir
 from runpulse.sources import derived, run_store, sinks, tables
 from runpulse.sources.derived import AS_OF, COUNTER, TIES_AS_OF
+from runpulse.streaming import jobs
+from runpulse.streaming.upserts import Upserts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,6 +128,53 @@ def stored_diagnoses(spark, d):
     )
 
 
+def _run_folder(spark, d, parts: int) -> str:
+    """The runs in files that arrive in the order of time, the given number of them."""
+    path = fresh_dir(spark, "arrivals")
+    runs = _runs(spark, d).select(*schemas.RUN_FACTS.fieldNames())
+    day = F.datediff("execution_date", F.lit("2024-01-01"))
+    span = 30 // parts
+    for i in range(parts):
+        low = F.lit(True) if i == 0 else day >= span * i
+        high = F.lit(True) if i == parts - 1 else day < span * (i + 1)
+        runs.filter(low & high).coalesce(1).write.mode("append").parquet(path)  # one file, one batch
+    return path
+
+
+def current_rows_stream(spark, d):
+    """Runs arrive, every third is changed later; the log of segments keeps the newest row of each."""
+    path, target = _run_folder(spark, d, 6), fresh_dir(spark, "upserts")
+    changed = _runs(spark, d).select(*schemas.RUN_FACTS.fieldNames()).filter("id % 3 = 0").withColumn("state", F.lit("reviewed"))
+    for k in range(3):
+        changed.filter(F.col("id") % 9 == 3 * k).coalesce(1).write.mode("append").parquet(path)
+    store = Upserts(target, schemas.RUN_FACTS, ["id"], ["execution_date"], fan=4)
+    source = jobs.read_run_stream(spark, path, files_per_trigger=1)
+    jobs.start(source.writeStream.foreachBatch(store.store), fresh_dir(spark, "progress")).awaitTermination()
+    return store.current(spark).select("id", "pipeline_id", "execution_date", "state", "duration_seconds")
+
+
+def running_anomalies_stream(spark, d):
+    """Each run judged as it arrives, against all runs of its pipeline before it."""
+    target = fresh_dir(spark, "detector")
+    source = jobs.read_run_stream(spark, _run_folder(spark, d, 5), files_per_trigger=1)
+    judge = jobs.running_detector(target)
+    jobs.start(source.writeStream.foreachBatch(judge), fresh_dir(spark, "progress")).awaitTermination()
+    return spark.read.parquet(f"{target}/hits").select("pipeline_id", "id", "run_id", "duration_seconds", "prior_rows", "mean", "upper")
+
+
+def late_rows_stream(spark, d):
+    """The runs of the first days arrive once more after all others; they are set aside and counted per day."""
+    path, target = _run_folder(spark, d, 3), fresh_dir(spark, "late")
+    again = _runs(spark, d).select(*schemas.RUN_FACTS.fieldNames()).filter(F.datediff("execution_date", F.lit("2024-01-01")) < 4)
+    again.coalesce(1).write.mode("append").parquet(path)
+    source = jobs.read_run_stream(spark, path, files_per_trigger=1)
+    jobs.start(source.writeStream.foreachBatch(jobs.late_rows(source, target)), fresh_dir(spark, "progress")).awaitTermination()
+    late = spark.read.parquet(f"{target}/late")
+    return late.groupBy(F.date_format("execution_date", "yyyy-MM-dd").alias("day")).agg(
+        F.count("*").alias("runs"), F.count_if(F.col("state") == "failed").alias("failures")
+    )
+
+
 def ordered_baselines(spark, d):
     return baselines.ordered_baselines(_runs(spark, d), AS_OF)
 
@@ -575,7 +624,8 @@ def partition_gaps(spark, d):
 
 
 ALL: list[Query] = [
-    scan_runs, append_runs, merge_diagnoses, stored_diagnoses, explained_anomalies, ordered_baselines, scan_samples, retained_samples, copy_tables_report, finished_runs,
+    scan_runs, append_runs, merge_diagnoses, stored_diagnoses, explained_anomalies, ordered_baselines,
+    current_rows_stream, running_anomalies_stream, late_rows_stream, scan_samples, retained_samples, copy_tables_report, finished_runs,
     runs_in_window, sanitized_run_ids, run_durations, recorded_pipelines, uncovered_pipelines, failures_with_history,
     failures_with_history_ties, unsent_alerts, asof_baseline, asof_baseline_ties, asof_baseline_outliers, downstream_impact,
     duration_baselines, duration_baselines_success_only, run_history, robust_baselines, rca_distribution, top_failing,

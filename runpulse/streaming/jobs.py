@@ -16,6 +16,7 @@ from runpulse.functions.measures import or_zero
 from runpulse.operators.baselines import MIN_RUNS, SIGMAS, finished_runs, is_state
 from runpulse.operators.joins import salted_join
 from runpulse.operators.slices import micros, trailing_moments
+from runpulse.streaming.upserts import Upserts
 
 LATE = "10 minutes"
 
@@ -72,20 +73,24 @@ def judged_stream(stream: DataFrame, baselines: DataFrame) -> DataFrame:
     )
 
 
-STATE = "pipeline_id string, n bigint, mean double, m2 double"
+STATE = T.StructType(
+    [
+        T.StructField("pipeline_id", T.StringType()), T.StructField("n", T.LongType()), T.StructField("mean", T.DoubleType()),
+        T.StructField("m2", T.DoubleType()), T.StructField("last_run", T.TimestampNTZType()),
+    ]
+)
 
 
-def running_detector(path: str, min_runs: int = MIN_RUNS) -> Callable[[DataFrame, int], None]:
+def running_detector(path: str, min_runs: int = MIN_RUNS, forget_days: int | None = None) -> Callable[[DataFrame, int], None]:
     """Batch function that judges each finished run against all runs of its pipeline before it.
 
-    Count, mean and sum of squared deviations per pipeline are kept as one table per batch below `path`.
+    Count, mean and sum of squared deviations per pipeline are kept as `Upserts` below `path`: a batch adds one row for each
+    pipeline it has runs of. With `forget_days` a pipeline whose last run is that many days older than the newest one loses its state.
     Inside a batch the earlier rows come from sliced running sums, so a pipeline that sends much of the
     data does not end up in one task, as it would with state per key. A batch that is run again reads the
     same earlier state and overwrites its own output.
     """
-
-    def state_path(batch_id: int) -> str:
-        return f"{path}/state/batch={batch_id}"
+    state = Upserts(f"{path}/state", STATE, ["pipeline_id"], expire=None if forget_days is None else ("last_run", forget_days))
 
     def judge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -95,16 +100,15 @@ def running_detector(path: str, min_runs: int = MIN_RUNS) -> Callable[[DataFrame
             .persist()
         )
         try:
-            known = (
-                spark.read.schema(STATE).parquet(state_path(batch_id - 1)) if batch_id else spark.createDataFrame([], STATE)
-            )
+            named = rows.select("pipeline_id").distinct()
+            known = state.current(spark, batch_id).join(named, "pipeline_id", "left_semi").persist()
             inside = trailing_moments(rows, ["pipeline_id"], "_at", "id", "duration_seconds", None)
             here = {
                 "n2": F.coalesce("prior_rows", F.lit(0)),
                 "mean2": or_zero("prior_avg"),
                 "m22": or_zero("prior_stddev") * or_zero("prior_stddev") * F.greatest(F.col("prior_rows") - 1, F.lit(0)),
             }
-            seen = _merge_moments(salted_join(inside.withColumns(here), known, ["pipeline_id"], "id", "left"))
+            seen = _merge_moments(salted_join(inside.withColumns(here), known.drop("last_run"), ["pipeline_id"], "id", "left"))
             value = or_zero("duration_seconds")
             upper = F.col("mean") + SIGMAS * F.sqrt(F.col("m2") / F.nullif(F.col("n") - 1, F.lit(0)))
             hits = (
@@ -117,10 +121,11 @@ def running_detector(path: str, min_runs: int = MIN_RUNS) -> Callable[[DataFrame
                 F.count("duration_seconds").alias("n2"),
                 or_zero(F.avg("duration_seconds")).alias("mean2"),
                 or_zero(F.var_pop("duration_seconds") * F.count("duration_seconds")).alias("m22"),
+                F.max("execution_date").alias("_last"),
             )
-            _merge_moments(totals.join(known, "pipeline_id", "full")).select("pipeline_id", "n", "mean", "m2").write.mode(
-                "overwrite"
-            ).parquet(state_path(batch_id))
+            both = _merge_moments(totals.join(known, "pipeline_id", "left"))
+            state.store(both.withColumn("last_run", F.greatest("last_run", "_last")), batch_id)
+            known.unpersist()
         finally:
             rows.unpersist()
 
@@ -158,6 +163,33 @@ def current_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return log.groupBy("id").agg(newest.alias("row")).select("row.*")
 
 
+def late_rows(stream: DataFrame, path: str, late: str = LATE) -> Callable[[DataFrame, int], None]:
+    """Batch function that sets aside the rows a watermark would drop, before any is dropped.
+
+    A row is late if its event time lies more than `late` before the newest one of the batches before its own. Late rows are stored below
+    `path`/late, the others below `path`/on_time, one folder per batch; the newest time so far is stored with each batch, so a batch
+    that runs again is divided as it was.
+    """
+    columns = stream.columns
+
+    def divide(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        newest = f"{path}/newest"
+        seen = spark.read.schema("newest timestamp, batch bigint").parquet(newest).filter(F.col("batch") < batch_id) if batch_id else None
+        limit = seen.agg(F.max("newest")).first()[0] if seen is not None else None
+        rows = batch.select(*columns).persist()
+        try:
+            edge = F.lit(limit).cast("timestamp") - F.expr(f"INTERVAL {late}")
+            is_late = F.coalesce(F.col("event_time") < edge, F.lit(False))
+            rows.filter(is_late).write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}")
+            rows.filter(~is_late).write.mode("overwrite").parquet(f"{path}/on_time/batch={batch_id}")
+            rows.agg(F.max("event_time").alias("newest")).write.mode("overwrite").parquet(f"{newest}/batch={batch_id}")
+        finally:
+            rows.unpersist()
+
+    return divide
+
+
 def start(writer: DataStreamWriter, checkpoint: str, once: bool = True):
     """Start a query; `once` handles what is there and stops."""
     writer = writer.option("checkpointLocation", checkpoint)

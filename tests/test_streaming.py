@@ -2,12 +2,14 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from runpulse import schemas
 from runpulse.operators import alerts, baselines, rules, timeseries
 from runpulse.sources import derived
 from runpulse.sources.derived import AS_OF
 from runpulse.streaming import jobs
+from runpulse.streaming.upserts import Upserts
 
 SENTINEL = "2024-03-01 00:00:00"
 
@@ -126,3 +128,46 @@ def test_change_log_keeps_the_newest_row(spark, runs, fresh):
     store(update, 1)
     now = jobs.current_rows(spark, path, first.schema)
     assert now.count() == 10 and now.filter("state = 'changed'").count() == 4
+
+
+def test_state_is_forgotten(spark, runs, fresh):
+    target = fresh()
+    judge = jobs.running_detector(target, forget_days=30)
+    one = runs.filter("pipeline_id = 'dag_1'").limit(5)
+    judge(one, 0)
+    judge(one.withColumns({"pipeline_id": F.lit("other"), "execution_date": F.col("execution_date") + F.expr("INTERVAL 90 DAYS")}), 1)
+    kept = Upserts(f"{target}/state", jobs.STATE, ["pipeline_id"], expire=("last_run", 30)).current(spark).collect()
+    assert [r.pipeline_id for r in kept] == ["other"]
+
+
+def test_upserts_merge_and_repeat(spark, fresh):
+    path, want = fresh(), {}
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.StringType()), T.StructField("at", T.LongType())])
+    store = Upserts(path, schema, ["id"], ["at"], fan=3)
+    for k in range(14):
+        rows = [(i, f"{k}-{i}-{a}", a) for i in (k % 5, k % 3, k, None) for a in (2, 1)]
+        frame = spark.createDataFrame(rows, schema)
+        store.store(frame, k)
+        if k in (2, 8, 13):
+            store.store(frame, k)  # again, as after a lost driver
+        want |= {i: f"{k}-{i}-2" for i, _, _ in rows}
+        assert {r.id: r.v for r in store.current(spark).collect()} == want
+    assert sorted(store.segments(spark)) == [(0, 12), (0, 13), (1, 11), (2, 8)]
+    text = store.current(spark)._jdf.queryExecution().executedPlan().toString()
+    names = sorted(f.getPath().getName() for f in store._fs(spark, "segments")[0].listStatus(store._fs(spark, "segments")[1]))
+    assert names == ["0-12", "0-13", "1-11", "2-8"] and "segments/2-8" in text
+    assert store.current(spark, before=13).filter("id = 13").count() == 0
+
+
+def test_late_rows_are_kept_apart(spark, runs, folder, fresh):
+    target, source = fresh(), jobs.read_run_stream(spark, folder, files_per_trigger=1)
+    divide = jobs.late_rows(source, target)
+
+    def twice(batch, batch_id):
+        divide(batch, batch_id)
+        divide(batch, batch_id)
+
+    jobs.start(source.writeStream.foreachBatch(twice), fresh()).awaitTermination()
+    late, on_time = (spark.read.parquet(f"{target}/{name}") for name in ("late", "on_time"))
+    assert late.filter("id >= 1000000").count() == 5 and on_time.filter("id >= 1000000").count() == 0
+    assert late.count() + on_time.count() == spark.read.parquet(folder).count()
