@@ -7,12 +7,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # sessions of a hot key are merged on the map side before they are shuffled
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
+    # what a query shuffled is deleted when it has ended; a cached table that loses a block makes it anew
+    CLEANUP: "true",
 }
 
 
@@ -49,8 +52,12 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` to the shared folder and read it back, so that later steps start from the table."""
+    """Write `df` to the shared folder and read it back, so that later steps start from the table.
+
+    What the write shuffled is not needed again and is deleted with it, on this session from now on.
+    """
     path = fresh_dir(df.sparkSession, label)
+    df.sparkSession.conf.set(CLEANUP, "true")
     df.write.parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.written_at = path
