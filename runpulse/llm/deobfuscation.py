@@ -21,8 +21,6 @@ DISGUISES = {
 #: Natural log costs of the channel: a sign for a letter, a letter repeated, a doubled one meant once, a separator put in, one left as it is,
 #: a sign that is no letter.
 SWAP, STRETCH, DOUBLED, SPACED, SPLIT, PLAIN = -1.5, -0.7, -5.0, -0.3, -3.0, -4.0
-#: States kept at each step of the decoding.
-BEAM = 48
 
 _SIGNS = re.escape("".join(DISGUISES))
 #: What the lattice takes for a separator: all but letters, digits and signs.
@@ -144,8 +142,6 @@ class Decoder:
                         x, y = y, s
                     if (x, y) not in after or after[x, y][0] < total:
                         after[x, y] = (total, (done, letters))
-            if len(after) > BEAM:
-                after = dict(sorted(after.items(), key=lambda kv: -kv[1][0])[:BEAM])
             states = after
         done, parts = max(states.values(), key=lambda v: v[0])[1], []
         while done is not None:

@@ -83,7 +83,7 @@ def _head(table: pa.Table, block: int, name) -> pa.RecordBatch:
 
 
 def term_postings(
-    docs: DataFrame, text: str, reader: Callable[[], "TermReader"], kind: str = "long", step: int = 1 << 22,
+    docs: DataFrame, text: str, reader: Callable[[], "TermReader"], kind: str = "long", step: int = 1 << 20,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Posting rows of all whole texts, read `step` bytes at a time; the other columns travel in the head rows."""

@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, functions as F
 from runpulse.llm.deobfuscation import Decoder, restored_rows, symbol_counts, symbol_model
 from runpulse.llm.sampling import in_fold, label_sample
 from runpulse.llm.words import _LOWER, column_bytes, mix, per_row, pieces_of, signed, span_hashes
+from runpulse.session import cut_lineage
 
 #: Labelled texts the weights are learned from at most, those of smallest id hash.
 SAMPLE = 20_000
-#: A word is used from this many different surroundings in toxic texts and standard deviations above chance; words kept.
-LEAST, SURE, WORDS = 5, 6.0, 4_000
+#: A word is used from this many different surroundings in toxic texts and standard deviations above chance.
+LEAST, SURE = 5, 6.0
 
 _INSIDE = np.zeros(256, dtype=bool)
 _INSIDE[48:58] = _INSIDE[97:123] = True
@@ -47,10 +48,11 @@ def text_words(column: pa.Array, decoder: Decoder) -> tuple[np.ndarray, np.ndarr
     return np.concatenate([words, more])[order], n + m
 
 
-def _learn(sample: DataFrame, decoding: dict) -> tuple[np.ndarray, np.ndarray, tuple[float, float]]:
+def _learn(sample: DataFrame, decoding) -> tuple[np.ndarray, np.ndarray, tuple[float, float]]:
     """Sorted word hashes, their weights, and slope and offset of the score.
 
-    A word counts once for each different pair of neighbours, so copies of one text don't make its words suspect.
+    A word counts once for each different pair of neighbours, so copies of one text don't make its words suspect. The texts are
+    decoded once: their words are stored, and both the weights and the curve are learned from these.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,49 +60,54 @@ def _learn(sample: DataFrame, decoding: dict) -> tuple[np.ndarray, np.ndarray, t
         for whole in batches:
             for batch in pieces_of(whole, "_text"):
                 words, n = text_words(batch.column("_text"), decoder)
-                label = np.repeat(batch.column("_label").to_numpy(), n)
                 around = np.zeros(len(words), dtype=np.uint64)
                 around[1:] = mix(words[:-1])
                 around[:-1] ^= words[1:]
-                found = np.unique(np.stack([words, around, label.astype(np.uint64)]), axis=1)
-                yield pa.record_batch(
-                    {"word": pa.array(signed(found[0].copy())), "around": pa.array(signed(found[1].copy())), "label": pa.array(found[2].astype(np.int32))}
-                )
-
-    places = sample.mapInArrow(run, "word bigint, around bigint, label int")
-    alone = places.groupBy("word", "around").agg(F.max("label").alias("label"))
+                row = np.repeat(np.arange(len(n), dtype=np.uint64), n)
+                found = np.unique(np.stack([row, words, around]), axis=1)
+                cuts = pa.array(np.searchsorted(found[0], np.arange(len(n) + 1, dtype=np.uint64)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(cuts, pa.array(signed(x.copy()))) for x in found[1:]]
+                yield pa.record_batch({"label": batch.column("_label"), "words": lists[0], "around": lists[1]})
+
+    texts = cut_lineage(sample.mapInArrow(run, "label int, words array<bigint>, around array<bigint>"), "labelled-words")
+    places = texts.select("label", F.explode(F.arrays_zip("words", "around")).alias("at"))
+    alone = places.groupBy(F.col("at.words").alias("word"), F.col("at.around").alias("around")).agg(F.max("label").alias("label"))
     toxic = F.sum("label")
     counts = alone.groupBy("word").agg(toxic.alias("n1"), (F.count("*") - toxic).alias("n0")).filter(F.col("n1") >= LEAST)
-    share = sample.agg(F.avg("_label")).first()[0] or 0.0
+    share = texts.agg(F.avg("label")).first()[0] or 0.0
     if not 0 < share < 1:
         return np.zeros(0, np.uint64), np.zeros(0), (0.0, -30.0 if share == 0 else 30.0)
     n = F.col("n1") + F.col("n0")
     z = (F.col("n1") - n * share) / F.sqrt(n * (share * (1 - share)))
     weight = F.log((F.col("n1") + 0.5) / (F.col("n0") + 0.5)) - float(np.log(share / (1 - share)))
     rows = counts.select("word", z.alias("z"), weight.alias("w")).filter((F.col("z") >= SURE) & (F.col("w") >= 2))
-    top = rows.orderBy(F.desc("z"), "word").limit(WORDS).collect()
+    top = rows.collect()  # words far more frequent in the toxic texts of the sample
     words = np.array([r["word"] for r in top], dtype=np.int64).view(np.uint64)
     order = np.argsort(words)
     words, weights = words[order], np.array([r["w"] for r in top])[order]
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(decoding.value)
-        for whole in batches:
-            for batch in pieces_of(whole, "_text"):
-                found = evidence(batch.column("_text"), decoder, words, weights)
-                yield pa.record_batch({"x": pa.array(found), "y": batch.column("_label")})
+        for batch in batches:
+            lists = batch.column("words")
+            found = lists.flatten().to_numpy().view(np.uint64)
+            n = lists.value_lengths().to_numpy()
+            yield pa.record_batch({"x": pa.array(np.round(_evidence(found, n, words, weights), 3)), "y": batch.column("label")})
 
-    pairs = np.array([(r["x"], r["y"]) for r in sample.mapInArrow(sums, "x double, y int").collect()]).reshape(-1, 2)
-    return words, weights, _logistic(pairs[:, 0], pairs[:, 1])  # two numbers per sampled text
+    # as many rows as there are sums with three decimals, not as there are texts
+    curve = texts.select("label", "words").mapInArrow(lambda b: sums(x.select(["label", "words"]) for x in b), "x double, y int")
+    points = curve.groupBy("x", "y").agg(F.count("*").alias("times")).collect()
+    x, y, times = (np.array([p[c] for p in points], dtype=np.float64) for c in ("x", "y", "times"))
+    return words, weights, _logistic(x, y, times)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, by Newton steps with a small ridge."""
+def _logistic(x: np.ndarray, y: np.ndarray, times: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of a logistic curve through points that count `times`, by Newton steps with a small ridge."""
     a, b = 0.0, 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        w = p * (1 - p) + 1e-9
-        g = np.array([((y - p) * x).sum() - 1e-3 * a, (y - p).sum() - 1e-3 * b])
+        w = times * (p * (1 - p) + 1e-9)
+        off = times * (y - p)
+        g = np.array([(off * x).sum() - 1e-3 * a, off.sum() - 1e-3 * b])
         h = np.array([[(w * x * x).sum() + 1e-3, (w * x).sum()], [(w * x).sum(), w.sum() + 1e-3]])
         step = np.clip(np.linalg.solve(h, g), -2, 2)
         a, b = a + step[0], b + step[1]
@@ -109,9 +116,8 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def evidence(column: pa.Array, decoder: Decoder, words: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """The square root of the summed weights of the different known words of each row."""
-    found, n = text_words(column, decoder)
+def _evidence(found: np.ndarray, n: np.ndarray, words: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The square root of the summed weights of the different known words of each row, from the rows' words."""
     if not len(words) or not len(found):
         return np.zeros(len(n))
     at = np.minimum(np.searchsorted(words, found), len(words) - 1)
@@ -121,6 +127,10 @@ def evidence(column: pa.Array, decoder: Decoder, words: np.ndarray, weights: np.
     return np.sqrt(np.bincount(pairs[0], weights[pairs[1]], minlength=len(n)))
 
 
+def evidence(column: pa.Array, decoder: Decoder, words: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return _evidence(*text_words(column, decoder), words, weights)
+
+
 def toxicity_scores(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
     fold: int = 0, folds: int = 5, sample: int = SAMPLE, keep_text: bool = False,
@@ -129,8 +139,9 @@ def toxicity_scores(
 
     A character trigram model is counted over all texts. Disguised words (signs for letters, separators, repeated
     letters) are decoded under it and read beside the words as they stand. Word weights come from at most
-    `sample` labelled texts that are not held out (ids whose crc32 leaves `fold`); the score is a logistic curve
-    of them. Labels, languages, sources and ids are no inputs of a score.
+    `sample` labelled texts that are not held out (ids whose crc32 leaves `fold`): a word has one if it stands in at least LEAST
+    different surroundings in toxic ones and SURE standard deviations above its share; so where few texts are labelled, few
+    words are known. The score is a logistic curve of the weights. Texts are read whole, piece by piece if they are very long. Labels, languages, sources and ids are no inputs of a score.
 
     A null or empty text has the score of a text without known words. Null ids are not held out and never labelled;
     repeated labels count as 1 if one is 1. Equal rows each give a row; columns named like the results are replaced.
@@ -143,7 +154,7 @@ def toxicity_scores(
     decoding = context.broadcast(symbol_model(symbol_counts(plain)))  # SYMBOLS ** 3 numbers
     learned = label_sample(labels.filter(~in_fold(F.col(doc_id), fold, folds)), label, sample, doc_id)
     known = plain.filter(~F.col("held_out")).select("_id", "_text").join(F.broadcast(learned), "_id").select("_text", "_label")
-    model = context.broadcast(_learn(known, decoding))  # WORDS hashes and weights at most
+    model = context.broadcast(_learn(known, decoding))  # words of the bounded sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(decoding.value)

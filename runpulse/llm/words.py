@@ -146,7 +146,7 @@ def row_sets(column: pa.Array, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     return hashes[fresh], np.bincount(row[fresh], minlength=len(counts)).astype(np.int64)
 
 
-def pieces_of(batch: pa.RecordBatch, column: str, size: int = 1 << 22):
+def pieces_of(batch: pa.RecordBatch, column: str, size: int = 1 << 20):
     """Cut a batch into slices of about `size` bytes of text (a longer text alone)."""
     _, offsets = column_bytes(batch.column(column))
     at = 0
