@@ -20,10 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from runpulse.llm.components import connected_components
+from runpulse.operators.components import connected_components
 from runpulse.llm.sampling import row_key
 from runpulse.llm.words import mix, pieces_of, row_sets, signed
-from runpulse.session import cut_lineage
+from runpulse.session import cut_lineage, discard
 
 #: Linked if UP * intersection >= LOW * union.
 UP, LOW = 4, 3
@@ -229,13 +229,12 @@ def _prefix_rows(texts: DataFrame, size: int, common) -> DataFrame:
 
 
 def _shared(rows: DataFrame, owner: str) -> DataFrame:
-    """The rows whose `token` has more than one `owner`, all of them: a token's least and largest owner tell.
+    """The rows of a stored table whose `token` has more than one `owner`: its least and largest owner differ.
 
-    One shuffle by token; the rows of a token are spilled to disk where they are many.
+    Owners are added up before the shuffle, and the rows are then filtered by a join, which Spark splits where a token has many.
     """
-    of_token = Window.partitionBy("token")
-    seen = rows.withColumn("_low", F.min(owner).over(of_token)).withColumn("_high", F.max(owner).over(of_token))
-    return seen.filter("_low <> _high").drop("_low", "_high")
+    seen = rows.groupBy("token").agg(F.min(owner).alias("_low"), F.max(owner).alias("_high"))
+    return rows.join(seen.filter("_low <> _high").select("token"), "token", "left_semi")
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, classes: DataFrame, size: int) -> DataFrame:
@@ -260,7 +259,9 @@ def _linked(pairs: DataFrame, texts: DataFrame, classes: DataFrame, size: int) -
                 good[k] = UP * common >= LOW * (len(x) + len(y) - common)
             yield batch.select(["u", "v"]).filter(pa.array(good))
 
-    return both.mapInArrow(run, "u bigint, v bigint")
+    linked = cut_lineage(both.mapInArrow(run, "u bigint, v bigint"), "linked")
+    discard(pairs, sets)
+    return linked
 
 
 def jaccard_components(
@@ -291,13 +292,17 @@ def jaccard_components(
     keyed = classes.select("cid", "weight", F.explode("values").alias("value"))
     leader = keyed.groupBy("value").agg(central, F.count("*").alias("many")).filter("many > 1")
     stars = keyed.join(leader, "value").select(F.col("cid").alias("u"), "v")
-    links = cut_lineage(_linked(stars, texts, classes, size), "links")
+    links = _linked(stars, texts, classes, size)
     groups = _groups(classes, links)
 
-    tokens = cut_lineage(_shared(_prefix_rows(texts, size, common), "cid"), "tokens")
+    prefix = cut_lineage(_prefix_rows(texts, size, common), "prefix")
+    tokens = cut_lineage(_shared(prefix, "cid").distinct(), "tokens")  # the documents of a class have the same rows
+    discard(prefix)
     enough = tokens.groupBy("cid").agg(F.count("*").alias("k")).join(groups, "cid").filter(f"k >= {NEEDED}")
-    across = _shared(tokens.join(enough.select("cid", "grp", "n"), "cid").select("token", "grp", "cid", "n"), "grp")
-    across = cut_lineage(across.distinct().withColumn("band", F.floor(F.log(RATIO, "n")).cast("int")), "matrix")
+    owned = cut_lineage(tokens.join(enough.select("cid", "grp", "n"), "cid").select("token", "grp", "cid", "n"), "owned")
+    across = _shared(owned, "grp").withColumn("band", F.floor(F.log(RATIO, "n")).cast("int"))
+    across = cut_lineage(across, "matrix")
+    discard(tokens, owned)
     # per band of partner sizes: how many prefix shingles stand in another group at all
     present = across.groupBy("token", F.col("band").alias("to")).agg(F.min("grp").alias("g1"), F.max("grp").alias("g2"))
     enough = across.groupBy("cid").agg(F.count("*").alias("k"), F.min("n").alias("n")).filter(f"k >= {NEEDED}")
@@ -305,12 +310,14 @@ def jaccard_components(
     asked = asked.withColumn("to", F.explode(F.sequence(F.col("band") - REACH, F.col("band") + REACH)))
     seen = asked.join(present, ["token", "to"]).filter("g1 <> grp OR g2 <> grp")
     live = seen.groupBy("cid", "n", "to").agg(F.count("*").alias("k")).withColumn("need", _needed_in("n", "to")).filter("k >= need")
-    query = cut_lineage(seen.join(live.select("cid", "to", "k", "need"), ["cid", "to"]).select("token", "cid", "grp", "band", "to", "k", "need"), "query")
+    asking = cut_lineage(seen.join(live.select("cid", "to", "k", "need"), ["cid", "to"]).select("token", "cid", "grp", "band", "to", "k", "need"), "query")
+    discard(across)
     # any linked pair shares `need` of these shingles, so it meets in one that is not among the need - 1 most frequent of either
-    spread = query.groupBy("token").agg(F.count("*").alias("df"))
+    spread = asking.groupBy("token").agg(F.count("*").alias("df"))
     order = Window.partitionBy("cid", "to").orderBy("df", "token")
-    query = query.join(spread, "token").withColumn("at", F.row_number().over(order)).filter("at <= k - need + 1")
+    query = asking.join(spread, "token").withColumn("at", F.row_number().over(order)).filter("at <= k - need + 1")
     query = cut_lineage(query.select("token", "cid", "grp", "band", "to"), "rare")
+    discard(asking)
     # the members of a group that ask the same are one row, so a family of copies meets each other group once a shingle
     matrix = query.select("token", "grp", "band", "to").distinct()
     met = matrix.select("token", F.col("grp").alias("other"), F.col("band").alias("to"), F.col("to").alias("band"))
@@ -318,8 +325,8 @@ def jaccard_components(
     opened = cut_lineage(opened, "opened")
     if not opened.isEmpty():
         # both members of a linked pair are among those that ask
-        asking = query.select("grp", "band", "cid").distinct().join(classes.select("cid", "n", "bits"), "cid")
-        links = cut_lineage(links.unionByName(_linked(_possible(opened, asking), texts, classes, size)), "links")
+        members_of = query.select("grp", "band", "cid").distinct().join(classes.select("cid", "n", "bits"), "cid")
+        links = cut_lineage(links.unionByName(_linked(_possible(opened, members_of), texts, classes, size)), "links")
         groups = _groups(classes, links)
     named = groups.join(classes.select("cid", F.col("_id").alias("class_id")), "cid")
     smallest = named.groupBy("grp").agg(F.min("class_id").alias("component_id"))
