@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from runpulse.llm.columns import unused
 from runpulse.llm.sampling import row_key
 from runpulse.llm.words import mix, pieces_of, row_sets, row_words, shingles, signed
 
@@ -196,6 +197,7 @@ def contained_items(
 
 def decontaminated(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
     """The documents in which no item is contained, all columns kept."""
-    keyed = docs.withColumn("_row", row_key(docs))
-    hits = contained_items(keyed, items, doc_id="_row", text=text, **options).select("_row").distinct()
-    return keyed.join(hits, "_row", "left_anti").drop("_row")
+    row = unused(docs, "_row")
+    keyed = docs.withColumn(row, row_key(docs))
+    hits = contained_items(keyed, items, doc_id=row, text=text, **options).select(row).distinct()
+    return keyed.join(hits, row, "left_anti").drop(row)

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from runpulse.operators.components import connected_components
+from runpulse.llm.columns import unused
 from runpulse.llm.sampling import row_key
 from runpulse.llm.words import mix, pieces_of, row_sets, signed
 from runpulse.session import cut_lineage, discard
@@ -350,9 +351,10 @@ def _groups(classes: DataFrame, links: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5) -> DataFrame:
     """One document of each component, the one with the smallest id (a null id counts as largest), with all its columns."""
-    keyed = docs.withColumn("_row", row_key(docs))
-    parts = jaccard_components(keyed, "_row", text, size).select("_row", "component_id").distinct()
-    named = keyed.select("_row", F.col(doc_id).alias("_id")).distinct().join(parts, "_row")
-    first = F.min_by("_row", F.struct(F.col("_id").isNull(), "_id", "_row"))
-    kept = named.groupBy("component_id").agg(first.alias("_row")).select("_row")
-    return keyed.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")
+    row = unused(docs, "_row")
+    keyed = docs.withColumn(row, row_key(docs))
+    parts = jaccard_components(keyed, row, text, size).select(row, "component_id").distinct()
+    named = keyed.select(row, F.col(doc_id).alias("_id")).distinct().join(parts, row)
+    first = F.min_by(row, F.struct(F.col("_id").isNull(), "_id", row))
+    kept = named.groupBy("component_id").agg(first.alias(row)).select(row)
+    return keyed.join(kept, row, "left_semi").dropDuplicates([row]).drop(row)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from runpulse.llm.columns import passing_on
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words are runs of digits, ASCII letters and characters beyond ASCII.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -57,7 +59,9 @@ def license_spans(texts: DataFrame, keys: list[str], text: str, phrases=PHRASES,
 
     Every pair of neighbouring words of every text is hashed and joined to the template places with that hash,
     and to their words. Each match votes for the diagonal text place minus template place. Diagonals of
-    a notice at most NEAR apart are merged, so a word put in or left out does not lose the span. A span stands if all of
+    a notice at most NEAR apart are merged. A word put in costs one pair, a word left out two, so at the usual `share` a notice
+    of 14 pairs or more survives either, one of 7 a word put in, and a shorter one must stand as it is: what is left of
+    "released under the mit license" after an edit stands in many texts about other licenses. A span stands if all of
     a phrase, or at least `share` of a notice's pairs, is found. The templates are a fixed short list, so they are
     broadcast. Texts that are equal in `keys` count once.
     """
@@ -95,7 +99,11 @@ def scan_licenses(docs: DataFrame, text: str = "text", phrases=PHRASES, notices=
     columns named like the results are replaced. An empty table gives no rows.
     """
     made = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
-    kept = [c for c in docs.columns if c != text and c not in made]
+    return passing_on(docs, [text], made, lambda d: _scanned(d, text, phrases, notices))
+
+
+def _scanned(docs, text, phrases, notices) -> DataFrame:
+    kept = [c for c in docs.columns if c != text]
     content = F.coalesce(F.col(text), F.lit(""))
     keyed = docs.select(*kept, content.alias("_text"), F.xxhash64(content).alias("_k1"), F.hash(content, F.lit(7)).alias("_k2"))
     spans = license_spans(keyed.select("_k1", "_k2", "_text"), ["_k1", "_k2"], "_text", phrases, notices)

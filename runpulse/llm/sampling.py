@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from runpulse.llm.columns import column
+
 
 def in_fold(doc_id: Column, remainder: int, folds: int = 5) -> Column:
     """Whether crc32 of the id as text leaves `remainder`; a null id is in no fold."""
@@ -12,7 +14,7 @@ def in_fold(doc_id: Column, remainder: int, folds: int = 5) -> Column:
 
 def row_key(df: DataFrame) -> Column:
     """A hash of all columns that names a row; equal rows share it."""
-    return F.xxhash64(*[F.struct(F.col(c)) for c in df.columns])
+    return F.xxhash64(*[F.struct(column(c)) for c in df.columns])
 
 
 def label_sample(labels: DataFrame, label: str, rows: int, doc_id: str = "doc_id") -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from runpulse.llm.columns import passing_on
 from runpulse.llm.postings import TermReader, document_sums, term_postings
 from runpulse.llm.words import column_bytes, per_row, span_hashes
 
@@ -115,7 +116,12 @@ def token_counts(docs: DataFrame, path: str, text: str = "text", limit: int = 51
     included, are passed on, but for columns named like the results, which are replaced. An empty table gives
     no rows.
     """
-    kept = [c for c in docs.columns if c not in (text, "n_bytes", "n_tokens", "over_limit")]
+    run = lambda d: _counted(d, path, text, limit)
+    return passing_on(docs, [text], ["n_bytes", "n_tokens", "over_limit"], run)
+
+
+def _counted(docs, path, text, limit) -> DataFrame:
+    kept = [c for c in docs.columns if c != text]
     plain = docs.select(*[F.col(c) for c in kept], F.col(text).alias("_text"))
     rows = term_postings(plain, "_text", PreTokens, kind="binary")
     parts = rows.repartition("term", "salt").sortWithinPartitions("term")

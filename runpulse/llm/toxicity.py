@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from runpulse.llm.columns import column, passing_on, unused
 from runpulse.llm.deobfuscation import Decoder, restored_rows, symbol_counts, symbol_model
 from runpulse.llm.sampling import in_fold, label_sample
 from runpulse.llm.words import _LOWER, column_bytes, mix, per_row, pieces_of, signed, span_hashes
@@ -147,8 +148,12 @@ def toxicity_scores(
     repeated labels count as 1 if one is 1. Equal rows each give a row; columns named like the results are replaced.
     Empty tables give no rows; without any label the score is 0.
     """
-    made = ["held_out", "score", "predicted"]
-    kept = [c for c in docs.columns if c not in made and (keep_text or c != text)]
+    run = lambda d: _scored(d, labels, doc_id, text, label, fold, folds, sample, keep_text)
+    return passing_on(docs, [doc_id, text], ["held_out", "score", "predicted"], run)
+
+
+def _scored(docs, labels, doc_id, text, label, fold, folds, sample, keep_text) -> DataFrame:
+    kept = [c for c in docs.columns if keep_text or c != text]
     plain = docs.select(*kept, F.col(doc_id).alias("_id"), F.col(text).alias("_text"), in_fold(F.col(doc_id), fold, folds).alias("held_out"))
     context = docs.sparkSession.sparkContext
     decoding = context.broadcast(symbol_model(symbol_counts(plain)))  # SYMBOLS ** 3 numbers
@@ -172,7 +177,7 @@ def toxicity_scores(
 
 def keep_civil(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents not predicted toxic, with all their columns."""
-    named = {c: f"_own_{c}" for c in ("held_out", "score", "predicted") if c in docs.columns}
+    named = {c: unused(docs, f"_own_{c}") for c in docs.columns if c.lower() in ("held_out", "score", "predicted")}
     scored = toxicity_scores(docs.withColumnsRenamed(named), labels, keep_text=True, **options)
     good = scored.filter("predicted = 0").drop("held_out", "score", "predicted")
-    return good.withColumnsRenamed({v: k for k, v in named.items()}).select(*docs.columns)
+    return good.withColumnsRenamed({v: k for k, v in named.items()}).select(*[column(c) for c in docs.columns])

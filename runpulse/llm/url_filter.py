@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from runpulse.llm.columns import passing_on
 from runpulse.operators.components import connected_components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -100,7 +101,12 @@ def judge_urls(
     an empty host and path, no rule and no aliases. Null html has no links. Equal rows each give a row; columns
     named like the results are replaced, others passed on. An empty table gives no rows.
     """
-    kept = [F.col(c) for c in pages.columns if c not in (html, "host", "path", "rule", "verdict")]
+    run = lambda p: _judged(p, rules, url, html, default)
+    return passing_on(pages, [url, html], ["host", "path", "rule", "verdict"], run)
+
+
+def _judged(pages, rules, url, html, default) -> DataFrame:
+    kept = [F.col(c) for c in pages.columns if c != html]
     judged = pages.select(*kept, url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
     judged = judged.withColumn("_rule", fitting_rule(F.col("host"), F.col("path"), rules))
     parts = connected_components(alias_edges(pages, url, html))
