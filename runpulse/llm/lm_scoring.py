@@ -12,14 +12,16 @@ from runpulse.llm.gru import Gru
 from runpulse.llm.postings import TermReader, document_sums, salted, term_postings
 from runpulse.llm.sampling import in_fold
 from runpulse.llm.words import _LOWER, column_bytes, mix, per_row, pieces_of, signed, span_hashes, word_spans
-from runpulse.session import cut_lineage
+from runpulse.session import cut_lineage, discard
 
 #: The end token's term; no word is hashed on purpose to it.
 END = mix(np.array([0xE0D], dtype=np.uint64))
 #: Most frequent words with an id (the end is one of them), and rest classes.
 WORDS, REST = 1024, 64
-#: Passes over all training texts; the weights of the parts are averaged after each.
-ROUNDS = 2
+#: Passes over all training texts; the weights of the shards are averaged after each.
+ROUNDS, RATE = 2, 0.012
+#: Tokens of a shard; texts that are gathered and sorted by length, and texts of a batch.
+SHARD, GROUP, BATCH = 1 << 21, 512, 64
 
 
 def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,40 +92,81 @@ class _Scored(TermReader):
         return terms, counts, {"n_tokens": pa.array(counts, pa.int64()), "network": pa.array(logs / np.log(10))}
 
 
-def _fit(training: DataFrame, vocabulary: np.ndarray, totals: np.ndarray) -> Gru:
+def _shards(training: DataFrame, vocabulary: np.ndarray, tokens: int) -> DataFrame:
+    """Rows (`shard`, `turn`, `ids`): the ids of every training text, its shard and its place in it, by hashes of the row.
+
+    There are as many shards as hold SHARD tokens each; neither their number nor what is in them depends on partitions.
+    """
+    count = max(1, -(-tokens // SHARD))
+    place = F.xxhash64("_id", "_text")
+    rows = training.select("_text", F.pmod(place, F.lit(count)).alias("shard"), F.xxhash64(F.lit(1), "_id", "_text").alias("turn"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = _Ids(vocabulary)
+        for whole in batches:
+            for batch in pieces_of(whole, "_text"):
+                terms, kinds, counts = _tokens(batch.column("_text"))
+                packed = ids(terms, kinds).astype(np.uint16)
+                cuts = pa.py_buffer(np.r_[0, 2 * np.cumsum(counts)].astype(np.int32))
+                binary = pa.Array.from_buffers(pa.binary(), len(counts), [None, cuts, pa.py_buffer(packed)])
+                yield batch.drop_columns(["_text"]).append_column("ids", binary)
+
+    return cut_lineage(rows.mapInArrow(run, "shard bigint, turn bigint, ids binary"), "training-ids")
+
+
+def _fit(training: DataFrame, vocabulary: np.ndarray, totals: np.ndarray, tokens: int) -> Gru:
     """A network fitted on all training texts, whole.
 
-    In each round every partition goes on from the same weights over its own texts, and the weights that come out are
-    averaged by the tokens they have seen, in a tree; their size does not depend on the input.
+    In each round every shard goes on from the same weights over its own texts in their order, and the weights that come out
+    are averaged by the tokens they have seen, in a tree; their size does not depend on the input.
     """
     network = Gru(WORDS, REST)
     network.start_from(totals)
     context = training.sparkSession.sparkContext
+    shards = _shards(training, vocabulary, tokens)
     for number in range(ROUNDS):
-        model = context.broadcast((vocabulary, network.p))
-        rate = 0.01 * (1 - number / ROUNDS)
+        model = context.broadcast(network.p)
+        rate = RATE * (1 - number / ROUNDS)
 
         def run(batches: Iterator[pa.RecordBatch], model=model, rate=rate) -> Iterator[pa.RecordBatch]:
-            known, start = model.value
-            ids, own = _Ids(known), Gru(WORDS, REST, parameters={k: v.copy() for k, v in start.items()})
-            seen, memory = 0, {}
-            for whole in batches:
-                for batch in pieces_of(whole, "_text"):
-                    terms, kinds, counts = _tokens(batch.column("_text"))
-                    own.train(np.split(ids(terms, kinds), np.cumsum(counts)[:-1]), rate, seed=1 + seen, memory=memory)
-                    seen += len(terms)
-            if seen:
-                flat = np.concatenate([own.p[k].ravel() for k in sorted(own.p)])
-                yield pa.record_batch({"seen": pa.array([seen], pa.int64()), "weights": pa.array([flat.tobytes()], pa.binary())})
+            shard, own, held, seen, memory = None, None, [], 0, {}
 
-        parts = training.select("_text").mapInArrow(run, "seen bigint, weights binary").rdd
+            def learn():
+                nonlocal held, seen
+                own.train(held, rate, BATCH, seed=1 + seen, memory=memory)
+                seen += sum(map(len, held))
+                held = []
+
+            def done():
+                if held:
+                    learn()
+                flat = np.concatenate([own.p[k].ravel() for k in sorted(own.p)])
+                return pa.record_batch({"seen": pa.array([seen], pa.int64()), "weights": pa.array([flat.tobytes()], pa.binary())})
+
+            for batch in batches:
+                for number, ids in zip(batch.column("shard").to_pylist(), batch.column("ids")):
+                    if number != shard:
+                        if own is not None:
+                            yield done()
+                        shard, held, seen, memory = number, [], 0, {}
+                        own = Gru(WORDS, REST, parameters={k: v.copy() for k, v in model.value.items()})
+                    held.append(np.frombuffer(ids.as_buffer(), np.uint16).astype(np.int64))
+                    if len(held) == GROUP:
+                        learn()
+            if own is not None:
+                yield done()
+
+        ordered = shards.repartition("shard").sortWithinPartitions("shard", "turn")
+        parts = ordered.mapInArrow(run, "seen bigint, weights binary").rdd
         each = parts.map(lambda r: (r["seen"], np.frombuffer(r["weights"], np.float32).astype(np.float64) * r["seen"]))
         seen, total = each.treeAggregate((0, 0.0), lambda x, y: (x[0] + y[0], x[1] + y[1]), lambda x, y: (x[0] + y[0], x[1] + y[1]))
+        model.destroy()
         at = 0
         for k in sorted(network.p) if seen else ():
             shape, size = network.p[k].shape, network.p[k].size
             network.p[k] = (total[at : at + size] / seen).astype(np.float32).reshape(shape)
             at += size
+    discard(shards)
     return network
 
 
@@ -135,8 +178,9 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     is the smoothed unigram score. The model is a gated recurrent network over the WORDS most frequent tokens and
     REST rest classes of all other words; in a rest class a word has its smoothed share of the class's counts,
     so the whole vocabulary of the corpus, which grows with it, takes part. The network is fitted on all
-    training texts, whole, so its weights depend a little on how the input is cut into partitions; the counts are those of
-    the whole corpus, joined to block postings.
+    training texts, whole, in shards by hashes of the rows, so it does not depend on partitions (but for the last bits of
+    the sums that average the shards); the counts are those of the whole corpus, joined to block postings. Very long texts are
+    scored window by window, the state carried on.
 
     A null or empty text is the end token alone. A null id counts as training. Equal rows each give a row; other
     columns are ignored. An empty table gives no rows; without any training token all counts are 0.
@@ -159,7 +203,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     shares = {r["rest"]: (r["n"], r["v"]) for r in rest.groupBy("rest").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
     n, v = (x or 0 for x in counts.agg(F.sum("c"), F.count("*")).first())
     totals = np.array([ends, *[r["c"] for r in top], *[0] * (WORDS - len(frequent)), *[shares.get(k, (0, 0))[0] for k in range(REST)]])
-    network = _fit(training, vocabulary, totals)
+    network = _fit(training, vocabulary, totals, n)
     below = np.array([(shares.get(k, (0, 0))[0] + 0.5 * (shares.get(k, (0, 0))[1] + 1)) for k in range(REST)])
     extra = np.concatenate([np.zeros(WORDS), -np.log(below)])  # the other part, log(c + 0.5), comes with the counts
     model = docs.sparkSession.sparkContext.broadcast((vocabulary, network.p, extra))  # WORDS and REST bound its size
