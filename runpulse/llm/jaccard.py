@@ -220,7 +220,7 @@ def _prefix_rows(texts: DataFrame, size: int, common) -> DataFrame:
                     continue
                 row = np.repeat(np.arange(len(n)), n)
                 late = np.isin(hashes, last)
-                order = np.lexsort((hashes, late, row))
+                order = np.argsort(2 * row + late, kind="stable")  # a row's hashes ascend already
                 place = np.arange(len(hashes)) - np.repeat(np.cumsum(n) - n, n)
                 own = order[place < _prefix(n)[row]]
                 cid = _set_id(hashes, n)[row[own]]
