@@ -11,10 +11,8 @@ import numpy as np
 
 #: Words per class; units; width of the inputs; steps of a window.
 PER_CLASS, UNITS, WIDTH, WINDOW = 32, 24, 16, 32
-
-
-def _sigmoid(x):
-    return 1 / (1 + np.exp(-x))
+#: Rows whose probabilities are worked out at once.
+ROWS = 1 << 14
 
 
 class Gru:
@@ -45,40 +43,56 @@ class Gru:
     def class_of(self, ids: np.ndarray) -> np.ndarray:
         return np.where(ids < self.words, ids // PER_CLASS, ids - self.words + self.classes)
 
-    def forward(self, inputs: np.ndarray, state: np.ndarray, table: np.ndarray, keep: bool = False):
-        """States after each step of a window (steps, texts, UNITS); with `keep` what backpropagation needs."""
+    def forward(self, inputs: np.ndarray, state: np.ndarray, table: np.ndarray, keep: bool = False, fresh: np.ndarray | None = None):
+        """States after each step of a window (steps, texts, UNITS); with `keep` what backpropagation needs.
+
+        Where `fresh` (steps, texts) holds, a text begins: the state before is zero.
+        """
         wh, u = self.p["wh"], UNITS
-        out = np.empty((*inputs.shape, u), dtype=np.float32)
-        kept = []
+        shape = inputs.shape
+        out = np.empty((*shape, u), dtype=np.float32)
+        kept = [np.empty((*shape, k * u), dtype=np.float32) for k in (1, 2, 1, 1)] if keep else None
         for t, ids in enumerate(inputs):
+            if fresh is not None:
+                state = state * ~fresh[t][:, None]
             x, hidden = table[ids], state @ wh
-            gates = _sigmoid(x[:, : 2 * u] + hidden[:, : 2 * u])
-            z, r = gates[:, :u], gates[:, u:]
-            n = np.tanh(x[:, 2 * u :] + r * hidden[:, 2 * u :])
-            new = n + z * (state - n)
+            gates = x[:, : 2 * u] + hidden[:, : 2 * u]
+            np.negative(gates, out=gates)
+            np.exp(gates, out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
+            n = gates[:, u:] * hidden[:, 2 * u :]
+            n += x[:, 2 * u :]
+            np.tanh(n, out=n)
             if keep:
-                kept.append((state, z, r, n, hidden[:, 2 * u :]))
-            out[t] = state = new
+                kept[0][t], kept[1][t], kept[2][t], kept[3][t] = state, gates, n, hidden[:, 2 * u :]
+            state = out[t] = n + gates[:, :u] * (state - n)
         return out, kept
 
     def table(self) -> np.ndarray:
         """What each input adds to the gates."""
         return self.p["emb"] @ self.p["wx"] + self.p["b"]
 
+    def _words_by_class(self, states: np.ndarray, kind: np.ndarray):
+        """Rows of words in order of their class, where each class begins, and the logits inside the classes."""
+        order = np.argsort(kind, kind="stable")
+        bounds = np.searchsorted(kind[order], np.arange(self.classes + 1))
+        order = order[: bounds[-1]]
+        sorted_states = states[order]
+        inner = self.p["bo"][kind[order]]
+        for c in np.flatnonzero(np.diff(bounds)):
+            inner[bounds[c] : bounds[c + 1]] += sorted_states[bounds[c] : bounds[c + 1]] @ self.p["wo"][c]
+        inner -= inner.max(axis=1, keepdims=True)
+        return order, bounds, sorted_states, inner
+
     def log_probs(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log probability of each target id (for a rest class: of the class)."""
         logits = states @ self.p["wc"] + self.p["bc"]
         logits -= logits.max(axis=1, keepdims=True)
         kind = self.class_of(targets)
-        out = logits[np.arange(len(targets)), kind] - np.log(np.exp(logits).sum(axis=1))
-        order = np.argsort(kind, kind="stable")
-        bounds = np.searchsorted(kind[order], np.arange(self.classes + 1))
-        for c in range(self.classes):
-            rows = order[bounds[c] : bounds[c + 1]]
-            if len(rows):
-                inner = states[rows] @ self.p["wo"][c] + self.p["bo"][c]
-                inner -= inner.max(axis=1, keepdims=True)
-                out[rows] += inner[np.arange(len(rows)), targets[rows] % PER_CLASS] - np.log(np.exp(inner).sum(axis=1))
+        out = logits[np.arange(len(targets)), kind] - np.log(np.exp(logits, out=logits).sum(axis=1))
+        order, _, _, inner = self._words_by_class(states, kind)
+        out[order] += inner[np.arange(len(order)), targets[order] % PER_CLASS] - np.log(np.exp(inner, out=inner).sum(axis=1))
         return out
 
     def score(self, ids: np.ndarray, counts: np.ndarray, extra: np.ndarray) -> np.ndarray:
@@ -101,91 +115,101 @@ class Gru:
             flat = real.ravel()
             logs = np.zeros(real.size)
             wanted = targets.ravel()[flat]
-            logs[flat] = self.log_probs(states.reshape(-1, UNITS)[flat], wanted) + extra[wanted]
+            after, known = states.reshape(-1, UNITS)[flat], np.empty(len(wanted))
+            for first in range(0, len(wanted), ROWS):
+                known[first : first + ROWS] = self.log_probs(after[first : first + ROWS], wanted[first : first + ROWS])
+            logs[flat] = known + extra[wanted]
             total[order[:live]] += logs.reshape(real.shape).sum(axis=0)
             state, last = states[-1], targets[-1]
             at += steps
         return total
 
-    def train(self, texts: list[np.ndarray], rate: float = 0.01, batch: int = 32, seed: int = 1, memory: dict | None = None) -> None:
-        """One pass of Adam on truncated windows; each batch holds texts of like length, and the state goes on to the next window.
+    def train(self, ids: np.ndarray, rate: float = 0.01, lanes: int = 32, memory: dict | None = None) -> None:
+        """One pass of Adam over a stream of texts, each ending with the end token.
 
-        `memory` keeps the moments from one call to the next.
+        The stream is cut into `lanes` equal stretches that are read side by side, window by window, so every window is full and
+        a very long text costs what other texts of its length cost. The state goes on to the next window and is zero where a text
+        begins, and at the start of a stretch. `memory` keeps the moments from one call to the next.
         """
-        rng = np.random.Generator(np.random.PCG64(seed))
-        by_length = sorted((t for t in texts if len(t)), key=len)
-        batches = [by_length[i : i + batch] for i in range(0, len(by_length), batch)]
+        lanes = max(1, min(lanes, len(ids) // WINDOW))
+        length = -(-len(ids) // lanes)
+        stream = np.zeros(lanes * length + 1, dtype=ids.dtype)
+        stream[1 : len(ids) + 1] = ids
+        targets, inputs = stream[1:].reshape(lanes, length).T, stream[:-1].reshape(lanes, length).T
+        real = (np.arange(lanes * length) < len(ids)).reshape(lanes, length).T
         memory = {} if memory is None else memory
         if not memory:
             memory.update(first={k: np.zeros_like(v) for k, v in self.p.items()}, second={k: np.zeros_like(v) for k, v in self.p.items()}, step=0)
         first, second = memory["first"], memory["second"]
-        for number in rng.permutation(len(batches)):
-            group = batches[number]
-            lengths = np.array([len(t) for t in group])
-            state = np.zeros((len(group), UNITS), dtype=np.float32)
-            last = np.zeros(len(group), dtype=np.int64)
-            for at in range(0, int(lengths[-1]), WINDOW):
-                done = int(np.searchsorted(lengths, at, side="right")) - (len(group) - len(last))  # texts that end before
-                state, last = state[done:], last[done:]
-                live = group[len(group) - len(last) :]
-                steps = min(WINDOW, int(lengths[-1]) - at)
-                targets = np.zeros((steps, len(live)), dtype=np.int64)
-                mask = np.zeros(targets.shape, dtype=bool)
-                for k, t in enumerate(live):
-                    part = t[at : at + steps]
-                    targets[: len(part), k], mask[: len(part), k] = part, True
-                grads, state = self._gradients(np.concatenate([last[None], targets[:-1]]), targets, mask, state)
-                last = targets[-1]
-                memory["step"] += 1
-                scale = rate / (1 - 0.9 ** memory["step"])
-                for k, g in grads.items():
-                    first[k] += np.float32(0.1) * (g - first[k])
-                    second[k] += np.float32(0.01) * (g * g - second[k])
-                    self.p[k] -= np.float32(scale) * first[k] / (np.sqrt(second[k] / np.float32(1 - 0.99 ** memory["step"])) + np.float32(1e-6))
-
-    def _gradients(self, inputs, targets, mask, state):
+        state = np.zeros((lanes, UNITS), dtype=np.float32)
+        for at in range(0, length, WINDOW):
+            before, wanted = (x[at : at + WINDOW].astype(np.int64) for x in (inputs, targets))
+            grads, state = self._gradients(before, wanted, real[at : at + WINDOW], state, before == 0)
+            memory["step"] += 1
+            scale = np.float32(rate / (1 - 0.9 ** memory["step"]))
+            spread = np.float32(1 / (1 - 0.99 ** memory["step"]))
+            for k, g in grads.items():
+                first[k] += np.float32(0.1) * (g - first[k])
+                np.multiply(g, g, out=g)
+                second[k] += np.float32(0.01) * (g - second[k])
+                self.p[k] -= scale * first[k] / (np.sqrt(second[k] * spread) + np.float32(1e-6))
+
+    def _gradients(self, inputs, targets, mask, state, fresh=None):
         p, u = self.p, UNITS
-        states, kept = self.forward(inputs, state, self.table(), keep=True)
+        states, (before, gates, n, hn) = self.forward(inputs, state, self.table(), keep=True, fresh=fresh)
         flat = mask.ravel()
         h, wanted = states.reshape(-1, u)[flat], targets.ravel()[flat]
         count = np.float32(max(len(wanted), 1))
-        g = {k: np.zeros_like(v) for k, v in p.items()}
+        g = {}
         kind = self.class_of(wanted)
-        logits = h @ p["wc"] + p["bc"]
-        logits = np.exp(logits - logits.max(axis=1, keepdims=True))
-        d = logits / logits.sum(axis=1, keepdims=True)
+        d = h @ p["wc"] + p["bc"]
+        d -= d.max(axis=1, keepdims=True)
+        np.exp(d, out=d)
+        d /= d.sum(axis=1, keepdims=True)
         d[np.arange(len(wanted)), kind] -= 1
         d /= count
         g["wc"], g["bc"] = h.T @ d, d.sum(axis=0)
         dh = d @ p["wc"].T
-        for c in np.unique(kind[kind < self.classes]):
-            rows = np.flatnonzero(kind == c)
-            inner = h[rows] @ p["wo"][c] + p["bo"][c]
-            inner = np.exp(inner - inner.max(axis=1, keepdims=True))
-            e = inner / inner.sum(axis=1, keepdims=True)
-            e[np.arange(len(rows)), wanted[rows] % PER_CLASS] -= 1
-            e /= count
-            g["wo"][c], g["bo"][c] = h[rows].T @ e, e.sum(axis=0)
-            dh[rows] += e @ p["wo"][c].T
-        full = np.zeros((mask.size, u), dtype=np.float32)
-        full[flat] = dh
-        full = full.reshape(*mask.shape, u)
-        carry = np.zeros_like(state)
-        dx = np.empty((*mask.shape, 3 * u), dtype=np.float32)
-        for t in range(len(kept) - 1, -1, -1):
-            before, z, r, n, hn = kept[t]
-            up = full[t] + carry
-            dn = up * (1 - z) * (1 - n * n)
-            dz = up * (before - n) * z * (1 - z)
-            dr = dn * hn * r * (1 - r)
-            gates = np.concatenate([dz, dr, dn * r], axis=1)
-            dx[t] = np.concatenate([dz, dr, dn], axis=1)
-            g["wh"] += before.T @ gates
-            carry = up * z + gates @ p["wh"].T
-        dx = dx.reshape(-1, 3 * u)
-        emb = p["emb"][inputs.ravel()]
-        g["wx"], g["b"] = emb.T @ dx, dx.sum(axis=0)
-        np.add.at(g["emb"], inputs.ravel(), dx @ p["wx"].T)
+        order, bounds, sorted_h, e = self._words_by_class(h, kind)
+        np.exp(e, out=e)
+        e /= e.sum(axis=1, keepdims=True)
+        e[np.arange(len(order)), wanted[order] % PER_CLASS] -= 1
+        e /= count
+        back = np.empty_like(sorted_h)
+        g["wo"], g["bo"] = np.zeros_like(p["wo"]), np.zeros_like(p["bo"])
+        for c in np.flatnonzero(np.diff(bounds)):
+            rows = slice(bounds[c], bounds[c + 1])
+            g["wo"][c], g["bo"][c] = sorted_h[rows].T @ e[rows], e[rows].sum(axis=0)
+            back[rows] = e[rows] @ p["wo"][c].T
+        dh[order] += back
+        up = np.zeros((mask.size, u), dtype=np.float32)
+        up[flat] = dh
+        up = up.reshape(*mask.shape, u)
+        z, r = gates[..., :u], gates[..., u:]
+        by_n = (1 - z) * (1 - n * n)
+        by_z = (before - n) * z * (1 - z)
+        by_r = by_n * hn * r * (1 - r)
+        factors = np.concatenate([by_z, by_r, by_n * r], axis=-1).reshape(*mask.shape, 3, u)
+        dg = np.empty((*mask.shape, 3, u), dtype=np.float32)
+        carry, wt = np.zeros_like(state), np.ascontiguousarray(p["wh"].T)
+        for t in range(len(up) - 1, -1, -1):
+            carry += up[t]
+            up[t] = carry
+            np.multiply(carry[:, None], factors[t], out=dg[t])
+            carry = carry * z[t] + dg[t].reshape(-1, 3 * u) @ wt
+            if fresh is not None:
+                carry *= ~fresh[t][:, None]
+        dx = dg.reshape(-1, 3 * u)
+        g["wh"] = before.reshape(-1, u).T @ dx
+        dx[:, 2 * u :] = (up * by_n).reshape(-1, u)
+        ids = inputs.ravel()
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        begin = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+        sums = np.add.reduceat(dx[order], begin, axis=0)
+        g["wx"], g["b"] = p["emb"][ids[begin]].T @ sums, dx.sum(axis=0)
+        g["emb"] = np.zeros_like(p["emb"])
+        g["emb"][ids[begin]] = sums @ p["wx"].T
         norm = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
         if norm > 1:
             for x in g.values():

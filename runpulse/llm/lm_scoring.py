@@ -19,9 +19,9 @@ END = mix(np.array([0xE0D], dtype=np.uint64))
 #: Most frequent words with an id (the end is one of them), and rest classes.
 WORDS, REST = 1024, 64
 #: Passes over all training texts; the weights of the shards are averaged after each.
-ROUNDS, RATE = 2, 0.012
-#: Tokens of a shard; texts that are gathered and sorted by length, and texts of a batch.
-SHARD, GROUP, BATCH = 1 << 21, 512, 64
+ROUNDS, RATE = 2, 0.02
+#: Tokens of a shard, which a task holds as one stream of two bytes a token, and stretches of it that are read side by side.
+SHARD, LANES = 1 << 21, 128
 
 
 def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -117,8 +117,8 @@ def _shards(training: DataFrame, vocabulary: np.ndarray, tokens: int) -> DataFra
 def _fit(training: DataFrame, vocabulary: np.ndarray, totals: np.ndarray, tokens: int) -> Gru:
     """A network fitted on all training texts, whole.
 
-    In each round every shard goes on from the same weights over its own texts in their order, and the weights that come out
-    are averaged by the tokens they have seen, in a tree; their size does not depend on the input.
+    In each round every shard goes on from the same weights over its own texts, as one stream in their order, and the weights
+    that come out are averaged by the tokens they have seen, in a tree; their size does not depend on the input.
     """
     network = Gru(WORDS, REST)
     network.start_from(totals)
@@ -129,32 +129,24 @@ def _fit(training: DataFrame, vocabulary: np.ndarray, totals: np.ndarray, tokens
         rate = RATE * (1 - number / ROUNDS)
 
         def run(batches: Iterator[pa.RecordBatch], model=model, rate=rate) -> Iterator[pa.RecordBatch]:
-            shard, own, held, seen, memory = None, None, [], 0, {}
+            shard, held = None, []
 
-            def learn():
-                nonlocal held, seen
-                own.train(held, rate, BATCH, seed=1 + seen, memory=memory)
-                seen += sum(map(len, held))
-                held = []
-
-            def done():
-                if held:
-                    learn()
+            def learned():
+                own = Gru(WORDS, REST, parameters={k: v.copy() for k, v in model.value.items()})
+                stream = np.concatenate(held)
+                own.train(stream, rate, LANES)
                 flat = np.concatenate([own.p[k].ravel() for k in sorted(own.p)])
-                return pa.record_batch({"seen": pa.array([seen], pa.int64()), "weights": pa.array([flat.tobytes()], pa.binary())})
+                return pa.record_batch({"seen": pa.array([len(stream)], pa.int64()), "weights": pa.array([flat.tobytes()], pa.binary())})
 
             for batch in batches:
                 for number, ids in zip(batch.column("shard").to_pylist(), batch.column("ids")):
                     if number != shard:
-                        if own is not None:
-                            yield done()
-                        shard, held, seen, memory = number, [], 0, {}
-                        own = Gru(WORDS, REST, parameters={k: v.copy() for k, v in model.value.items()})
-                    held.append(np.frombuffer(ids.as_buffer(), np.uint16).astype(np.int64))
-                    if len(held) == GROUP:
-                        learn()
-            if own is not None:
-                yield done()
+                        if held:
+                            yield learned()
+                        shard, held = number, []
+                    held.append(np.frombuffer(ids.as_buffer(), np.uint16).copy())
+            if held:
+                yield learned()
 
         ordered = shards.repartition("shard").sortWithinPartitions("shard", "turn")
         parts = ordered.mapInArrow(run, "seen bigint, weights binary").rdd
