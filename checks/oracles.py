@@ -465,6 +465,17 @@ FROM (SELECT *, CAST(substr(pipeline_id, 5) AS BIGINT) AS n FROM anomalies)""",
   UNION
   SELECT r.root, e.downstream, r.depth + 1 FROM reach r JOIN edges e ON e.upstream = r.downstream)
 SELECT root, downstream, CAST(min(depth) AS BIGINT) AS depth FROM reach GROUP BY root, downstream""", "latest", "edges").removeprefix("WITH ").replace("\n, reach", ", reach"),
+    "upstream_impact": "WITH RECURSIVE " + _sql("""
+, reach AS (
+  SELECT l.pipeline_id AS root, e.upstream, 1 AS depth FROM latest l JOIN edges e ON e.downstream = l.pipeline_id WHERE l.state = 'failed'
+  UNION
+  SELECT r.root, e.upstream, r.depth + 1 FROM reach r JOIN edges e ON e.downstream = r.upstream)
+SELECT root, upstream, CAST(min(depth) AS BIGINT) AS depth FROM reach GROUP BY root, upstream""", "latest", "edges").removeprefix("WITH ").replace("\n, reach", ", reach"),
+    "copy_differences": """
+SELECT o_orderkey, CASE WHEN o_orderkey % 997 = 1 THEN 'missing' ELSE 'changed' END AS status, count(*) AS source_rows,
+  CASE WHEN o_orderkey % 997 = 1 THEN 0 ELSE count(*) END AS copy_rows
+FROM orders WHERE o_orderkey % 997 = 1 OR o_orderkey % 991 = 2 GROUP BY o_orderkey
+UNION ALL SELECT -o_orderkey, 'extra', 0, count(*) FROM orders WHERE o_orderkey % 983 = 3 GROUP BY o_orderkey""",
     "duration_baselines": _sql(f"SELECT {_BASE} FROM baselines", "baselines"),
     "duration_baselines_success_only": _sql(f"SELECT {_BASE} FROM ({_baselines('s', AS_OF, 2, 3)})".replace("FROM s ", "FROM (SELECT * FROM runs WHERE state = 'success' AND task_id = 'task_1') "), "runs"),
     "run_history": _sql(f"""
@@ -486,6 +497,7 @@ GROUP BY ALL""", "runs"),
     "rollup_health": _sql("SELECT team, pipeline_id, CAST(grouping(team, pipeline_id) AS BIGINT) AS level, count(*) AS runs, count(*) FILTER (state = 'failed') AS failures, round(100.0 * count(*) FILTER (state = 'success') / count(*), 4) AS success_rate_pct FROM runs GROUP BY ROLLUP (team, pipeline_id)", "runs"),
     "runtime_attribution": _sql("SELECT team, pipeline_id, count(*) AS runs, round(sum(duration_seconds), 4) AS total_seconds, round(100 * sum(duration_seconds) / sum(sum(duration_seconds)) OVER (), 4) AS share_pct FROM runs GROUP BY team, pipeline_id", "runs"),
     "distinct_signatures": _sql("SELECT pipeline_id, count(*) AS failures, count(DISTINCT signature) AS signatures FROM signed GROUP BY pipeline_id", "signed"),
+    "sketched_signatures": _sql("SELECT pipeline_id, count(*) AS failures, count(DISTINCT signature) AS signatures FROM signed GROUP BY pipeline_id", "signed"),
     "latest_runs": _sql("SELECT pipeline_id, run_id, execution_date, round(duration_seconds, 4) AS duration_seconds, state FROM latest", "latest"),
     "latest_runs_ties": _sql("SELECT pipeline_id, run_id, execution_date, round(duration_seconds, 4) AS duration_seconds, state FROM latest_ties", "latest_ties"),
     "recent_runs": _sql("SELECT pipeline_id, recency, run_id, execution_date, round(duration_seconds, 4) AS duration_seconds, state FROM ranked WHERE recency <= 10", "ranked"),
@@ -566,6 +578,18 @@ FROM runs WHERE state = 'failed'""", "runs"),
     "failure_alerts": _sql(f"SELECT *, '[' || {_BLOCKS} || ']' AS blocks FROM alerts", "alerts"),
     "anomaly_alerts": _sql("SELECT * REPLACE (" + _r("current_duration", "avg_duration") + ") FROM anomaly_rows", "anomaly_rows"),
     "classified_errors": _sql(f"SELECT id, pipeline_id, error_type, {_RULE_CASE(1)} AS category, {_RULE_CASE(2)} AS severity FROM runs WHERE state = 'failed'", "runs"),
+    "classified_by_table": _sql(f"SELECT id, pipeline_id, error_type, {_RULE_CASE(1)} AS category, {_RULE_CASE(2)} AS severity FROM runs WHERE state = 'failed'", "runs"),
+    "similar_incidents_lsh": _sql("""
+SELECT s.id, s.pipeline_id, md5(s.signature) AS fingerprint, nearest, round(overlap, 4) AS overlap, coalesce(incidents, 0) AS incidents, last_seen
+FROM signed s LEFT JOIN (
+  SELECT n.signature, o.fingerprint AS nearest, incidents, last_seen,
+    len(list_intersect(n.words, o.words)) / len(list_distinct(list_concat(n.words, o.words))) AS overlap
+  FROM (SELECT DISTINCT signature, list_distinct(string_split(signature, ' ')) AS words FROM signed WHERE execution_date >= TIMESTAMP '2024-01-16') n
+  JOIN (SELECT md5(signature) AS fingerprint, list_distinct(string_split(signature, ' ')) AS words, count(*) AS incidents,
+      max(execution_date) AS last_seen FROM signed WHERE execution_date < TIMESTAMP '2024-01-16' AND signature IS NOT NULL GROUP BY signature) o
+    ON len(list_intersect(n.words, o.words)) >= 0.6 * len(list_distinct(list_concat(n.words, o.words)))
+  QUALIFY row_number() OVER (PARTITION BY n.signature ORDER BY overlap DESC, o.fingerprint) = 1) b ON b.signature = s.signature
+WHERE s.execution_date >= TIMESTAMP '2024-01-16'""", "signed"),
     "similar_incidents": _sql("""
 SELECT id, pipeline_id, execution_date, md5(signature) AS fingerprint,
   row_number() OVER (PARTITION BY signature ORDER BY execution_date, id) - 1 AS earlier,

@@ -10,7 +10,9 @@ from pyspark.sql import types as T
 from runpulse import schemas
 from runpulse.functions.measures import grade, seconds_between
 from runpulse.functions.text import safe_id
-from runpulse.operators import alerts, baselines, diagnosis, lineage, quality, rules, text
+from runpulse.operators import (
+    alerts, baselines, diagnosis, differences, incident_index, lineage, quality, rule_table, rules, sketches, text,
+)
 from runpulse.operators import timeseries as ts
 from runpulse.plans.anomaly_check import anomaly_check, explained_anomalies as with_explanations, explanations
 from runpulse.plans.failure_diagnosis import diagnose_failures, diagnosed_runs
@@ -28,6 +30,7 @@ TABLES = [
 ]
 GRID = ts.Grid("2024-01-01 00:00:00", "2024-01-31 00:00:00", 3600)
 SPAN = 6 * 3600
+HALF = "2024-01-16 00:00:00"
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -198,6 +201,16 @@ def retained_samples(spark, d):
     return _labels_as_columns(ts.retained(_gauges(spark, d), AS_OF))
 
 
+def copy_differences(spark, d):
+    """Orders against a copy that lacks some, has other prices for some, and some of its own."""
+    orders = derived.source_table(spark, d, "orders")
+    key = F.col("o_orderkey")
+    price = F.when(key % 991 == 2, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    kept = orders.filter(key % 997 != 1).withColumn("o_totalprice", price)
+    copy = kept.unionByName(orders.filter(key % 983 == 3).withColumn("o_orderkey", -key))
+    return differences.copy_differences(orders, copy, ["o_orderkey"])
+
+
 def copy_tables_report(spark, d):
     return quality.copy_tables(spark, d, fresh_dir(spark, "copy"), TABLES)
 
@@ -269,6 +282,10 @@ def asof_baseline_outliers(spark, d):
     return found.drop("state", "execution_date", "run_id")
 
 
+def upstream_impact(spark, d):
+    return lineage.upstream_impact(_failing_now(spark, d), derived.edges_from_events(_events(spark, d)))
+
+
 def downstream_impact(spark, d):
     return lineage.downstream_impact(_failing_now(spark, d), derived.edges_from_events(_events(spark, d)))
 
@@ -325,6 +342,18 @@ def runtime_attribution(spark, d):
     return baselines.runtime_attribution(_runs(spark, d))
 
 
+def _daily(spark, d):
+    return cut_lineage(sketches.daily_sketches(_runs(spark, d)), "daily-sketches")
+
+
+def sketched_baselines(spark, d):
+    return sketches.sketched_baselines(_daily(spark, d), AS_OF)
+
+
+def sketched_signatures(spark, d):
+    return sketches.sketched_signatures(_daily(spark, d))
+
+
 def distinct_signatures(spark, d):
     return baselines.distinct_signatures(_runs(spark, d))
 
@@ -525,10 +554,22 @@ def classified_errors(spark, d):
     return diagnosis.classified_errors(_runs(spark, d))
 
 
+def classified_by_table(spark, d):
+    return rule_table.classified_by_table(_runs(spark, d), rule_table.rule_rows(spark))
+
+
 def similar_incidents(spark, d):
     return diagnosis.similar_incidents(_runs(spark, d))
 
 
+def similar_incidents_lsh(spark, d):
+    """Failures of the second half of the month, looked up in an index of the failures before."""
+    runs, path = _runs(spark, d), fresh_dir(spark, "incident-index")
+    half = F.lit(HALF).cast("timestamp_ntz")
+    incident_index.build_index(runs.filter(F.col("execution_date") < half), path)
+    return incident_index.look_up(runs.filter(F.col("execution_date") >= half), path)
+
+
 def near_incidents(spark, d):
     return diagnosis.near_incidents(_runs(spark, d))
 
@@ -640,7 +681,8 @@ ALL: list[Query] = [
     near_incidents, grouped_alerts, recommended_actions, counter_rate, cpu_utilization, gauge_difference, success_ratio,
     active_failures, avg_task_duration, matching_series_count, series_range, last_values, resampled_series,
     tumbling_health, sliding_stats, incident_sessions, word_count, incomplete_jobs, row_count_validation,
-    partition_gaps,
+    partition_gaps, upstream_impact, copy_differences, sketched_baselines, sketched_signatures, similar_incidents_lsh,
+    classified_by_table,
 ]
 
 

@@ -5,10 +5,9 @@ from __future__ import annotations
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from runpulse.operators.baselines import _day
-from runpulse.sources.sinks import copy_table
 
 
 def fingerprint(df: DataFrame) -> Column:
@@ -16,35 +15,34 @@ def fingerprint(df: DataFrame) -> Column:
     return F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))
 
 
+def observed_copy(spark: SparkSession, source: str, target: str) -> tuple[int, int | None, DataFrame]:
+    """Copy a Parquet table: the rows read, their fingerprint, both taken while writing, and the copy."""
+    table = spark.read.parquet(source)
+    seen = Observation()
+    table.observe(seen, F.count(F.lit(1)).alias("n"), fingerprint(table).alias("mark")).write.mode("overwrite").parquet(target)
+    return seen.get["n"], seen.get["mark"], spark.read.schema(table.schema).parquet(target)
+
+
 def copy_tables(
     spark: SparkSession, source_dir: str, target_dir: str, names: list[str], at_once: int = 4
 ) -> DataFrame:
     """Copy Parquet tables and report, per table, the rows on both sides and whether the content is equal.
 
-    A few copies run at the same time, so that small tables do not leave the cluster idle.
+    A source is read once: its rows are counted and fingerprinted while they are written. A few copies run at the same time, so
+    that small tables do not leave the cluster idle.
     """
     with ThreadPool(at_once) as pool:
-        copies = pool.map(lambda n: copy_table(spark, f"{source_dir}/{n}.parquet", f"{target_dir}/{n}"), names)
-    reports = []
-    for name, copy in zip(names, copies):
-        source = spark.read.parquet(f"{source_dir}/{name}.parquet")
-        sides = [
-            df.agg(F.count("*").alias("n"), fingerprint(df).alias("mark")).select(
-                F.lit(name).alias("table_name"), F.lit(side).alias("side"), "n", "mark"
-            )
-            for side, df in (("source", source), ("copy", copy))
-        ]
-        reports.append(sides[0].unionByName(sides[1]))
-    on = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
-    return (
-        reduce(DataFrame.unionByName, reports)
-        .groupBy("table_name")
-        .agg(
-            on("source", "n").alias("source_rows"),
-            on("copy", "n").alias("copied_rows"),
-            F.coalesce(on("source", "mark") == on("copy", "mark"), F.lit(False)).alias("same_content"),
+        copies = pool.map(lambda n: observed_copy(spark, f"{source_dir}/{n}.parquet", f"{target_dir}/{n}"), names)
+    reports = [
+        copy.agg(F.count("*").alias("copied_rows"), fingerprint(copy).alias("mark")).select(
+            F.lit(name).alias("table_name"),
+            F.lit(rows).cast("bigint").alias("source_rows"),
+            "copied_rows",
+            F.col("mark").eqNullSafe(F.lit(mark).cast("decimal(38,0)")).alias("same_content"),
         )
-    )
+        for name, (rows, mark, copy) in zip(names, copies)
+    ]
+    return reduce(DataFrame.unionByName, reports)
 
 
 def row_count_validation(expected: DataFrame, loaded: DataFrame, ts: str = "execution_date") -> DataFrame:

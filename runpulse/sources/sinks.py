@@ -1,8 +1,8 @@
-"""Writers: run rows, diagnoses, alerts and table copies."""
+"""Writers: run rows, diagnoses and alerts."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from runpulse import schemas
 from runpulse.functions.text import cut
@@ -58,10 +58,3 @@ def write_alerts(alerts: DataFrame, path: str, fmt: str = "json") -> None:
         .format(fmt)
         .save(path)
     )
-
-
-def copy_table(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """Copy a Parquet table and return the copy."""
-    table = spark.read.parquet(source)
-    table.write.mode("overwrite").parquet(target)
-    return spark.read.schema(table.schema).parquet(target)
