@@ -145,10 +145,10 @@ u AS (
     SELECT * FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         AND len(list_filter(e, lambda x: x <> 0)) > 0),
 s AS (
-    SELECT q.vec_id AS query_id, r.vec_id, list_cosine_similarity(q.e, r.e) AS score
+    SELECT q.vec_id AS query_id, r.vec_id, greatest(-1.0, least(1.0, list_dot_product(q.e, r.e) / sqrt(list_dot_product(q.e, q.e) * list_dot_product(r.e, r.e)))) AS score
     FROM u q JOIN u r ON q.vec_id <> r.vec_id WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
-SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, round(score, 12) AS score FROM r WHERE n <= 5
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
 """
 
 #: crc32 by its table of 256 entries; `_crc(hex)` is the unsigned sum over the bytes that a hex text spells.
