@@ -112,23 +112,49 @@ WITH words AS (SELECT doc_id, regexp_extract_all({_LOW}, '[^\\x00-\\x2F\\x3A-\\x
 t AS (SELECT * FROM (VALUES {_TEMPLATES}) AS v(template, base, label, phrase)),
 places AS (
     SELECT template, base, label, len(string_split(phrase, ' ')) - 1 AS size, k AS place, string_split(phrase, ' ')[k + 1] AS a,
-        string_split(phrase, ' ')[k + 2] AS b
+        string_split(phrase, ' ')[k + 2] AS b, string_split(phrase, ' ')[1] AS front, string_split(phrase, ' ')[-1] AS final
     FROM t, unnest(range(0, len(string_split(phrase, ' ')) - 1)) AS r(k)),
-pairs AS (SELECT doc_id, i AS spot, w[i + 1] AS a, w[i + 2] AS b FROM words, unnest(range(0, len(w) - 1)) AS r(i)),
+pairs AS (
+    SELECT doc_id, i AS spot, w[i + 1] AS a, w[i + 2] AS b, CASE WHEN i >= 1 THEN w[i] END AS p1, CASE WHEN i >= 2 THEN w[i - 1] END AS p2,
+        w[i + 3] AS n1, w[i + 4] AS n2
+    FROM words, unnest(range(0, len(w) - 1)) AS r(i)),
+matches AS (SELECT *, spot - place AS diagonal FROM pairs JOIN places USING (a, b)),
 votes AS (
-    SELECT doc_id, template, base, label, size, spot - place AS diagonal, count(DISTINCT place) AS votes
-    FROM pairs JOIN places USING (a, b) GROUP BY ALL),
+    SELECT doc_id, template, base, label, size, diagonal, count(DISTINCT place) AS votes, list(DISTINCT place) AS found,
+        coalesce(bool_or(place = 1 AND p2 = front), false) AS front_in, coalesce(bool_or(place = 2 AND p1 = front), false) AS front_out,
+        coalesce(bool_or(place = size - 2 AND n2 = final), false) AS final_in,
+        coalesce(bool_or(place = size - 3 AND n1 = final), false) AS final_out
+    FROM matches GROUP BY doc_id, template, base, label, size, diagonal),
 whole AS (SELECT doc_id, label, diagonal FROM votes WHERE base AND votes = size),
+runs AS (
+    SELECT *, coalesce(list_min(list_filter(range(0, size), lambda x: NOT list_contains(found, x))), size) AS head,
+        size - 1 - coalesce(list_max(list_filter(range(0, size), lambda x: NOT list_contains(found, x))), -1) AS tail
+    FROM votes WHERE NOT base),
+edits AS (
+    SELECT x.doc_id, x.label, x.diagonal AS start, (x.size - 1) / x.size AS score
+    FROM runs x JOIN runs y ON y.doc_id = x.doc_id AND y.template = x.template AND y.diagonal = x.diagonal + 1
+    WHERE x.head > 0 AND y.tail > 0 AND x.head + y.tail >= x.size - 1
+    UNION ALL SELECT x.doc_id, x.label, x.diagonal, (x.size - 2) / x.size
+    FROM runs x JOIN runs y ON y.doc_id = x.doc_id AND y.template = x.template AND y.diagonal = x.diagonal - 1
+    WHERE x.head > 0 AND y.tail > 0 AND x.head + y.tail >= x.size - 2
+    UNION ALL SELECT doc_id, label, diagonal - 1, (size - 1) / size FROM runs WHERE front_in AND tail >= size - 1
+    UNION ALL SELECT doc_id, label, diagonal + 1, (size - 2) / size FROM runs WHERE front_out AND tail >= size - 2
+    UNION ALL SELECT doc_id, label, diagonal, (size - 1) / size FROM runs WHERE final_in AND head >= size - 1
+    UNION ALL SELECT doc_id, label, diagonal, (size - 2) / size FROM runs WHERE final_out AND head >= size - 2),
+varied AS (
+    SELECT doc_id, label, score FROM edits e
+    WHERE NOT EXISTS (FROM votes v WHERE v.doc_id = e.doc_id AND v.diagonal = e.start AND v.votes = v.size AND NOT v.base)),
 marked AS (
     SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) <= 2 THEN 0 ELSE 1 END AS fresh
     FROM votes WHERE NOT base),
 spans AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM marked),
 merged AS (
     SELECT s.doc_id, s.template, s.label, s.size, s.span, count(DISTINCT place) / s.size AS score
-    FROM spans s JOIN (SELECT doc_id, template, spot - place AS diagonal, place FROM pairs JOIN places USING (a, b)) q
-        ON q.doc_id = s.doc_id AND q.template = s.template AND q.diagonal = s.diagonal
+    FROM spans s JOIN matches q ON q.doc_id = s.doc_id AND q.template = s.template AND q.diagonal = s.diagonal
     GROUP BY s.doc_id, s.template, s.label, s.size, s.span HAVING count(DISTINCT place) / s.size >= 0.85),
-named AS (SELECT doc_id, label, true AS base, 1.0 AS score FROM whole UNION ALL SELECT doc_id, label, false, score FROM merged),
+named AS (
+    SELECT doc_id, label, true AS base, 1.0 AS score FROM whole UNION ALL SELECT doc_id, label, false, score FROM merged
+    UNION ALL SELECT doc_id, label, false, score FROM varied),
 per_doc AS (
     SELECT doc_id, array_to_string(list_sort(list(DISTINCT label)), ',') AS labels,
         array_to_string(list_sort(list(DISTINCT label) FILTER (WHERE base)), ',') AS base_labels, max(score) AS score
