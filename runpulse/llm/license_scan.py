@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from runpulse.llm.columns import passing_on
+from runpulse.operators.joins import salted_join
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words are runs of digits, ASCII letters and characters beyond ASCII.
@@ -150,8 +151,9 @@ def _scanned(docs, text, phrases, notices) -> DataFrame:
         join(F.collect_set("label")).alias("labels"),
         F.max("score").alias("score"),
     )
-    rows = keyed.select(*kept, "_k1", "_k2", F.size(license_words(F.col("_text"))).cast("bigint").alias("n_words"))
-    joined = rows.join(per_text, ["_k1", "_k2"], "left")
+    hashed = [c for c in kept if "map<" not in docs.schema[c].dataType.simpleString()]
+    rows = keyed.select(*kept, "_k1", "_k2", F.xxhash64(F.lit(0), *hashed).alias("_r"), F.size(license_words(F.col("_text"))).cast("bigint").alias("n_words"))
+    joined = salted_join(rows, per_text, ["_k1", "_k2"], "_r", "left")  # a text may have any number of copies
     return joined.select(
         *kept, "n_words", F.coalesce("n_base", F.lit(0).cast("bigint")).alias("n_base"), "first_word", "last_word",
         *[F.coalesce(c, F.lit("")).alias(c) for c in ("base_labels", "labels")],
