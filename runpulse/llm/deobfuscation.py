@@ -31,7 +31,6 @@ SUSPECT = re.compile(rf"[{_SIGNS}]|([^\W\d_])\1|[^\W_]{_BETWEEN}+[^\W_]", re.IGN
 #: Single letters or signs, each perhaps repeated, with one to three separators.
 SINGLES = re.compile(rf"(?<![^\W_])({_UNIT})\1*(?:{_BETWEEN}{{1,3}}({_UNIT})\2*)+(?![^\W_])", re.IGNORECASE)
 _WORD = re.compile(r"[^\W_]+")
-_LEFT, _RIGHT = re.compile(r"^[\W_]+"), re.compile(r"[\W_]+$")
 
 _TABLE = np.full(256, BOUNDARY, dtype=np.int64)
 _TABLE[ord("a") : ord("z") + 1] = _TABLE[ord("A") : ord("Z") + 1] = np.arange(1, 27)
@@ -80,7 +79,7 @@ class Decoder:
     """Most probable plain form of a disguised word or row of single letters."""
 
     def __init__(self, model: np.ndarray, remember: int = 100_000):
-        self.model, self.remember, self.known, self.symbols = model, remember, {}, {}
+        self.model, self.remember, self.known, self.choices = model, remember, {}, {}
         self.flat = model.ravel().tolist()
 
     def __call__(self, text: str) -> str:
@@ -91,65 +90,92 @@ class Decoder:
             found = self.known[text] = self._decode(text)
         return found
 
-    def _lattice(self, text: str) -> Iterator[list[tuple[str, float]]]:
-        """For each place the possible letters (one or two of a repeated one, none for a separator) and their cost."""
+    def _lattice(self, text: str) -> Iterator[tuple[tuple[str, float, list[int]], ...]]:
+        """For each place the possible letters (one or two of a repeated one, none for a separator), their cost and symbols."""
         text = text.lower()
-        at = 0
-        while at < len(text):
+        at, size = 0, len(text)
+        while at < size:
             c = text[at]
-            run = at
-            while run < len(text) and text[run] == c:
+            run = at + 1
+            while run < size and text[run] == c:
                 run += 1
             if c.isalpha():
-                times = run - at
-                if times >= 3:
-                    yield [(c, STRETCH), (c * 2, STRETCH)]
-                else:
-                    yield [(c * times, 0.0)] + ([(c, DOUBLED)] if times == 2 else [])
-                at = run
+                times, at = run - at, run
             elif c in DISGUISES:
-                letters = [(x, SWAP) for x in DISGUISES[c]]
-                if run - at > 1:
-                    letters += [(x * 2, SWAP) for x in DISGUISES[c]]
-                yield letters + [(c, PLAIN)]
-                at = run
-            elif c.isdigit():
-                yield [(c, PLAIN)]
-                at += 1
+                times, at = min(run - at, 2), run
+            elif c.isalnum():  # a digit, or a number sign such as one half
+                times, at = 1, at + 1
             else:
-                yield [("", SPACED), (" ", SPLIT)]
-                while at < len(text) and not text[at].isalnum() and text[at] not in DISGUISES:
+                c, times = " ", 1
+                while at < size and not text[at].isalnum() and text[at] not in DISGUISES:
                     at += 1
+            found = self.choices.get((c, min(times, 3)))
+            if found is None:
+                found = self.choices[c, min(times, 3)] = self._letters(c, times)
+            yield found
 
-    def _symbols(self, letters: str) -> list[int]:
-        found = self.symbols.get(letters)
-        if found is None:
-            points = np.frombuffer(letters.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
-            found = self.symbols[letters] = symbols(points).tolist()
-        return found
+    @staticmethod
+    def _letters(c: str, times: int) -> tuple[tuple[str, float, list[int]], ...]:
+        if c.isalpha():
+            if times >= 3:
+                found = [(c, STRETCH), (c * 2, STRETCH)]
+            else:
+                found = [(c * times, 0.0)] + ([(c, DOUBLED)] if times == 2 else [])
+        elif c in DISGUISES:
+            found = [(x * k, SWAP) for k in range(1, times + 1) for x in DISGUISES[c]] + [(c, PLAIN)]
+        elif c.isalnum():
+            found = [(c, PLAIN)]
+        else:
+            found = [("", SPACED), (" ", SPLIT)]
+        points = lambda x: np.frombuffer(x.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+        return tuple((letters, extra, symbols(points(letters)).tolist()) for letters, extra in found)
 
     def _decode(self, text: str) -> str:
-        model = self.flat
-        states: dict = {(BOUNDARY, BOUNDARY): (0.0, None)}  # the form of a state is a chain of its last letters and the rest
-        for choices in [*self._lattice(text), [(" ", 0.0)]]:
+        model, size = self.flat, SYMBOLS * SYMBOLS
+        # a state is the last two symbols as one number; its form is a chain of its last letters and the rest
+        state, cost, done = BOUNDARY * SYMBOLS + BOUNDARY, 0.0, None
+        states: dict | None = None  # where there is more than one
+        for choices in (*self._lattice(text), _END):
+            if states is None:
+                if len(choices) == 1:
+                    letters, extra, own = choices[0]
+                    cost += extra
+                    for s in own:
+                        gram = state * SYMBOLS + s
+                        cost += model[gram]
+                        state = gram % size
+                    done = (done, letters)
+                    continue
+                states = {state: (cost, done)}
             after: dict = {}
-            choices = [(letters, extra, self._symbols(letters)) for letters, extra in choices]
-            for (a, b), (cost, done) in states.items():
+            for before, (cost, done) in states.items():
                 for letters, extra, own in choices:
-                    x, y, total = a, b, cost + extra
+                    at, total = before, cost + extra
                     for s in own:
-                        total += model[(x * SYMBOLS + y) * SYMBOLS + s]
-                        x, y = y, s
-                    if (x, y) not in after or after[x, y][0] < total:
-                        after[x, y] = (total, (done, letters))
-            states = after
-        done, parts = max(states.values(), key=lambda v: v[0])[1], []
+                        gram = at * SYMBOLS + s
+                        total += model[gram]
+                        at = gram % size
+                    best = after.get(at)
+                    if best is None or best[0] < total:
+                        after[at] = (total, (done, letters))
+            if len(after) == 1:
+                [(state, (cost, done))] = after.items()
+                states = None
+            else:
+                states = after
+        if states is not None:
+            done = max(states.values(), key=lambda v: v[0])[1]
+        parts = []
         while done is not None:
             done, letters = done
             parts.append(letters)
         return "".join(reversed(parts)).strip()
 
 
+#: What stands behind each stretch.
+_END = ((" ", 0.0, [BOUNDARY]),)
+
+
 class _Restored(dict):
     """Plain forms of stretches, empty where the words stay as they stand; signs at the ends may be mere punctuation."""
 
@@ -157,19 +183,104 @@ class _Restored(dict):
         self.decoder = decoder
 
     def __missing__(self, stretch: str) -> str:
-        bare = _RIGHT.sub("", stretch)
-        forms = [f for f in dict.fromkeys((stretch, bare, _LEFT.sub("", bare))) if SUSPECT.search(f)]
-        plain = _WORD.findall(stretch.lower())
-        found = self[stretch] = " ".join(x for x in map(self.decoder, forms) if _WORD.findall(x) != plain)
+        if not SUSPECT.search(stretch):  # then no part of it matches either
+            self[stretch] = ""
+            return ""
+        first, last = 0, len(stretch)
+        while last and not stretch[last - 1].isalnum():
+            last -= 1
+        while first < last and not stretch[first].isalnum():
+            first += 1
+        small, plain, found = stretch.lower(), None, []
+        for form in dict.fromkeys((stretch, stretch[:last], stretch[first:last])):
+            if form is stretch or SUSPECT.search(form):
+                decoded = self.decoder(form)
+                if decoded != small:
+                    plain = _WORD.findall(small) if plain is None else plain
+                    if _WORD.findall(decoded) != plain:
+                        found.append(decoded)
+        found = self[stretch] = " ".join(found)
         return found
 
 
+#: What a code point is: a letter or sign, of a word, between words, white space, a letter, a sign. From WIDE on only regular expressions say.
+_UNITS, _ALNUM, _GAP, _BLANK, _LETTER, _SIGN, WIDE = 1, 2, 4, 8, 16, 32, 0x3000
+
+
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """The kinds of all code points below WIDE as bits, and their small forms."""
+    patterns = [(_UNITS, _UNIT), (_ALNUM, r"[^\W_]"), (_GAP, _BETWEEN), (_LETTER, r"[^\W\d_]"), (_SIGN, rf"[{_SIGNS}]")]
+    patterns = [(bit, re.compile(pattern, re.IGNORECASE)) for bit, pattern in patterns]
+    signs = [chr(i) for i in range(WIDE)]
+    kinds = [sum(bit for bit, p in patterns if p.match(c)) + _BLANK * c.isspace() for c in signs]
+    return np.array(kinds, dtype=np.uint8), np.array([ord(c.lower()[0]) for c in signs], dtype=np.uint32)
+
+
+_KINDS: list = []
+
+
+def _places(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, start and end of all stretches that SUSPECT may match, and whether SINGLES may match in each row.
+
+    Says yes to all that the expressions find, and to little else; they are then tried on these alone.
+    """
+    if not _KINDS:
+        _KINDS.extend(_kinds())
+    kinds, small = _KINDS
+    pad = " " * 4  # more than SINGLES goes over
+    length = np.fromiter(map(len, texts), np.int64, len(texts)) + len(pad)
+    points = np.frombuffer((pad + pad.join(texts) + pad).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    begin = np.cumsum(length) - length + len(pad)
+    wide = points >= WIDE
+    low = np.where(wide, 0, points)
+    kind, fold = np.where(wide, 0, kinds[low]).astype(np.uint8), np.where(wide, points, small[low])
+    is_ = lambda bit: (kind & bit) != 0
+    blank, gap, alnum, unit = is_(_BLANK), is_(_GAP), is_(_ALNUM), is_(_UNITS)
+    same = np.zeros(len(points) + 1, dtype=bool)
+    same[1:-1] = fold[1:] == fold[:-1]
+
+    # the ends of words and signs beside the separators between them; the padding separates at both ends
+    turn = np.flatnonzero(gap[1:] != gap[:-1])
+    left, right = turn[1:-1:2], turn[2::2] + 1
+    odd = wide | is_(_SIGN) | (same[:-1] & is_(_LETTER))
+    blanks = np.cumsum(blank, dtype=np.int32)
+    odd[right[alnum[left] & alnum[right] & (blanks[right] == blanks[left])]] = True
+
+    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    start, end = edge[::2], edge[1::2]
+    odds = np.concatenate([np.zeros(1, dtype=np.int32), np.cumsum(odd, dtype=np.int32)])
+    some = odds[end] > odds[start]
+    start, end = start[some], end[some]
+    row = np.searchsorted(begin, start, side="right") - 1
+
+    # two units beside one to three separators, the equal ones before and after them free on their outer side
+    near = (right - left <= 4) & unit[left] & unit[right] & (~alnum[left - 1] | same[left]) & (~alnum[right + 1] | same[right + 1])
+    single = np.zeros(len(texts), dtype=bool)
+    for x, y in zip(left[near].tolist(), right[near].tolist()):
+        first, last = x, y
+        while same[first]:
+            first -= 1
+        while same[last + 1]:
+            last += 1
+        if (not alnum[first - 1] or (not alnum[x] and x > first)) and (not alnum[last + 1] or (not alnum[y] and last > y)):
+            single[np.searchsorted(begin, x, side="right") - 1] = True
+    single[np.searchsorted(begin, np.flatnonzero(wide), side="right") - 1] = True
+    return row, start - begin[row], end - begin[row], single
+
+
 def restored_rows(data: np.ndarray, offsets: np.ndarray, decoder: Decoder) -> list[str]:
     """For each row the plain forms of all its disguised stretches, as one text."""
-    known, rows = _Restored(decoder), []
-    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-        text = data[a:b].tobytes().decode()
-        found = [x for x in map(known.__getitem__, text.split()) if x]
-        found += [x for m in SINGLES.finditer(text) if (x := known[m.group()])]
-        rows.append(" ".join(found))
-    return rows
+    known = _Restored(decoder)
+    whole = data.tobytes()
+    texts = [whole[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+    if not texts:
+        return []
+    found: list[list[str]] = [[] for _ in texts]
+    rows, starts, ends, single = _places(texts)
+    for row, start, end in zip(rows.tolist(), starts.tolist(), ends.tolist()):
+        plain = known[texts[row][start:end]]
+        if plain:
+            found[row].append(plain)
+    for row in np.flatnonzero(single).tolist():
+        found[row] += [x for m in SINGLES.finditer(texts[row]) if (x := known[m.group()])]
+    return [" ".join(x) for x in found]
