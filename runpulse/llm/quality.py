@@ -10,12 +10,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from runpulse.llm.columns import passing_on, unused
 from runpulse.llm.postings import TermReader, document_sums, salted, term_postings
-from runpulse.llm.sampling import label_sample, row_key
+from runpulse.llm.sampling import labelled_ids, row_key
 from runpulse.llm.words import pieces_of
 from runpulse.session import cut_lineage
 
-#: Trusted texts the model is trained on at most, those of smallest id hash.
-TRUSTED = 20_000
 #: A text is rejected above this quantile of trusted texts of its language and length, times the slack.
 QUANTILE, SLACK = 0.99, 1.1
 #: Trusted texts a group must have for a threshold of its own.
@@ -109,11 +107,11 @@ def kneser_ney(counts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def quality_scores(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-    label: str = "quality", trusted: int = TRUSTED, quantile: float = QUANTILE, slack: float = SLACK,
+    label: str = "quality", quantile: float = QUANTILE, slack: float = SLACK,
 ) -> DataFrame:
     """`docs` without its text, with `n_grams`, `bits` (per trigram), `perplexity`, `threshold` and `keep`.
 
-    The model is trained on whole texts labelled 1, at most `trusted` of them. All distinct trigrams of all texts get
+    The model is trained on all texts labelled 1, whole. All distinct trigrams of all texts get
     their probability by joins of count tables, and these are joined to block postings and summed per document. A text
     is kept if its perplexity is at most `slack` times the `quantile` over all texts labelled 1 of its language and length
     (powers of four); where there are fewer than ENOUGH of them, of the nearest length that has enough, of the language,
@@ -125,15 +123,14 @@ def quality_scores(
     gives no rows.
     """
     made = ["n_grams", "bits", "perplexity", "threshold", "keep"]
-    run = lambda d: _scored(d, labels, doc_id, text, lang, label, trusted, quantile, slack)
+    run = lambda d: _scored(d, labels, doc_id, text, lang, label, quantile, slack)
     return passing_on(docs, [doc_id, text, lang], made, run)
 
 
-def _scored(docs, labels, doc_id, text, lang, label, trusted, quantile, slack) -> DataFrame:
+def _scored(docs, labels, doc_id, text, lang, label, quantile, slack) -> DataFrame:
     kept = [c for c in docs.columns if c != text]
     plain = docs.select(*kept, F.col(doc_id).alias("_id"), F.col(lang).alias("_lang"), F.col(text).alias("_text"))
-    sample = label_sample(labels.filter(F.col(label) == 1), label, trusted, doc_id)
-    training = plain.join(F.broadcast(sample.select("_id")), "_id", "left_semi")
+    training = plain.join(labelled_ids(labels.filter(F.col(label) == 1), label, doc_id), "_id", "left_semi")
     counts = cut_lineage(gram_counts(training), "grams")
     everywhere = cut_lineage(gram_counts(plain).withColumnRenamed("c", "times"), "vocabulary")
     values = cut_lineage(kneser_ney(counts, everywhere.select("term")).join(everywhere, "term"), "values")

@@ -1,4 +1,4 @@
-"""Labelled rows, folds and bounded samples."""
+"""Labelled rows and folds."""
 
 from __future__ import annotations
 
@@ -17,11 +17,10 @@ def row_key(df: DataFrame) -> Column:
     return F.xxhash64(*[F.struct(column(c)) for c in df.columns])
 
 
-def label_sample(labels: DataFrame, label: str, rows: int, doc_id: str = "doc_id") -> DataFrame:
-    """(`_id`, `_label`) of at most `rows` labelled ids, those with the smallest hash.
+def labelled_ids(labels: DataFrame, label: str, doc_id: str = "doc_id") -> DataFrame:
+    """(`_id`, `_label`) of all labelled ids.
 
     An id labelled more than once counts as 1 if any label is 1; null ids and labels are left out.
     """
     known = labels.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
-    one = known.groupBy(F.col(doc_id).alias("_id")).agg(F.max((F.col(label) == 1).cast("int")).alias("_label"))
-    return one.orderBy(F.xxhash64("_id"), "_id").limit(rows)
+    return known.groupBy(F.col(doc_id).alias("_id")).agg(F.max((F.col(label) == 1).cast("int")).alias("_label"))
