@@ -138,3 +138,18 @@ def test_copies_are_counted_while_they_are_written(spark, fresh):
     spark.range(0).write.parquet(f"{source}/e.parquet")
     report = {r.table_name: tuple(r)[1:] for r in quality.copy_tables(spark, source, target, ["t", "e"]).collect()}
     assert report == {"t": (1000, 1000, True), "e": (0, 0, True)}
+
+
+def test_impact_rounds_send_no_table_through_the_driver(spark, monkeypatch):
+    plans = []
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut_lineage(df, label)
+
+    cut_lineage = lineage.cut_lineage
+    monkeypatch.setattr(lineage, "cut_lineage", noted)
+    edges = spark.createDataFrame([(f"n{k}", f"n{k + 1}") for k in range(7)], "upstream string, downstream string")
+    roots = spark.createDataFrame([("n0",), ("n5",)], "pipeline_id string")
+    assert lineage.downstream_impact(roots, edges).count() == 7 + 2
+    assert len(plans) > 7 and not any("Broadcast" in p for p in plans)
