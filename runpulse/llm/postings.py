@@ -24,6 +24,8 @@ from runpulse.llm.words import column_bytes, pieces_of
 
 #: Text bytes and documents of a block at most (a longer text alone).
 BLOCK_BYTES, BLOCK_DOCS = 1 << 24, 50_000
+#: Pairs of a term and a document whose rows are made at once (a term with more alone).
+PAIRS = 1 << 18
 #: A term with so many documents in a block is divided among SALTS tasks.
 HOT, SALTS = 256, 16
 #: An entry of a posting: two bytes for the document, and after all of these one byte each for the counts.
@@ -38,10 +40,32 @@ def _entry_places(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin + 2 * inside, begin + np.repeat(2 * n, n) + inside
 
 
-def _rows(terms: np.ndarray, docs: np.ndarray, names, block: int, hot: int) -> pa.RecordBatch:
-    """Posting rows of one block; `names` turns sorted unique ids into the `term` column."""
+def _pairs(terms: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different terms, sorted; pairs of a term's place and a document as one number, sorted; and how often each stands."""
     unique, ids = np.unique(terms, return_inverse=True)
-    pairs, counts = np.unique(ids.astype(np.int64) * (BLOCK_DOCS + 1) + docs, return_counts=True)
+    ids = ids.astype(np.int64, copy=False)
+    ids *= BLOCK_DOCS + 1
+    ids += docs
+    pairs, counts = np.unique(ids, return_counts=True)
+    return unique, pairs, counts.astype(np.int32)
+
+
+def _together(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """`_pairs` of texts from those of its parts, which have no document in common."""
+    if len(parts) == 1:
+        return parts[0]
+    unique = np.unique(np.concatenate([terms for terms, _, _ in parts]))
+    pairs, counts = [], np.concatenate([c for _, _, c in parts])
+    for terms, found, _ in parts:
+        place, doc = np.divmod(found, BLOCK_DOCS + 1)
+        pairs.append(np.searchsorted(unique, terms)[place] * (BLOCK_DOCS + 1) + doc)
+    pairs = np.concatenate(pairs)
+    order = np.argsort(pairs, kind="stable")
+    return unique, pairs[order], counts[order]
+
+
+def _rows(unique: np.ndarray, pairs: np.ndarray, counts: np.ndarray, names, block: int, hot: int) -> pa.RecordBatch:
+    """Posting rows of one block; `names` turns sorted unique ids into the `term` column."""
     over = (counts - 1) // MOST + 1  # a count beyond a byte takes several entries
     if len(over) and over.max() > 1:
         rest = np.repeat(counts, over) - MOST * (np.arange(over.sum()) - np.repeat(np.cumsum(over) - over, over))
@@ -91,35 +115,39 @@ def term_postings(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         source = reader()
         number = TaskContext.get().partitionId() << 32
-        heads, terms, counts, size = [], [], [], 0
+        heads, found, size, held = [], [], 0, 0
 
         def flush():
-            nonlocal number, heads, terms, counts, size
-            if not counts:
+            nonlocal number, heads, found, size, held
+            if not found:
                 return
-            per_doc = np.concatenate(counts)
-            block_docs = np.repeat(np.arange(len(per_doc)), per_doc)
-            rows = _rows(np.concatenate(terms), block_docs, source.names, number, HOT)
-            for at in range(0, rows.num_rows, 20_000):
-                yield rows.slice(at, 20_000)
+            unique, pairs, counts = _together(found)
+            found = []
+            bounds = np.searchsorted(pairs, np.arange(len(unique) + 1, dtype=np.int64) * (BLOCK_DOCS + 1))
+            at = 0
+            while at < len(unique):
+                to = int(np.searchsorted(bounds, bounds[at] + PAIRS, side="right")) - 1
+                to = min(max(to, at + 1), at + 20_000)
+                own = slice(bounds[at], bounds[to])
+                yield _rows(unique[at:to], pairs[own] - at * (BLOCK_DOCS + 1), counts[own], source.names, number, HOT)
+                at = to
+            del unique, pairs, counts
             yield _head(pa.Table.from_batches(heads), number, source.head_name)
             source.forget()
             number += 1
-            heads, terms, counts, size = [], [], [], 0
+            heads, found, size, held = [], [], 0, 0
 
-        held = 0
         for whole in batches:
             for batch in pieces_of(whole, text, step):
                 for at in range(0, batch.num_rows, BLOCK_DOCS):
                     part = batch.slice(at, BLOCK_DOCS)
                     column = part.column(text)
                     data, _ = column_bytes(column)
-                    if counts and (size + len(data) > block_bytes or held + part.num_rows > BLOCK_DOCS):
+                    if found and (size + len(data) > block_bytes or held + part.num_rows > BLOCK_DOCS):
                         yield from flush()
-                        held = 0
                     ids, n, extra = source.read(column)
-                    terms.append(ids)
-                    counts.append(n)
+                    # only what differs is kept of a piece, and a block is put together from that
+                    found.append(_pairs(ids, np.repeat(np.arange(held, held + len(n)), n)))
                     rest = part.drop_columns([text])
                     for name, values in extra.items():
                         rest = rest.append_column(name, values)
