@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from runpulse.llm.bit_filters import bit_filter, passes
 from runpulse.llm.columns import unused
 from runpulse.llm.sampling import row_key
 from runpulse.llm.words import mix, pieces_of, row_sets, row_words, shingles, signed
@@ -16,8 +17,6 @@ from runpulse.llm.words import mix, pieces_of, row_sets, row_words, shingles, si
 SLOTS = 64
 #: Smallest size class; an item of m shingles is in the class of the next power of two.
 LEAST = 1
-#: Bits of the two filters that keep unwanted rows from being shuffled; their size is fixed, 4 MB each.
-FILTER_BITS = 1 << 25
 
 
 def _classes(sizes: np.ndarray) -> np.ndarray:
@@ -34,15 +33,6 @@ def _signatures(hashes: np.ndarray, group: np.ndarray, salt: int) -> tuple[np.nd
     return g[first], mix(h[first] + np.uint64(salt))
 
 
-def _bits(hashes: np.ndarray) -> np.ndarray:
-    return (hashes % np.uint64(FILTER_BITS)).astype(np.int64)
-
-
-def _test(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = _bits(hashes)
-    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
-
-
 def _item_rows(items: DataFrame, text: str, size: int, keys: list[str]) -> DataFrame:
     """Items with their distinct shingles, size class and signature keys."""
 
@@ -76,43 +66,6 @@ def _item_rows(items: DataFrame, text: str, size: int, keys: list[str]) -> DataF
     return items.select(*keys, text).mapInArrow(run, schema)
 
 
-def _filter(hashes: DataFrame) -> bytes:
-    """A bit for each hash, as FILTER_BITS bits: at most FILTER_BITS distinct places reach the driver."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(FILTER_BITS >> 3, dtype=np.uint8)
-        some = False
-        for batch in batches:
-            at = _bits(batch.column(0).to_numpy().view(np.uint64))
-            np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
-            some |= len(at) > 0
-        if some:
-            for cut in range(0, len(bits), 1 << 16):
-                part = bits[cut : cut + (1 << 16)]
-                if part.any():
-                    yield pa.record_batch({"at": pa.array([cut], pa.int64()), "part": pa.array([part.tobytes()], pa.binary())})
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, bits = None, None
-        for batch in batches:
-            for cut, part in zip(*(c.to_pylist() for c in batch.columns)):
-                part = np.frombuffer(part, np.uint8)
-                if cut == now:
-                    bits = bits | part
-                    continue
-                if now is not None:
-                    yield pa.record_batch({"at": pa.array([now], pa.int64()), "part": pa.array([bits.tobytes()], pa.binary())})
-                now, bits = cut, part
-        if now is not None:
-            yield pa.record_batch({"at": pa.array([now], pa.int64()), "part": pa.array([bits.tobytes()], pa.binary())})
-
-    parts = hashes.mapInArrow(run, "at bigint, part binary").repartition("at").sortWithinPartitions("at")
-    out = bytearray(FILTER_BITS >> 3)
-    for row in parts.mapInArrow(merge, "at bigint, part binary").toLocalIterator():
-        out[row["at"] : row["at"] + len(row["part"])] = row["part"]
-    return bytes(out)
-
-
 def contained_items(
     docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text",
     threshold: float = 0.75, size: int = 5,
@@ -138,8 +91,8 @@ def contained_items(
     listed = listed.filter("n_shingles > 0").dropDuplicates(["_item", "shingles"])
     listed = listed.withColumn("_no", F.xxhash64(F.struct("_item", "shingles"))).persist()
     classes = sorted(r[0] for r in listed.select("class").distinct().collect())  # powers of two: 60 at most
-    shingle_bits = spark.sparkContext.broadcast(_filter(listed.select(F.explode("shingles"))))
-    key_bits = spark.sparkContext.broadcast(_filter(listed.select(F.explode("keys"))))
+    shingle_bits = spark.sparkContext.broadcast(bit_filter(listed.select(F.explode("shingles"))))
+    key_bits = spark.sparkContext.broadcast(bit_filter(listed.select(F.explode("keys"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         in_items, in_keys = (np.frombuffer(b.value, np.uint8) for b in (shingle_bits, key_bits))
@@ -149,7 +102,7 @@ def contained_items(
                 row = np.repeat(np.arange(batch.num_rows), made)
                 place = np.arange(len(row)) - np.repeat(np.cumsum(made) - made, made)
                 # a window without any shingle of an item cannot contain one: only hits and their windows go on
-                hit = _test(in_items, hashes)
+                hit = passes(in_items, hashes)
                 if not hit.any():
                     continue
                 found_row, found = [], []
@@ -160,7 +113,7 @@ def contained_items(
                         window = np.cumsum(start) - 1
                         live = np.bincount(window, hit)[window] > 0
                         g, key = _signatures(hashes[live], window[live], c)
-                        pass_ = _test(in_keys, key)
+                        pass_ = passes(in_keys, key)
                         found_row.append(row[np.flatnonzero(start)][g[pass_]])
                         found.append(key[pass_])
                 keys = np.unique(np.stack([np.concatenate(found_row).astype(np.uint64), np.concatenate(found)]), axis=1)

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from runpulse.llm.bit_filters import shuffled_join
 from runpulse.llm.columns import column, passing_on, unused
 from runpulse.llm.deobfuscation import Decoder, restored_rows, symbol_counts, symbol_model
 from runpulse.llm.sampling import in_fold, labelled_ids
@@ -198,7 +199,8 @@ def _scored(docs, labels, doc_id, text, label, fold, folds, keep_text) -> DataFr
     context = docs.sparkSession.sparkContext
     decoding = context.broadcast(symbol_model(symbol_counts(plain)))  # SYMBOLS ** 3 numbers
     learned = labelled_ids(labels.filter(~in_fold(F.col(doc_id), fold, folds)), label, doc_id)
-    known = plain.filter(~F.col("held_out")).select("_id", "_text").join(learned, "_id").select("_text", "_label")
+    texts = plain.filter(~F.col("held_out")).select("_id", "_text")
+    known = shuffled_join(texts, learned, "_id", "inner").select("_text", "_label")
     model = context.broadcast(_learn(known, decoding))  # words that mark toxic texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
