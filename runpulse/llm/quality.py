@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from runpulse.llm.bit_filters import shuffled_join
 from runpulse.llm.columns import passing_on, unused
 from runpulse.llm.postings import TermReader, document_sums, salted, term_postings
 from runpulse.llm.sampling import labelled_ids, row_key
@@ -130,7 +131,8 @@ def quality_scores(
 def _scored(docs, labels, doc_id, text, lang, label, quantile, slack) -> DataFrame:
     kept = [c for c in docs.columns if c != text]
     plain = docs.select(*kept, F.col(doc_id).alias("_id"), F.col(lang).alias("_lang"), F.col(text).alias("_text"))
-    training = plain.join(labelled_ids(labels.filter(F.col(label) == 1), label, doc_id), "_id", "left_semi")
+    trusted = labelled_ids(labels.filter(F.col(label) == 1), label, doc_id)
+    training = shuffled_join(plain.select("_id", "_text"), trusted, "_id", "left_semi")
     counts = cut_lineage(gram_counts(training), "grams")
     everywhere = cut_lineage(gram_counts(plain).withColumnRenamed("c", "times"), "vocabulary")
     values = cut_lineage(kneser_ney(counts, everywhere.select("term")).join(everywhere, "term"), "values")
