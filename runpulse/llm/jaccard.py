@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from runpulse.operators.components import connected_components
+from runpulse.llm.bit_filters import may_be_among, split_join
 from runpulse.llm.columns import unused
 from runpulse.llm.sampling import row_key
 from runpulse.llm.words import mix, pieces_of, row_sets, signed
@@ -243,7 +244,9 @@ def _linked(pairs: DataFrame, texts: DataFrame, classes: DataFrame, size: int) -
     pairs = cut_lineage(pairs.filter("u <> v").distinct(), "pairs")
     wanted = pairs.select(F.col("u").alias("cid")).unionByName(pairs.select(F.col("v").alias("cid"))).distinct()
     keys = classes.join(wanted, "cid").select(F.col("_key").alias("k"), F.col("_id").alias("i"))
-    own = texts.join(keys, (F.col("_key") == F.col("k")) & F.col("_id").eqNullSafe(F.col("i")), "left_semi")
+    keys = cut_lineage(keys, "wanted")
+    own = texts.filter(may_be_among(F.xxhash64("_key", "_id"), keys.select(F.xxhash64("k", "i"))))
+    own = own.join(keys.hint("shuffle_hash"), (F.col("_key") == F.col("k")) & F.col("_id").eqNullSafe(F.col("i")), "left_semi")
     sets = cut_lineage(_set_rows(own, size).dropDuplicates(["cid"]), "sets")
     of = lambda name, at: sets.select(F.col("cid").alias(at), F.col("set").alias(name))
     both = pairs.join(of("a", "u"), "u").join(of("b", "v"), "v")
@@ -261,7 +264,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, classes: DataFrame, size: int) -
             yield batch.select(["u", "v"]).filter(pa.array(good))
 
     linked = cut_lineage(both.mapInArrow(run, "u bigint, v bigint"), "linked")
-    discard(pairs, sets)
+    discard(pairs, keys, sets)
     return linked
 
 
@@ -356,5 +359,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size:
     parts = jaccard_components(keyed, row, text, size).select(row, "component_id").distinct()
     named = keyed.select(row, F.col(doc_id).alias("_id")).distinct().join(parts, row)
     first = F.min_by(row, F.struct(F.col("_id").isNull(), "_id", row))
-    kept = named.groupBy("component_id").agg(first.alias(row)).select(row)
-    return keyed.join(kept, row, "left_semi").dropDuplicates([row]).drop(row)
+    kept = cut_lineage(named.groupBy("component_id").agg(first.alias(row)).select(row), "kept")
+    # a row that stands once and is kept needs no shuffle of its text
+    times = keyed.groupBy(row).agg(F.count("*").alias("times")).join(kept.withColumn("kept", F.lit(True)), row, "left")
+    doubtful = times.filter("kept IS NULL OR times > 1").select(row)
+    return split_join(keyed, row, doubtful, lambda some: some.join(kept.hint("shuffle_hash"), row, "left_semi").dropDuplicates([row]))

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from runpulse.llm.bit_filters import shuffled_join
+from runpulse.llm.bit_filters import shuffled_join, split_join
 from runpulse.llm.columns import passing_on, unused
 from runpulse.llm.postings import TermReader, document_sums, salted, term_postings
 from runpulse.llm.sampling import labelled_ids, row_key
@@ -171,4 +171,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     row = unused(docs, "_row")
     keyed = docs.withColumn(row, row_key(docs))
     bad = quality_scores(keyed, labels, **options).filter(~F.col("keep")).select(row).distinct()
-    return keyed.join(bad, row, "left_anti").drop(row)
+    bad = cut_lineage(bad, "rejected")
+    return split_join(keyed, row, bad, lambda some: some.join(bad.hint("shuffle_hash"), row, "left_anti"))

@@ -3,6 +3,8 @@
 import pytest
 
 from runpulse.llm.bit_filters import shuffled_join
+from runpulse.llm.jaccard import keep_one
+from runpulse.llm.quality import keep_good
 
 
 def _texts_shuffled(df):
@@ -22,6 +24,14 @@ def _texts_shuffled(df):
     return walk(df._jdf.queryExecution().executedPlan())
 
 
+@pytest.fixture
+def plain_joins(spark):
+    """No broadcast joins, as between large tables."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("kinds", [("long", "long"), ("int", "long"), ("string", "string"), ("double", "double")])
 @pytest.mark.parametrize("how", ["inner", "left_semi"])
 def test_the_join_gives_what_a_plain_one_gives(spark, kinds, how):
@@ -40,3 +50,23 @@ def test_only_texts_with_a_key_are_shuffled(spark):
     got = shuffled_join(rows, spark.createDataFrame([(3,), (5,)], "k long"), "k", "inner")
     assert {r.text for r in got.collect()} == {"text 3", "text 5"}
     assert _texts_shuffled(got) <= 4
+
+
+def test_only_texts_in_doubt_are_shuffled_when_one_is_kept(spark, plain_joins, fresh):
+    rows = [(i, f"a{i} b{i} c{i} d{i} e{i} f{i}", "en") for i in range(300)]
+    rows = [(None, None, None), (None, None, None), (901, "", "en"), *rows, rows[7], rows[7], (900, rows[8][1], "en")]
+    path = fresh() + "/docs"
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(path)
+    got = keep_one(spark.read.parquet(path))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted({str(r) for r in rows if r[0] != 900})
+    assert _texts_shuffled(got) < 30
+
+
+def test_only_texts_in_doubt_are_shuffled_when_bad_ones_go(spark, plain_joins, fresh):
+    rows = [(i, f"ab{i % 7} cd{i % 11} ef", "en") for i in range(300)] + [(7, "ab0 cd7 ef", "en"), (900, "щщщ ъъъъ", "en"), (900, "щщщ ъъъъ", "en")]
+    path = fresh() + "/docs"
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(path)
+    labels = spark.createDataFrame([(i, 1) for i in range(250)], "doc_id long, quality int")
+    got = keep_good(spark.read.parquet(path), labels)
+    assert sorted(map(tuple, got.collect())) == sorted(r for r in rows if r[0] != 900)
+    assert _texts_shuffled(got) < 30
