@@ -24,7 +24,7 @@ from runpulse.operators.components import connected_components
 from runpulse.llm.bit_filters import may_be_among, split_join
 from runpulse.llm.columns import unused
 from runpulse.llm.sampling import row_key
-from runpulse.llm.words import mix, pieces_of, row_sets, signed
+from runpulse.llm.words import mix, mix_in_place, pieces_of, row_sets, signed
 from runpulse.session import cut_lineage, discard
 
 #: Linked if UP * intersection >= LOW * union.
@@ -87,17 +87,42 @@ def _common_shingles(texts: DataFrame, size: int) -> np.ndarray:
     return np.sort(np.array([r.h for r in top], dtype=np.int64).view(np.uint64))
 
 
+class _Listed:
+    """Whether hashes are in a sorted list: a table of their first bits leaves few that have to be looked up."""
+
+    FIRST = 20
+
+    def __init__(self, values: np.ndarray):
+        self.values = values
+        self.some = np.zeros(1 << self.FIRST, dtype=bool)
+        self.some[self._first(values)] = True
+
+    def _first(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.FIRST)).view(np.int64)
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        found = self.some[self._first(hashes)]
+        maybe = np.flatnonzero(found)
+        if len(maybe):
+            at = np.minimum(np.searchsorted(self.values, hashes[maybe]), len(self.values) - 1)
+            found[maybe] = self.values[at] == hashes[maybe]
+        return found
+
+
 def _members(texts: DataFrame, size: int, common) -> DataFrame:
     """`_id`, `_key`, size `n`, class `cid` (a hash of the set), MinHash `values` and number of common shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed = _Listed(common.value)
         for whole in batches:
             for batch in pieces_of(whole, "_text"):
                 hashes, n = row_sets(batch.column("_text"), size)
+                turned, spare = np.empty_like(hashes), np.empty_like(hashes)
                 begin = np.minimum(np.cumsum(n) - n, max(len(hashes) - 1, 0))
                 least = []
                 for k in range(VALUES):
-                    turned = mix(hashes ^ np.uint64(0xA0761D6478BD642F * (2 * k + 1) % 2**64))
+                    np.bitwise_xor(hashes, np.uint64(0xA0761D6478BD642F * (2 * k + 1) % 2**64), out=turned)
+                    mix_in_place(turned, spare)
                     low = np.minimum.reduceat(turned, begin) if len(hashes) else np.zeros(len(n), np.uint64)
                     least.append(low + np.uint64(k))
                 whole_set = np.add.reduceat(mix(hashes), begin) if len(hashes) else np.zeros(len(n), np.uint64)
@@ -105,7 +130,7 @@ def _members(texts: DataFrame, size: int, common) -> DataFrame:
                 empty = n == 0
                 values = np.stack(least, axis=1)
                 row = np.repeat(np.arange(len(n)), n)
-                weight = np.bincount(row, np.isin(hashes, common.value), minlength=len(n)).astype(np.int64)
+                weight = np.bincount(row, listed(hashes), minlength=len(n)).astype(np.int64)
                 yield pa.record_batch(
                     {
                         "_id": batch.column("_id"),
@@ -213,14 +238,14 @@ def _prefix_rows(texts: DataFrame, size: int, common) -> DataFrame:
     """One row (`token`, `cid`) per shingle of each document's prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = common.value
+        listed = _Listed(common.value)
         for whole in batches:
             for batch in pieces_of(whole, "_text"):
                 hashes, n = row_sets(batch.column("_text"), size)
                 if not len(hashes):
                     continue
                 row = np.repeat(np.arange(len(n)), n)
-                late = np.isin(hashes, last)
+                late = listed(hashes)
                 order = np.argsort(2 * row + late, kind="stable")  # a row's hashes ascend already
                 place = np.arange(len(hashes)) - np.repeat(np.cumsum(n) - n, n)
                 own = order[place < _prefix(n)[row]]

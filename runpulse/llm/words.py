@@ -14,13 +14,13 @@ _RANDOM = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _RANDOM.integers(0, 1 << 64, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-#: Bytes hashed at once; a longer stretch without any boundary is taken whole.
-SEGMENT = 1 << 20
+#: Bytes hashed at once, few enough to stay in the cache; a longer stretch without any boundary is taken whole.
+SEGMENT = 1 << 15
+#: Shingles hashed at once.
+RUN = 1 << 13
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def _powers(base: int, count: int) -> np.ndarray:
@@ -40,7 +40,7 @@ class _Tables:
 
     def get(self, count: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < count:
-            size = max(count, SEGMENT + 1)
+            size = max(count, SEGMENT + 1, min(2 * len(self.up), 1 << 20))
             self.up, self.down = _powers(_BASE, size), _powers(_INVERSE, size)
         return self.up, self.down
 
@@ -57,6 +57,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def mix_in_place(x: np.ndarray, spare: np.ndarray) -> np.ndarray:
+    """`mix` without new arrays."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, None)):
+        np.right_shift(x, np.uint64(shift), out=spare)
+        x ^= spare
+        if factor:
+            x *= np.uint64(factor)
+    return x
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each stretch `data[start:end]`; stretches are in order and do not overlap."""
     out = np.empty(len(starts), dtype=np.uint64)
@@ -66,8 +76,10 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         last = max(first + 1, int(np.searchsorted(ends, origin + SEGMENT, side="right")))
         s, e = starts[first:last] - origin, ends[first:last] - origin
         up, down = _TABLES.get(int(e[-1]) + 1)
+        part = np.take(_BYTE, data[origin : origin + e[-1]], mode="clip")
+        part *= up[: e[-1]]
         sums = np.zeros(int(e[-1]) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[data[origin : origin + e[-1]]] * up[: e[-1]], out=sums[1:])
+        np.cumsum(part, out=sums[1:])
         out[first:last] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
         first = last
     return out
@@ -89,9 +101,14 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z lower-cased."""
+    return data | ((data - np.uint8(65) < 26).view(np.uint8) << 5)
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of all words; none crosses the end of a row."""
-    inside = ~_SPACE[data]
+    inside = (data != 32) & (data - np.uint8(9) > 4)
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
     starts = inside.copy()
@@ -109,7 +126,7 @@ def per_row(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def row_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a column in order, and the number of words of each row."""
     data, offsets = column_bytes(column)
-    data = _LOWER[data]
+    data = lowered(data)
     starts, ends = word_spans(data, offsets)
     return span_hashes(data, starts, ends), per_row(starts, offsets)
 
@@ -122,16 +139,46 @@ def shingles(words: np.ndarray, counts: np.ndarray, size: int = 5) -> tuple[np.n
     ends = np.cumsum(counts)
     begins = ends - counts
     made = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
-    total = int(made.sum())
-    first = np.repeat(begins - (np.cumsum(made) - made), made) + np.arange(total)
-    length = np.repeat(np.minimum(counts, size), made)
-    out = np.zeros(total, dtype=np.uint64)
-    for k in range(size):
-        has = k < length
-        at = np.where(has, first + k, 0)
-        part = words[at] if len(words) else np.zeros(total, dtype=np.uint64)
-        out = np.where(has, mix(out + np.uint64((0xD6E8FEB86659FD93 * (k + 1)) & (2**64 - 1))) + part, out)
-    return mix(out + length.astype(np.uint64)), made
+    after = np.cumsum(made)
+    whole = counts >= size
+    # every run of `size` words is hashed, also those that cross the end of a row, which are then left out
+    inside = np.zeros(len(words) + 1, dtype=np.int8)
+    inside[begins[whole]] += 1
+    inside[(begins + made)[whole]] -= 1
+    inside = np.cumsum(inside[:-1], dtype=np.int8).astype(bool)
+    out = np.zeros(int(made.sum()), dtype=np.uint64)
+    long = np.repeat(whole, made)
+    full = _runs(words, size)[inside[: max(len(words) - size + 1, 0)]]
+    if long.all():
+        return full, made
+    out[long] = full
+    for row in np.unique(counts[~whole & (counts > 0)]):  # fewer than `size` lengths
+        some = np.flatnonzero(counts == row)
+        out[after[some] - 1] = _hashed([words[begins[some] + k] for k in range(row)])
+    return out, made
+
+
+def _hashed(parts: list[np.ndarray]) -> np.ndarray:
+    """The hash of each sequence whose k-th words are `parts[k]`."""
+    added = [np.array([(0xD6E8FEB86659FD93 * (k + 1)) & (2**64 - 1)], dtype=np.uint64) for k in range(len(parts))]
+    out = parts[0] + mix(added[0])
+    spare = np.empty_like(out)
+    for part, more in zip(parts[1:], added[1:]):
+        out += more
+        mix_in_place(out, spare)
+        out += part
+    out += np.uint64(len(parts))
+    return mix_in_place(out, spare)
+
+
+def _runs(words: np.ndarray, size: int) -> np.ndarray:
+    """The hash of each run of `size` words, wherever it begins."""
+    count = max(len(words) - size + 1, 0)
+    out = np.empty(count, dtype=np.uint64)
+    for at in range(0, count, RUN):
+        to = min(at + RUN, count)
+        out[at:to] = _hashed([words[at + k : to + k] for k in range(size)])
+    return out
 
 
 def row_sets(column: pa.Array, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -139,10 +186,12 @@ def row_sets(column: pa.Array, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     words, counts = row_words(column)
     hashes, made = shingles(words, counts, size)
     row = np.repeat(np.arange(len(counts)), made)
-    order = np.lexsort((hashes, row))
-    hashes, row = hashes[order], row[order]
+    cuts = np.cumsum(made)
+    for first, last in zip((cuts - made)[made > 1].tolist(), cuts[made > 1].tolist()):
+        hashes[first:last].sort()
     fresh = np.ones(len(hashes), dtype=bool)
-    fresh[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
+    fresh[1:] = hashes[1:] != hashes[:-1]
+    fresh[(cuts - made)[made > 0]] = True
     return hashes[fresh], np.bincount(row[fresh], minlength=len(counts)).astype(np.int64)
 
 
