@@ -15,6 +15,11 @@ PER_CLASS, UNITS, WIDTH, WINDOW = 32, 24, 16, 32
 ROWS = 1 << 14
 
 
+def _ordered(values: np.ndarray, limit: int) -> np.ndarray:
+    """A stable order of whole numbers below `limit`; numbers of two bytes are put in order without comparisons."""
+    return np.argsort(values.astype(np.uint16) if limit <= 1 << 16 else values, kind="stable")
+
+
 class Gru:
     """Parameters for `words` frequent words (a multiple of PER_CLASS, id 0 is the end) and `rest` rest classes."""
 
@@ -52,21 +57,31 @@ class Gru:
         shape = inputs.shape
         out = np.empty((*shape, u), dtype=np.float32)
         kept = [np.empty((*shape, k * u), dtype=np.float32) for k in (1, 2, 1, 1)] if keep else None
+        some = fresh.any(axis=1) if fresh is not None else np.zeros(len(inputs), dtype=bool)
+        hidden, x = np.empty((shape[1], 3 * u), dtype=np.float32), np.empty((shape[1], 3 * u), dtype=np.float32)
+        gates, n = np.empty((shape[1], 2 * u), dtype=np.float32), np.empty((shape[1], u), dtype=np.float32)
         for t, ids in enumerate(inputs):
-            if fresh is not None:
+            if some[t]:
                 state = state * ~fresh[t][:, None]
-            x, hidden = table[ids], state @ wh
-            gates = x[:, : 2 * u] + hidden[:, : 2 * u]
+            if keep:
+                gates, n = kept[1][t], kept[2][t]
+            np.take(table, ids, axis=0, out=x, mode="clip")
+            np.matmul(state, wh, out=hidden)
+            np.add(x[:, : 2 * u], hidden[:, : 2 * u], out=gates)
             np.negative(gates, out=gates)
             np.exp(gates, out=gates)
             gates += 1
             np.reciprocal(gates, out=gates)
-            n = gates[:, u:] * hidden[:, 2 * u :]
+            np.multiply(gates[:, u:], hidden[:, 2 * u :], out=n)
             n += x[:, 2 * u :]
             np.tanh(n, out=n)
             if keep:
-                kept[0][t], kept[1][t], kept[2][t], kept[3][t] = state, gates, n, hidden[:, 2 * u :]
-            state = out[t] = n + gates[:, :u] * (state - n)
+                kept[0][t], kept[3][t] = state, hidden[:, 2 * u :]
+            step = out[t]
+            np.subtract(state, n, out=step)
+            step *= gates[:, :u]
+            step += n
+            state = step
         return out, kept
 
     def table(self) -> np.ndarray:
@@ -75,11 +90,11 @@ class Gru:
 
     def _words_by_class(self, states: np.ndarray, kind: np.ndarray):
         """Rows of words in order of their class, where each class begins, and the logits inside the classes."""
-        order = np.argsort(kind, kind="stable")
+        order = _ordered(kind, self.classes + self.rest)
         bounds = np.searchsorted(kind[order], np.arange(self.classes + 1))
         order = order[: bounds[-1]]
-        sorted_states = states[order]
-        inner = self.p["bo"][kind[order]]
+        sorted_states = states.take(order, axis=0)
+        inner = self.p["bo"].take(kind[order], axis=0)
         for c in np.flatnonzero(np.diff(bounds)):
             inner[bounds[c] : bounds[c + 1]] += sorted_states[bounds[c] : bounds[c + 1]] @ self.p["wo"][c]
         inner -= inner.max(axis=1, keepdims=True)
@@ -87,7 +102,8 @@ class Gru:
 
     def log_probs(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log probability of each target id (for a rest class: of the class)."""
-        logits = states @ self.p["wc"] + self.p["bc"]
+        logits = states @ self.p["wc"]
+        logits += self.p["bc"]
         logits -= logits.max(axis=1, keepdims=True)
         kind = self.class_of(targets)
         out = logits[np.arange(len(targets)), kind] - np.log(np.exp(logits, out=logits).sum(axis=1))
@@ -149,20 +165,33 @@ class Gru:
             scale = np.float32(rate / (1 - 0.9 ** memory["step"]))
             spread = np.float32(1 / (1 - 0.99 ** memory["step"]))
             for k, g in grads.items():
-                first[k] += np.float32(0.1) * (g - first[k])
+                change = g - first[k]
+                change *= np.float32(0.1)
+                first[k] += change
                 np.multiply(g, g, out=g)
-                second[k] += np.float32(0.01) * (g - second[k])
-                self.p[k] -= scale * first[k] / (np.sqrt(second[k] * spread) + np.float32(1e-6))
+                g -= second[k]
+                g *= np.float32(0.01)
+                second[k] += g
+                np.multiply(second[k], spread, out=g)
+                np.sqrt(g, out=g)
+                g += np.float32(1e-6)
+                np.multiply(first[k], scale, out=change)
+                change /= g
+                self.p[k] -= change
 
     def _gradients(self, inputs, targets, mask, state, fresh=None):
         p, u = self.p, UNITS
         states, (before, gates, n, hn) = self.forward(inputs, state, self.table(), keep=True, fresh=fresh)
         flat = mask.ravel()
-        h, wanted = states.reshape(-1, u)[flat], targets.ravel()[flat]
+        every = flat.all()  # but for the last windows
+        h, wanted = states.reshape(-1, u), targets.ravel()
+        if not every:
+            h, wanted = h[flat], wanted[flat]
         count = np.float32(max(len(wanted), 1))
         g = {}
         kind = self.class_of(wanted)
-        d = h @ p["wc"] + p["bc"]
+        d = h @ p["wc"]
+        d += p["bc"]
         d -= d.max(axis=1, keepdims=True)
         np.exp(d, out=d)
         d /= d.sum(axis=1, keepdims=True)
@@ -182,31 +211,41 @@ class Gru:
             g["wo"][c], g["bo"][c] = sorted_h[rows].T @ e[rows], e[rows].sum(axis=0)
             back[rows] = e[rows] @ p["wo"][c].T
         dh[order] += back
-        up = np.zeros((mask.size, u), dtype=np.float32)
-        up[flat] = dh
+        up = dh
+        if not every:
+            up = np.zeros((mask.size, u), dtype=np.float32)
+            up[flat] = dh
         up = up.reshape(*mask.shape, u)
         z, r = gates[..., :u], gates[..., u:]
-        by_n = (1 - z) * (1 - n * n)
-        by_z = (before - n) * z * (1 - z)
-        by_r = by_n * hn * r * (1 - r)
-        factors = np.concatenate([by_z, by_r, by_n * r], axis=-1).reshape(*mask.shape, 3, u)
+        rest = 1 - z
+        by_n = rest * (1 - n * n)
+        factors = np.empty((*mask.shape, 3, u), dtype=np.float32)
+        by_z, by_r = factors[:, :, 0], factors[:, :, 1]
+        np.multiply(before - n, z, out=by_z)
+        by_z *= rest
+        np.multiply(by_n, hn, out=by_r)
+        by_r *= r
+        by_r *= 1 - r
+        np.multiply(by_n, r, out=factors[:, :, 2])
         dg = np.empty((*mask.shape, 3, u), dtype=np.float32)
+        some = fresh.any(axis=1) if fresh is not None else np.zeros(len(up), dtype=bool)
         carry, wt = np.zeros_like(state), np.ascontiguousarray(p["wh"].T)
         for t in range(len(up) - 1, -1, -1):
             carry += up[t]
             up[t] = carry
             np.multiply(carry[:, None], factors[t], out=dg[t])
-            carry = carry * z[t] + dg[t].reshape(-1, 3 * u) @ wt
-            if fresh is not None:
+            carry *= z[t]
+            carry += dg[t].reshape(-1, 3 * u) @ wt
+            if some[t]:
                 carry *= ~fresh[t][:, None]
         dx = dg.reshape(-1, 3 * u)
         g["wh"] = before.reshape(-1, u).T @ dx
         dx[:, 2 * u :] = (up * by_n).reshape(-1, u)
         ids = inputs.ravel()
-        order = np.argsort(ids, kind="stable")
+        order = _ordered(ids, self.words + self.rest)
         ids = ids[order]
         begin = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-        sums = np.add.reduceat(dx[order], begin, axis=0)
+        sums = np.add.reduceat(dx.take(order, axis=0), begin, axis=0)
         g["wx"], g["b"] = p["emb"][ids[begin]].T @ sums, dx.sum(axis=0)
         g["emb"] = np.zeros_like(p["emb"])
         g["emb"][ids[begin]] = sums @ p["wx"].T

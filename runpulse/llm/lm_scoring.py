@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from runpulse.llm.gru import Gru
 from runpulse.llm.postings import TermReader, document_sums, salted, term_postings
 from runpulse.llm.sampling import in_fold
-from runpulse.llm.words import _LOWER, column_bytes, mix, per_row, pieces_of, signed, span_hashes, word_spans
+from runpulse.llm.words import column_bytes, lowered, mix, per_row, pieces_of, signed, span_hashes, word_spans
 from runpulse.session import cut_lineage, discard
 
 #: The end token's term; no word is hashed on purpose to it.
@@ -27,7 +27,7 @@ SHARD, LANES = 1 << 21, 128
 def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Terms of all tokens in order (each row ends with the end token), rest classes, and tokens per row."""
     data, offsets = column_bytes(column)
-    data = _LOWER[data]
+    data = lowered(data)
     starts, ends = word_spans(data, offsets)
     words, counts = span_hashes(data, starts, ends), per_row(starts, offsets)
     second = np.where(ends - starts > 1, data[np.minimum(starts + 1, max(len(data) - 1, 0))], 0) if len(starts) else starts
