@@ -6,6 +6,7 @@ import os
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,8 @@ from runpulse.session import cut_lineage
 
 #: Words whose ids a task keeps at once.
 KNOWN_WORDS = 400_000
+#: Words that are encoded as one text.
+JOINED = 32
 #: Parts into which pieces of one length are divided to number them.
 SALTS = 64
 
@@ -43,7 +46,14 @@ def part_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
     inner = np.flatnonzero(cut & ~edge[1:-1]) + 1 if len(data) else np.zeros(0, dtype=np.int64)
-    return low, np.sort(np.concatenate([starts, inner])), np.sort(np.concatenate([ends, inner]))
+    return low, _merged(starts, inner, len(data)), _merged(ends, inner, len(data))
+
+
+def _merged(places: np.ndarray, more: np.ndarray, limit: int) -> np.ndarray:
+    """Places of both lists in order; they have none in common and none is above `limit`."""
+    marked = np.zeros(limit + 1, dtype=bool)
+    marked[places] = marked[more] = True
+    return np.flatnonzero(marked)
 
 
 class WordIds:
@@ -60,30 +70,69 @@ class WordIds:
         self.model = Tokenizer.from_file(path)
         self.model.no_truncation()
         self.model.no_padding()
+        self.ends = self._end_ids()
         self._forget()
 
+    def _end_ids(self) -> np.ndarray:
+        """Which ids end a word; none, if the model doesn't mark the end of every word."""
+        known = self.model.get_vocab()
+        out = np.zeros(max(known.values(), default=0) + 1, dtype=bool)
+        suffix = getattr(self.model.model, "end_of_word_suffix", None)
+        if suffix and all(sign + suffix in known for sign in known if len(sign) == 1):
+            out[[known[token] for token in known if token.endswith(suffix)]] = True
+        return out
+
     def _forget(self):
         self.hashes = np.zeros(0, dtype=np.uint64)
         self.first = np.zeros(0, dtype=np.int64)
         self.count = np.zeros(0, dtype=np.int64)
         self.ids = np.zeros(0, dtype=np.uint32)
 
+    def _made(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after another, and how many each has.
+
+        Words of letters alone are joined by spaces, which are dropped, and told apart by the ids that end a word. A text that
+        does not give one end for each of its words, and any other word, is encoded word by word.
+        """
+        together = np.flatnonzero([w.isalpha() for w in words]) if self.ends.any() else np.zeros(0, dtype=np.int64)
+        cuts = np.arange(0, len(together), JOINED)
+        size = np.diff(np.append(cuts, len(together)))
+        ids, length = self._ids([" ".join([words[k] for k in together[a : a + JOINED].tolist()]) for a in cuts.tolist()])
+        end, text = self.ends[ids], np.repeat(np.arange(len(cuts)), length)
+        closed = np.append(end, False)[np.cumsum(length) - 1]
+        right = (np.bincount(text, end, minlength=len(cuts)) == size) & (length > 0) & closed
+        keep = right[text]
+        ids, end = ids[keep], end[keep]
+        good = np.repeat(right, size)
+        part = together[good][np.cumsum(end) - end]
+        rest = np.ones(len(words), dtype=bool)
+        rest[together[good]] = False
+        rest = np.flatnonzero(rest)
+        more, length = self._ids([words[k] for k in rest.tolist()])
+        part = np.concatenate([part, np.repeat(rest, length)])
+        return np.concatenate([ids, more])[np.argsort(part, kind="stable")], np.bincount(part, minlength=len(words))
+
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [x.ids for x in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        length = np.array([len(x) for x in found], dtype=np.int64)
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(length.sum())), length
+
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows one after another, `end_id` after each row, and the length of each row."""
         data, offsets = column_bytes(column)
         data, starts, ends = part_spans(data, offsets)
         hashes = span_hashes(data, starts, ends)
-        unique, place, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        unique, inverse = np.unique(hashes, return_inverse=True)
+        place = np.zeros(len(unique), dtype=np.int64)
+        place[inverse] = np.arange(len(hashes))
         if len(self.hashes) > KNOWN_WORDS:
             self._forget()
         fresh = np.flatnonzero(~np.isin(unique, self.hashes, assume_unique=True))
         if len(fresh):
             raw = data.tobytes()
-            words = [raw[s:e].decode() for s, e in zip(starts[place[fresh]], ends[place[fresh]])]
-            made = [x.ids for x in self.model.encode_batch(words, add_special_tokens=False)]
-            count = np.array([len(x) for x in made], dtype=np.int64)
+            made, count = self._made([raw[s:e].decode() for s, e in zip(starts[place[fresh]].tolist(), ends[place[fresh]].tolist())])
             first = len(self.ids) + np.cumsum(count) - count
-            self.ids = np.concatenate([self.ids, np.fromiter((i for x in made for i in x), np.uint32)])
+            self.ids = np.concatenate([self.ids, made])
             hashes_now = np.concatenate([self.hashes, unique[fresh]])
             order = np.argsort(hashes_now, kind="stable")
             self.hashes = hashes_now[order]
