@@ -212,7 +212,8 @@ def nearest_neighbours(
     r_blocks = _blocks(rows, ROWS).withColumns({"col": slot(across), "row": copies(down)})
     q_blocks = _blocks(asked, QUERIES).withColumns({"row": slot(down), "col": copies(across)})
     q_blocks = q_blocks.select("row", "col", "dim", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    pairs = q_blocks.join(r_blocks, ["row", "col", "dim"])
+    # by a merge: Spark's estimate of the query blocks leaves out their copies, and a broadcast would take all of them through the driver
+    pairs = q_blocks.hint("merge").join(r_blocks, ["row", "col", "dim"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked: dict[tuple[bytes, int], _Search] = {}

@@ -69,3 +69,16 @@ def test_hot_group_over_blocks(spark, monkeypatch):
         assert [r.query_id for r in mine] == [i] * 5 and all(abs(r.score - score[r.vec_id]) < 1e-13 for r in mine)
         hit += sum(r.score >= score[best[-1]] - 1e-13 for r in mine)
     assert hit >= 0.99 * 5 * len(asked)
+
+
+def test_copied_query_blocks_are_not_sent_through_the_driver(spark):
+    """The queries are small enough for a broadcast, but a task of each column of the grid gets a copy of them."""
+    m = _unit(2000, 16, 8)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>")
+    found = nearest_neighbours(table, table.filter("vec_id % 50 = 0"))
+    rows = sorted(found.collect())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "Broadcast" not in plan
+    scores = m @ m[::50].T
+    scores[range(0, 2000, 50), range(40)] = -9
+    assert len(rows) == 5 * 40 and all(abs(r.score - np.sort(scores[:, r.query_id // 50])[-r.rank]) < 1e-13 for r in rows)
